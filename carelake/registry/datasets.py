@@ -286,7 +286,7 @@ def str_hourly_monitor(t):
 
 
 @query("""
-SELECT f.facility_id, h.hour_bucket, 0 AS record_count
+SELECT f.facility_id, h.hour_bucket, CAST(0 AS BIGINT) AS record_count
 FROM (SELECT DISTINCT facility_id FROM fx_loads) f
 JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-30 00:00:00', TIMESTAMP '2024-01-30 22:00:00', INTERVAL 1 HOUR)) AS hour_bucket) h ON TRUE
 LEFT JOIN fx_loads l ON l.facility_id = f.facility_id AND l.source_table = 'payment' AND date_trunc('hour', l._loaded_at) = h.hour_bucket

@@ -81,7 +81,7 @@ fresh AS (SELECT CAST(event_time AS DATE) AS metric_date, facility_id, COUNT(DIS
                CAST(((2 * CAST(SUM(amount) * 100 AS HUGEINT) + COUNT(amount)) // (2 * COUNT(amount))) / 100.0 AS DECIMAL(38,2)) AS a
              FROM fx_clean_events WHERE event_time >= TIMESTAMP '2024-01-30 18:00:00' - INTERVAL 24 HOUR GROUP BY 1, 2)
 SELECT COALESCE(o.metric_date, f.metric_date) AS metric_date, COALESCE(o.facility_id, f.facility_id) AS facility_id,
-       COALESCE(f.n, o.n) AS total_encounters, COALESCE(f.p, o.p) AS unique_patients, COALESCE(f.a, o.a) AS avg_revenue_per_encounter,
+       COALESCE(f.n, o.n) AS total_encounters, COALESCE(f.p, o.p) AS unique_patients, CASE WHEN f.n IS NOT NULL THEN f.a ELSE o.a END AS avg_revenue_per_encounter,
        CASE WHEN o.n IS NOT NULL AND f.n IS NOT NULL THEN TIMESTAMP '2024-01-30 18:00:00' END AS updated_at
 FROM old o FULL JOIN fresh f ON o.metric_date = f.metric_date AND o.facility_id = f.facility_id
 """)
