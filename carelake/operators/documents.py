@@ -126,7 +126,7 @@ def _page_texts(page: Column) -> Column:
     return F.when(own.isNotNull(), F.array(own)).otherwise(nested)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _any_text(parsed: pd.Series) -> pd.Series:
     """Every non-blank nested "text", else the JSON itself, for the unknown shapes."""
 

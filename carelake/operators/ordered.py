@@ -1,16 +1,17 @@
-"""Window calculations over unbounded groups, spread evenly whatever the keys.
-
-A plain window sends each partition key to one task; a patient (or a NULL
-patient) holding a third of all rows would stop the job. Here rows are put in
-their global order by a range exchange, receive a position, and are then cut into
-blocks of equal size. A window runs inside a block, and
-
-* frames of a few rows (lag, lead, ROWS n PRECEDING) see copies of the n rows on
-  the other side of the block border,
-* running sums add what earlier blocks of the same key summed to,
-* whole-group values combine the parts of keys that cross a border.
-
-What is exchanged for the last two is at most two rows per block.
+"""Window calculations over groups of any size, and over the whole set.
+
+A window sends each partition key to one task, so a patient (or the NULL patient)
+holding a third of all rows would stop the job; a window without keys sends
+everything to one task. Three tools keep the work spread:
+
+* ``split_hot`` counts the rows per key first (one narrow, map-side combined pass) and
+  sets apart the rows of keys above a limit. The others take ordinary windows.
+* ``Blocks`` does the windows of the hot rows: a range exchange puts them in order,
+  gives each a position and cuts blocks of equal size. Frames of a few rows see copies
+  of the rows just across the block border; running sums add what earlier blocks of
+  the key summed to; whole-key values combine the parts of keys that cross a border.
+  Only two rows per block are exchanged for that.
+* ``Placed`` gives positions and prefix sums over a whole set (rank, ntile).
 """
 
 from __future__ import annotations
@@ -23,23 +24,52 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
+# Rows of one key that a task sorts and spills without trouble. At 10^12 rows at most
+# 500,000 keys can be above it, which bounds the broadcast of hot keys.
+HOT_ROWS = 2_000_000
 MIN_BLOCK_ROWS = 10_000
 MAX_BLOCK_ROWS = 1_000_000
 MAX_BLOCKS = 100_000
 
 
-def _block_size(total: int, partitions: int) -> int:
-    """Two blocks per task while blocks stay moderate; never more than MAX_BLOCKS blocks."""
-    even = min(MAX_BLOCK_ROWS, total // (2 * partitions) + 1)
-    return max(MIN_BLOCK_ROWS, even, total // MAX_BLOCKS + 1)
+def _same(keys: list[str], prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-class Ordered:
-    """Rows in a global order, with a 0-based position, in blocks."""
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys, and the rows of keys with more than ``hot_rows`` rows.
 
-    def __init__(self, df: DataFrame, order: list[Column], block_rows: int | None = None):
-        spark = df.sparkSession
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    The second is None, and the first the input itself, when no key is that large.
+    """
+    hot = written(
+        df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+        .select(*[F.col(k).alias(f"_h_{k}") for k in keys]),
+        "hot-keys",
+    )
+    if hot.isEmpty():
+        return df, None
+    listed, on = F.broadcast(hot), _same(keys, "_h_")
+    return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
+
+
+def by_key(
+    df: DataFrame,
+    keys: list[str],
+    ordinary: Callable[[DataFrame], DataFrame],
+    blocked: Callable[[DataFrame], DataFrame],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """``ordinary`` windows for most keys, ``blocked`` ones for the rows of hot keys."""
+    cold, hot = split_hot(df, keys, hot_rows)
+    out = ordinary(cold)
+    return out if hot is None else out.unionByName(blocked(hot).select(*out.columns))
+
+
+class Placed:
+    """Rows in a global order, written once, with their 0-based position ``_pos``."""
+
+    def __init__(self, df: DataFrame, order: list[Column], sums: dict[str, Column] | None = None):
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         placed = written(
             df.repartitionByRange(n, *order)
             .sortWithinPartitions(*order)
@@ -48,25 +78,60 @@ class Ordered:
         )
         # monotonically_increasing_id is (partition << 33) + row in the partition.
         part = F.shiftright("_mid", 33)
+        sums = sums or {}
+        totals = [F.sum(c).alias(name) for name, c in sums.items()]
         # One row per range partition reaches the driver.
-        sizes = sorted(
-            (r["part"], r["n"])
-            for r in placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()
-        )
-        starts, self.total = [], 0
-        for p, size in sizes:
-            starts.append((p, self.total))
-            self.total += size
-        start_df = spark.createDataFrame(starts, "_part bigint, _start bigint")
-        self.block_rows = block_rows or _block_size(self.total, n)
-        self.rows = (
-            placed.withColumn("_part", part)
-            .join(F.broadcast(start_df), "_part")
-            .withColumn("_pos", F.col("_start") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-            .withColumn("_block", F.floor(F.col("_pos") / self.block_rows))
-            .drop("_part", "_start", "_mid")
+        found = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"), *totals).collect()
+        by_part = {r["part"]: r for r in found}
+        self._starts: dict[str, str] = {}
+        self.totals: dict[str, int] = {}
+        for name in ["n", *sums]:
+            at, starts = 0, []
+            for p in range(max(by_part, default=-1) + 1):
+                starts.append(f"{at}L")
+                at += int(by_part[p][name] or 0) if p in by_part else 0
+            self._starts[name], self.totals[name] = f"array({', '.join(starts) or '0L'})", at
+        self.total = self.totals["n"]
+        self._sums = sums
+        index = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+        self.rows = placed.withColumn("_pos", self._start("n", part) + index).drop("_mid")
+        self._numbered = placed.withColumn("_part", part)
+
+    def _start(self, name: str, part: Column) -> Column:
+        return F.get(F.expr(self._starts[name]), part.cast("int"))
+
+    def prefix_sums(self) -> DataFrame:
+        """The rows with, per summed column, the sum over all earlier rows."""
+        before = Window.partitionBy("_part").orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+        return self._numbered.select(
+            "*",
+            *[
+                (self._start(name, F.col("_part")) + F.coalesce(F.sum(c).over(before), F.lit(0))).alias(f"{name}_before")
+                for name, c in self._sums.items()
+            ],
+        ).drop("_part", "_mid")
+
+    def ntile(self, n: int) -> Column:
+        """NTILE over the whole set, by arithmetic on the position."""
+        small, extra = divmod(self.total, n)
+        pos, wide = F.col("_pos"), extra * (small + 1)
+        return (
+            F.when(pos < wide, F.floor(pos / (small + 1)) + 1)
+            .otherwise(F.floor((pos - wide) / max(small, 1)) + extra + 1)
+            .cast("bigint")
         )
 
+
+class Blocks(Placed):
+    """Rows in a global order, in blocks of equal size."""
+
+    def __init__(self, df: DataFrame, order: list[Column], block_rows: int | None = None):
+        super().__init__(df, order)
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        even = min(MAX_BLOCK_ROWS, self.total // (2 * tasks) + 1)
+        self.block_rows = block_rows or max(MIN_BLOCK_ROWS, even, self.total // MAX_BLOCKS + 1)
+        self.rows = self.rows.withColumn("_block", F.floor(F.col("_pos") / self.block_rows))
+
     def near(
         self,
         df: DataFrame,
@@ -105,45 +170,31 @@ class Ordered:
         )
         border = (
             df.filter(at_border)
-            .select(F.col("_block").alias("_bb"), *[F.col(k).alias(f"_b_{k}") for k in keys])
+            .select(*[F.col(k).alias(f"_b_{k}") for k in ["_block", *keys]])
             .distinct()
         )
-        on = reduce(
-            lambda a, b: a & b,
-            [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys],
-            F.col("_block") == F.col("_bb"),
-        )
         # At most two rows per block, so the broadcast is bounded by MAX_BLOCKS.
-        return df.join(F.broadcast(border), on, "left_semi").groupBy("_block", *keys).agg(*aggs)
+        touching = df.join(F.broadcast(border), _same(["_block", *keys], "_b_"), "left_semi")
+        return touching.groupBy("_block", *keys).agg(*aggs)
 
     def _with_border(self, df: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
-        renamed = parts.select(
-            F.col("_block").alias("_bb"),
-            *[F.col(k).alias(f"_b_{k}") for k in keys],
-            *[c for c in parts.columns if c != "_block" and c not in keys],
-        )
-        on = reduce(
-            lambda a, b: a & b,
-            [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys],
-            F.col("_block") == F.col("_bb"),
-        )
-        return df.join(F.broadcast(renamed), on, "left").drop("_bb", *[f"_b_{k}" for k in keys])
+        names = ["_block", *keys]
+        renamed = parts.withColumnsRenamed({k: f"_b_{k}" for k in names})
+        joined = df.join(F.broadcast(renamed), _same(names, "_b_"), "left")
+        return joined.drop(*[f"_b_{k}" for k in names])
 
     def running_sums(self, df: DataFrame, keys: list[str], sums: dict[str, Column], source: DataFrame | None = None) -> DataFrame:
         """Add running sums from the first row of the key up to the current row.
 
-        Rows of a key must be neighbours in the order; ``keys`` may be empty. The
-        border sums are read from ``source``: the plain ``rows`` where they hold the
-        summed columns, which spares a second pass over what ``df`` added.
+        Rows of a key must be neighbours in the order. The border sums are read from
+        ``source``: the plain ``rows`` where they hold the summed columns, which spares
+        a second pass over what ``df`` added.
         """
         parts = self._border_parts(
-            df if source is None else source, keys, [F.sum(value).alias(f"_p_{name}") for name, value in sums.items()]
-        )
-        before = (
-            Window.partitionBy(*(keys or [F.lit(0)]))
-            .orderBy("_block")
-            .rowsBetween(Window.unboundedPreceding, -1)
+            df if source is None else source, keys,
+            [F.sum(value).alias(f"_p_{name}") for name, value in sums.items()],
         )
+        before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
         carried = parts.select(
             "_block", *keys, *[F.sum(f"_p_{n}").over(before).alias(f"_c_{n}") for n in sums]
         )
@@ -168,7 +219,8 @@ class Ordered:
     def group_values(self, df: DataFrame, keys: list[str], columns: dict[str, tuple[Callable, str]], source: DataFrame | None = None) -> DataFrame:
         """Add whole-key aggregates; each is (combining function, column): min, max or sum."""
         parts = self._border_parts(
-            df if source is None else source, keys, [fn(F.col(c)).alias(f"_p_{n}") for n, (fn, c) in columns.items()]
+            df if source is None else source, keys,
+            [fn(F.col(c)).alias(f"_p_{n}") for n, (fn, c) in columns.items()],
         )
         over_key = Window.partitionBy(*keys)
         whole = parts.select(
@@ -191,27 +243,6 @@ class Ordered:
             ],
         )
 
-    def ntile(self, n: int) -> Column:
-        """NTILE over the whole set, by arithmetic on the position."""
-        small, extra = divmod(self.total, n)
-        pos = F.col("_pos")
-        wide = extra * (small + 1)
-        return (
-            F.when(pos < wide, F.floor(pos / (small + 1)) + 1)
-            .otherwise(F.floor((pos - wide) / max(small, 1)) + extra + 1)
-            .cast("bigint")
-        )
-
-    @staticmethod
-    def step(columns: list[str]) -> Callable[[WindowSpec], Column]:
-        """For ``near``: 1 where the columns differ from the row before, else 0.
-
-        The running sum of it over no key is DENSE_RANK over the whole set.
-        """
-        value = F.struct(*columns)
-        return lambda w: F.when(F.lag(value).over(w).eqNullSafe(value), 0).otherwise(1)
-
 
-def strip(df: DataFrame) -> DataFrame:
-    """Drop the position columns."""
-    return df.drop("_pos", "_block")
+def nulls_last(*names: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in names]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.clinical import days_of_supply, stock_status
 from ..functions.dates import as_of_column, day_diff
 from ..functions.nulls import mean, safe_div, sum_when
-from ..operators.ordered import Ordered, strip
+from ..operators.ordered import HOT_ROWS, Blocks, by_key, nulls_last
+from ..session import written
 
 # What adds to the stock and what takes from it.
 INCOMING = ["receipt", "return"]
@@ -42,28 +43,34 @@ def daily_inventory(movements: DataFrame) -> DataFrame:
     )
 
 
-def inventory_position(movements: DataFrame) -> DataFrame:
-    """Daily rows with running stock, 30-row usage and the 3-row moving cost.
+ROW_ORDER = ["movement_date", "facility_id", "product_name", "product_category"]
 
-    A facility's product has at most one row per day and name, so its windows are
-    small. The moving cost runs over all facilities of a product: it uses ordered
-    blocks, which also write the daily rows once.
-    """
-    order = ["product_id", "movement_date", "facility_id", "product_name", "product_category"]
-    ordered = Ordered(daily_inventory(movements), [F.col(c).asc_nulls_last() for c in order])
 
-    def moving_cost(w):
+def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None) -> DataFrame:
+    """The mean cost of a product over three rows, across its facilities."""
+    base = daily.columns
+
+    def over(w):
         frame = w.rowsBetween(-2, 0)
         return safe_div(F.sum("unit_cost").over(frame), F.count("unit_cost").over(frame))
 
-    rows = strip(ordered.near(ordered.rows, ["product_id"], {"moving_avg_cost": moving_cost}, before=2))
+    def ordinary(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy("product_id").orderBy(*nulls_last(*ROW_ORDER))
+        return rows.select(*base, over(w).alias("moving_avg_cost"))
+
+    def blocked(rows: DataFrame) -> DataFrame:
+        blocks = Blocks(rows, nulls_last("product_id", *ROW_ORDER), block_rows)
+        return blocks.near(blocks.rows, ["product_id"], {"moving_avg_cost": over}, before=2)
+
+    return by_key(daily, ["product_id"], ordinary, blocked, hot_rows)
+
+
+def stock_windows(daily: DataFrame) -> DataFrame:
+    """Running stock and 30-row usage: a facility's product has one row per day and name."""
     stock = Window.partitionBy("facility_id", "product_id")
-    by_date = stock.orderBy(F.col("movement_date").asc_nulls_last())
-    by_row = stock.orderBy(
-        F.col("movement_date").asc_nulls_last(), F.col("product_name").asc_nulls_last(), F.col("product_category").asc_nulls_last()
-    )
-    month = by_row.rowsBetween(-29, 0)
-    return rows.select(
+    by_date = stock.orderBy(*nulls_last("movement_date"))
+    month = stock.orderBy(*nulls_last("movement_date", "product_name", "product_category")).rowsBetween(-29, 0)
+    return daily.select(
         "*",
         F.sum("net_change").over(by_date.rangeBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("current_stock"),
         F.sum("issue_cost").over(month).cast(MONEY).alias("monthly_usage_cost"),
@@ -72,6 +79,12 @@ def inventory_position(movements: DataFrame) -> DataFrame:
     )
 
 
+def inventory_position(movements: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Daily rows, written once, with the windows over facility and product."""
+    daily = written(daily_inventory(movements), "daily-inventory")
+    return stock_windows(moving_cost(daily, hot_rows))
+
+
 def inventory_analytics(movements: DataFrame, as_of) -> DataFrame:
     stock, usage = F.col("current_stock"), F.col("monthly_usage_quantity")
     return inventory_position(movements).select(

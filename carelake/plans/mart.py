@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clinical import report_age_band
 from ..functions.dates import add_days, as_of_column, day, hour_diff, month_start, year_diff
 from ..functions.nulls import exact_mean
 from ..operators.merge import merge_upsert
-from ..operators.ordered import Ordered, strip
+from ..operators.ordered import HOT_ROWS, Blocks, by_key, nulls_last
 from ..schemas import DAILY_METRICS, DIM_PATIENT, FACT_ENCOUNTERS, conform
 
 READMISSION_DAYS = 30
@@ -20,11 +20,20 @@ def surrogate_key(*parts) -> Column:
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 
-def next_in_group(df: DataFrame, key: str, order: list[str], columns: dict[str, str], block_rows: int | None = None) -> DataFrame:
+def next_in_group(df: DataFrame, key: str, order: list[str], columns: dict[str, str], hot_rows: int = HOT_ROWS, block_rows: int | None = None) -> DataFrame:
     """The following row's values within a key, over groups of any size."""
-    ordered = Ordered(df, [F.col(c).asc_nulls_last() for c in [key, *order]], block_rows)
-    leads = {name: (lambda w, c=c: F.lead(c).over(w)) for name, c in columns.items()}
-    return strip(ordered.near(ordered.rows, [key], leads, before=0, after=1))
+    base = df.columns
+
+    def ordinary(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(key).orderBy(*nulls_last(*order))
+        return rows.select(*base, *[F.lead(c).over(w).alias(n) for n, c in columns.items()])
+
+    def blocked(rows: DataFrame) -> DataFrame:
+        blocks = Blocks(rows, nulls_last(key, *order), block_rows)
+        leads = {n: (lambda w, c=c: F.lead(c).over(w)) for n, c in columns.items()}
+        return blocks.near(blocks.rows, [key], leads, before=0, after=1)
+
+    return by_key(df, [key], ordinary, blocked, hot_rows)
 
 
 def within_days(next_admit, discharge, days: int = READMISSION_DAYS) -> Column:
@@ -126,7 +135,7 @@ def daily_facility_metrics(clean: DataFrame, as_of) -> DataFrame:
     return conform(source.withColumn("created_at", as_of_column(as_of)), DAILY_METRICS)
 
 
-def readmission_rates(facts: DataFrame, start, end, block_rows: int | None = None) -> DataFrame:
+def readmission_rates(facts: DataFrame, start, end, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per facility: discharges in the range, readmissions within 30 days, rate in percent.
 
     The range filter comes before the look at the next admission, so an admission
@@ -136,7 +145,7 @@ def readmission_rates(facts: DataFrame, start, end, block_rows: int | None = Non
     discharges = facts.filter(F.col("discharge_date").between(first, last)).select(
         "facility_id", "patient_id", "encounter_id", "admit_date", "discharge_date"
     )
-    led = next_in_group(discharges, "patient_id", ["admit_date", "encounter_id"], {"_next": "admit_date"}, block_rows)
+    led = next_in_group(discharges, "patient_id", ["admit_date", "encounter_id"], {"_next": "admit_date"}, hot_rows)
     again = F.when(within_days("_next", "discharge_date"), 1).otherwise(0)
     counts = led.groupBy("facility_id").agg(
         F.count("*").alias("total_discharges"), F.sum(again).alias("readmissions")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.clinical import appointment_outcome, patient_age_group, recency_status
 from ..functions.dates import as_of_column, day, day_diff, month_start, year_diff
 from ..functions.nulls import count_when, mean, safe_div, sum_when
-from ..operators.ordered import Ordered, strip
+from ..operators.ordered import HOT_ROWS, Blocks, Placed, by_key, nulls_last
 
 MONEY = "decimal(38,2)"
 
@@ -111,104 +111,108 @@ def patient_risk(encounters: DataFrame, diagnoses: DataFrame, clean: DataFrame)
 
 def patient_acuity(encounters: DataFrame, diagnoses: DataFrame, clean: DataFrame) -> DataFrame:
     """Risk with its quintile over all patients, highest first; an unknown score ranks first."""
-    ordered = Ordered(
+    placed = Placed(
         patient_risk(encounters, diagnoses, clean),
         [F.col("acuity_score").desc_nulls_first(), F.col("patient_id").asc()],
     )
-    return strip(ordered.rows.withColumn("risk_quintile", ordered.ntile(5)))
+    return placed.rows.withColumn("risk_quintile", placed.ntile(5)).drop("_pos")
 
 
 TIMELINE = [
     "event_id", "patient_id", "event_time", "event_type", "event_category", "amount", "provider_id", "department_id",
 ]
+TIME_ORDER = ["event_time", "event_id"]
 
 
-def patient_journey(clean: DataFrame, block_rows: int | None = None) -> DataFrame:
-    """Each patient's events with neighbours, running values, step number and outcome.
+def _neighbours(w: WindowSpec) -> dict[str, Column]:
+    """Columns from the rows around an event."""
+    three = w.rowsBetween(-2, 0)
+    spent = F.sum("amount").over(three).cast("double")
+    return {
+        "next_event_time": F.lead("event_time").over(w),
+        "next_event_type": F.lead("event_type").over(w),
+        "prev_event_time": F.lag("event_time").over(w),
+        "moving_avg_spend": safe_div(spent, F.count("amount").over(three)),
+    }
+
+
+def _timeline_plain(rows: DataFrame) -> DataFrame:
+    w = Window.partitionBy("patient_id").orderBy(*nulls_last(*TIME_ORDER))
+    month = Window.partitionBy("patient_id", "_month").orderBy(*nulls_last(*TIME_ORDER))
+    by_time = Window.partitionBy("patient_id").orderBy(*nulls_last("event_time"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.select(
+        *TIMELINE,
+        *[c.alias(n) for n, c in _neighbours(w).items()],
+        F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cumulative_spend"),
+        F.row_number().over(month).cast("bigint").alias("event_number_in_month"),
+        F.first("event_time").over(whole).alias("first_interaction"),
+        F.last("event_time").over(whole).alias("last_interaction"),
+        F.dense_rank().over(by_time).cast("bigint").alias("_step"),
+    )
 
-    One range exchange by (patient, time, event) serves the windows of a patient and
-    the step number over the whole set; see ``operators.ordered``.
-    """
-    order = [F.col(c).asc_nulls_last() for c in ("patient_id", "event_time", "event_id")]
-    ordered = Ordered(
-        clean.select(
-            *TIMELINE,
-            month_start("event_time").alias("_month"),
-            F.col("event_time").isNull().cast("int").alias("_untimed"),
-        ),
-        order,
+
+def _timeline_blocked(rows: DataFrame, block_rows: int | None) -> DataFrame:
+    blocks = Blocks(
+        rows.withColumn("_untimed", F.col("event_time").isNull().cast("int")),
+        nulls_last("patient_id", *TIME_ORDER),
         block_rows,
     )
-    base = ordered.rows
-    amount = F.col("amount")
+    base, patient = blocks.rows, ["patient_id"]
+    # 1 where a patient's clock moves on; its running sum is the rank within the patient.
+    moved = {"_moved": lambda w: F.when(F.lag(F.struct("event_time")).over(w).eqNullSafe(F.struct("event_time")), 0).otherwise(1)}
+    around = {n: (lambda w, n=n: _neighbours(w)[n]) for n in ("next_event_time", "next_event_type", "prev_event_time", "moving_avg_spend")}
+    out = blocks.near(base, patient, around | moved, before=2, after=1)
+    out = blocks.running_sums(out, patient, {"cumulative_spend": F.col("amount")}, base)
+    out = blocks.running_sums(out, [*patient, "_month"], {"event_number_in_month": F.lit(1)}, base)
+    out = blocks.running_sums(out, patient, {"_step": F.col("_moved")})
+    values = {"first_interaction": (F.min, "event_time"), "_last": (F.max, "event_time"), "_any": (F.max, "_untimed")}
+    out = blocks.group_values(out, patient, values, base)
+    # An event without a time is the patient's last one.
+    return out.withColumn("last_interaction", F.when(F.col("_any") == 0, F.col("_last")))
 
-    def moving_avg(w):
-        frame = w.rowsBetween(-2, 0)
-        return safe_div(F.sum(amount).over(frame).cast("double"), F.count(amount).over(frame))
 
-    rows = ordered.near(
-        base,
-        ["patient_id"],
-        {
-            "next_event_time": lambda w: F.lead("event_time").over(w),
-            "next_event_type": lambda w: F.lead("event_type").over(w),
-            "prev_event_time": lambda w: F.lag("event_time").over(w),
-            "moving_avg_spend": moving_avg,
-            "_step": ordered.step(["patient_id", "event_time"]),
-        },
-        before=2,
-        after=1,
-    )
-    rows = ordered.running_sums(rows, ["patient_id"], {"cumulative_spend": amount}, base)
-    rows = ordered.running_sums(rows, ["patient_id", "_month"], {"event_number_in_month": F.lit(1)}, base)
-    rows = ordered.group_values(
-        rows,
-        ["patient_id"],
+def patient_timeline(clean: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None) -> DataFrame:
+    """Each patient's events with neighbours, running values and outcome.
+
+    ``_step`` numbers the distinct times of a patient.
+    """
+    rows = clean.select(*TIMELINE, month_start("event_time").alias("_month"))
+    out = by_key(rows, ["patient_id"], _timeline_plain, lambda hot: _timeline_blocked(hot, block_rows), hot_rows)
+    return out.withColumns(
         {
-            "first_interaction": (F.min, "event_time"),
-            "_last_timed": (F.max, "event_time"),
-            "_any_untimed": (F.max, "_untimed"),
-        },
-        base,
-    )
-    rows = ordered.running_sums(rows, [], {"journey_step_id": F.col("_step")})
-    # An event without a time is the patient's last one.
-    last = F.when(F.col("_any_untimed") == 0, F.col("_last_timed"))
-    return strip(
-        rows.withColumns(
-            {
-                "cumulative_spend": F.col("cumulative_spend").cast(MONEY),
-                "last_interaction": last,
-                "days_since_last_event": day_diff("prev_event_time", "event_time"),
-                "appointment_outcome": appointment_outcome("event_type", "next_event_type"),
-            }
-        ).drop("_step", "_month", "_untimed", "_last_timed", "_any_untimed")
+            "cumulative_spend": F.col("cumulative_spend").cast(MONEY),
+            "days_since_last_event": day_diff("prev_event_time", "event_time"),
+            "appointment_outcome": appointment_outcome("event_type", "next_event_type"),
+        }
     )
 
 
+def patient_journey(clean: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None) -> DataFrame:
+    """The timeline with the step number over the whole set.
+
+    DENSE_RANK by (patient, time) is the number of steps of all earlier patients plus
+    the rank within the patient. The first part is a prefix sum over one row per
+    patient, so events are never sorted as a whole; the join back keeps the
+    partitioning of the windows. Events without a patient come last.
+    """
+    steps = clean.groupBy("patient_id").agg(F.countDistinct(F.struct("event_time")).alias("_steps"))
+    placed = Placed(steps.filter(F.col("patient_id").isNotNull()), nulls_last("patient_id"), {"_steps": F.col("_steps")})
+    offsets = placed.prefix_sums().select("patient_id", "_steps_before")
+    rows = patient_timeline(clean, hot_rows, block_rows).join(offsets, "patient_id", "left")
+    before = F.coalesce("_steps_before", F.lit(placed.totals["_steps"]))
+    return rows.withColumn("journey_step_id", before + F.col("_step")).drop("_steps_before", "_step")
+
+
 def patient_journey_plain(clean: DataFrame) -> DataFrame:
-    """The same with ordinary windows: the yardstick for tests and the benchmark."""
-    order = [F.col(c).asc_nulls_last() for c in ("event_time", "event_id")]
-    w = Window.partitionBy("patient_id").orderBy(*order)
-    month = Window.partitionBy("patient_id", month_start("event_time")).orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    three = w.rowsBetween(-2, 0)
-    steps = Window.orderBy(F.col("patient_id").asc_nulls_last(), F.col("event_time").asc_nulls_last())
-    rows = clean.select(
-        *TIMELINE,
-        F.lead("event_time").over(w).alias("next_event_time"),
-        F.lead("event_type").over(w).alias("next_event_type"),
-        F.lag("event_time").over(w).alias("prev_event_time"),
-        safe_div(F.sum("amount").over(three).cast("double"), F.count("amount").over(three)).alias("moving_avg_spend"),
-        F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("cumulative_spend"),
-        F.row_number().over(month).cast("bigint").alias("event_number_in_month"),
-        F.first("event_time").over(whole).alias("first_interaction"),
-        F.last("event_time").over(whole).alias("last_interaction"),
-        F.dense_rank().over(steps).cast("bigint").alias("journey_step_id"),
-    )
+    """The same with a window over the whole set in one task: a yardstick for tests and bench."""
+    rows = _timeline_plain(clean.select(*TIMELINE, month_start("event_time").alias("_month"))).drop("_step")
+    steps = Window.orderBy(*nulls_last("patient_id", "event_time"))
     return rows.withColumns(
         {
+            "cumulative_spend": F.col("cumulative_spend").cast(MONEY),
             "days_since_last_event": day_diff("prev_event_time", "event_time"),
             "appointment_outcome": appointment_outcome("event_type", "next_event_type"),
+            "journey_step_id": F.dense_rank().over(steps).cast("bigint"),
         }
     )

@@ -14,7 +14,10 @@ PRODUCT_COLUMNS = """scrape_date timestamp_ntz, product_id string, product_sku s
     current_price double, original_price double, discount_percentage double, discount_badge string,
     rating string, reviews string, url string, image_url string"""
 DAILY_UPDATED = ["current_price", "original_price", "discount_percentage", "discount_badge", "image_url"]
-DAILY_KEYS = ["product_name", day("scrape_date")]
+
+
+def daily_keys() -> list:
+    return ["product_name", day("scrape_date")]
 
 
 def product_snapshot(pages: DataFrame, spec: SiteSpec, scraped_at, page_order: str = "page_id", key: str = "product_name") -> DataFrame:
@@ -32,10 +35,10 @@ def product_snapshot(pages: DataFrame, spec: SiteSpec, scraped_at, page_order: s
 
 def latest_per_day(scrapes: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     """The last scrape of each product and day; all old snapshots may be in the input."""
-    return latest_per_key(scrapes, DAILY_KEYS, "scrape_date", tiebreak or ["url"])
+    return latest_per_key(scrapes, daily_keys(), "scrape_date", tiebreak or ["url"])
 
 
 def merge_daily(target: DataFrame, scrapes: DataFrame, updated: list[str] | None = None, tiebreak: list[str] | None = None) -> DataFrame:
     """Upsert by product and day: prices are updated, new product days inserted whole."""
     source = latest_per_day(scrapes, tiebreak)
-    return merge_upsert(target, source, DAILY_KEYS, updated or [c for c in DAILY_UPDATED if c in target.columns])
+    return merge_upsert(target, source, daily_keys(), updated or [c for c in DAILY_UPDATED if c in target.columns])

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..fixtures import Inputs, oracle
+from ..session import ship_package
 
 Build = Callable[[Inputs], DataFrame]
 _QUERIES: dict[str, Build] = {}
@@ -31,9 +32,15 @@ def _load() -> None:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     _load()
-    return {
-        name: (lambda spark, sf_dir, fn=fn: fn(Inputs(spark, sf_dir))) for name, fn in _QUERIES.items()
-    }
+
+    def bind(fn: Build) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return fn(Inputs(spark, sf_dir))
+
+        return run
+
+    return {name: bind(fn) for name, fn in _QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

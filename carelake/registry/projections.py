@@ -17,6 +17,7 @@ from ..operators.spatial import join_radius as radius_pairs
 from ..operators.variant import source_slice, variant_project, with_ingest_meta
 from ..plans.clean import label_events
 from ..plans.inventory import daily_inventory
+from ..plans.mart import next_in_group
 from ..plans.revenue import daily_revenue, weekly_revenue
 from . import query
 
@@ -136,13 +137,8 @@ def prj_discharge_cat(t):
 
 @query("SELECT event_id, appointment_outcome FROM ox_journey")
 def prj_appt_outcome(t):
-    from ..operators.ordered import Ordered
-
     events = t("fx_clean_events").select("event_id", "patient_id", "event_time", "event_type")
-    ordered = Ordered(events, [F.col(c).asc_nulls_last() for c in ("patient_id", "event_time", "event_id")])
-    rows = ordered.near(
-        ordered.rows, ["patient_id"], {"next_type": lambda w: F.lead("event_type").over(w)}, before=0, after=1
-    )
+    rows = next_in_group(events, "patient_id", ["event_time", "event_id"], {"next_type": "event_type"})
     return rows.select("event_id", appointment_outcome("event_type", "next_type").alias("appointment_outcome"))
 
 

@@ -1,20 +1,19 @@
 """Window functions.
 
 Groups that are sums already (days of a facility) use plain windows; events of a
-patient, which may be a third of the table, go through ordered blocks.
+patient, which may be a third of the table, are counted first and cut into blocks
+where they are too many.
 """
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import day_diff, month_start
 from ..functions.nulls import mean, safe_div
 from ..operators.dedup import latest_per_key
-from ..operators.ordered import Ordered
 from ..plans.clinical import attach, encounter_metrics, median_by
-from ..plans.inventory import inventory_position
+from ..plans.inventory import daily_inventory, inventory_position, stock_windows
 from ..plans.mart import next_in_group
-from ..plans.patients import patient_risk
+from ..plans.patients import patient_acuity, patient_journey, patient_timeline
 from ..plans.revenue import daily_revenue, monthly_revenue
 from ..session import written
 from . import query
@@ -94,7 +93,7 @@ _STOCK_KEYS = ["movement_date", "facility_id", "product_id"]
 
 @query("SELECT movement_date, facility_id, product_id, current_stock FROM ox_position")
 def win_running_stock(t):
-    return inventory_position(t("fx_stock_movements")).select(*_STOCK_KEYS, "current_stock")
+    return stock_windows(daily_inventory(t("fx_stock_movements"))).select(*_STOCK_KEYS, "current_stock")
 
 
 @query("""
@@ -108,81 +107,41 @@ def win_moving_cost(t):
 
 @query("SELECT movement_date, facility_id, product_id, last_movement_date FROM ox_position")
 def win_last_date(t):
-    return inventory_position(t("fx_stock_movements")).select(*_STOCK_KEYS, "last_movement_date")
+    return stock_windows(daily_inventory(t("fx_stock_movements"))).select(*_STOCK_KEYS, "last_movement_date")
 
 
-def _timeline(t, *columns):
-    events = t("fx_clean_events").select("event_id", "patient_id", "event_time", *columns)
-    return Ordered(events, [F.col(c).asc_nulls_last() for c in ("patient_id", "event_time", "event_id")])
-
-
-@query("""
-SELECT event_id, next_event_time, next_event_type, prev_event_time, days_since_last_event FROM ox_journey
-""")
+@query("SELECT event_id, next_event_time, next_event_type, prev_event_time, days_since_last_event FROM ox_journey")
 def win_lead_lag(t):
-    o = _timeline(t, "event_type")
-    rows = o.near(
-        o.rows,
-        ["patient_id"],
-        {
-            "next_event_time": lambda w: F.lead("event_time").over(w),
-            "next_event_type": lambda w: F.lead("event_type").over(w),
-            "prev_event_time": lambda w: F.lag("event_time").over(w),
-        },
-        before=1,
-        after=1,
-    )
-    return rows.select(
-        "event_id", "next_event_time", "next_event_type", "prev_event_time",
-        day_diff("prev_event_time", "event_time").alias("days_since_last_event"),
+    return patient_timeline(labelled(t)).select(
+        "event_id", "next_event_time", "next_event_type", "prev_event_time", "days_since_last_event"
     )
 
 
 @query("SELECT event_id, cumulative_spend, moving_avg_spend FROM ox_journey")
 def win_cumulative(t):
-    o = _timeline(t, "amount")
-
-    def moving(w):
-        frame = w.rowsBetween(-2, 0)
-        return safe_div(F.sum("amount").over(frame).cast("double"), F.count("amount").over(frame))
-
-    rows = o.near(o.rows, ["patient_id"], {"moving_avg_spend": moving}, before=2)
-    rows = o.running_sums(rows, ["patient_id"], {"cumulative_spend": F.col("amount")}, o.rows)
-    return rows.select("event_id", F.col("cumulative_spend").cast("decimal(38,2)").alias("cumulative_spend"), "moving_avg_spend")
+    return patient_timeline(labelled(t)).select("event_id", "cumulative_spend", "moving_avg_spend")
 
 
 @query("SELECT event_id, event_number_in_month FROM ox_journey")
 def win_rownum_month(t):
-    events = t("fx_clean_events").select("event_id", "patient_id", "event_time", month_start("event_time").alias("month"))
-    o = Ordered(events, [F.col(c).asc_nulls_last() for c in ("patient_id", "event_time", "event_id")])
-    rows = o.rows.repartition("_block")
-    numbered = o.running_sums(rows, ["patient_id", "month"], {"event_number_in_month": F.lit(1)}, o.rows)
-    return numbered.select("event_id", "event_number_in_month")
+    return patient_timeline(labelled(t)).select("event_id", "event_number_in_month")
 
 
 @query("SELECT event_id, first_interaction, last_interaction FROM ox_journey")
 def win_first_last(t):
-    o = _timeline(t)
-    base = o.rows.withColumn("_untimed", F.col("event_time").isNull().cast("int"))
-    columns = {"first_interaction": (F.min, "event_time"), "_last": (F.max, "event_time"), "_any": (F.max, "_untimed")}
-    rows = o.group_values(base, ["patient_id"], columns)
-    return rows.select("event_id", "first_interaction", F.when(F.col("_any") == 0, F.col("_last")).alias("last_interaction"))
+    return patient_timeline(labelled(t)).select("event_id", "first_interaction", "last_interaction")
 
 
 @query("SELECT event_id, journey_step_id FROM ox_journey")
 def win_dense_rank_global(t):
-    o = _timeline(t)
-    rows = o.near(o.rows, [], {"_step": o.step(["patient_id", "event_time"])}, before=1)
-    return o.running_sums(rows, [], {"journey_step_id": F.col("_step")}).select("event_id", "journey_step_id")
+    return patient_journey(labelled(t)).select("event_id", "journey_step_id")
 
 
 @query("""
 SELECT patient_id, NTILE(5) OVER (ORDER BY acuity_score DESC NULLS FIRST, patient_id) AS risk_quintile FROM ox_risk
 """)
 def win_ntile_global(t):
-    risk = patient_risk(t("fx_encounters"), t("fx_diagnoses"), labelled(t)).select("patient_id", "acuity_score")
-    o = Ordered(risk, [F.col("acuity_score").desc_nulls_first(), F.col("patient_id").asc()])
-    return o.rows.select("patient_id", o.ntile(5).alias("risk_quintile"))
+    return patient_acuity(t("fx_encounters"), t("fx_diagnoses"), labelled(t)).select("patient_id", "risk_quintile")
 
 
 @query("""

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_scratch: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def get_session(app: str = "carelake", master: str | None = None, **conf: str) -> SparkSession:
@@ -31,7 +34,23 @@ def get_session(app: str = "carelake", master: str | None = None, **conf: str) -
         )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Put this package on the Python path of the executors (as --py-files would)."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="carelake-py-")) / "carelake.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
 
 
 def scratch_dir(spark: SparkSession) -> str:
