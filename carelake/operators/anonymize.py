@@ -8,10 +8,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # What counts as white space, the two labels with their patterns,
-# token prefixes and the token length. The look-behind is a Unicode word boundary.
+# token prefixes and the token length. The look-behind is a Unicode word boundary; it
+# stands behind the letters so that it is only tried where they match.
 SPACE = r"[\s\x1c-\x1f]"
-IP_PATTERN = rf"(?iU)(?<![\p{{L}}\p{{N}}_])IP{SPACE}*NO{SPACE}*:{SPACE}*([^\n\r]+)"
-NAME_PATTERN = rf"(?iU)(?<![\p{{L}}\p{{N}}_])NAME{SPACE}*:{SPACE}*([^\n\r]+)"
+IP_PATTERN = rf"(?iU)IP(?<![\p{{L}}\p{{N}}_]IP){SPACE}*NO{SPACE}*:{SPACE}*([^\n\r]+)"
+NAME_PATTERN = rf"(?iU)NAME(?<![\p{{L}}\p{{N}}_]NAME){SPACE}*:{SPACE}*([^\n\r]+)"
 TOKEN_LENGTH = 10
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -84,32 +85,48 @@ class _Tree(HTMLParser):
 _COMPOUND = re.compile(r'\[([\w-]+)="([^"]*)"\]|\.([\w-]+)|([\w-]+)')
 
 
-def _fits(node: _Node, compound: str) -> bool:
-    for attr, value, cls, tag in _COMPOUND.findall(compound):
-        if attr and node.attrs.get(attr) != value:
-            return False
-        if cls and cls not in node.attrs.get("class", "").split():
-            return False
-        if tag and node.tag != tag:
-            return False
+@lru_cache(maxsize=None)
+def _steps(selector: str) -> tuple:
+    """'a.b [c="d"] e' as (tag, classes, attributes) per step."""
+    steps = []
+    for compound in re.findall(r'(?:\[[^\]]*\]|[^\s\[])+', selector):
+        parts = _COMPOUND.findall(compound)
+        steps.append(
+            (
+                next((tag for *_, tag in parts if tag), None),
+                tuple(cls for _, _, cls, _ in parts if cls),
+                tuple((attr, value) for attr, value, _, _ in parts if attr),
+            )
+        )
+    return tuple(steps)
+
+
+def _fits(node: _Node, step: tuple) -> bool:
+    tag, classes, attrs = step
+    if tag is not None and node.tag != tag:
+        return False
+    if any(node.attrs.get(a) != v for a, v in attrs):
+        return False
+    if classes:
+        held = node.attrs.get("class", "").split()
+        return all(c in held for c in classes)
     return True
 
 
-def _select(node: _Node, selector: str) -> list[_Node]:
-    """Descendants fitting 'a.b [c="d"] e' in document order."""
-    found = [node]
-    for compound in re.findall(r'(?:\[[^\]]*\]|[^\s\[])+', selector):
-        seen: dict[int, _Node] = {}
-        for base in found:
-            for inner in base.walk():
-                if _fits(inner, compound):
-                    seen.setdefault(id(inner), inner)
-        found = list(seen.values())
-    return found
+def _matches(node: _Node, steps: tuple):
+    """Descendants that fit the steps, in document order."""
+    if len(steps) == 1:
+        return (inner for inner in node.walk() if _fits(inner, steps[0]))
+    seen: dict[int, _Node] = {}
+    for base in node.walk():
+        if _fits(base, steps[0]):
+            for inner in _matches(base, steps[1:]):
+                seen.setdefault(id(inner), inner)
+    return iter(seen.values())
 
 
 def _one(node: _Node, selector: str | None) -> _Node | None:
-    return next(iter(_select(node, selector)), None) if selector else None
+    return next(_matches(node, _steps(selector)), None) if selector else None
 
 
 def _stripped(node: _Node | None) -> str | None:
@@ -251,7 +268,7 @@ def _read_card(card: _Node, spec: SiteSpec, html: str) -> dict[str, str | None]:
 def page_cards(html: str, spec: SiteSpec) -> list[dict[str, str | None]]:
     """The cards of one page in page order; bad cards are left out."""
     rows = []
-    for position, card in enumerate(_select(_Tree(html).root, spec.card)):
+    for position, card in enumerate(_matches(_Tree(html).root, _steps(spec.card))):
         try:
             rows.append({"position": position, **_read_card(card, spec, html)})
         except _BadCard:

@@ -36,13 +36,15 @@ def _same(keys: list[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The rows of ordinary keys, and the rows of keys with more than ``hot_rows`` rows.
 
     The second is None, and the first the input itself, when no key is that large.
+    ``counted`` may be a cheaper table with at least as many rows per key, such as the
+    rows that ``df`` sums up.
     """
     hot = written(
-        df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+        (df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
         .select(*[F.col(k).alias(f"_h_{k}") for k in keys]),
         "hot-keys",
     )
@@ -58,9 +60,10 @@ def by_key(
     ordinary: Callable[[DataFrame], DataFrame],
     blocked: Callable[[DataFrame], DataFrame],
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``ordinary`` windows for most keys, ``blocked`` ones for the rows of hot keys."""
-    cold, hot = split_hot(df, keys, hot_rows)
+    cold, hot = split_hot(df, keys, hot_rows, counted)
     out = ordinary(cold)
     return out if hot is None else out.unionByName(blocked(hot).select(*out.columns))
 

@@ -9,7 +9,6 @@ from ..functions.clinical import days_of_supply, stock_status
 from ..functions.dates import as_of_column, day_diff
 from ..functions.nulls import mean, safe_div, sum_when
 from ..operators.ordered import HOT_ROWS, Blocks, by_key, nulls_last
-from ..session import written
 
 # What adds to the stock and what takes from it.
 INCOMING = ["receipt", "return"]
@@ -24,7 +23,7 @@ def signed_quantity():
 
 def daily_inventory(movements: DataFrame) -> DataFrame:
     kind = F.col("movement_type")
-    zero = F.lit(0).cast(MONEY)
+    zero = F.lit(0).cast("decimal(18,2)")
 
     def total(movement: str, value: str):
         return sum_when(kind == movement, F.col(value), zero).cast(MONEY)
@@ -46,7 +45,7 @@ def daily_inventory(movements: DataFrame) -> DataFrame:
 ROW_ORDER = ["movement_date", "facility_id", "product_name", "product_category"]
 
 
-def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None) -> DataFrame:
+def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, counted: DataFrame | None = None) -> DataFrame:
     """The mean cost of a product over three rows, across its facilities."""
     base = daily.columns
 
@@ -62,7 +61,7 @@ def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | No
         blocks = Blocks(rows, nulls_last("product_id", *ROW_ORDER), block_rows)
         return blocks.near(blocks.rows, ["product_id"], {"moving_avg_cost": over}, before=2)
 
-    return by_key(daily, ["product_id"], ordinary, blocked, hot_rows)
+    return by_key(daily, ["product_id"], ordinary, blocked, hot_rows, counted)
 
 
 def stock_windows(daily: DataFrame) -> DataFrame:
@@ -80,9 +79,13 @@ def stock_windows(daily: DataFrame) -> DataFrame:
 
 
 def inventory_position(movements: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Daily rows, written once, with the windows over facility and product."""
-    daily = written(daily_inventory(movements), "daily-inventory")
-    return stock_windows(moving_cost(daily, hot_rows))
+    """Daily rows with the windows over facility and product.
+
+    Whether a product is hot is judged by its movements, which are never fewer than
+    its daily rows: one narrow pass, and the daily rows are built once.
+    """
+    daily = daily_inventory(movements)
+    return stock_windows(moving_cost(daily, hot_rows, counted=movements))
 
 
 def inventory_analytics(movements: DataFrame, as_of) -> DataFrame:
