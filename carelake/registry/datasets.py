@@ -15,6 +15,7 @@ from ..plans.products import product_snapshot
 from ..plans.quality import hourly_load_monitor, latency_alert, quality_checks
 from ..plans.revenue import daily_kpis, revenue_analytics
 from ..plans.sheet import clean_sheet
+from ..session import spread
 from . import query
 from .aggregates import labelled
 from .documents import shop_page
@@ -240,7 +241,7 @@ SELECT TIMESTAMP '2024-01-02 08:00:00' AS scrape_date, product_name, current_pri
 """)
 def ds_product_snapshot(t):
     pages = t("fx_products").select(F.col("scrape_no").alias("page_id"), shop_page("shop_cart").alias("html"))
-    return product_snapshot(pages, SITES["shop_cart"], "2024-01-02 08:00:00").select(
+    return product_snapshot(spread(pages), SITES["shop_cart"], "2024-01-02 08:00:00").select(
         "scrape_date", "product_name", "current_price", "original_price", "discount_percentage", "url", "product_id", "product_sku"
     )
 

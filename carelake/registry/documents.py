@@ -6,6 +6,7 @@ from ..operators.anonymize import anonymize
 from ..operators.cards import SITES, extract_cards
 from ..operators.documents import markdown_pick, page_links, parse_by_json_schema, text_from_parse_json
 from ..operators.variant import flatten_values
+from ..session import spread
 from . import query
 
 SALT = "test-salt"
@@ -114,7 +115,7 @@ def doc_anonymize(t):
     headed = F.concat(
         F.lit("name :  "), "source", F.lit(" \nIp  no: "), (F.col("doc_id") % 97).cast("string"), F.lit("\n"), "text"
     )
-    return t("documents").select("doc_id", anonymize(headed, SALT).alias("text"))
+    return spread(t("documents").select("doc_id", "source", "text")).select("doc_id", anonymize(headed, SALT).alias("text"))
 
 
 def shop_page(shop: str):
@@ -161,7 +162,7 @@ def doc_product_cards(t):
     out = None
     for number, shop in SHOPS.items():
         pages = products.filter(F.col("scrape_no") == number).select("scrape_no", shop_page(shop).alias("html"))
-        cards = extract_cards(pages, SITES[shop], keep=["scrape_no"]).select(
+        cards = extract_cards(spread(pages), SITES[shop], keep=["scrape_no"]).select(
             "scrape_no", "product_name", "url", "current_price", "original_price", "discount_percentage", "image_url", "product_id"
         )
         out = cards if out is None else out.unionByName(cards)

@@ -67,6 +67,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_scratch[app]
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan ahead of costly work per row, over at least as many tasks as there are cores.
+
+    Only a few small files are ever redistributed; a large table has more splits than
+    cores and stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The Hadoop file system of ``path`` and the path object."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
