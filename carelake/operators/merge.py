@@ -1,13 +1,14 @@
-"""MERGE on plain tables: full outer join on the keys, then choose per column."""
+"""MERGE on plain tables: the target joined to a staged delivery, plus the new rows."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 Key = str | Column
 
 
@@ -44,61 +45,60 @@ def merge_upsert(
 ) -> DataFrame:
     """The target after a merge, in the target's columns.
 
-    * a NULL key matches nothing: such target rows stay, such source rows are
-      inserted. They skip the join, or all of them would meet in one task;
+    * the source is staged (written once), then the target is left-joined to it, and
+      source rows whose key the target lacks are added. A small delivery is therefore
+      broadcast by its measured size and the large target is not shuffled; with a large
+      delivery both joins are sort-merge joins whose hot target keys AQE can split
+      (a full outer join allows neither);
+    * a NULL key matches nothing: such target rows stay, such source rows are inserted;
     * ``when(t, s)`` guards the update, ``t("col")`` and ``s("col")`` naming the sides;
     * ``on_update`` / ``on_insert`` set columns that are not in the source;
     * source keys must be unique (``check_unique`` verifies it with a job).
     """
-    if check_unique:
-        require_unique(source, keys)
     insert_cols = insert_cols if insert_cols is not None else [c for c in target.columns if c in source.columns]
     on_update, on_insert = on_update or {}, on_insert or {}
     types = {f.name: f.dataType for f in target.schema.fields}
-    needed = [c for c in source.columns if c in set(update_cols) | set(insert_cols)]
     guards: set[str] = set()
 
-    def t(c: str) -> Column:
-        return F.col(f"_t_{c}")
-
     def s(c: str) -> Column:
         guards.add(c)
         return F.col(f"_s_{c}")
 
-    guard = when(t, s) if when else None
-    source_cols = list(dict.fromkeys(needed + sorted(guards)))
-    key_names = [f"_k{i}" for i in range(len(keys))]
-    key_cols = [_key(k).alias(n) for k, n in zip(keys, key_names)]
-    any_null = reduce(lambda a, b: a | b, [_key(k).isNull() for k in keys])
-
-    left = target.filter(~any_null).select(
-        *key_cols, F.lit(True).alias("_t"), *[F.col(c).alias(f"_t_{c}") for c in target.columns]
-    )
-    right = source.filter(~any_null).select(
-        *key_cols, F.lit(True).alias("_s"), *[F.col(c).alias(f"_s_{c}") for c in source_cols]
+    guard = when(F.col, s) if when else F.lit(True)
+    wanted = set(update_cols) | set(insert_cols) | guards
+    names = [f"_k{i}" for i in range(len(keys))]
+    staged = written(
+        source.select(
+            *[_key(k).alias(n) for k, n in zip(keys, names)],
+            F.lit(True).alias("_s"),
+            *[F.col(c).alias(f"_s_{c}") for c in source.columns if c in wanted],
+        ),
+        "merge-source",
     )
-    joined = left.join(right, key_names, "full_outer")
+    if check_unique:
+        require_unique(staged, names)
 
-    def inserted(c: str, side: Callable[[str], Column]) -> Column:
-        if c in on_insert:
-            return on_insert[c].cast(types[c])
-        if c in insert_cols and c in source.columns:
-            return side(c).cast(types[c])
-        return F.lit(None).cast(types[c])
-
-    update = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    if guard is not None:
-        update = update & F.coalesce(guard, F.lit(False))
-    out = []
-    for c in target.columns:
-        new = F.when(F.col("_t").isNull(), inserted(c, lambda x: F.col(f"_s_{x}")))
+    keyed = target.select(*[_key(k).alias(n) for k, n in zip(keys, names)], *target.columns)
+    update = F.col("_s").isNotNull() & F.coalesce(guard, F.lit(False))
+
+    def updated(c: str) -> Column:
         if c in on_update:
-            new = new.when(update, on_update[c].cast(types[c]))
+            new = on_update[c]
         elif c in update_cols:
-            new = new.when(update, F.col(f"_s_{c}").cast(types[c]))
-        out.append(new.otherwise(F.col(f"_t_{c}")).alias(c))
-    merged = joined.select(*out)
-    null_source = source.filter(any_null).select(
-        *[inserted(c, F.col).alias(c) for c in target.columns]
-    )
-    return merged.unionByName(target.filter(any_null)).unionByName(null_source)
+            new = F.col(f"_s_{c}")
+        else:
+            return F.col(c)
+        return F.when(update, new.cast(types[c])).otherwise(F.col(c)).alias(c)
+
+    def inserted(c: str) -> Column:
+        if c in on_insert:
+            new = on_insert[c]
+        else:
+            new = F.col(f"_s_{c}") if f"_s_{c}" in staged.columns and c in insert_cols else F.lit(None)
+        return new.cast(types[c]).alias(c)
+
+    kept = keyed.join(staged, names, "left").select(*[updated(c) for c in target.columns])
+    # Keys present on both sides: at most the keys of the delivery.
+    matched = keyed.select(*names).join(staged.select(*names), names, "left_semi").distinct()
+    added = staged.join(matched, names, "left_anti").select(*[inserted(c) for c in target.columns])
+    return kept.unionByName(added)

@@ -7,12 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 VALIDITY = ["effective_date", "end_date", "is_current"]
 
 
 def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: list[str], effective_date) -> DataFrame:
     """Close the current version of each changed key and open the new one.
 
+    The dimension is left-joined to the staged changes, so few changes are broadcast.
+
     ``changes`` holds one row per key with ``key`` and the tracked columns. History
     rows pass untouched; columns the changes lack are NULL in a new version of a new
     key and carried over otherwise. Rows without a key never match.
@@ -20,63 +24,39 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: list[str],
     day = effective_date if isinstance(effective_date, Column) else F.lit(effective_date).cast("date")
     types = {f.name: f.dataType for f in dim.schema.fields}
     payload = [c for c in dim.columns if c not in VALIDITY]
-
-    matchable = F.col("is_current") & F.col(key).isNotNull()
-    history = dim.filter(~F.coalesce(matchable, F.lit(False)))
-    current = dim.filter(matchable).select(
-        F.col(key).alias("_k"), F.lit(True).alias("_t"), *[F.col(c).alias(f"_t_{c}") for c in dim.columns]
-    )
-    new = changes.filter(F.col(key).isNotNull()).select(
-        F.col(key).alias("_k"),
-        F.lit(True).alias("_s"),
-        *[F.col(c).alias(f"_s_{c}") for c in changes.columns if c in payload],
+    staged = written(
+        changes.select(
+            F.col(key).alias("_k"),
+            F.lit(True).alias("_s"),
+            *[F.col(c).alias(f"_s_{c}") for c in changes.columns if c in payload],
+        ),
+        "scd2-changes",
     )
-    joined = current.join(new, "_k", "full_outer")
-
-    differs = reduce(
-        lambda a, b: a | b, [~F.col(f"_t_{c}").eqNullSafe(F.col(f"_s_{c}")) for c in tracked]
-    )
-    both = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    changed = both & differs
-    opened = F.col("_t").isNull() | changed
+    # Only the current version of a key can match; history joins to nothing.
+    keyed = dim.withColumn("_k", F.when(F.col("is_current"), F.col(key)))
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in tracked])
+    changed = F.col("_s").isNotNull() & differs
+
+    def opened(c: str, carried: Column) -> Column:
+        value = {"effective_date": day, "end_date": F.lit(None), "is_current": F.lit(True)}.get(
+            c, F.col(f"_s_{c}") if f"_s_{c}" in staged.columns else carried
+        )
+        return value.cast(types[c]).alias(c)
 
-    def version(closing: bool) -> Column:
-        fields = []
-        for c in dim.columns:
-            if c in payload:
-                if not closing and c in changes.columns:
-                    value = F.col(f"_s_{c}").cast(types[c])
-                else:
-                    value = F.col(f"_t_{c}")
-            elif closing:
-                value = {
-                    "effective_date": F.col("_t_effective_date"),
-                    "end_date": F.when(changed, day).otherwise(F.col("_t_end_date")),
-                    "is_current": ~changed,
-                }[c]
-            else:
-                value = {
-                    "effective_date": day,
-                    "end_date": F.lit(None),
-                    "is_current": F.lit(True),
-                }[c]
-            fields.append(value.cast(types[c]).alias(c))
-        return F.struct(*fields)
+    def closed(c: str) -> Column:
+        if c == "end_date":
+            return F.when(changed, day).otherwise(F.col(c)).cast(types[c]).alias(c)
+        if c == "is_current":
+            return (F.col(c) & ~changed).alias(c)
+        return F.col(c)
 
-    rows = F.array_compact(
+    versions = F.array_compact(
         F.array(
-            F.when(F.col("_t").isNotNull(), version(True)),
-            F.when(opened, version(False)),
+            F.struct(*[closed(c) for c in dim.columns]),
+            F.when(changed, F.struct(*[opened(c, F.col(c)) for c in dim.columns])),
         )
     )
-    versions = joined.select(F.inline(rows))
-    keyless = changes.filter(F.col(key).isNull()).select(
-        *[
-            (F.col(c) if c in changes.columns else F.lit(None)).cast(types[c]).alias(c)
-            for c in payload
-        ],
-        day.cast(types["effective_date"]).alias("effective_date"),
-        F.lit(None).cast(types["end_date"]).alias("end_date"),
-        F.lit(True).alias("is_current"),
-    )
-    return history.unionByName(versions.select(*dim.columns)).unionByName(keyless.select(*dim.columns))
+    kept = keyed.join(staged, "_k", "left").select(F.inline(versions))
+    present = keyed.select("_k").join(staged.select("_k"), "_k", "left_semi").distinct()
+    new = staged.join(present, "_k", "left_anti").select(*[opened(c, F.lit(None)) for c in dim.columns])
+    return kept.select(*dim.columns).unionByName(new)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,27 +10,39 @@ from ..functions.nulls import count_when
 from ..operators.dedup import duplicate_keys
 
 
-def _check(name: str, df: DataFrame, value, passed) -> DataFrame:
-    return df.agg(value.alias("_value")).select(
+def _check(name: str, value, passed):
+    return F.struct(
         F.lit(name).alias("check_name"),
-        F.col("_value").cast("string").alias("check_value"),
-        F.when(passed(F.col("_value")), "PASS").otherwise("FAIL").alias("check_status"),
+        value.cast("string").alias("check_value"),
+        F.when(passed, "PASS").otherwise("FAIL").alias("check_status"),
     )
 
 
 def quality_checks(clean: DataFrame, as_of) -> DataFrame:
-    """One row per check: rows of the day, duplicate ids, missing ids, freshness (24 h)."""
+    """One row per check: rows of the day, duplicate ids, missing ids, freshness (24 h).
+
+    Three checks share one pass; the duplicates need a count per id.
+    """
     now = as_of_column(as_of)
-    newest = F.date_format(F.max("event_time"), "yyyy-MM-dd HH:mm:ss")
-    limit = F.date_format(now - F.make_dt_interval(hours=F.lit(24)), "yyyy-MM-dd HH:mm:ss")
-    n = F.count("*")
-    checks = [
-        _check("row_count", clean.filter(F.col("event_date") == now.cast("date")), n, lambda v: v > 0),
-        _check("duplicate_check", duplicate_keys(clean, ["event_id"]), n, lambda v: v == 0),
-        _check("null_check", clean.filter(F.col("event_id").isNull()), n, lambda v: v == 0),
-        _check("freshness_check", clean, newest, lambda v: v >= limit),
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    fresh_from = now - F.make_dt_interval(hours=F.lit(24))
+    day, missing, newest = F.col("_day"), F.col("_missing"), F.col("_newest")
+    single = clean.agg(
+        F.count_if(F.col("event_date") == now.cast("date")).alias("_day"),
+        F.count_if(F.col("event_id").isNull()).alias("_missing"),
+        F.max("event_time").alias("_newest"),
+    ).select(
+        F.inline(
+            F.array(
+                _check("row_count", day, day > 0),
+                _check("null_check", missing, missing == 0),
+                _check("freshness_check", F.date_format(newest, "yyyy-MM-dd HH:mm:ss"), newest >= fresh_from),
+            )
+        )
+    )
+    repeated = duplicate_keys(clean.select("event_id"), ["event_id"]).agg(F.count("*").alias("_n")).select(
+        F.inline(F.array(_check("duplicate_check", F.col("_n"), F.col("_n") == 0)))
+    )
+    return single.unionByName(repeated)
 
 
 def load_span(df: DataFrame, keys: list, time_col: str = "_loaded_at") -> DataFrame:

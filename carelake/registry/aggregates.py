@@ -116,27 +116,19 @@ def agg_min_max_span(t):
 
 
 @query("""
-SELECT city, '[' || string_agg(o, ',' ORDER BY o) || ']' AS items,
-       '{' || string_agg(CASE WHEN rn = 1 THEN '"' || first_name || '":"' || n || '"' END, ',' ORDER BY first_name) || '}' AS per_segment
-FROM (SELECT city, first_name, COUNT(*) OVER (PARTITION BY city, first_name) AS n,
-             ROW_NUMBER() OVER (PARTITION BY city, first_name ORDER BY patient_id) AS rn,
-             '{"patient_id":"' || patient_id || '"' || COALESCE(',"last_name":"' || last_name || '"', '') || '}' AS o FROM fx_patients)
-GROUP BY 1
+SELECT city, '[' || string_agg('{' || COALESCE('"segment":"' || first_name || '",', '') || '"gender":"' || gender || '","n":' || n || '}', ',' ORDER BY first_name, gender) || ']' AS items,
+       '{' || string_agg('"' || first_name || ' ' || gender || '":' || n, ',' ORDER BY first_name, gender) || '}' AS per_group
+FROM (SELECT city, first_name, gender, COUNT(*) AS n FROM fx_patients GROUP BY 1, 2, 3) GROUP BY 1
 """)
 def agg_array_object(t):
-    # A city's list holds one short object per patient by definition of the operator;
-    # the counts per segment are summed up before they become a map.
-    patients = t("fx_patients")
-    objects = patients.groupBy("city").agg(
-        F.array_sort(F.collect_list(F.to_json(F.struct("patient_id", "last_name")))).alias("_items")
+    # Rows are summed up first: a list holds segments x genders, however many patients.
+    counts = t("fx_patients").groupBy("city", F.col("first_name").alias("segment"), "gender").agg(F.count("*").alias("n"))
+    entry = F.struct(F.concat("segment", F.lit(" "), "gender").alias("key"), "n")
+    lists = counts.groupBy("city").agg(
+        F.array_sort(F.collect_list(F.struct("segment", "gender", "n"))).alias("_rows"),
+        F.array_sort(F.collect_list(entry)).alias("_entries"),
     )
-    counts = patients.groupBy("city", "first_name").agg(F.count("*").cast("string").alias("n"))
-    maps = counts.groupBy(F.col("city").alias("_c")).agg(
-        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("first_name", "n"))))).alias("per_segment")
-    )
-    joined = objects.join(maps, F.col("city").eqNullSafe(F.col("_c")))
-    items = F.concat(F.lit("["), F.array_join("_items", ","), F.lit("]"))
-    return joined.select("city", items.alias("items"), "per_segment")
+    return lists.select("city", F.to_json("_rows").alias("items"), F.to_json(F.map_from_entries("_entries")).alias("per_group"))
 
 
 @query("""

@@ -15,7 +15,8 @@ def write_raw_landing(df: DataFrame, root: str, run_id: str, line: str = "line")
     """Write the JSON text column ``line`` under facility/module/table/namespace/day/run.
 
     Key values are sanitised. Writing a run again replaces that run's files only.
-    Tasks write the rows they hold, so a hot table is written by many tasks.
+    REBALANCE gathers the rows of a folder into few files and lets AQE split a hot
+    folder over several tasks.
     """
     namespace = F.translate(F.col("namespace"), "\\", "_")
     named = df.select(
@@ -28,7 +29,7 @@ def write_raw_landing(df: DataFrame, root: str, run_id: str, line: str = "line")
         F.col(line).alias("value"),
     )
     (
-        named.write.mode("overwrite")
+        named.hint("rebalance", *KEYS).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
         .partitionBy(*KEYS)
