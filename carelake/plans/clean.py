@@ -14,7 +14,6 @@ from ..schemas import CLEAN_EVENTS, conform
 
 # Payload paths of an event, default currency, version stamp.
 EVENT_PATHS = {
-    "id": ("id", "string"),
     "event_uuid": ("uuid", "string"),
     "event_time": ("event_time", "timestamp_ntz"),
     "event_type": ("type", "string"),
@@ -48,19 +47,21 @@ def clean_source(raw: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The newest version of each event in RAW, typed and labelled.
 
     An event without id and uuid is dropped. ``keys`` are the identity; the default
-    is facility and id.
+    is facility and id. Only the identity is read before the shuffle; the payload
+    travels once and its other paths are read from the rows that remain.
     """
-    typed = variant_project(
-        raw, EVENT_PATHS, keep=["facility_id", "ingested_at", "row_hash", "payload"]
+    identity = F.coalesce(*[F.try_variant_get("payload", f"$.{p}", "string") for p in ("id", "uuid")])
+    kept = [k for k in (keys or MERGE_KEYS) if k not in MERGE_KEYS]
+    named = raw.select("facility_id", "ingested_at", "row_hash", "payload", *kept, identity.alias("event_id"))
+    newest = latest_per_key(
+        named.filter(F.col("event_id").isNotNull()), keys or MERGE_KEYS, "ingested_at", ["row_hash"]
     )
-    named = (
-        typed.filter(F.col("id").isNotNull() | F.col("event_uuid").isNotNull())
-        .withColumn("event_id", F.coalesce("id", "event_uuid"))
+    typed = variant_project(newest, EVENT_PATHS, keep=["facility_id", "event_id", "ingested_at", "payload"])
+    return (
+        label_events(typed)
         .withColumn("event_date", F.col("event_time").cast("date"))
-        .drop("id")
+        .withColumn("_etl_version", F.lit(ETL_VERSION))
     )
-    newest = latest_per_key(named, keys or MERGE_KEYS, "ingested_at", ["row_hash"])
-    return label_events(newest).withColumn("_etl_version", F.lit(ETL_VERSION)).drop("row_hash")
 
 
 def merge_clean(target: DataFrame, source: DataFrame, processed_at: Column) -> DataFrame:

@@ -52,8 +52,13 @@ def median_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
 
 
 def attach(df: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
-    """Add per-key values; a NULL key has values too. Spark broadcasts by measured size."""
-    other = per_key.withColumnRenamed(key, "_key")
+    """Add per-key values; a NULL key has values too.
+
+    The values are written first, so their real size is known to the planner: below the
+    broadcast threshold ``df`` is not shuffled at all, above it the join is a sort-merge
+    join whose hot keys AQE splits.
+    """
+    other = written(per_key.withColumnRenamed(key, "_key"), "per-key")
     return df.join(other, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 

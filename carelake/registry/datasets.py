@@ -15,7 +15,7 @@ from ..plans.products import product_snapshot
 from ..plans.quality import hourly_load_monitor, latency_alert, quality_checks
 from ..plans.revenue import daily_kpis, revenue_analytics
 from ..plans.sheet import clean_sheet
-from ..session import spread
+from ..session import spread, written
 from . import query
 from .aggregates import labelled
 from .documents import shop_page
@@ -33,9 +33,11 @@ def _raw(t):
         F.struct("id", "type", F.col("amount").cast("string").alias("amount"),
                  F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"))
     )
-    return t("fx_raw_events").select(
+    raw = t("fx_raw_events").select(
         "facility_id", F.lit("events").alias("source_table"), "ingested_at", F.parse_json(line).alias("payload"), F.md5(line).alias("row_hash")
     )
+    # RAW is a stored table; the queries start from it.
+    return written(raw, "raw")
 
 
 @query(f"""
@@ -45,7 +47,8 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY facility_id, id ORDER BY ingeste
 """)
 def ds_clean_events(t):
     raw, now = _raw(t), as_of_column(AS_OF)
-    stored = merge_clean(empty_clean(t.spark), clean_source(raw.filter(F.col("ingested_at") < as_of_column("2024-01-16 00:00:00"))), now)
+    first = clean_source(raw.filter(F.col("ingested_at") < as_of_column("2024-01-16 00:00:00")))
+    stored = written(merge_clean(empty_clean(t.spark), first, now), "clean")
     # A late first delivery changes nothing where a newer version is stored.
     return merge_clean(stored, clean_source(raw), now).select(
         "event_id", "facility_id", "event_time", "event_date", "event_type", "amount", "currency", "ingested_at",
