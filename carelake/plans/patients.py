@@ -163,9 +163,8 @@ def _timeline_blocked(rows: DataFrame, block_rows: int | None) -> DataFrame:
     moved = {"_moved": lambda w: F.when(F.lag(F.struct("event_time")).over(w).eqNullSafe(F.struct("event_time")), 0).otherwise(1)}
     around = {n: (lambda w, n=n: _neighbours(w)[n]) for n in ("next_event_time", "next_event_type", "prev_event_time", "moving_avg_spend")}
     out = blocks.near(base, patient, around | moved, before=2, after=1)
-    out = blocks.running_sums(out, patient, {"cumulative_spend": F.col("amount")}, base)
+    out = blocks.running_sums(out, patient, {"cumulative_spend": F.col("amount"), "_step": F.col("_moved")})
     out = blocks.running_sums(out, [*patient, "_month"], {"event_number_in_month": F.lit(1)}, base)
-    out = blocks.running_sums(out, patient, {"_step": F.col("_moved")})
     values = {"first_interaction": (F.min, "event_time"), "_last": (F.max, "event_time"), "_any": (F.max, "_untimed")}
     out = blocks.group_values(out, patient, values, base)
     # An event without a time is the patient's last one.

@@ -27,7 +27,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from . import aggregates, datasets, documents, merges, projections, scalars, sources, windows  # noqa: F401
+    from . import aggregates, datasets, documents, files, merges, projections, scalars, sources, streams, windows  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -83,6 +83,14 @@ def hadoop_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A new path in the scratch folder, removed when the application ends."""
+    path = f"{scratch_dir(spark)}/carelake-{label}-{uuid.uuid4().hex}"
+    fs, p = hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and return a reader of it.
 
@@ -92,8 +100,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     application ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/carelake-{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.parquet(path)
-    fs, p = hadoop_path(spark, path)
-    fs.deleteOnExit(p)
     return spark.read.schema(df.schema).parquet(path)

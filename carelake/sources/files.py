@@ -143,10 +143,10 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
 
 
 def read_text_docs(spark: SparkSession, root: str, suffix: str = ".txt") -> DataFrame:
-    """One row per whole text file: file name and text."""
+    """One row per whole text file below a folder: path, file name and text."""
     return (
-        spark.read.option("pathGlobFilter", f"*{suffix}").text(root, wholetext=True)
-        .select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("text"))
+        spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(root, wholetext=True)
+        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("filename"), F.col("value").alias("text"))
     )
 
 

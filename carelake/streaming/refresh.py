@@ -81,5 +81,16 @@ def set_watermark(spark: SparkSession, root: str, facility: str, at) -> None:
     _watermarks(spark, root).ensure().merge(row, ["facility_id"], ["updated_since"])
 
 
-def newest_ingested(df: DataFrame, column: str = "ingested_at"):
-    return df.agg(F.max(column)).head()[0]
+def advance_watermarks(df: DataFrame, root: str, column: str = "ingested_at") -> None:
+    """Advance the mark of every facility to its newest loaded row, in one pass; never back."""
+    newest = df.filter(F.col("facility_id").isNotNull()).groupBy("facility_id").agg(
+        F.max(column).cast("timestamp_ntz").alias("updated_since")
+    )
+    _watermarks(df.sparkSession, root).ensure().merge(
+        newest, ["facility_id"], ["updated_since"],
+        when=lambda t, s: t("updated_since") < s("updated_since"),
+    )
+
+
+def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
+    return _watermarks(spark, root).read()

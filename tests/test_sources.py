@@ -130,7 +130,7 @@ def test_file_lists_and_texts(spark, tmp_path):
     listed = files.list_files(spark, str(tmp_path), ".doc")
     assert sorted(r.path.rsplit("/", 1)[1] for r in listed.collect()) == ["a.doc", "b.doc"]
     assert "content" not in listed.columns
-    assert rows(files.read_text_docs(spark, str(tmp_path), ".txt")) == [("c.txt", "line 1\nline 2\n")]
+    assert rows(files.read_text_docs(spark, str(tmp_path), ".txt"), "filename", "text") == [("c.txt", "line 1\nline 2\n")]
 
 
 def test_failed_logs(spark, tmp_path):

@@ -92,8 +92,13 @@ def test_watermark(spark, tmp_path):
     refresh.set_watermark(spark, root, "f1", "2024-01-03 00:00:00")
     assert refresh.get_watermark(spark, root, "f1") == "2024-01-03 00:00:00"
     assert refresh.get_watermark(spark, root, "f2") == "2024-01-01 00:00:00"
-    newest = refresh.newest_ingested(spark.createDataFrame([(dt.datetime(2024, 1, 1),)], "ingested_at timestamp_ntz"))
-    assert newest == dt.datetime(2024, 1, 1)
+    loads = spark.createDataFrame(
+        [("f1", dt.datetime(2024, 1, 1)), ("f2", dt.datetime(2024, 2, 1)), ("f2", dt.datetime(2024, 1, 9)), ("f3", dt.datetime(2024, 1, 5)), (None, dt.datetime(2024, 1, 5))],
+        "facility_id string, ingested_at timestamp_ntz",
+    )
+    refresh.advance_watermarks(loads, root)
+    marks = dict(refresh.read_watermarks(spark, root).collect())
+    assert marks == {"f1": dt.datetime(2024, 1, 3), "f2": dt.datetime(2024, 2, 1), "f3": dt.datetime(2024, 1, 5)}
 
 
 def test_hourly_stream_equals_batch(spark, tmp_path, inputs):
