@@ -92,11 +92,15 @@ FLAT_PATHS = {
 FLAT_KEYS = ["facility_id", "source_table", "event_id"]
 
 
-def flat_source(raw: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The newest version of each record in landed lines that hold arrays or single records."""
+def flat_source(raw: DataFrame, keys: list[str] | None = None, strict_numbers: bool = False) -> DataFrame:
+    """The newest version of each record in landed lines that hold arrays or single records.
+
+    ``strict_numbers`` rounds amounts half-up to whole numbers, as the source's type did.
+    """
+    paths = FLAT_PATHS | {"amount": ("amount", "decimal(38,0)")} if strict_numbers else FLAT_PATHS
     records = flatten_lines(raw.select("facility_id", "source_table", "ingested_at", "payload"))
     typed = variant_project(
-        records, FLAT_PATHS, payload="value", keep=["facility_id", "source_table", "ingested_at", F.col("value").alias("payload")]
+        records, paths, payload="value", keep=["facility_id", "source_table", "ingested_at", F.col("value").alias("payload")]
     ).filter(blank_to_null("event_id").isNotNull())
     hashed = typed.withColumn("_hash", F.md5(F.to_json("payload")))
     return latest_per_key(hashed, keys or FLAT_KEYS, "ingested_at", ["_hash"]).drop("_hash")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Table columns and types. TIME columns are HH:mm:ss text, free-form
@@ -43,23 +45,41 @@ DAILY_METRICS = """metric_date date, facility_id string, total_encounters bigint
     medication_errors bigint, patient_satisfaction_score decimal(3,1), created_at timestamp_ntz,
     updated_at timestamp_ntz"""
 
-# Layout on write: folders, then the order of rows inside a file.
-LAYOUT = {
-    "raw_events": (["facility_id", "execution_date"], ["module_source"]),
-    "clean_events": (["facility_id", "event_date"], ["event_type"]),
-    "fact_encounters": (["facility_id", "admit_date"], ["encounter_type"]),
-    "dim_provider": (["is_current"], ["specialty"]),
+# Per table: its columns, the folders it is written in, the order of rows inside a file.
+TABLES = {
+    "raw_events": (RAW_EVENTS, ["facility_id", "execution_date"], ["module_source"]),
+    "clean_events": (CLEAN_EVENTS, ["facility_id", "event_date"], ["event_type"]),
+    "fact_encounters": (FACT_ENCOUNTERS, ["facility_id", "admit_date"], ["encounter_type"]),
+    "dim_patient": (DIM_PATIENT, [], ["patient_id"]),
+    "dim_provider": (DIM_PROVIDER_SCD2, ["is_current"], ["specialty"]),
+    "daily_metrics": (DAILY_METRICS, [], ["metric_date", "facility_id"]),
 }
 
+# The fields of an extracted clinical note, in order; the lists among them.
+NOTE_FIELDS = """document_type document_date baby_name sex gestational_age age_or_day_of_life birth_weight
+    current_weight delivery_details apgar_scores diagnoses clinical_summary vitals examination_findings
+    investigations treatments feeding_and_support discharge_plan clinician_name raw_notes""".split()
+NOTE_LISTS = ["diagnoses", "investigations", "treatments"]
+
+
+def note_schema() -> dict:
+    """The JSON Schema of a note: every field required, nothing else allowed."""
+    text = {"type": ["string", "null"]}
+    texts = {"type": "array", "items": {"type": "string"}}
+    return {
+        "type": "object",
+        "additionalProperties": False,
+        "properties": {f: texts if f in NOTE_LISTS else text for f in NOTE_FIELDS},
+        "required": NOTE_FIELDS,
+    }
+
 
 def struct(ddl: str) -> T.StructType:
     return T.StructType.fromDDL(ddl)
 
 
-def conform(df, ddl: str):
+def conform(df: DataFrame, ddl: str) -> DataFrame:
     """The table's columns in order and type; columns ``df`` lacks are NULL."""
-    from pyspark.sql import functions as F
-
     return df.select(
         *[
             (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import as_of_column
 from ..functions.text import safe_token
 from ..operators.variant import row_hash
+from ..schemas import RAW_EVENTS, conform
 
 KEYS = ["facility_id", "module", "table", "namespace", "dt", "run_id"]
 
@@ -85,6 +87,23 @@ def read_raw_landing(spark: SparkSession, path: str, on_error: str = "continue",
     return raw_columns(_lines(spark, path), on_error, ingested_at)
 
 
+def raw_events(rows: DataFrame, loaded_by: str, loaded_at) -> DataFrame:
+    """Landed rows as rows of the RAW table, with who loaded them when.
+
+    The row's own id is a hash of file and record, so a repeated load gives the same.
+    """
+    return conform(
+        rows.withColumns(
+            {
+                "event_id": F.sha2(F.concat_ws("|", "_file_name", "row_hash"), 256),
+                "_loaded_by": F.lit(loaded_by),
+                "_loaded_at": as_of_column(loaded_at),
+            }
+        ),
+        RAW_EVENTS,
+    )
+
+
 def register_external(spark: SparkSession, path: str, name: str, archive: bool = False) -> DataFrame:
     """A temp view over the landing folder, or over its ``archive/`` folder."""
     df = read_raw_landing(spark, f"{path.rstrip('/')}/archive" if archive else path)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.merge import merge_upsert
+from ..schemas import TABLES, struct
 from ..session import hadoop_path
 
 
@@ -69,4 +70,10 @@ class Table:
         return self.replace(merge_upsert(self.read(), source, keys, update_cols, **options))
 
 
+def open_table(spark: SparkSession, lake: str, name: str) -> Table:
+    """A table of the lake by name, in its columns and layout."""
+    ddl, folders, order = TABLES[name]
+    return Table(spark, f"{lake.rstrip('/')}/{name}", struct(ddl), folders, order)
+
+
 Reader = Callable[[str], DataFrame]

@@ -15,6 +15,7 @@ from carelake.operators.documents import (
     struct_from_json_schema, text_from_parse_json,
 )
 from carelake.plans.products import product_snapshot
+from carelake.schemas import note_schema
 from conftest import rows
 
 SALT = "pepper"
@@ -183,6 +184,14 @@ def test_schema_parse(spark):
     assert not broken.valid and broken.missing_required == ["a", "b"]
 
 
+def test_note_schema(spark):
+    note = struct_from_json_schema(note_schema())
+    assert len(note) == 20 and sum(f.dataType.simpleString() == "array<string>" for f in note) == 3
+    whole = {f.name: ["x"] if f.dataType.simpleString() != "string" else None for f in note}
+    df = spark.createDataFrame([(json.dumps(whole),)], "extracted_json string")
+    assert parse_by_json_schema(df, note_schema()).head().valid
+
+
 def test_extract_documents(spark):
     def extractor(name, content):
         if b"bad" in content:

@@ -104,6 +104,8 @@ def test_clean_keeps_newest_and_ignores_late(spark):
 def test_flat_lines(spark):
     lines = raw(spark, ("f", 1, '[{"id":"1","amount":"2"},{"id":" "},{"no":1}]'), ("f", 2, '{"id":"1","amount":"3"}'), ("f", 1, '{"token":"t"}'))
     assert [(r.event_id, str(r.amount)) for r in flat_source(lines).collect()] == [("1", "3.00")]
+    half = raw(spark, ("f", 1, '{"id":"1","amount":"2.5"}'), ("f", 1, '{"id":"2","amount":3.5}'))
+    assert sorted(str(r.amount) for r in flat_source(half, strict_numbers=True).collect()) == ["3", "4"]
 
 
 def test_daily_merge(spark):

@@ -11,11 +11,13 @@ from pyspark.sql import types as T
 from carelake.operators.dictionary import dictionary_models, group_tables, primary_key, schema_from_dictionary, spark_type
 from carelake.operators.sheet import normalize_headers
 from carelake.operators.variant import flatten_api_pages, source_slice
+from carelake.plans.clean import clean_source, empty_clean, merge_clean
 from carelake.plans.market import project
+from carelake.schemas import RAW_EVENTS, struct
 from carelake.session import scratch_dir
 from carelake.sources import files, jdbc, landing
 from carelake.sources.sync import TablesFailed, load_all_tables
-from carelake.sources.tables import Table
+from carelake.sources.tables import Table, open_table
 from conftest import rows
 
 
@@ -245,5 +247,19 @@ def test_table_versions(spark, tmp_path):
     assert table.versions() == [4, 5] and table.read().count() == 5
 
 
+def test_lake_tables_keep_layout_and_variants(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    landed(spark, root)
+    rows_now = landing.raw_events(landing.read_raw_landing(spark, root), "tests", "2024-01-05 00:00:00")
+    table = open_table(spark, str(tmp_path / "lake"), "raw_events").replace(rows_now)
+    back = table.read()
+    assert back.schema == struct(RAW_EVENTS) and back.count() == 2
+    assert {r[0] for r in back.select(F.try_variant_get("payload", "$.id", "string")).collect()} == {"1", "2"}
+    assert back.select("event_id").distinct().count() == 2
+    assert list((tmp_path / "lake" / "raw_events" / "v=00000001").glob("facility_id=f1/execution_date=2024-01-02/*.parquet"))
+    clean = merge_clean(empty_clean(spark), clean_source(back.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))), F.lit("2024-01-06").cast("timestamp_ntz"))
+    assert open_table(spark, str(tmp_path / "lake"), "clean_events").replace(clean).read().count() == 2
+
+
 def test_headers(spark):
     assert normalize_headers(spark.range(1).toDF(" Total Bill ")).columns == ["total_bill"]
