@@ -72,9 +72,10 @@ class Placed:
     """Rows in a global order, written once, with their 0-based position ``_pos``."""
 
     def __init__(self, df: DataFrame, order: list[Column], sums: dict[str, Column] | None = None):
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # No number of partitions is given: AQE may join neighbouring small ones, which
+        # keeps the order.
         placed = written(
-            df.repartitionByRange(n, *order)
+            df.repartitionByRange(*order)
             .sortWithinPartitions(*order)
             .withColumn("_mid", F.monotonically_increasing_id()),
             "ordered",

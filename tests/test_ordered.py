@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from carelake.operators.ordered import Blocks, Placed, nulls_last, split_hot
+from carelake.operators.ordered import Blocks, Placed, split_hot
 from carelake.plans.inventory import daily_inventory, moving_cost
 from carelake.plans.mart import next_in_group, readmission_rates
 from carelake.plans.patients import patient_acuity, patient_journey, patient_journey_plain
