@@ -154,54 +154,67 @@ def readmission_rates(facts: DataFrame, start, end, hot_rows: int = HOT_ROWS) ->
     return counts.withColumn("readmission_rate", rate.cast("decimal(5,2)"))
 
 
-def top_procedures(facts: DataFrame, month, n: int = 10) -> DataFrame:
-    """The ``n`` most frequent procedures among a month's admissions; ties by code."""
+def procedure_counts(facts: DataFrame, month, *by: str) -> DataFrame:
+    """Encounters and charges per procedure among a month's admissions."""
     return (
         facts.filter(month_start("admit_date") == F.lit(str(month)).cast("date"))
-        .groupBy("primary_procedure_code")
+        .groupBy(*by, "primary_procedure_code")
         .agg(F.count("*").alias("procedure_count"), F.sum("total_charges").cast("decimal(38,2)").alias("total_charges"))
-        .orderBy(F.col("procedure_count").desc(), F.col("primary_procedure_code").asc_nulls_last())
-        .limit(n)
     )
 
 
+def _most_frequent() -> list[Column]:
+    return [F.col("procedure_count").desc(), F.col("primary_procedure_code").asc_nulls_last()]
+
+
+def top_procedures(facts: DataFrame, month, n: int = 10) -> DataFrame:
+    """The ``n`` most frequent procedures of a month; ties by code."""
+    return procedure_counts(facts, month).orderBy(*_most_frequent()).limit(n)
+
+
 def age_groups(patients: DataFrame) -> DataFrame:
     return patients.groupBy(report_age_band("age").alias("age_group")).agg(F.count("*").alias("patient_count"))
 
 
-def _objects(df: DataFrame, section: str) -> DataFrame:
-    """A report section: an array of its (few) rows as objects, in sorted order."""
-    rows = F.array_sort(F.collect_list(F.to_json(F.struct(*df.columns))))
-    return df.agg(rows.alias("items")).select(
-        F.lit(section).alias("section"), F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("body")
-    )
+def _objects(*columns: str) -> Column:
+    """Rows as a JSON array of objects in sorted order, NULL fields left out."""
+    rows = F.array_sort(F.collect_list(F.to_json(F.struct(*columns))))
+    return F.concat(F.lit("["), F.array_join(rows, ","), F.lit("]"))
 
 
 def monthly_report(metrics: DataFrame, facts: DataFrame, patients: DataFrame, month) -> DataFrame:
-    """One nested record for a month: facility metrics, top procedures, demographics.
+    """One nested record per facility for a month: daily metrics, top procedures, demographics.
 
-    Every section is summed up before it becomes a list: facilities x days, ten
-    procedures, four bands, the genders.
+    A facility's lists hold at most 31 days and ten procedures; the demographics (four
+    bands and the genders, summed up first) are those of all new patients.
     """
     first = F.lit(str(month)).cast("date")
+    days = metrics.filter(month_start("metric_date") == first).groupBy("facility_id").agg(
+        _objects(*metrics.columns).alias("_days")
+    )
+    rank = F.row_number().over(Window.partitionBy("facility_id").orderBy(*_most_frequent()))
+    columns = ["primary_procedure_code", "procedure_count", "total_charges"]
+    procedures = (
+        procedure_counts(facts, month, "facility_id").withColumn("_rank", rank).filter(F.col("_rank") <= 10)
+        .groupBy("facility_id").agg(_objects(*columns).alias("_procedures"))
+    )
     new = patients.filter(month_start("created_date") == first)
-    genders = new.filter(F.col("gender").isNotNull()).groupBy("gender").agg(F.count("*").alias("n"))
-    split = genders.agg(
-        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gender", "n"))))).alias("body")
-    ).select(F.lit("gender_split").alias("section"), "body")
-    sections = (
-        _objects(metrics.filter(month_start("metric_date") == first), "facility_metrics")
-        .unionByName(_objects(top_procedures(facts, month), "top_procedures"))
-        .unionByName(_objects(age_groups(new), "age_groups"))
-        .unionByName(split)
+    bands = age_groups(new).agg(_objects("age_group", "patient_count").alias("_bands"))
+    genders = new.filter(F.col("gender").isNotNull()).groupBy("gender").agg(F.count("*").alias("n")).agg(
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gender", "n"))))).alias("_genders")
     )
-    body = {s: F.max(F.when(F.col("section") == s, F.col("body"))) for s in ("facility_metrics", "top_procedures", "age_groups", "gender_split")}
+    # The month is the key that brings the two one-row sides to every facility.
+    people = bands.withColumn("month", first).join(genders.withColumn("month", first), "month")
+    empty = F.lit("[]")
     text = F.concat(
-        F.lit(f'{{"month":"{month}","facility_metrics":'), body["facility_metrics"],
-        F.lit(',"top_procedures":'), body["top_procedures"],
-        F.lit(',"patient_demographics":{"age_groups":'), body["age_groups"],
-        F.lit(',"gender_split":'), body["gender_split"], F.lit("}}"),
+        F.lit(f'{{"month":"{month}","facility_metrics":'), F.coalesce("_days", empty),
+        F.lit(',"top_procedures":'), F.coalesce("_procedures", empty),
+        F.lit(',"patient_demographics":{"age_groups":'), F.col("_bands"),
+        F.lit(',"gender_split":'), F.col("_genders"), F.lit("}}"),
     )
-    return sections.agg(text.alias("_text")).select(
-        F.lit(str(month)).cast("date").alias("month"), F.parse_json("_text").alias("report")
+    return (
+        days.join(procedures, "facility_id", "full_outer")
+        .withColumn("month", first)
+        .join(people, "month")
+        .select("month", "facility_id", F.parse_json(text).alias("report"))
     )

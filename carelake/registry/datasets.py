@@ -276,7 +276,7 @@ def fn_monthly_report(t):
     facts = fact_encounters(t("fx_encounters"), t("fx_diagnoses"), t("fx_procedures"), AS_OF, "batch-1")
     shifted = facts.withColumn("admit_date", F.add_months("admit_date", 12 * 25))
     report = monthly_report(daily_facility_metrics(labelled(t), AS_OF), shifted, dim_patient(t("fx_patients"), AS_OF), "2024-01-01")
-    return report.select("month", F.to_json("report").alias("report"))
+    return report.select("month", "facility_id", F.to_json("report").alias("report"))
 
 
 @query("""

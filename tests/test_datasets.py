@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelake.operators.spatial import join_radius
 from carelake.plans.clinical import clinical_metrics, median_by
 from carelake.plans.market import market_dna
-from carelake.plans.mart import fact_encounters, readmission_rates
+from carelake.plans.mart import daily_facility_metrics, fact_encounters, readmission_rates
 from carelake.plans.patients import patient_360
 from carelake.plans.quality import latency_alert, quality_checks
 from carelake.plans.revenue import daily_kpis
@@ -117,13 +117,21 @@ def test_sheet(spark):
     assert rows(clean_sheet(df)) == sorted([(9500.0, "2024-01-02", "34.0", ""), (0.0, "", "1980-02-03", ""), (0.0, "", "", "x")], key=repr)
 
 
-def test_monthly_report(spark):
-    row = queries()["fn_monthly_report"](spark, SF_DIR).head()
-    report = json.loads(row.report)
-    assert row.month == dt.date(2024, 1, 1) and report["month"] == "2024-01-01"
-    assert len(report["top_procedures"]) <= 10 and set(report["patient_demographics"]) == {"age_groups", "gender_split"}
-    assert sum(report["patient_demographics"]["gender_split"].values()) == sum(g["patient_count"] for g in report["patient_demographics"]["age_groups"])
-    assert {m["facility_id"] for m in report["facility_metrics"]} == {"F0", "F1", "F2", "F3", "F4"}
+def test_monthly_report(spark, inputs):
+    got = {r.facility_id: (r.month, json.loads(r.report)) for r in queries()["fn_monthly_report"](spark, SF_DIR).collect()}
+    assert set(got) == {"F0", "F1", "F2", "F3", "F4"}
+    metrics = {(r.facility_id, str(r.metric_date)): r for r in daily_facility_metrics(labelled(inputs), "2024-01-31 00:00:00").collect()}
+    new = inputs("fx_patients").filter("trunc(created_date, 'month') = '2024-01-01'")
+    genders = {r[0]: r[1] for r in new.groupBy("gender").count().collect()}
+    for facility, (month, report) in got.items():
+        assert month == dt.date(2024, 1, 1) and report["month"] == "2024-01-01"
+        days = {d["metric_date"]: d for d in report["facility_metrics"]}
+        assert {(facility, day) for day in days} == {k for k in metrics if k[0] == facility}
+        for day, d in days.items():
+            assert d["total_encounters"] == metrics[facility, day].total_encounters and "total_revenue" not in d
+        assert len(report["top_procedures"]) <= 10
+        assert report["patient_demographics"]["gender_split"] == genders
+        assert sum(g["patient_count"] for g in report["patient_demographics"]["age_groups"]) == new.count()
 
 
 def test_kpis_read_only_what_they_need(spark, inputs):
