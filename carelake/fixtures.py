@@ -61,7 +61,7 @@ FROM lineitem
     "fx_procedures": """
 SELECT CAST(l_orderkey AS STRING) AS encounter_id, 'PR' || CAST(l_suppkey % 20 AS STRING) AS procedure_code,
        CAST(l_shipdate AS DATE) AS procedure_date
-FROM lineitem WHERE l_linenumber <= 2
+FROM lineitem
 """,
     "fx_stock_movements": """
 SELECT CAST(l_partkey AS STRING) AS product_id, p_name AS product_name, p_type AS product_category,
@@ -82,11 +82,20 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey
 """,
     "fx_sheet": """
 SELECT CAST(o_orderkey AS STRING) AS claim_id,
-       CASE o_orderkey % 10 WHEN 0 THEN 'N/A' WHEN 1 THEN '' WHEN 2 THEN NULL
+       CASE o_orderkey % 10 WHEN 0 THEN 'N/A' WHEN 1 THEN '' WHEN 2 THEN NULL WHEN 3 THEN '45F' WHEN 4 THEN '12d'
             ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING) END AS total_bill,
-       CASE WHEN o_orderkey % 9 = 0 THEN 'unknown' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS adm_date,
-       CASE WHEN o_orderkey % 3 = 0 THEN '1980-02-03' ELSE CAST(o_orderkey % 90 AS STRING) END AS age_or_dob
-FROM orders
+       CASE o_orderkey % 9 WHEN 0 THEN 'unknown' WHEN 1 THEN m || '/' || d || '/' || y WHEN 2 THEN iso || 'T03:04:05'
+            WHEN 3 THEN replace(iso, '-', '') WHEN 4 THEN iso || ' 03:04:05.123' WHEN 5 THEN y || '-' || m || '-' || d
+            WHEN 6 THEN substr(iso, 9, 2) || '-' || substr(month_name, 1, 3) || '-' || y WHEN 7 THEN month_name || ' ' || d || ', ' || y
+            ELSE iso END AS adm_date,
+       CASE WHEN o_orderkey % 3 = 0 THEN '1980-02-03' WHEN o_orderkey % 7 = 0 THEN '45F' ELSE CAST(o_orderkey % 90 AS STRING) END AS age_or_dob,
+       CASE WHEN o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS adm_day
+FROM (SELECT *, CAST(CAST(o_orderdate AS DATE) AS STRING) AS iso, CAST(EXTRACT(YEAR FROM o_orderdate) AS STRING) AS y,
+             CAST(EXTRACT(MONTH FROM o_orderdate) AS STRING) AS m, CAST(EXTRACT(DAY FROM o_orderdate) AS STRING) AS d,
+             CASE EXTRACT(MONTH FROM o_orderdate) WHEN 1 THEN 'January' WHEN 2 THEN 'February' WHEN 3 THEN 'March' WHEN 4 THEN 'April'
+                  WHEN 5 THEN 'May' WHEN 6 THEN 'June' WHEN 7 THEN 'July' WHEN 8 THEN 'August' WHEN 9 THEN 'September'
+                  WHEN 10 THEN 'October' WHEN 11 THEN 'November' ELSE 'December' END AS month_name
+      FROM orders)
 """,
     "fx_products": """
 SELECT p_name || ' ' || CAST(p_partkey AS STRING) AS product_name,

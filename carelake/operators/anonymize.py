@@ -32,8 +32,8 @@ def hmac_sha256(col: Column, salt: str) -> Column:
     return F.sha2(F.concat(outer_pad, inner), 256)
 
 
-def token(col: Column, prefix: str, salt: str) -> Column:
-    digest = F.upper(F.substring(hmac_sha256(strip_space(col), salt), 1, TOKEN_LENGTH))
+def token(col: Column, prefix: str, salt: str, length: int = TOKEN_LENGTH) -> Column:
+    digest = F.upper(F.substring(hmac_sha256(strip_space(col), salt), 1, length))
     return F.concat(F.lit(f"{prefix}-"), digest)
 
 
@@ -42,7 +42,7 @@ def _let(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def _replace(text: Column, pattern: str, label: str, prefix: str, salt: str) -> Column:
+def _replace(text: Column, pattern: str, label: str, prefix: str, salt: str, length: int) -> Column:
     """Put label and token in place of each match: the pieces between matches and
     the captured values come from the same pattern, so they interleave."""
     pieces = F.split(text, pattern, -1)
@@ -51,17 +51,21 @@ def _replace(text: Column, pattern: str, label: str, prefix: str, salt: str) ->
         pieces,
         values,
         lambda piece, value: F.when(
-            value.isNotNull(), F.concat(piece, F.lit(f"{label}: "), token(value, prefix, salt))
+            value.isNotNull(), F.concat(piece, F.lit(f"{label}: "), token(value, prefix, salt, length))
         ).otherwise(piece),
     )
     # Texts without the label skip the work.
     return F.when(text.rlike(pattern), F.array_join(filled, "")).otherwise(text)
 
 
-def anonymize(text, salt: str) -> Column:
-    """'IP NO: v' and 'NAME: v' become tokens; equal values give equal tokens everywhere."""
+def anonymize(text, salt: str, length: int = TOKEN_LENGTH) -> Column:
+    """'IP NO: v' and 'NAME: v' become tokens; equal values give equal tokens everywhere.
+
+    A token has ``length`` hex digits of the digest. Ten tell about a million names apart;
+    take more (up to 64) for larger sets, where two names could share a token.
+    """
     col = F.col(text) if isinstance(text, str) else text
     return _let(
-        _replace(col, IP_PATTERN, "IP NO", "IP", salt),
-        lambda done: _replace(done, NAME_PATTERN, "NAME", "NM", salt),
+        _replace(col, IP_PATTERN, "IP NO", "IP", salt, length),
+        lambda done: _replace(done, NAME_PATTERN, "NAME", "NM", salt, length),
     )

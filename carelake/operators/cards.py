@@ -42,7 +42,9 @@ class _Node:
         return (item for item in self._down() if isinstance(item, _Node))
 
     def strings(self):
-        return (item for item in self._down() if isinstance(item, str))
+        """Texts in order, without those of scripts and styles."""
+        hidden = {id(s) for n in [self, *self.walk()] if n.tag in ("script", "style") for s in n.children if isinstance(s, str)}
+        return (item for item in self._down() if isinstance(item, str) and id(item) not in hidden)
 
 
 class _Tree(HTMLParser):
@@ -138,7 +140,8 @@ class SiteSpec:
     """Where the fields of a shop's cards are.
 
     Prices are lists of (selector, attribute or None for the text), first one
-    present wins. With ``on_sale`` present in the card, the sale lists apply.
+    present wins; with ``price_box`` they are looked for in the card's first such
+    element only, and an empty selector is that element itself. With ``on_sale`` present in the card, the sale lists apply.
     ``required`` attributes make a card that has the element without the attribute
     a bad card, which is skipped.
     """
@@ -150,6 +153,7 @@ class SiteSpec:
     image_required: bool = False
     current: tuple[tuple[str, str | None], ...] = ()
     original: tuple[tuple[str, str | None], ...] = ()
+    price_box: str | None = None
     on_sale: str | None = None
     sale_current: tuple[tuple[str, str | None], ...] = ()
     sale_original: tuple[tuple[str, str | None], ...] = ()
@@ -166,20 +170,22 @@ SITES = {
         name="h2.woocommerce-loop-product__title",
         url=("a", True),
         image_required=True,
-        current=((".price", None),),
-        on_sale=".price ins",
-        sale_current=((".price ins", None),),
-        sale_original=((".price del", None),),
+        price_box=".price",
+        current=(("", None),),
+        on_sale="ins",
+        sale_current=(("ins", None),),
+        sale_original=(("del", None),),
     ),
     "shop_cart": SiteSpec(
         card="ul.products li.product",
         name=".woocommerce-loop-product__title",
         url=("a", True),
         images=("img.attachment-woocommerce_thumbnail", "img"),
-        current=((".price .woocommerce-Price-amount bdi", None), (".price", None)),
-        on_sale=".price ins .woocommerce-Price-amount bdi",
-        sale_current=((".price ins .woocommerce-Price-amount bdi", None),),
-        sale_original=((".price del .woocommerce-Price-amount bdi", None),),
+        price_box=".price",
+        current=((".woocommerce-Price-amount bdi", None), ("", None)),
+        on_sale="ins .woocommerce-Price-amount bdi",
+        sale_current=(("ins .woocommerce-Price-amount bdi", None),),
+        sale_original=(("del .woocommerce-Price-amount bdi", None),),
         badge=".onsale",
         ids={
             "product_id": ("a.add_to_cart_button", "data-product_id", False),
@@ -237,9 +243,9 @@ def _attr(node: _Node | None, name: str, required: bool) -> str | None:
     return node.attrs.get(name)
 
 
-def _price(card: _Node, places) -> str | None:
+def _price(box: _Node, places) -> str | None:
     for selector, attribute in places:
-        node = _one(card, selector)
+        node = _one(box, selector) if selector else box
         if node is None:
             continue
         text = node.attrs.get(attribute) if attribute else "".join(node.strings())
@@ -248,36 +254,41 @@ def _price(card: _Node, places) -> str | None:
     return None
 
 
-def _read_card(card: _Node, spec: SiteSpec, html: str) -> dict[str, str | None]:
+def _read_card(card: _Node, spec: SiteSpec, html: str, snippet: int) -> dict[str, str | None]:
     out = dict.fromkeys(TEXT_FIELDS)
     out["product_name"] = _stripped(_one(card, spec.name))
     selector, required = spec.url
     out["url"] = _attr(_one(card, selector) if selector else card, "href", required)
     image = next((n for n in (_one(card, s) for s in spec.images) if n is not None), None)
     out["image_url"] = _attr(image, "src", spec.image_required)
-    sale = spec.on_sale is not None and _one(card, spec.on_sale) is not None
-    out["current_text"] = _price(card, spec.sale_current if sale else spec.current)
-    out["original_text"] = _price(card, spec.sale_original if sale else spec.original)
+    box = _one(card, spec.price_box) if spec.price_box else card
+    if box is not None:
+        sale = spec.on_sale is not None and _one(box, spec.on_sale) is not None
+        out["current_text"] = _price(box, spec.sale_current if sale else spec.current)
+        out["original_text"] = _price(box, spec.sale_original if sale else spec.original)
     out["discount_badge"] = _stripped(_one(card, spec.badge))
     for name, (where, attribute, must) in spec.ids.items():
         out[name] = _attr(_one(card, where) if where else card, attribute, must)
-    out["full_html_snippet"] = html[card.start : card.end][:SNIPPET_LENGTH]
+    out["full_html_snippet"] = html[card.start : card.end][:snippet]
     return out
 
 
-def page_cards(html: str, spec: SiteSpec) -> list[dict[str, str | None]]:
+def page_cards(html: str, spec: SiteSpec, snippet: int = SNIPPET_LENGTH) -> list[dict[str, str | None]]:
     """The cards of one page in page order; bad cards are left out."""
     rows = []
     for position, card in enumerate(_matches(_Tree(html).root, _steps(spec.card))):
         try:
-            rows.append({"position": position, **_read_card(card, spec, html)})
+            rows.append({"position": position, **_read_card(card, spec, html, snippet)})
         except _BadCard:
             continue
     return rows
 
 
-def extract_cards(pages: DataFrame, spec: SiteSpec, html: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """One row per product card that has a name and a price."""
+def extract_cards(pages: DataFrame, spec: SiteSpec, html: str = "html", keep: list[str] | None = None, snippet: int = SNIPPET_LENGTH) -> DataFrame:
+    """One row per product card that has a name and a price.
+
+    ``full_html_snippet`` is the first ``snippet`` characters of the card's source.
+    """
     keep = keep or []
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name in keep]
@@ -291,7 +302,7 @@ def extract_cards(pages: DataFrame, spec: SiteSpec, html: str = "html", keep: li
                 {**{k: row[k] for k in keep}, **card}
                 for row in batch.to_dict("records")
                 if row[html]
-                for card in page_cards(row[html], spec)
+                for card in page_cards(row[html], spec, snippet)
             ]
             yield pd.DataFrame(rows, columns=columns)
 

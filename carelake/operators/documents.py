@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import html
 import json
 from collections.abc import Callable, Iterator
 
@@ -35,8 +36,32 @@ def struct_from_json_schema(schema: dict) -> T.StructType:
     )
 
 
+#: JSON types as ``schema_of_variant`` names them, by the schema's word.
+_KINDS = {
+    "string": r"STRING", "integer": r"BIGINT|DECIMAL\(\d+,0\)", "number": r"BIGINT|DOUBLE|DECIMAL\(\d+,\d+\)", "boolean": r"BOOLEAN",
+    "array": r"ARRAY<.*>", "object": r"OBJECT(<.*>)?", "null": r"VOID",
+}
+
+
+def _wrong_type(value: Column, node: dict) -> Column:
+    """Whether a JSON value (a VARIANT) is not of the type its schema node names; elements of arrays as well."""
+    if "type" not in node:
+        return F.lit(False)
+    kinds = node["type"] if isinstance(node["type"], list) else [node["type"]]
+    wrong = ~F.schema_of_variant(value).rlike(f"^(?:{'|'.join(_KINDS[k] for k in kinds)})$")
+    item = node.get("items", {})
+    if "array" in kinds and "type" in item:
+        inside = F.exists(F.try_variant_get(value, "$", "array<variant>"), lambda v: _wrong_type(v, item))
+        wrong = wrong | F.coalesce(is_array(value) & inside, F.lit(False))
+    return wrong
+
+
 def parse_by_json_schema(df: DataFrame, schema: dict | str, column: str = "extracted_json") -> DataFrame:
-    """Add ``record`` (the typed struct), ``missing_required``, ``extra_properties``, ``valid``."""
+    """Add ``record`` (the typed struct), ``missing_required``, ``extra_properties``, ``wrong_types``, ``valid``.
+
+    ``wrong_types`` lists the properties whose JSON value is not of the schema's type; it and
+    the other two must be empty for a valid record.
+    """
     spec = json.loads(schema) if isinstance(schema, str) else schema
     struct = struct_from_json_schema(spec)
     keys = F.json_object_keys(F.col(column))
@@ -47,10 +72,17 @@ def parse_by_json_schema(df: DataFrame, schema: dict | str, column: str = "extra
         df.withColumn("record", F.from_json(F.col(column), struct))
         .withColumn("missing_required", F.array_except(required, F.coalesce(keys, F.array().cast("array<string>"))))
         .withColumn("extra_properties", F.array_except(keys, known))
+        .withColumn("_json", F.try_parse_json(F.col(column)))
+        .withColumn("wrong_types", F.array_compact(F.array(*[
+            F.when(F.coalesce(_wrong_type(F.try_variant_get("_json", f"$['{name}']", "variant"), node), F.lit(False)), name)
+            for name, node in spec.get("properties", {}).items()
+        ]).cast("array<string>")))
+        .drop("_json")
         .withColumn(
             "valid",
             keys.isNotNull()
             & (F.size("missing_required") == 0)
+            & (F.size("wrong_types") == 0)
             & (F.lit(extra_allowed) | (F.size("extra_properties") == 0)),
         )
     )
@@ -126,26 +158,35 @@ def _page_texts(page: Column) -> Column:
     return F.when(own.isNotNull(), F.array(own)).otherwise(nested)
 
 
+def _nested_texts(document) -> list[str]:
+    """The non-blank strings under a "text" key anywhere below, in document order.
+
+    What is still to be read waits on a stack, so depth does not matter.
+    """
+    found: list[str] = []
+    waiting: list[tuple[str, object]] = [("", document)]
+    while waiting:
+        name, value = waiting.pop()
+        if name == "text" and isinstance(value, str):
+            found += [value] if value.strip() else []
+        elif isinstance(value, dict):
+            waiting += reversed(value.items())
+        elif isinstance(value, list):
+            waiting += [("", item) for item in reversed(value)]
+    return found
+
+
 @F.pandas_udf(T.StringType())
 def _any_text(parsed: pd.Series) -> pd.Series:
-    """Every non-blank nested "text", else the JSON itself, for the unknown shapes."""
-
-    def texts(node):
-        if isinstance(node, dict):
-            for key, value in node.items():
-                if key == "text" and isinstance(value, str) and value.strip():
-                    yield value
-                else:
-                    yield from texts(value)
-        elif isinstance(node, list):
-            for value in node:
-                yield from texts(value)
-
-    def read(raw):
-        if raw is None:
-            return None
-        node = json.loads(raw)
-        return "\n".join(texts(node)) or json.dumps(node, ensure_ascii=False, indent=2)
+    """The nested texts of the unknown shapes, a line each; without any, the JSON itself, indented."""
+
+    def read(raw: str) -> str:
+        try:
+            document = json.loads(raw)
+            found = _nested_texts(document)
+            return "\n".join(found) if found else json.dumps(document, ensure_ascii=False, indent=2)
+        except RecursionError:  # too deep for the JSON reader: the row keeps its source
+            return raw
 
     return parsed.map(read, na_action="ignore")
 
@@ -178,20 +219,26 @@ def markdown_pick(job, large=None) -> Column:
     return F.coalesce(*options)
 
 
-# Fixed value: an anchor with its link and its inner markup.
-ANCHOR = r'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"[^>]*>(.*?)</a>'
+# An anchor with its attributes and inner markup; a link in double, single or no quotes.
+ANCHOR = r"(?is)<a(?=[\s>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>(.*?)</a\s*>"
+HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
-def page_links(pages: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
-    """One row per anchor: position, url and the text without tags."""
-    pairs = F.arrays_zip(
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(1)).alias("url"),
-        F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(2)).alias("name"),
-    )
-    links = pages.select(*(keep or []), F.posexplode(pairs).alias("position", "link"))
-    return links.select(
+@F.pandas_udf(T.StringType())
+def _decoded(texts: pd.Series) -> pd.Series:
+    """Character references in their place."""
+    return texts.map(html.unescape, na_action="ignore")
+
+
+def page_links(pages: DataFrame, html_column: str = "html", keep: list[str] | None = None) -> DataFrame:
+    """One row per anchor: position, url ('' without a link) and the text without tags, both decoded."""
+    anchors = F.regexp_extract_all(html_column, F.lit(ANCHOR), F.lit(0))
+    found = pages.select(*(keep or []), F.posexplode(anchors).alias("position", "anchor"))
+    attributes, inner = F.regexp_extract("anchor", ANCHOR, 1), F.regexp_extract("anchor", ANCHOR, 2)
+    link = F.concat(*[F.regexp_extract(attributes, HREF, i) for i in (1, 2, 3)])
+    return found.select(
         *(keep or []),
         "position",
-        F.col("link.url").alias("url"),
-        F.trim(F.regexp_replace(F.col("link.name"), "<[^>]*>", "")).alias("name"),
+        F.trim(_decoded(link)).alias("url"),
+        F.trim(_decoded(F.regexp_replace(inner, "<[^>]*>", ""))).alias("name"),
     )

@@ -41,7 +41,7 @@ def merge_upsert(
     when: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     on_update: dict[str, Column] | None = None,
     on_insert: dict[str, Column] | None = None,
-    check_unique: bool = False,
+    check_unique: bool = True,
 ) -> DataFrame:
     """The target after a merge, in the target's columns.
 
@@ -53,7 +53,9 @@ def merge_upsert(
     * a NULL key matches nothing: such target rows stay, such source rows are inserted;
     * ``when(t, s)`` guards the update, ``t("col")`` and ``s("col")`` naming the sides;
     * ``on_update`` / ``on_insert`` set columns that are not in the source;
-    * source keys must be unique (``check_unique`` verifies it with a job).
+    * source keys must be unique: a job over the staged source verifies it and raises
+      ``DuplicateKeys`` (``check_unique=False`` only where they are grouped by just before).
+    The source is written when this is called, not when the result is read.
     """
     insert_cols = insert_cols if insert_cols is not None else [c for c in target.columns if c in source.columns]
     on_update, on_insert = on_update or {}, on_insert or {}

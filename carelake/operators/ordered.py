@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 
-# Rows of one key that a task sorts and spills without trouble. At 10^12 rows at most
-# 500,000 keys can be above it, which bounds the broadcast of hot keys.
+# Rows of one key that a task sorts and spills without trouble.
 HOT_ROWS = 2_000_000
 MIN_BLOCK_ROWS = 10_000
 MAX_BLOCK_ROWS = 1_000_000
@@ -36,22 +35,25 @@ def _same(keys: list[str], prefix: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
 
 
-def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
+def split_hot(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, counted: DataFrame | None = None, totals: DataFrame | None = None) -> tuple[DataFrame, DataFrame | None]:
     """The rows of ordinary keys, and the rows of keys with more than ``hot_rows`` rows.
 
     The second is None, and the first the input itself, when no key is that large.
     ``counted`` may be a cheaper table with at least as many rows per key, such as the
-    rows that ``df`` sums up.
+    rows that ``df`` sums up; ``totals`` the counts themselves (the keys and ``_n``), where
+    the caller has them. The hot keys are written, so their size is known to the planner.
     """
+    if totals is None:
+        totals = (df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("_n"))
     hot = written(
-        (df if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+        totals.filter(F.col("_n") > hot_rows)
         .select(*[F.col(k).alias(f"_h_{k}") for k in keys]),
         "hot-keys",
     )
     if hot.isEmpty():
         return df, None
-    listed, on = F.broadcast(hot), _same(keys, "_h_")
-    return df.join(listed, on, "left_anti"), df.join(listed, on, "left_semi")
+    on = _same(keys, "_h_")
+    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
 
 
 def by_key(
@@ -61,9 +63,10 @@ def by_key(
     blocked: Callable[[DataFrame], DataFrame],
     hot_rows: int = HOT_ROWS,
     counted: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """``ordinary`` windows for most keys, ``blocked`` ones for the rows of hot keys."""
-    cold, hot = split_hot(df, keys, hot_rows, counted)
+    cold, hot = split_hot(df, keys, hot_rows, counted, totals)
     out = ordinary(cold)
     return out if hot is None else out.unionByName(blocked(hot).select(*out.columns))
 
@@ -177,14 +180,13 @@ class Blocks(Placed):
             .select(*[F.col(k).alias(f"_b_{k}") for k in ["_block", *keys]])
             .distinct()
         )
-        # At most two rows per block, so the broadcast is bounded by MAX_BLOCKS.
-        touching = df.join(F.broadcast(border), _same(["_block", *keys], "_b_"), "left_semi")
+        touching = df.join(border, _same(["_block", *keys], "_b_"), "left_semi")
         return touching.groupBy("_block", *keys).agg(*aggs)
 
     def _with_border(self, df: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
         names = ["_block", *keys]
         renamed = parts.withColumnsRenamed({k: f"_b_{k}" for k in names})
-        joined = df.join(F.broadcast(renamed), _same(names, "_b_"), "left")
+        joined = df.join(renamed, _same(names, "_b_"), "left")
         return joined.drop(*[f"_b_{k}" for k in names])
 
     def running_sums(self, df: DataFrame, keys: list[str], sums: dict[str, Column], source: DataFrame | None = None) -> DataFrame:

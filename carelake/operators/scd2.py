@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
+from .merge import require_unique
 
 VALIDITY = ["effective_date", "end_date", "is_current"]
 
@@ -17,7 +18,8 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: list[str],
 
     The dimension is left-joined to the staged changes, so few changes are broadcast.
 
-    ``changes`` holds one row per key with ``key`` and the tracked columns. History
+    ``changes`` holds one row per key with ``key`` and the tracked columns (else
+    ``DuplicateKeys`` is raised: two would open two current versions). History
     rows pass untouched; columns the changes lack are NULL in a new version of a new
     key and carried over otherwise. Rows without a key never match.
     """
@@ -32,6 +34,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: list[str],
         ),
         "scd2-changes",
     )
+    require_unique(staged, ["_k"])
     # Only the current version of a key can match; history joins to nothing.
     keyed = dim.withColumn("_k", F.when(F.col("is_current"), F.col(key)))
     differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in tracked])

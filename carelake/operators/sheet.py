@@ -16,7 +16,14 @@ NUMERIC_COLUMNS = [
     "mpesa_usage", "family_size", "deductible_pct",
 ]
 DATE_COLUMNS = ["adm_date", "dis_date", "claim_date", "batch_date"]
-DATE_FORMATS = ["yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "MM/dd/yyyy", "dd MMM yyyy"]
+DATE_FORMATS = [
+    "yyyy/M/d", "M/d/yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "yyyyMMdd",
+    "d MMM yyyy", "d MMMM yyyy", "d-MMM-yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+]
+# Year first, with any ISO time, fraction and zone behind it; the date is the one written.
+ISO_DATE = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?\s*(?:Z|[+-]\d{2}:?\d{2})?)?$"
+# What reads as a number; Java's casts also take a type letter at the end.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
 
 def normalize_headers(df: DataFrame) -> DataFrame:
@@ -26,7 +33,8 @@ def normalize_headers(df: DataFrame) -> DataFrame:
 
 def to_number(col) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    value = c.try_cast("double")
+    text = c.cast("string")
+    value = F.when(text.rlike(NUMBER), F.trim(text).try_cast("double"))
     return F.when(~F.isnan(value), value)
 
 
@@ -41,8 +49,10 @@ def coerce_date(df: DataFrame, columns: list[str] | None = None, formats: list[s
     present = [c for c in (columns or DATE_COLUMNS) if c in df.columns]
 
     def read(c: str) -> Column:
-        tries = [F.try_to_timestamp(F.trim(F.col(c)), F.lit(f)) for f in formats or DATE_FORMATS]
-        return F.date_format(F.coalesce(*tries), "yyyy-MM-dd")
+        text = F.trim(F.col(c))
+        iso = F.nullif(F.regexp_extract(text, ISO_DATE, 1), F.lit("")).try_cast("date")
+        tries = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats or DATE_FORMATS]
+        return F.date_format(F.coalesce(iso, *tries), "yyyy-MM-dd")
 
     return df.withColumns({c: read(c) for c in present})
 

@@ -15,7 +15,7 @@ from ..schemas import CLEAN_EVENTS, conform
 # Payload paths of an event, default currency, version stamp.
 EVENT_PATHS = {
     "event_uuid": ("uuid", "string"),
-    "event_time": ("event_time", "timestamp_ntz"),
+    "event_time": ("event_time", "timestamp"),
     "event_type": ("type", "string"),
     "amount": ("amount", "decimal(38,2)"),
     "currency": ("currency", "string"),
@@ -56,23 +56,32 @@ def clean_source(raw: DataFrame, keys: list[str] | None = None) -> DataFrame:
     newest = latest_per_key(
         named.filter(F.col("event_id").isNotNull()), keys or MERGE_KEYS, "ingested_at", ["row_hash"]
     )
-    typed = variant_project(newest, EVENT_PATHS, keep=["facility_id", "event_id", "ingested_at", "payload"])
+    typed = variant_project(newest, EVENT_PATHS, keep=["facility_id", "event_id", "ingested_at", "payload", *kept])
     return (
-        label_events(typed)
+        label_events(in_utc(typed))
         .withColumn("event_date", F.col("event_time").cast("date"))
         .withColumn("_etl_version", F.lit(ETL_VERSION))
     )
 
 
-def merge_clean(target: DataFrame, source: DataFrame, processed_at: Column) -> DataFrame:
-    """CLEAN after the merge: a version not newer than the stored one changes nothing."""
+def in_utc(events: DataFrame) -> DataFrame:
+    """Event times as UTC wall clock: an offset in the text has fixed the instant before (sessions run in UTC)."""
+    return events.withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+
+
+def merge_clean(target: DataFrame, source: DataFrame, processed_at: Column, keys: list[str] | None = None) -> DataFrame:
+    """CLEAN after the merge: a version not newer than the stored one changes nothing.
+
+    ``keys`` are those that ``clean_source`` was given.
+    """
+    keys = keys or MERGE_KEYS
     stamp = {"processed_at": processed_at}
     return merge_upsert(
         target,
         source,
-        MERGE_KEYS,
+        keys,
         update_cols=UPDATED,
-        insert_cols=[*MERGE_KEYS, *UPDATED, "_etl_version"],
+        insert_cols=[*dict.fromkeys([*MERGE_KEYS, *keys]), *UPDATED, "_etl_version"],
         when=lambda t, s: t("ingested_at") < s("ingested_at"),
         on_update=stamp,
         on_insert=stamp | {"is_duplicate": F.lit(False)},
@@ -85,7 +94,7 @@ def empty_clean(spark) -> DataFrame:
 
 FLAT_PATHS = {
     "event_id": ("id", "string"),
-    "event_time": ("event_time", "timestamp_ntz"),
+    "event_time": ("event_time", "timestamp"),
     "event_type": ("type", "string"),
     "amount": ("amount", "decimal(38,2)"),
 }
@@ -102,7 +111,7 @@ def flat_source(raw: DataFrame, keys: list[str] | None = None, strict_numbers: b
     typed = variant_project(
         records, paths, payload="value", keep=["facility_id", "source_table", "ingested_at", F.col("value").alias("payload")]
     ).filter(blank_to_null("event_id").isNotNull())
-    hashed = typed.withColumn("_hash", F.md5(F.to_json("payload")))
+    hashed = in_utc(typed).withColumn("_hash", F.md5(F.to_json("payload")))
     return latest_per_key(hashed, keys or FLAT_KEYS, "ingested_at", ["_hash"]).drop("_hash")
 
 

@@ -28,9 +28,12 @@ def code_summary(rows: DataFrame, code: str, prefix: str, flag: str | None = Non
     )
 
 
-def encounter_metrics(encounters: DataFrame, diagnoses: DataFrame, procedures: DataFrame) -> DataFrame:
-    """Encounters with counts and code lists; each side is summed up before its join."""
-    d = code_summary(diagnoses, "diagnosis_code", "diagnosis", "present_on_admission")
+def encounter_metrics(encounters: DataFrame, diagnoses: DataFrame, procedures: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """Encounters with counts and code lists; each side is summed up before its join.
+
+    ``codes`` may bring the diagnoses already summed up.
+    """
+    d = codes if codes is not None else code_summary(diagnoses, "diagnosis_code", "diagnosis", "present_on_admission")
     p = code_summary(procedures, "procedure_code", "procedure")
     zero = F.lit(0).cast("bigint")
     return (
@@ -63,9 +66,17 @@ def attach(df: DataFrame, per_key: DataFrame, key: str) -> DataFrame:
 
 
 def clinical_metrics(encounters: DataFrame, diagnoses: DataFrame, procedures: DataFrame) -> DataFrame:
-    metrics = written(encounter_metrics(encounters, diagnoses, procedures), "encounter-metrics")
-    median = median_by(metrics, "encounter_type", "length_of_stay_hours", "median_los_by_type")
-    department = metrics.groupBy("department_id").agg(mean("diagnosis_count").alias("avg_diagnosis_by_dept"))
+    """Encounters with counts, codes, the median stay of their type and their department's mean diagnoses.
+
+    The medians need the stays only, and the means a count per encounter, which is written:
+    the wide rows are made once, for the result.
+    """
+    stays = encounters.select("encounter_type", hour_diff("admit_ts", "discharge_ts").alias("length_of_stay_hours"))
+    median = median_by(stays, "encounter_type", "length_of_stay_hours", "median_los_by_type")
+    codes = written(code_summary(diagnoses, "diagnosis_code", "diagnosis", "present_on_admission"), "diagnosis-codes")
+    counts = encounters.select("encounter_id", "department_id").join(codes.select("encounter_id", "diagnosis_count"), "encounter_id", "left")
+    department = counts.na.fill(0, ["diagnosis_count"]).groupBy("department_id").agg(mean("diagnosis_count").alias("avg_diagnosis_by_dept"))
+    metrics = encounter_metrics(encounters, diagnoses, procedures, codes)
     out = attach(attach(metrics, median, "encounter_type"), department, "department_id")
     return out.withColumn(
         "discharge_category", discharge_category("discharge_disposition", "length_of_stay_hours")

@@ -64,12 +64,16 @@ def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | No
     return by_key(daily, ["product_id"], ordinary, blocked, hot_rows, counted)
 
 
-def stock_windows(daily: DataFrame) -> DataFrame:
-    """Running stock and 30-row usage: a facility's product has one row per day and name."""
-    stock = Window.partitionBy("facility_id", "product_id")
+STOCK_KEYS = ["facility_id", "product_id"]
+STOCK_ORDER = ["movement_date", "product_name", "product_category"]
+
+
+def _stock_columns(rows: DataFrame) -> DataFrame:
+    """The windows with plain window functions: one task for each facility and product."""
+    stock = Window.partitionBy(*STOCK_KEYS)
     by_date = stock.orderBy(*nulls_last("movement_date"))
-    month = stock.orderBy(*nulls_last("movement_date", "product_name", "product_category")).rowsBetween(-29, 0)
-    return daily.select(
+    month = stock.orderBy(*nulls_last(*STOCK_ORDER)).rowsBetween(-29, 0)
+    return rows.select(
         "*",
         F.sum("net_change").over(by_date.rangeBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("current_stock"),
         F.sum("issue_cost").over(month).cast(MONEY).alias("monthly_usage_cost"),
@@ -78,19 +82,52 @@ def stock_windows(daily: DataFrame) -> DataFrame:
     )
 
 
-def inventory_position(movements: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def _stock_blocks(rows: DataFrame, block_rows: int | None) -> DataFrame:
+    """The same in blocks. Rows of one date share the stock at its end: the running sum by
+    rows, less what the date's earlier rows and this one added, plus the date's whole."""
+    blocks = Blocks(rows, nulls_last(*STOCK_KEYS, *STOCK_ORDER), block_rows)
+    base, per_date = blocks.rows, [*STOCK_KEYS, "movement_date"]
+
+    def last30(column: str):
+        return lambda w: F.sum(column).over(w.rowsBetween(-29, 0))
+
+    out = blocks.near(base, STOCK_KEYS, {"_cost": last30("issue_cost"), "_quantity": last30("issues")}, before=29)
+    out = blocks.running_sums(out, STOCK_KEYS, {"_by_row": F.col("net_change")}, base)
+    out = blocks.running_sums(out, per_date, {"_in_date": F.col("net_change")}, base)
+    out = blocks.group_values(out, per_date, {"_of_date": (F.sum, "net_change")}, base)
+    out = blocks.group_values(out, STOCK_KEYS, {"last_movement_date": (F.max, "movement_date")}, base)
+    zero = F.lit(0).cast(MONEY)
+    known = [F.coalesce(c, zero) for c in ("_by_row", "_in_date", "_of_date")]
+    stock = F.when(F.col("_by_row").isNotNull() | F.col("_of_date").isNotNull(), known[0] - known[1] + known[2])
+    return out.select(
+        *rows.columns, stock.cast(MONEY).alias("current_stock"), F.col("_cost").cast(MONEY).alias("monthly_usage_cost"),
+        F.col("_quantity").cast(MONEY).alias("monthly_usage_quantity"), "last_movement_date",
+    )
+
+
+def stock_windows(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """Running stock, 30-row usage and last date of a facility's product, hot ones in blocks.
+
+    A NULL product gathers all names of a facility, so its rows are not bounded by days.
+    """
+    return by_key(daily, STOCK_KEYS, _stock_columns, lambda hot: _stock_blocks(hot, block_rows), hot_rows, counted)
+
+
+def inventory_position(movements: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Daily rows with the windows over facility and product.
 
-    Whether a product is hot is judged by its movements, which are never fewer than
-    its daily rows: one narrow pass, and the daily rows are built once.
+    Whether a product is hot is judged by its movements, which are never fewer than its
+    daily rows. ``counted`` may be a narrower table of them (facility_id, product_id), such as
+    the movements before anything is joined to them.
     """
+    counted = movements if counted is None else counted
     daily = daily_inventory(movements)
-    return stock_windows(moving_cost(daily, hot_rows, counted=movements))
+    return stock_windows(moving_cost(daily, hot_rows, counted=counted), hot_rows, counted=counted)
 
 
-def inventory_analytics(movements: DataFrame, as_of) -> DataFrame:
+def inventory_analytics(movements: DataFrame, as_of, counted: DataFrame | None = None) -> DataFrame:
     stock, usage = F.col("current_stock"), F.col("monthly_usage_quantity")
-    return inventory_position(movements).select(
+    return inventory_position(movements, counted=counted).select(
         "*",
         day_diff("last_movement_date", as_of_column(as_of)).alias("days_since_last_movement"),
         stock_status(stock, usage).alias("stock_status"),

@@ -10,7 +10,8 @@ from ..functions.dates import add_days, as_of_column, day, hour_diff, month_star
 from ..functions.nulls import exact_mean
 from ..operators.merge import merge_upsert
 from ..operators.ordered import HOT_ROWS, Blocks, by_key, nulls_last
-from ..schemas import DAILY_METRICS, DIM_PATIENT, FACT_ENCOUNTERS, conform
+from ..operators.scd2 import scd2_apply
+from ..schemas import DAILY_METRICS, DIM_PATIENT, DIM_PROVIDER_SCD2, FACT_ENCOUNTERS, conform
 
 READMISSION_DAYS = 30
 
@@ -98,11 +99,28 @@ def dim_patient(patients: DataFrame, as_of) -> DataFrame:
     )
 
 
+def provider_history(history: DataFrame | None, providers: DataFrame, effective_date) -> DataFrame:
+    """The provider dimension after a delivery (one row a provider): changed providers get a new version.
+
+    Without ``history`` the delivery begins it. A version's key is a hash of provider and day.
+    """
+    if history is None:
+        history = conform(providers.limit(0), DIM_PROVIDER_SCD2)
+    tracked = [c for c in providers.columns if c != "provider_id"]
+    applied = scd2_apply(history, providers, "provider_id", tracked, effective_date)
+    key = F.md5(F.concat_ws("|", "provider_id", F.col("effective_date").cast("string")))
+    return conform(applied.withColumn("provider_sk", key), DIM_PROVIDER_SCD2)
+
+
 def daily_metrics_source(clean: DataFrame, as_of, lookback_hours: int | None = 24) -> DataFrame:
-    """Distinct events, distinct patients and mean amount per day and facility."""
+    """Distinct events, distinct patients and mean amount per day and facility.
+
+    The look-back reaches back to the start of the day it touches: a day is only ever
+    replaced by the whole of it.
+    """
     events = clean
     if lookback_hours is not None:
-        since = as_of_column(as_of) - F.make_dt_interval(hours=F.lit(lookback_hours))
+        since = F.date_trunc("day", as_of_column(as_of) - F.make_dt_interval(hours=F.lit(lookback_hours))).cast("timestamp_ntz")
         events = clean.filter(F.col("event_time") >= since)
     # A table key is never NULL.
     return events.filter(F.col("event_time").isNotNull() & F.col("facility_id").isNotNull()).groupBy(
@@ -203,7 +221,8 @@ def monthly_report(metrics: DataFrame, facts: DataFrame, patients: DataFrame, mo
     genders = new.filter(F.col("gender").isNotNull()).groupBy("gender").agg(F.count("*").alias("n")).agg(
         F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("gender", "n"))))).alias("_genders")
     )
-    # The month is the key that brings the two one-row sides to every facility.
+    # The month brings the two demographic sides to every facility. Each of them is one row, so
+    # the nested-loop joins that a constant key is planned as are bounded.
     people = bands.withColumn("month", first).join(genders.withColumn("month", first), "month")
     empty = F.lit("[]")
     text = F.concat(

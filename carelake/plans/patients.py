@@ -9,6 +9,7 @@ from ..functions.clinical import appointment_outcome, patient_age_group, recency
 from ..functions.dates import as_of_column, day, day_diff, month_start, year_diff
 from ..functions.nulls import count_when, mean, safe_div, sum_when
 from ..operators.ordered import HOT_ROWS, Blocks, Placed, by_key, nulls_last
+from ..session import written
 
 MONEY = "decimal(38,2)"
 
@@ -171,13 +172,14 @@ def _timeline_blocked(rows: DataFrame, block_rows: int | None) -> DataFrame:
     return out.withColumn("last_interaction", F.when(F.col("_any") == 0, F.col("_last")))
 
 
-def patient_timeline(clean: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None) -> DataFrame:
+def patient_timeline(clean: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, totals: DataFrame | None = None) -> DataFrame:
     """Each patient's events with neighbours, running values and outcome.
 
-    ``_step`` numbers the distinct times of a patient.
+    ``_step`` numbers the distinct times of a patient. ``totals`` may bring the events of
+    each patient (patient_id, _n).
     """
     rows = clean.select(*TIMELINE, month_start("event_time").alias("_month"))
-    out = by_key(rows, ["patient_id"], _timeline_plain, lambda hot: _timeline_blocked(hot, block_rows), hot_rows)
+    out = by_key(rows, ["patient_id"], _timeline_plain, lambda hot: _timeline_blocked(hot, block_rows), hot_rows, totals=totals)
     return out.withColumns(
         {
             "cumulative_spend": F.col("cumulative_spend").cast(MONEY),
@@ -193,12 +195,15 @@ def patient_journey(clean: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int
     DENSE_RANK by (patient, time) is the number of steps of all earlier patients plus
     the rank within the patient. The first part is a prefix sum over one row per
     patient, so events are never sorted as a whole; the join back keeps the
-    partitioning of the windows. Events without a patient come last.
+    partitioning of the windows. Events without a patient come last. One aggregate
+    per patient gives its steps and its events.
     """
-    steps = clean.groupBy("patient_id").agg(F.countDistinct(F.struct("event_time")).alias("_steps"))
-    placed = Placed(steps.filter(F.col("patient_id").isNotNull()), nulls_last("patient_id"), {"_steps": F.col("_steps")})
+    steps = written(
+        clean.groupBy("patient_id").agg(F.countDistinct(F.struct("event_time")).alias("_steps"), F.count("*").alias("_n")), "patient-steps"
+    )
+    placed = Placed(steps.filter(F.col("patient_id").isNotNull()).drop("_n"), nulls_last("patient_id"), {"_steps": F.col("_steps")})
     offsets = placed.prefix_sums().select("patient_id", "_steps_before")
-    rows = patient_timeline(clean, hot_rows, block_rows).join(offsets, "patient_id", "left")
+    rows = patient_timeline(clean, hot_rows, block_rows, steps).join(offsets, "patient_id", "left")
     before = F.coalesce("_steps_before", F.lit(placed.totals["_steps"]))
     return rows.withColumn("journey_step_id", before + F.col("_step")).drop("_steps_before", "_step")
 

@@ -6,6 +6,7 @@ from ..operators.anonymize import anonymize
 from ..operators.cards import SITES, extract_cards
 from ..operators.documents import markdown_pick, page_links, parse_by_json_schema, text_from_parse_json
 from ..operators.variant import flatten_values
+from ..schemas import NOTE_FIELDS, NOTE_LISTS, note_schema
 from ..session import spread
 from . import query
 
@@ -26,40 +27,31 @@ def doc_flatten(t):
     return rows.select("event_id", "pos", "key", F.col("value").cast("string").alias("value"))
 
 
-# A small extraction schema in JSON Schema form.
-RECORD_SCHEMA = {
-    "type": "object",
-    "additionalProperties": False,
-    "properties": {
-        "document_type": {"type": ["string", "null"]},
-        "document_date": {"type": ["string", "null"]},
-        "diagnoses": {"type": "array", "items": {"type": "string"}},
-    },
-    "required": ["document_type", "document_date", "diagnoses"],
-}
-
-
 @query("""
 SELECT event_id, event_type AS document_type, CASE WHEN event_id % 3 <> 0 THEN CAST(CAST(ts AS DATE) AS VARCHAR) END AS document_date,
-       event_type || ',' || user_id AS diagnoses, CASE WHEN event_id % 3 = 0 THEN 'document_date' ELSE '' END AS missing,
-       CASE WHEN event_id % 4 = 0 THEN 'extra' ELSE '' END AS extra, event_id % 3 <> 0 AND event_id % 4 <> 0 AS valid FROM events
+       CASE WHEN event_id % 5 <> 0 THEN event_type || ',' || user_id END AS diagnoses, CASE WHEN event_id % 3 = 0 THEN 'document_date' ELSE '' END AS missing,
+       CASE WHEN event_id % 4 = 0 THEN 'extra' ELSE '' END AS extra, CASE WHEN event_id % 5 = 0 THEN 'diagnoses' ELSE '' END AS wrong,
+       event_id % 3 <> 0 AND event_id % 4 <> 0 AND event_id % 5 <> 0 AS valid FROM events
 """)
 def doc_schema_parse(t):
     e = F.col("event_id")
-    body = F.to_json(
-        F.struct(
-            F.col("event_type").alias("document_type"),
-            F.when(e % 3 != 0, F.col("ts").cast("date").cast("string")).alias("document_date"),
-            F.array("event_type", F.col("user_id").cast("string")).alias("diagnoses"),
+    plain = [F.lit(f"some {f}").alias(f) for f in NOTE_FIELDS if f not in (*NOTE_LISTS, "document_type", "document_date")]
+
+    def note(diagnoses):
+        return F.to_json(F.struct(
+            F.col("event_type").alias("document_type"), F.when(e % 3 != 0, F.col("ts").cast("date").cast("string")).alias("document_date"), *plain,
+            diagnoses.alias("diagnoses"), F.array(F.lit("blood")).alias("investigations"), F.array().cast("array<string>").alias("treatments"),
             F.when(e % 4 == 0, "x").alias("extra"),
-        )
-    )
-    parsed = parse_by_json_schema(t("events").select("event_id", body.alias("extracted_json")), RECORD_SCHEMA)
+        ))
+
+    # Every fifth note has one text where a list is asked for.
+    body = F.when(e % 5 == 0, note(F.lit("not a list"))).otherwise(note(F.array("event_type", F.col("user_id").cast("string"))))
+    parsed = parse_by_json_schema(t("events").select("event_id", body.alias("extracted_json")), note_schema())
     return parsed.select(
         "event_id", "record.document_type", "record.document_date",
         F.array_join("record.diagnoses", ",").alias("diagnoses"),
         F.array_join("missing_required", ",").alias("missing"),
-        F.array_join("extra_properties", ",").alias("extra"), "valid",
+        F.array_join("extra_properties", ",").alias("extra"), F.array_join("wrong_types", ",").alias("wrong"), "valid",
     )
 
 
@@ -141,6 +133,13 @@ def shop_page(shop: str):
             lit('</p><span data-hook="product-item-price-to-pay" data-wix-price="'), price, lit('">x</span>'),
             F.coalesce(sale, lit("")), lit("</a></li></ul>"),
         )
+    if shop == "shop_list":
+        # The first box has the plain price; a later one, of another offer, is not the product's.
+        box = F.coalesce(F.concat(lit("<del>"), old, lit("</del><ins>"), price, lit("</ins>")), price)
+        return F.concat(
+            lit('<ul><li class="product"><a href="'), url, lit('"><img src="i.png"><h2 class="woocommerce-loop-product__title">'), name,
+            lit('</h2></a><span class="price"><style>.x{width:3}</style>'), box, lit('</span><span class="price"><ins>KES 7</ins></span></li></ul>'),
+        )
     sale = F.concat(lit('<p class="product-price-old">'), old, lit("</p>"))
     return F.concat(
         lit('<a class="card product-card" href="'), url, lit('" data-product-id="7"><img class="product-img" src="i.png">'
@@ -149,19 +148,21 @@ def shop_page(shop: str):
     )
 
 
-SHOPS = {1: "shop_cart", 2: "grid_item", 3: "card_link"}
+# The shops by number, each over the scrape whose products it shows.
+SHOPS = {1: ("shop_cart", 1), 2: ("grid_item", 2), 3: ("card_link", 3), 4: ("shop_list", 1)}
 
 
 @query("""
 SELECT scrape_no, product_name, url, current_price, original_price,
        round((original_price - current_price) / original_price * 100, 2) AS discount_percentage, 'i.png' AS image_url,
-       CASE WHEN scrape_no <> 2 THEN '7' END AS product_id FROM ox_price
+       CASE WHEN scrape_no IN (1, 3) THEN '7' END AS product_id
+FROM (SELECT * FROM ox_price UNION ALL SELECT * REPLACE (4 AS scrape_no) FROM ox_price WHERE scrape_no = 1)
 """)
 def doc_product_cards(t):
     products = t("fx_products")
     out = None
-    for number, shop in SHOPS.items():
-        pages = products.filter(F.col("scrape_no") == number).select("scrape_no", shop_page(shop).alias("html"))
+    for number, (shop, scrape) in SHOPS.items():
+        pages = products.filter(F.col("scrape_no") == scrape).select(F.lit(number).alias("scrape_no"), shop_page(shop).alias("html"))
         cards = extract_cards(spread(pages), SITES[shop], keep=["scrape_no"]).select(
             "scrape_no", "product_name", "url", "current_price", "original_price", "discount_percentage", "image_url", "product_id"
         )
@@ -169,12 +170,17 @@ def doc_product_cards(t):
     return out
 
 
-_ANCHOR = '(?is)<a\\b[^>]*?\\bhref\\s*=\\s*"([^"]*)"[^>]*>(.*?)</a>'
-
-
-@query(f"""
-SELECT page_id, CAST(unnest(range(len(u))) AS INT) AS position, unnest(u) AS url, trim(regexp_replace(unnest(n), '<[^>]*>', '', 'g')) AS name
-FROM (SELECT page_id, regexp_extract_all(html, '{_ANCHOR}', 1) AS u, regexp_extract_all(html, '{_ANCHOR}', 2) AS n FROM pages)
+@query("""
+SELECT page_id, 0 AS position, 'https://x.example/?a=1&id=' || page_id AS url, 'Café & ' || page_id AS name FROM pages
+UNION ALL SELECT page_id, 1, url, 'single "quoted"' FROM pages
+UNION ALL SELECT page_id, 2, '/plain/' || page_id, 'bare' FROM pages
+UNION ALL SELECT page_id, 3, '', 'no link' FROM pages
 """)
 def doc_page_links(t):
-    return page_links(t("pages"), keep=["page_id"])
+    # Anchors as pages have them: any quoting, references, nested markup, other attributes, none at all.
+    number, lit = F.col("page_id").cast("string"), F.lit
+    anchors = F.concat(
+        lit('<p><A class="a>b" HREF="https://x.example/?a=1&amp;id='), number, lit('"><b>Caf&eacute;</b> &amp; '), number, lit("</a><abbr>no anchor</abbr>\n<a href = '"),
+        F.col("url"), lit("'\n>single &quot;quoted&quot;</a> <a data-href=no href=/plain/"), number, lit(">bare</a><a name=top>no link</a></p>"),
+    )
+    return page_links(t("pages").select("page_id", anchors.alias("html")), keep=["page_id"])

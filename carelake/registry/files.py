@@ -5,26 +5,33 @@ from pyspark.sql import types as T
 
 from ..operators.dictionary import group_tables, schema_from_dictionary
 from ..operators.documents import extract_documents
-from ..session import scratch_path, spread
+from ..session import hadoop_path, scratch_path, spread
 from ..sources import files, landing
 from ..sources.sync import load_all_tables
 from ..sources.tables import Table
 from . import query
 from .merges import SUPPLIER_ROWS
 
-# Every eleventh line is no JSON.
-_BAD = "event_id % 11 = 0"
+# Every eleventh line is no JSON, every seventh an array of two records.
+_BAD, _PAIR = "event_id % 11 = 0", "event_id % 7 = 0"
 
 
 def landing_lines(events):
-    record = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("type")))
+    """Events as landed lines; some facilities and tables have names that look like numbers."""
+    def record(key):
+        return F.to_json(F.struct(key.alias("id"), F.col("event_type").alias("type")))
+
+    key = F.col("event_id").cast("string")
+    pair = F.concat(F.lit("["), record(key), F.lit(","), record(F.concat(F.lit("x"), key)), F.lit("]"))
+    line = F.when(F.expr(_BAD), F.lit("{broken")).when(F.expr(_PAIR), pair).otherwise(record(key))
+    place = F.col("user_id") % 5
     return events.select(
-        F.concat(F.lit("F/"), (F.col("user_id") % 5).cast("string")).alias("facility_id"),
+        F.when(place == 0, "007").otherwise(F.concat(F.lit("F/"), place.cast("string"))).alias("facility_id"),
         F.lit("core").alias("module"),
-        F.col("event_type").alias("table"),
+        F.when(F.expr("event_id % 13 = 0"), "1e3").otherwise(F.col("event_type")).alias("table"),
         F.lit("Ignite\\Core\\Entities\\Event").alias("namespace"),
         F.trunc(F.col("ts").cast("date"), "month").alias("dt"),
-        F.when(F.expr(_BAD), F.lit("{broken")).otherwise(record).alias("line"),
+        line.alias("line"),
     )
 
 
@@ -35,10 +42,13 @@ def landed(t, *runs: str) -> str:
     return root
 
 
+_PLACE = "CASE user_id % 5 WHEN 0 THEN '007' ELSE 'F_' || (user_id % 5) END AS facility_id"
+_TABLE = "CASE WHEN event_id % 13 = 0 THEN '1e3' ELSE event_type END"
 _RAW_SQL = f"""
-SELECT CAST(event_id AS VARCHAR) AS id, 'F_' || (user_id % 5) AS facility_id, 'core' AS module_source, event_type AS source_table,
+SELECT id, {_PLACE}, 'core' AS module_source, {_TABLE} AS source_table,
        'Ignite_Core_Entities_Event' AS namespace, CAST(date_trunc('month', ts) AS DATE) AS execution_date,
-       md5('{{"id":"' || event_id || '","type":"' || event_type || '"}}') AS row_hash FROM events WHERE NOT ({_BAD})
+       md5('{{"id":"' || id || '","type":"' || event_type || '"}}') AS row_hash
+FROM (SELECT *, CAST(event_id AS VARCHAR) AS id FROM events UNION ALL SELECT *, 'x' || event_id FROM events WHERE {_PAIR}) WHERE NOT ({_BAD})
 """
 _RAW_COLUMNS = ["facility_id", "module_source", "source_table", "namespace", "execution_date", "row_hash"]
 
@@ -55,43 +65,47 @@ def src_external(t):
     return t.spark.sql(f"SELECT try_variant_get(payload, '$.id', 'string') AS id, {', '.join(_RAW_COLUMNS)} FROM external_events")
 
 
-@query("""
-SELECT 'F_' || (user_id % 5) AS facility_id, event_type AS "table", r.run_id, COUNT(*) AS lines
-FROM events, (SELECT 'run_1' AS run_id UNION ALL SELECT 'run_2') r GROUP BY 1, 2, 3
+@query(f"""
+SELECT facility_id, "table", r.run_id, COUNT(*) AS lines
+FROM (SELECT {_PLACE}, {_TABLE} AS "table" FROM events), (SELECT 'run_1' AS run_id UNION ALL SELECT 'run_2') r GROUP BY 1, 2, 3
 """)
 def src_raw_sink(t):
     # The first run is written twice: the second time replaces the first.
     root = landed(t, "run 1", "run 2", "run 1")
-    return t.spark.read.text(root).groupBy("facility_id", "table", "run_id").agg(F.count("*").alias("lines"))
+    with landing.keys_as_text(t.spark):
+        lines = t.spark.read.text(root)
+    return lines.groupBy("facility_id", "table", "run_id").agg(F.count("*").alias("lines"))
 
 
 @query("""
-SELECT n_nationkey AS key, n_name AS name, NULL AS balance FROM nation
-UNION SELECT s_suppkey, NULL, s_acctbal FROM supplier UNION SELECT c_custkey, c_name, c_acctbal FROM customer
+SELECT n_nationkey AS key, n_name AS name, CAST(n_regionkey AS DOUBLE) AS balance, NULL AS note FROM nation
+UNION SELECT s_suppkey, NULL, s_acctbal, 'line 1' || chr(10) || 'line "2", ' || s_name FROM supplier
+UNION SELECT c_custkey, CASE WHEN c_custkey % 4 <> 0 THEN c_name END, c_acctbal, NULL FROM customer
 """)
 def src_csv_union(t):
     root = scratch_path(t.spark, "csv")
+    note = F.concat(F.lit('line 1\nline "2", '), F.col("s_name"))
+    name = F.when(F.col("c_custkey") % 4 == 0, "N/A").otherwise(F.col("c_name"))
     parts = [
-        t("nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name")),
-        t("supplier").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance")),
-        t("customer").select(F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_custkey").alias("key")),
+        t("nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("balance")),
+        t("supplier").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("balance"), note.alias("note")),
+        t("customer").select(name.alias("name"), F.col("c_acctbal").alias("balance"), F.col("c_custkey").alias("key")),
     ]
     for part in [*parts, parts[0]]:
-        part.write.mode("append").options(header="true").csv(root)
-    united = files.union_csv_folder(t.spark, root)
-    return united.select(F.col("key").cast("bigint").alias("key"), "name", "balance")
+        part.write.mode("append").options(header="true", quote='"', escape='"').csv(root)
+    return files.union_csv_folder(t.spark, root).select("key", "name", "balance", "note")
 
 
 @query("""
-SELECT CAST(claim_id AS BIGINT) AS claim_id, TRY_CAST(total_bill AS DECIMAL(18,2)) AS total_bill, NULLIF(adm_date, '') AS adm_date
-FROM fx_sheet WHERE total_bill IS NULL OR total_bill <> 'N/A'
+SELECT CAST(claim_id AS BIGINT) AS claim_id, TRY_CAST(total_bill AS DECIMAL(18,2)) AS total_bill, 'on' || chr(10) || adm_date AS adm_date
+FROM fx_sheet WHERE total_bill IS NULL OR total_bill NOT IN ('N/A', '45F', '12d')
 """)
 def src_csv_typed(t):
     root = scratch_path(t.spark, "sheet")
     cells = t("fx_sheet").select(
-        F.col("claim_id"), F.coalesce("total_bill", F.lit("NaN")).alias("total_bill"), F.col("adm_date")
+        F.col("claim_id"), F.coalesce("total_bill", F.lit("NaN")).alias("total_bill"), F.concat(F.lit("on\n"), "adm_date").alias("adm_date")
     )
-    cells.write.options(header="true").csv(root)
+    cells.write.options(header="true", quote='"', escape='"').csv(root)
     schema = T.StructType.fromDDL("claim_id bigint, total_bill decimal(18,2), adm_date string")
     return files.read_csv_typed(t.spark, root, schema)
 
@@ -113,12 +127,14 @@ def src_json_batches(t):
     return files.read_json_batches(t.spark, path, events.schema)
 
 
-@query("SELECT DISTINCT 'source=' || source AS folder FROM documents")
+@query("SELECT 'doc_id=' || doc_id AS folder, strlen(text) + 1 AS length, TRUE AS dated FROM documents")
 def src_file_list(t):
     root = scratch_path(t.spark, "tree")
-    t("documents").select("doc_id", "source").write.partitionBy("source").json(root)
-    folder = F.element_at(F.split("path", "/"), -2)
-    return files.list_files(t.spark, root, ".json").select(folder.alias("folder")).distinct()
+    # One file per document: its text and a line break.
+    spread(t("documents").select("doc_id", "text")).write.partitionBy("doc_id").text(root)
+    listed = files.list_files(t.spark, root, ".txt")
+    recent = F.col("modificationTime") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
+    return listed.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length", recent.alias("dated"))
 
 
 @query("SELECT doc_id, text || chr(10) AS text FROM documents")
@@ -131,15 +147,49 @@ def src_text_docs(t):
 
 
 @query("""
-SELECT source || '/' || doc_id AS patient_name, '{"lang":"' || lang || '","n":' || n_chars || '}' AS json_record FROM documents WHERE n_chars >= 200
+SELECT source || '/' || doc_id AS patient_name, '{' || chr(10) || '  "lang": "' || lang || '", "n": ' || n_chars || chr(10) || '}' AS json_record
+FROM documents WHERE n_chars >= 200
 """)
 def src_extract_csv(t):
-    record = F.to_json(F.struct("lang", F.col("n_chars").alias("n")))
+    # An extractor may return indented JSON.
+    record = F.concat(F.lit('{\n  "lang": "'), "lang", F.lit('", "n": '), F.col("n_chars").cast("string"), F.lit("\n}"))
     name = F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"))
     results = t("documents").select((F.col("n_chars") >= 200).alias("ok"), name.alias("filename"), record.alias("extracted_json"))
     path = scratch_path(t.spark, "extractions")
     files.write_extractions(results, path, as_name="patient_name", as_record="json_record")
-    return t.spark.read.schema("patient_name string, json_record string").options(header="true", escape='"').csv(path)
+    return files.read_extractions(t.spark, path, "patient_name", "json_record")
+
+
+@query("""
+SELECT CAST(ROW_NUMBER() OVER (ORDER BY doc_id DESC) - 1 AS INT) AS list_order, CAST(doc_id AS INT) AS map_index, doc_id % 4 <> 0 AS found,
+       CASE WHEN doc_id % 4 <> 0 THEN text || chr(10) ELSE '[MISSING LOG FILE]' END AS content FROM documents
+""")
+def src_failed_logs(t):
+    root = scratch_path(t.spark, "logs")
+    task = f"{root}/dag_id=d/run_id=manual_1/task_id=t"
+    documents = t("documents").select(F.col("doc_id").alias("map_index"), "text")
+    # Every fourth log is missing; what Spark wrote gets the name of a log.
+    spread(documents.filter("map_index % 4 <> 0")).write.partitionBy("map_index").text(task)
+    for row in files.list_files(t.spark, task, ".txt").select("path").collect():
+        fs, path = hadoop_path(t.spark, row.path)
+        fs.rename(path, hadoop_path(t.spark, f"{row.path.rsplit('/', 1)[0]}/attempt=1.log")[1])
+    indices = [r.map_index for r in documents.select("map_index").orderBy(F.desc("map_index")).collect()]
+    return files.collect_failed_logs(t.spark, root, "d", "manual_1", "t", indices).select("list_order", "map_index", "found", "content")
+
+
+@query("SELECT 36 + (c_custkey % 512) / 256 AS lon, -(c_custkey % 128) / 64 AS lat, c_name AS name FROM customer")
+def src_geojson(t):
+    root = scratch_path(t.spark, "places")
+    lon, lat = 36 + (F.col("c_custkey") % 512) / 256, -(F.col("c_custkey") % 128) / 64
+    feature = F.struct(
+        F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"),
+        F.struct(F.col("c_name").alias("name")).alias("properties"),
+    )
+    # A file for each nation, as one indented-free document.
+    documents = t("customer").groupBy("c_nationkey").agg(F.collect_list(feature).alias("features"))
+    texts = documents.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value"))
+    texts.write.option("maxRecordsPerFile", 1).text(root)
+    return files.read_geojson_points(t.spark, root, ["name"])
 
 
 def _count_characters(name: str, content: bytes) -> dict:
@@ -183,20 +233,18 @@ def dml_replace(t):
 
 
 @query("""
-SELECT * FROM (VALUES ('s_suppkey', 'decimal(38,0)', FALSE), ('s_name', 'string', TRUE), ('s_nationkey', 'decimal(38,0)', TRUE),
-  ('s_acctbal', 'decimal(12,2)', TRUE), ('_ingested_at', 'timestamp_ntz', TRUE)) AS v(field, spark_type, nullable),
-  (SELECT COUNT(*) AS suppliers FROM supplier)
+SELECT CAST(s_suppkey AS DECIMAL(38,0)) AS s_suppkey, s_name, CAST(s_nationkey AS DECIMAL(38,0)) AS s_nationkey, CAST(s_acctbal AS DECIMAL(12,2)) AS s_acctbal,
+       'decimal(38,0) string decimal(38,0) decimal(12,2) timestamp_ntz' AS types, CAST(0 AS BIGINT) AS rows_before FROM supplier
 """)
 def dml_create_typed(t):
     schema = schema_from_dictionary(SUPPLIER_ROWS)
     table = Table(t.spark, scratch_path(t.spark, "typed"), schema).ensure()
+    before = table.read().agg(F.count("*").alias("rows_before"))
     stamp = F.lit("2024-01-01").cast("timestamp_ntz").alias("_ingested_at")
     filled = table.replace(t("supplier").select(*schema.names[:-1], stamp)).read()
-    described = t.spark.createDataFrame(
-        [(f.name, f.dataType.simpleString(), f.nullable) for f in schema.fields], "field string, spark_type string, nullable boolean"
-    )
-    count = filled.agg(F.count("*").alias("suppliers"))
-    return described.select("*", F.lit(count.head()[0]).cast("bigint").alias("suppliers"))
+    types = F.concat_ws(" ", *[F.typeof(F.col(f.name)) for f in filled.schema.fields])
+    # The one-row side is what the table held when it was created.
+    return filled.select(*schema.names[:-1], types.alias("types"), F.lit("x").alias("k")).join(before.withColumn("k", F.lit("x")), "k").drop("k")
 
 
 @query("""
@@ -207,8 +255,10 @@ def dml_load_all(t):
     root = scratch_path(t.spark, "sync")
     dictionary = SUPPLIER_ROWS + REGION_ROWS
     # Twice: the keyed table is merged onto itself, the other one replaced.
+    # The keyed table's delivery holds every row twice.
+    reader = lambda name: t(name).unionByName(t(name)) if name == "supplier" else t(name)
     for at in ("2024-01-01", "2024-01-02"):
-        load_all_tables(t.spark, dictionary, t, root, F.lit(at).cast("timestamp_ntz"))
+        load_all_tables(t.spark, dictionary, reader, root, F.lit(at).cast("timestamp_ntz"))
     schemas = {name: schema_from_dictionary(rows) for name, rows in group_tables(dictionary).items()}
     supplier = Table(t.spark, f"{root}/supplier", schemas["supplier"]).read()
     region = Table(t.spark, f"{root}/region", schemas["region"]).read()

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from ..functions.prices import discount_pct, price_first
+from ..operators.dedup import latest_per_key
 from ..operators.merge import merge_upsert
-from ..operators.scd2 import scd2_apply
-from ..plans.mart import daily_facility_metrics, daily_metrics_source, refresh_daily_metrics
+from ..plans.mart import daily_facility_metrics, daily_metrics_source, provider_history, refresh_daily_metrics
 from ..plans.products import merge_daily
 from ..sources.sync import merge_by_primary_key, stage
 from . import query
@@ -23,7 +23,11 @@ def _merge_sql(on: str, guard: str) -> str:
 
 @query(_merge_sql("t.id = s.id", "TRUE"))
 def dml_merge(t):
-    return merge_upsert(t("fx_target"), t("fx_delivery"), ["id"], update_cols=_COLUMNS)
+    # Rows with an id come in an older version as well; the latest of each is merged.
+    delivery = t("fx_delivery")
+    older = delivery.filter("id IS NOT NULL").withColumns({"type": F.lit("older"), "ingested_at": F.expr("ingested_at - INTERVAL 2 DAYS")})
+    latest = latest_per_key(delivery.filter("id IS NOT NULL").unionByName(older), ["id"], "ingested_at", ["type"])
+    return merge_upsert(t("fx_target"), latest.unionByName(delivery.filter("id IS NULL")), ["id"], update_cols=_COLUMNS)
 
 
 @query(_merge_sql("t.id = s.id AND t.facility_id = s.facility_id", "t.ingested_at < s.ingested_at"))
@@ -70,7 +74,8 @@ def dml_merge_pk(t):
     old, new = (F.lit(d).cast("timestamp_ntz") for d in ("2024-01-01 00:00:00", "2024-01-31 00:00:00"))
     stored = stage(supplier.filter("s_suppkey % 2 = 1"), SUPPLIER_ROWS, old)
     changed = supplier.filter("s_suppkey % 4 <> 1").withColumn("s_acctbal", F.col("s_acctbal") + 1)
-    return merge_by_primary_key(stored, stage(changed, SUPPLIER_ROWS, new), ["s_suppkey"])
+    # The delivery holds every row twice.
+    return merge_by_primary_key(stored, stage(changed.unionByName(changed), SUPPLIER_ROWS, new), ["s_suppkey"])
 
 
 @query("""
@@ -79,7 +84,7 @@ WITH old AS (SELECT CAST(event_time AS DATE) AS metric_date, facility_id, COUNT(
              FROM fx_clean_events WHERE event_time < TIMESTAMP '2024-01-30 12:00:00' GROUP BY 1, 2),
 fresh AS (SELECT CAST(event_time AS DATE) AS metric_date, facility_id, COUNT(DISTINCT event_id) AS n, COUNT(DISTINCT patient_id) AS p,
                CAST(((2 * CAST(SUM(amount) * 100 AS HUGEINT) + COUNT(amount)) // (2 * COUNT(amount))) / 100.0 AS DECIMAL(38,2)) AS a
-             FROM fx_clean_events WHERE event_time >= TIMESTAMP '2024-01-30 18:00:00' - INTERVAL 24 HOUR GROUP BY 1, 2)
+             FROM fx_clean_events WHERE event_time >= TIMESTAMP '2024-01-29 00:00:00' GROUP BY 1, 2)
 SELECT COALESCE(o.metric_date, f.metric_date) AS metric_date, COALESCE(o.facility_id, f.facility_id) AS facility_id,
        COALESCE(f.n, o.n) AS total_encounters, COALESCE(f.p, o.p) AS unique_patients, CASE WHEN f.n IS NOT NULL THEN f.a ELSE o.a END AS avg_revenue_per_encounter,
        CASE WHEN o.n IS NOT NULL AND f.n IS NOT NULL THEN TIMESTAMP '2024-01-30 18:00:00' END AS updated_at
@@ -94,23 +99,24 @@ def dml_agg_refresh(t):
 
 
 @query("""
-SELECT CAST(s_suppkey AS VARCHAR) AS provider_id, s_name AS provider_name, CAST(s_acctbal AS DECIMAL(12,2)) AS balance, DATE '2020-01-01' AS effective_date,
-       CASE WHEN s_suppkey % 3 = 0 AND s_suppkey % 6 = 0 THEN DATE '2024-01-31' END AS end_date, NOT (s_suppkey % 3 = 0 AND s_suppkey % 6 = 0) AS is_current
+SELECT md5(CAST(s_suppkey AS VARCHAR) || '|2020-01-01') AS provider_sk, CAST(s_suppkey AS VARCHAR) AS provider_id, s_name AS provider_name,
+       'D' || s_nationkey AS department, DATE '2020-01-01' AS effective_date,
+       CASE WHEN s_suppkey % 6 = 0 THEN DATE '2024-01-31' END AS end_date, s_suppkey % 6 <> 0 AS is_current
 FROM supplier WHERE s_suppkey % 5 <> 4
 UNION ALL
-SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_acctbal + CASE WHEN s_suppkey % 6 = 0 THEN 1 ELSE 0 END AS DECIMAL(12,2)), DATE '2024-01-31', NULL, TRUE
-FROM supplier WHERE s_suppkey % 3 = 0 AND (s_suppkey % 6 = 0 OR s_suppkey % 5 = 4)
+SELECT md5(CAST(s_suppkey AS VARCHAR) || '|2024-01-31'), CAST(s_suppkey AS VARCHAR), s_name, CASE WHEN s_suppkey % 6 = 0 THEN 'moved' ELSE 'D' || s_nationkey END,
+       DATE '2024-01-31', NULL, TRUE
+FROM supplier WHERE s_suppkey % 6 = 0 OR s_suppkey % 5 = 4
 """)
 def dml_scd2(t):
     k = F.col("s_suppkey")
     rows = t("supplier").select(
         "s_suppkey", k.cast("string").alias("provider_id"), F.col("s_name").alias("provider_name"),
-        F.col("s_acctbal").cast("decimal(12,2)").alias("balance"),
+        F.concat(F.lit("D"), F.col("s_nationkey").cast("string")).alias("department"),
     )
-    dim = rows.filter(k % 5 != 4).select(
-        "provider_id", "provider_name", "balance", F.lit("2020-01-01").cast("date").alias("effective_date"),
-        F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current"),
-    )
-    changed = F.col("balance") + F.when(k % 6 == 0, 1).otherwise(0)
-    changes = rows.filter(k % 3 == 0).select("provider_id", "provider_name", changed.alias("balance"))
-    return scd2_apply(dim, changes, "provider_id", ["provider_name", "balance"], "2024-01-31")
+    # All suppliers but every fifth are there; of the delivery some are new, some moved, some the same.
+    stored = provider_history(None, rows.filter(k % 5 != 4).drop("s_suppkey"), "2020-01-01")
+    moved = F.when(k % 6 == 0, F.lit("moved")).otherwise(F.col("department"))
+    delivery = rows.filter((k % 3 == 0) | (k % 5 == 4)).withColumn("department", moved).drop("s_suppkey")
+    history = provider_history(stored, delivery, "2024-01-31")
+    return history.select("provider_sk", "provider_id", "provider_name", "department", "effective_date", "end_date", "is_current")

@@ -191,7 +191,7 @@ def prj_coerce_numeric(t):
     return coerce_numeric(t("fx_sheet").select("claim_id", "total_bill"))
 
 
-@query("SELECT claim_id, strftime(TRY_CAST(adm_date AS DATE), '%Y-%m-%d') AS adm_date FROM fx_sheet")
+@query("SELECT claim_id, strftime(adm_day, '%Y-%m-%d') AS adm_date FROM fx_sheet")
 def prj_coerce_date(t):
     return coerce_date(t("fx_sheet").select("claim_id", "adm_date"))
 

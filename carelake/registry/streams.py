@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..plans.revenue import daily_kpis
 from ..schemas import DAILY_METRICS, struct
 from ..session import scratch_path
+from ..sources.landing import keys_as_text
 from ..sources.tables import Table
 from ..streaming import ingest, refresh
 from . import query
@@ -33,7 +34,8 @@ def str_auto_ingest(t):
     # The second start finds nothing new.
     for _ in range(2):
         ingest.auto_ingest(t.spark, root, raw, checkpoint).awaitTermination()
-    rows = t.spark.read.parquet(raw)
+    with keys_as_text(t.spark):
+        rows = t.spark.read.parquet(raw)
     return rows.select(F.try_variant_get("payload", "$.id", "string").alias("id"), *_RAW_COLUMNS)
 
 
@@ -42,16 +44,14 @@ _COLUMNS = "event_id, facility_id, patient_id, event_time, amount"
 
 @query(f"SELECT {_COLUMNS} FROM fx_clean_events WHERE ingested_at >= TIMESTAMP '{_HALF}'")
 def str_append_cdc(t):
-    table, seen, new, checkpoint = _folders(t, "cdc", "table", "seen", "new", "checkpoint")
+    table, batches, checkpoint = _folders(t, "cdc", "table", "batches", "checkpoint")
     _half(t, False).write.parquet(table)
     changes = ingest.append_changes(t.spark, table, _half(t, False).schema)
-    ingest.drain(changes, seen, checkpoint).awaitTermination()
+    ingest.drain_batches(changes, batches, checkpoint)
     _half(t, True).write.mode("append").parquet(table)
-    # The offset is the checkpoint; rows go wherever the reader says.
-    reader = changes.writeStream.foreachBatch(lambda batch, _: batch.write.mode("append").parquet(new))
-    reader.option("checkpointLocation", checkpoint + "-new").trigger(availableNow=True).start().awaitTermination()
-    everything, before = t.spark.read.parquet(new), t.spark.read.parquet(seen).select("event_id")
-    return everything.join(before, "event_id", "left_anti").select(*_COLUMNS.split(", "))
+    # The checkpoint holds the offset: the second reading has the new rows only.
+    new = ingest.drain_batches(changes, batches, checkpoint)
+    return t.spark.read.schema(changes.schema).parquet(*new).select(*_COLUMNS.split(", "))
 
 
 @query(f"SELECT {_COLUMNS} FROM fx_clean_events")
@@ -66,7 +66,11 @@ def str_initial_rows(t):
     return t.spark.read.parquet(out).select(*_COLUMNS.split(", "))
 
 
-@query("SELECT metric_date, facility_id, total_encounters, unique_patients, avg_revenue_per_encounter FROM ox_metrics")
+@query(f"""
+SELECT metric_date, facility_id, total_encounters, unique_patients, avg_revenue_per_encounter FROM ox_metrics,
+  (SELECT MAX(event_time) FILTER (WHERE ingested_at < TIMESTAMP '{_HALF}') AS first, MAX(event_time) AS last FROM fx_clean_events)
+WHERE metric_date BETWEEN CAST(first - INTERVAL 24 HOUR AS DATE) AND CAST(first AS DATE) OR metric_date >= CAST(last - INTERVAL 24 HOUR AS DATE)
+""")
 def str_refresh_merge(t):
     table, out, checkpoint = _folders(t, "refresh", "clean", "metrics", "checkpoint")
     metrics = Table(t.spark, out, struct(DAILY_METRICS))
@@ -74,7 +78,7 @@ def str_refresh_merge(t):
         _half(t, later).write.mode("append").parquet(table)
         events = ingest.append_changes(t.spark, table, _half(t, later).schema)
         read = lambda: t.spark.read.parquet(table)
-        refresh.refresh_on_arrival(events, read, metrics, checkpoint, lookback_hours=24 * 60).awaitTermination()
+        refresh.refresh_on_arrival(events, read, metrics, checkpoint).awaitTermination()
     return metrics.read().select("metric_date", "facility_id", "total_encounters", "unique_patients", "avg_revenue_per_encounter")
 
 

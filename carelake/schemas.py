@@ -56,9 +56,12 @@ TABLES = {
 }
 
 # The fields of an extracted clinical note, in order; the lists among them.
-NOTE_FIELDS = """document_type document_date baby_name sex gestational_age age_or_day_of_life birth_weight
-    current_weight delivery_details apgar_scores diagnoses clinical_summary vitals examination_findings
-    investigations treatments feeding_and_support discharge_plan clinician_name raw_notes""".split()
+NOTE_FIELDS = [
+    "document_type", "document_date", "baby_name", "sex", "gestational_age",
+    "age_or_day_of_life", "birth_weight", "current_weight", "delivery_details", "apgar_scores",
+    "diagnoses", "clinical_summary", "vitals", "examination_findings", "investigations",
+    "treatments", "feeding_and_support", "discharge_plan", "clinician_name", "raw_notes",
+]
 NOTE_LISTS = ["diagnoses", "investigations", "treatments"]
 
 

@@ -5,24 +5,34 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import hadoop_path
+
 # Cell texts that mean "no value".
 NULL_TOKENS = ["", "NULL", "null", "NaN", "nan"]
+# Cell texts that a read without given types takes for missing.
+MISSING_WORDS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 MISSING_LOG = "[MISSING LOG FILE]"
 COLON_STAND_IN = "\uf03a"
 
 
 # ---- CSV
 
-def union_csv_folder(spark: SparkSession, path: str) -> DataFrame:
+def union_csv_folder(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """All ``*.csv`` of a folder united by column name, full-row duplicates removed.
 
-    Files are grouped by header line (a multi-file read would take the first file's
-    header for all); empty files are skipped. A column whose type differs between
-    groups becomes text.
+    Files are grouped by header line (a multi-file read would take the first file's header
+    for all); empty files are skipped. All cells are read as text, missing words as NULL;
+    one pass over the united rows then finds each column's type: whole numbers, numbers,
+    true/false, else text, so a whole-number column of one file widens to that of another.
+    Quoted cells may hold line breaks; ``multi_line=False`` gives that up and lets one large
+    file be read by several tasks.
     """
     options = {"pathGlobFilter": "*.csv", "ignoreCorruptFiles": "true"}
     first_lines = (
@@ -38,31 +48,45 @@ def union_csv_folder(spark: SparkSession, path: str) -> DataFrame:
     if not groups:
         raise FileNotFoundError(f"no CSV file with a header under {path}")
     frames = [
-        spark.read.options(header="true", inferSchema="true", quote='"', escape='"', ignoreCorruptFiles="true")
-        .csv(g["files"])
+        spark.read.options(header="true", quote='"', escape='"', multiLine=str(multi_line).lower(), ignoreCorruptFiles="true").csv(g["files"])
         for g in groups
     ]
-    types: dict[str, set[T.DataType]] = {}
-    for frame in frames:
-        for f in frame.schema.fields:
-            types.setdefault(f.name, set()).add(f.dataType)
-    mixed = [c for c, found in types.items() if len(found) > 1]
-    frames = [f.withColumns({c: F.col(c).cast("string") for c in mixed if c in f.columns}) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).distinct()
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    texts = united.select(*[F.when(~F.trim(F.col(_quoted(c))).isin(MISSING_WORDS), F.col(_quoted(c))).alias(c) for c in united.columns])
+    return _in_found_types(texts).distinct()
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _in_found_types(texts: DataFrame) -> DataFrame:
+    """Text columns in the narrowest type that all their cells have; columns without cells stay text."""
+    kinds = {"bigint": r"^\s*[+-]?\d{1,18}\s*$", "double": r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$", "boolean": r"^(True|TRUE|true|False|FALSE|false)$"}
+    checks = [F.bool_and(F.col(_quoted(c)).rlike(pattern)).alias(f"{i} {kind}") for i, c in enumerate(texts.columns) for kind, pattern in kinds.items()]
+    found = texts.agg(*checks).first()
+
+    def typed(i: int, name: str) -> Column:
+        kind = next((k for k in kinds if found[f"{i} {k}"]), None)
+        col = F.col(_quoted(name))
+        return (F.trim(col).cast(kind) if kind else col).alias(name)
+
+    return texts.select(*[typed(i, c) for i, c in enumerate(texts.columns)])
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, null_values: list[str] | None = None, on_error: str = "skip") -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, null_values: list[str] | None = None, on_error: str = "skip", multi_line: bool = True) -> DataFrame:
     """CSV with a header row in the given types.
 
     Null tokens become NULL. A row with an unreadable value or a wrong number of
-    cells is skipped, or fails the query with ``on_error='abort'``.
+    cells is skipped, or fails the query with ``on_error='abort'``. Quoted cells may hold
+    line breaks; ``multi_line=False`` gives that up and lets several tasks share a file.
     """
     tokens = NULL_TOKENS if null_values is None else null_values
     text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema.fields]
         + [T.StructField("_corrupt_record", T.StringType())]
     )
-    rows = spark.read.schema(text).options(header="true", mode="PERMISSIVE", quote='"', escape='"').csv(path)
+    rows = spark.read.schema(text).options(header="true", mode="PERMISSIVE", quote='"', escape='"', multiLine=str(multi_line).lower()).csv(path)
     cells = {f.name: F.when(~F.col(f.name).isin(tokens), F.col(f.name)) for f in schema.fields}
     typed = rows.select(
         "_corrupt_record",
@@ -92,6 +116,12 @@ def write_extractions(results: DataFrame, path: str, record_col: str = "extracte
     )
 
 
+def read_extractions(spark: SparkSession, path: str, name_col: str = "filename", record_col: str = "extracted_json") -> DataFrame:
+    """What ``write_extractions`` wrote, records with line breaks whole."""
+    schema = f"{name_col} string, {record_col} string"
+    return spark.read.schema(schema).options(header="true", quote='"', escape='"', multiLine="true").csv(path)
+
+
 # ---- parquet
 
 def read_parquet_snapshots(spark: SparkSession, glob: str, casts: dict[str, str]) -> DataFrame:
@@ -155,17 +185,16 @@ def collect_failed_logs(spark: SparkSession, root: str, dag_id: str, run_id: str
     run = run_id.replace(COLON_STAND_IN, ":")
     base = root.replace(COLON_STAND_IN, ":").rstrip("/")
     folder = f"{base}/dag_id={dag_id}/run_id={run}/task_id={task_id}"
+    file = lambda i: f"{folder}/map_index={i}/attempt={attempt}.log"
+    there = []
+    for i in dict.fromkeys(indices):
+        fs, p = hadoop_path(spark, file(i))
+        there += [file(i)] if fs.exists(p) else []
+    # Only the listed logs are read; the list is an argument, so its length is the caller's.
     logs = (
-        spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
-        .select(
-            F.regexp_extract("path", r"map_index=(-?\d+)/", 1).cast("int").alias("map_index"),
-            F.regexp_extract("path", r"attempt=(\d+)\.log$", 1).alias("_attempt"),
-            "content",
-        )
-        .filter(F.col("_attempt") == str(attempt))
-        .drop("_attempt")
-    )
+        spark.read.text(there, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
+        if there else spark.createDataFrame([], "path string, content string")
+    ).select(F.regexp_extract("path", r"map_index=(-?\d+)/", 1).cast("int").alias("map_index"), "content")
     wanted = spark.createDataFrame(list(enumerate(indices)), "list_order int, map_index int")
     return (
         wanted.join(logs, "map_index", "left")
@@ -182,21 +211,29 @@ def collect_failed_logs(spark: SparkSession, root: str, dag_id: str, run_id: str
 
 # ---- GeoJSON
 
-def read_geojson_points(spark: SparkSession, path: str, properties: list[str] | None = None) -> DataFrame:
+def read_geojson_points(spark: SparkSession, path: str, properties: list[str] | None = None, others: str = "raise") -> DataFrame:
     """One row per point feature: lon, lat and the properties as a map.
 
-    With ``properties`` those are columns instead.
+    With ``properties`` those are columns instead. A feature of another geometry fails the
+    query, or with ``others='skip'`` is left out.
     """
-    feature = "struct<geometry:struct<type:string,coordinates:array<double>>,properties:map<string,string>>"
+    if others not in ("raise", "skip"):
+        raise ValueError(f"unknown others {others!r}")
+    # Coordinates of other geometries are arrays of arrays, so they are kept as text here.
+    feature = "struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
     features = (
         spark.read.schema(f"features array<{feature}>").option("multiLine", "true").json(path)
         .select(F.explode("features").alias("f"))
-        .filter(F.col("f.geometry.type") == "Point")
     )
+    kind = F.coalesce("f.geometry.type", F.lit("no geometry"))
+    if others == "raise":
+        problem = F.raise_error(F.concat(F.lit("feature that is no point: "), kind)).cast("boolean")
+        features = features.filter(F.when(kind == "Point", True).otherwise(problem))
+    else:
+        features = features.filter(kind == "Point")
+    place = F.from_json("f.geometry.coordinates", "array<double>")
     names = [F.col("f.properties").getItem(p).alias(p) for p in properties or []] or [F.col("f.properties").alias("properties")]
-    return features.select(
-        F.get("f.geometry.coordinates", 0).alias("lon"), F.get("f.geometry.coordinates", 1).alias("lat"), *names
-    )
+    return features.select(F.get(place, 0).alias("lon"), F.get(place, 1).alias("lat"), *names)
 
 
 def read_json_schema(spark: SparkSession, path: str) -> dict:

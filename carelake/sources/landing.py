@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from ..operators.variant import row_hash
 from ..schemas import RAW_EVENTS, conform
 
 KEYS = ["facility_id", "module", "table", "namespace", "dt", "run_id"]
+_INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
 
 
 def write_raw_landing(df: DataFrame, root: str, run_id: str, line: str = "line") -> None:
@@ -39,19 +43,43 @@ def write_raw_landing(df: DataFrame, root: str, run_id: str, line: str = "line")
     )
 
 
-def _lines(spark: SparkSession, path: str, stream: bool = False, schema: str | None = None) -> DataFrame:
-    reader = spark.readStream if stream else spark.read
-    if schema:
-        reader = reader.schema(schema)
-    return reader.format("text").load(path)
+@contextlib.contextmanager
+def keys_as_text(spark: SparkSession) -> Iterator[None]:
+    """Folder keys stay as they are written: 007 and 1e3 are names, not numbers."""
+    before = spark.conf.get(_INFERENCE)
+    spark.conf.set(_INFERENCE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_INFERENCE, before)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    with keys_as_text(spark):
+        return spark.read.format("text").load(path)
+
+
+def _records(value: Column) -> Column:
+    """The records of a landed line: the elements of an array, each a VARIANT of its own, or the one value."""
+    one = F.array(F.try_parse_json(value))
+    return F.when(F.ltrim(value).startswith("["), F.from_json(value, "array<variant>")).otherwise(one)
+
+
+def _reason(value: Column, records: Column) -> Column:
+    """Why a line gave no record: ``too_large`` for JSON beyond what a VARIANT holds, else ``not_json``."""
+    json = F.json_array_length(value).isNotNull() | F.json_object_keys(value).isNotNull()
+    failed = records.isNull() | (F.size(F.filter(records, lambda r: r.isNull())) > 0)
+    return F.when(failed, F.when(json, "too_large").otherwise("not_json"))
 
 
 def raw_columns(lines: DataFrame, on_error: str = "continue", ingested_at: Column | None = None) -> DataFrame:
-    """RAW rows from landed lines. ``on_error``: continue drops lines that are not JSON,
-    abort fails the query, quarantine returns only the bad lines."""
+    """RAW rows from landed lines, one for each record of a line.
+
+    ``on_error``: continue drops lines that are not JSON and fails on JSON that is too large
+    to hold, abort fails on both, quarantine returns only such lines, with the reason.
+    """
     if on_error not in ("continue", "abort", "quarantine"):
         raise ValueError(f"unknown on_error {on_error!r}")
-    parsed = F.parse_json("value") if on_error == "abort" else F.try_parse_json("value")
     held = set(lines.columns)
 
     def key(name: str) -> Column:
@@ -59,12 +87,20 @@ def raw_columns(lines: DataFrame, on_error: str = "continue", ingested_at: Colum
         stamped = F.try_variant_get("payload", f"$._airflow_meta.{meta[name]}", "string")
         return F.coalesce(stamped, F.col(name).cast("string")) if name in held else stamped
 
-    with_payload = lines.withColumn("payload", parsed).withColumn("_file_name", F.col("_metadata.file_path"))
+    read = lines.withColumn("_file_name", F.col("_metadata.file_path")).withColumn("_file_time", F.col("_metadata.file_modification_time"))
+    read = read.withColumn("_records", _records(F.col("value")))
+    read = read.withColumn("_reason", _reason(F.col("value"), F.col("_records")))
     if on_error == "quarantine":
-        return with_payload.filter(F.col("payload").isNull()).select("value", "_file_name")
+        return read.filter(F.col("_reason").isNotNull()).select("value", "_file_name", F.col("_reason").alias("reason"))
+    fatal = F.col("_reason").isNotNull() if on_error == "abort" else F.col("_reason") == "too_large"
+    failure = F.raise_error(F.concat(F.lit("landed line is "), F.col("_reason"), F.lit(" in "), F.col("_file_name")))
+    # Each line yields its records, nothing, or the failure of the query.
+    empty = F.array().cast("array<variant>")
+    usable = F.when(F.coalesce(fatal, F.lit(False)), failure.cast("array<variant>")).when(F.col("_reason").isNotNull(), empty).otherwise(F.col("_records"))
+    with_payload = read.withColumn("payload", F.explode(usable))
     stamped_at = F.try_variant_get("payload", "$._airflow_meta.ingested_at", "string")
-    when = ingested_at if ingested_at is not None else F.col("_metadata.file_modification_time")
-    return with_payload.filter(F.col("payload").isNotNull()).select(
+    when = ingested_at if ingested_at is not None else F.col("_file_time")
+    return with_payload.select(
         key("facility_id").alias("facility_id"),
         F.coalesce(F.try_to_timestamp(stamped_at), when.cast("timestamp")).alias("ingested_at"),
         (F.col("dt") if "dt" in held else F.lit(None)).cast("date").alias("execution_date"),
@@ -80,7 +116,7 @@ def raw_columns(lines: DataFrame, on_error: str = "continue", ingested_at: Colum
 
 
 def read_raw_landing(spark: SparkSession, path: str, on_error: str = "continue", ingested_at: Column | None = None) -> DataFrame:
-    """One row per landed line, with the keys of its folder and its file name.
+    """One row per landed record, with the keys of its folder as text and its file name.
 
     Filters on facility, table or day prune folders before any file is opened.
     """

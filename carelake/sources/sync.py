@@ -35,8 +35,11 @@ def stage(df: DataFrame, rows: list[dict], ingested_at: Column) -> DataFrame:
 
 
 def merge_by_primary_key(target: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
-    """Update all columns of matched rows, insert the rest."""
-    return merge_upsert(target, staged, keys, update_cols=staged.columns)
+    """Update all columns of matched rows, insert the rest.
+
+    Repeated rows of a delivery are one; rows that differ under one key are an error.
+    """
+    return merge_upsert(target, staged.distinct(), keys, update_cols=staged.columns)
 
 
 def load_table(spark: SparkSession, root: str, name: str, rows: list[dict], reader: Reader, ingested_at: Column) -> Table:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import minute_diff
+from ..functions.nulls import count_when
 from ..sources.landing import raw_columns
 
 LANDING_SCHEMA = (
@@ -56,19 +58,40 @@ def drain(changes: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def drain_batches(changes: DataFrame, root: str, checkpoint: str) -> list[str]:
+    """The changes since the last call with this checkpoint, a folder for each batch; the new folders.
+
+    A batch that is run again after a failure writes its folder again.
+    """
+    folders: list[str] = []
+
+    def write(batch: DataFrame, number: int) -> None:
+        folder = f"{root.rstrip('/')}/batch={number}"
+        batch.write.mode("overwrite").parquet(folder)
+        folders.append(folder)
+
+    writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return folders
+
+
 def hourly_load_stream(raw: DataFrame, time_col: str = "_loaded_at", late: str = "2 hours") -> DataFrame:
     """Load monitor over a stream: hour buckets close once the watermark passed them.
 
     Exact distinct counts are not available on streams; the hash count is approximate.
+    Rows that are joined with their ``validation_status`` have their errors counted.
     """
+    errors = [count_when(F.col("validation_status") != "VALID").alias("error_count")] if "validation_status" in raw.columns else []
     return (
         raw.withWatermark(time_col, late)
         .groupBy(F.window(time_col, "1 hour"), "facility_id", "module_source", "source_table")
         .agg(
             F.count("*").alias("record_count"),
             F.approx_count_distinct("row_hash").alias("unique_records"),
+            *errors,
             F.min(time_col).alias("first_load"),
             F.max(time_col).alias("last_load"),
+            minute_diff(F.min(time_col), F.max(time_col)).alias("load_duration_minutes"),
         )
         .select(F.col("window.start").alias("hour_bucket"), "*")
         .drop("window")

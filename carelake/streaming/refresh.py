@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.mart import daily_metrics_source, refresh_daily_metrics
+from ..session import scratch
 from ..sources.tables import Table
 
 WATERMARK_START = "1970-01-01 00:00:00"
@@ -32,7 +33,8 @@ def refresh_on_arrival(events: DataFrame, read_clean: Callable[[], DataFrame], m
     def on_batch(batch: DataFrame, _: int) -> None:
         newest = batch.agg(F.max("event_time")).head()[0]
         if newest is not None:
-            refresh_aggregates(read_clean(), metrics, newest, lookback_hours)
+            with scratch(batch.sparkSession):
+                refresh_aggregates(read_clean(), metrics, newest, lookback_hours)
 
     writer = events.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)

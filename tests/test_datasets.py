@@ -5,10 +5,11 @@ import json
 
 from pyspark.sql import functions as F
 
+from carelake.fixtures import AS_OF
 from carelake.operators.spatial import join_radius
 from carelake.plans.clinical import clinical_metrics, median_by
 from carelake.plans.market import market_dna
-from carelake.plans.mart import daily_facility_metrics, fact_encounters, readmission_rates
+from carelake.plans.mart import daily_facility_metrics, dim_patient, fact_encounters, monthly_report, readmission_rates
 from carelake.plans.patients import patient_360
 from carelake.plans.quality import latency_alert, quality_checks
 from carelake.plans.revenue import daily_kpis
@@ -118,7 +119,10 @@ def test_sheet(spark):
 
 
 def test_monthly_report(spark, inputs):
-    got = {r.facility_id: (r.month, json.loads(r.report)) for r in queries()["fn_monthly_report"](spark, SF_DIR).collect()}
+    facts = fact_encounters(inputs("fx_encounters"), inputs("fx_diagnoses"), inputs("fx_procedures"), AS_OF, "batch-1")
+    shifted = facts.withColumn("admit_date", F.add_months("admit_date", 12 * 25))
+    record = monthly_report(daily_facility_metrics(labelled(inputs), AS_OF), shifted, dim_patient(inputs("fx_patients"), AS_OF), "2024-01-01")
+    got = {r.facility_id: (r.month, json.loads(r.report)) for r in record.select("month", "facility_id", F.to_json("report").alias("report")).collect()}
     assert set(got) == {"F0", "F1", "F2", "F3", "F4"}
     metrics = {(r.facility_id, str(r.metric_date)): r for r in daily_facility_metrics(labelled(inputs), "2024-01-31 00:00:00").collect()}
     new = inputs("fx_patients").filter("trunc(created_date, 'month') = '2024-01-01'")

@@ -213,4 +213,43 @@ def test_page_links(spark):
     page = """<A class=x HREF = "/1" >One <b>x</b></A><a name="n">no</a><a
     href="/2"> two </a>"""
     df = page_links(spark.createDataFrame([(page,)], "html string"))
-    assert rows(df) == [(0, "/1", "One x"), (1, "/2", "two")]
+    assert rows(df) == [(0, "/1", "One x"), (1, "", "no"), (2, "/2", "two")]
+
+
+def test_first_price_box_decides(spark):
+    plain_then_sale = '<ul class="products"><li class="product"><a href="u"><img src="i"><h2 class="woocommerce-loop-product__title">N</h2></a><span class="price">KES 100</span><span class="price"><ins><span class="woocommerce-Price-amount"><bdi>KES 7</bdi></span></ins></span></li></ul>'
+    pages = spark.createDataFrame([(plain_then_sale,)], "html string")
+    for shop in ("shop_list", "shop_cart"):
+        (card,) = extract_cards(pages, SITES[shop]).collect()
+        assert (card.current_price, card.original_price) == (100.0, None)
+    styled = plain_then_sale.replace("KES 100", "<style>p{width:5}</style>KES 100<script>9</script>")
+    (card,) = extract_cards(spark.createDataFrame([(styled,)], "html string"), SITES["shop_list"], snippet=10).collect()
+    assert card.current_price == 100.0 and len(card.full_html_snippet) == 10
+
+
+def test_links_in_any_quotes(spark):
+    html = """<a href='x?a=1&amp;b=2'>caf&eacute;</a><a href=y class=c>t<b>w</b>o</a><A HREF = "z">3</A><abbr href="n">no</abbr><a id=top>none</a><a title="a>b" href="q">4</a>"""
+    links = page_links(spark.createDataFrame([(1, html)], "id int, html string"), keep=["id"])
+    assert rows(links, "position", "url", "name") == [(0, "x?a=1&b=2", "café"), (1, "y", "two"), (2, "z", "3"), (3, "", "none"), (4, "q", "4")]
+
+
+def test_types_of_properties_are_checked(spark):
+    schema = {"type": "object", "properties": {"d": {"type": "array", "items": {"type": "string"}}, "n": {"type": ["number", "null"]}, "i": {"type": "integer"}}, "required": []}
+    cases = {'{"d":"not a list"}': ["d"], '{"d":["a",1]}': ["d"], '{"d":[],"n":null}': [], '{"n":"1"}': ["n"], '{"i":1.5}': ["i"], '{"i":3,"n":1.5,"d":["x"]}': [], '{"i":true}': ["i"]}
+    df = spark.createDataFrame([(c,) for c in cases], "extracted_json string")
+    for r in parse_by_json_schema(df, schema).collect():
+        assert (sorted(r.wrong_types), r.valid) == (cases[r.extracted_json], not cases[r.extracted_json])
+
+
+def test_deep_documents_do_not_fail(spark):
+    deep = '{"a":' * 900 + '{"text":"low"}' + "}" * 900
+    order = '{"x":[{"text":"1"},{"y":{"text":"2","z":[{"text":"3"}]}}],"text":{"text":"4"}}'
+    df = spark.createDataFrame([(1, deep), (2, order), (3, '{"a":[1,{"b":"c"}]}')], "id int, raw string")
+    got = {r[0]: r[1] for r in df.select("id", text_from_parse_json("raw")).collect()}
+    assert got[1] in ("low", deep) and got[2] == "1\n2\n3\n4" and json.loads(got[3]) == {"a": [1, {"b": "c"}]}
+
+
+def test_token_length_is_a_choice(spark):
+    df = spark.createDataFrame([("NAME: Ann",)], "t string")
+    short, long = (df.select(anonymize("t", "s", n)).head()[0] for n in (10, 64))
+    assert long.startswith(short) and len(long) == len("NAME: NM-") + 64

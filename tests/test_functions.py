@@ -168,3 +168,16 @@ def test_geo(spark):
     assert (x3, y3) == pytest.approx((500000.0, 10000000.0), abs=1e-6)
     assert one(spark, projected_population(F.lit(43122))) == int(43122 * 1.042**7)
     assert one(spark, projected_population(F.lit(43122), F.lit(0))) == 0
+
+
+def test_numbers_and_dates_of_sheets(spark):
+    from carelake.operators.sheet import coerce_date, coerce_mixed, coerce_numeric
+
+    numbers = {"45F": 0.0, "12d": 0.0, "1.5f": 0.0, " 7 ": 7.0, "-1e3": -1000.0, ".5": 0.5, "5.": 5.0, "NaN": 0.0, "0x1A": 0.0, "1_000": 0.0, "inf": float("inf"), None: 0.0}
+    df = spark.createDataFrame([(k, k) for k in numbers], "los string, age_or_dob string")
+    assert {r.age_or_dob: r.los for r in coerce_numeric(df).collect()} == numbers
+    assert {r.los: r.age_or_dob for r in coerce_mixed(df).collect()}["45F"] == "45F"
+    days = ["2024-01-02T03:04:05", "1/2/2024", "02-Jan-2024", "20240102", "2024-1-2", "2024-01-02 03:04:05.123", "2024-01-02T23:04:05+03:00", "2024-01-02T03:04:05Z",
+            "January 2, 2024", "Jan 2, 2024", "2 Jan 2024", "2 January 2024", "2024/01/02", "01/02/2024", "1/2/2024 3:04", " 2024-01-02 "]
+    read = coerce_date(spark.createDataFrame([(d,) for d in [*days, "unknown", "2024-13-02", "45F", None]], "adm_date string"))
+    assert [r.adm_date for r in read.collect()] == ["2024-01-02"] * len(days) + [None] * 4

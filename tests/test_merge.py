@@ -130,3 +130,36 @@ def test_scd2(spark):
          ("b", "y", "keep", old, None, True), ("c", None, None, new, None, True), (None, "n", None, new, None, True)], key=repr)
     again = scd2_apply(out, changes.filter("id is not null"), "id", ["name"], "2024-02-01")
     assert rows(again) == rows(out)
+
+
+def test_uniqueness_is_checked_unless_waived(spark):
+    twice = frame(spark, ("a", 1, 1), ("a", 1, 1), ("c", 2, 2), ("c", 3, 3))
+    with pytest.raises(DuplicateKeys):
+        merge_upsert(frame(spark, ("a", 0, 0), ("b", 0, 0)), twice, ["k"], ["v"])
+    history = spark.createDataFrame([], "k string, v int, effective_date date, end_date date, is_current boolean")
+    with pytest.raises(DuplicateKeys):
+        scd2_apply(history, twice.select("k", "v"), "k", ["v"], "2024-01-01")
+
+
+def test_clean_and_merge_take_the_same_keys(spark):
+    raw = spark.createDataFrame(
+        [("f", dt.datetime(2024, 1, 2), "h1", "a", '{"id":"1","type":"x"}'), ("f", dt.datetime(2024, 1, 2), "h2", "b", '{"id":"1","type":"y"}')],
+        "facility_id string, ingested_at timestamp_ntz, row_hash string, source_table string, payload string",
+    ).withColumn("payload", F.parse_json("payload"))
+    keys = [*MERGE_KEYS, "source_table"]
+    source = clean_source(raw, keys=keys)
+    assert source.count() == 2
+    empty = empty_clean(spark).withColumn("source_table", F.lit(None).cast("string"))
+    now = F.lit("2024-01-03").cast("timestamp_ntz")
+    stored = merge_clean(empty, source, now, keys)
+    again = merge_clean(stored, source.withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 1 DAY")), now, keys)
+    assert rows(again, "event_id", "source_table", "event_type") == [("1", "a", "x"), ("1", "b", "y")]
+
+
+def test_offsets_fix_the_instant(spark):
+    raw = spark.createDataFrame(
+        [("f", dt.datetime(2024, 1, 2), "h1", "a", '{"id":"1","event_time":"2024-01-01T00:30:00+03:00"}'), ("f", dt.datetime(2024, 1, 2), "h2", "b", '{"id":"2","event_time":"2024-01-01 00:30:00"}')],
+        "facility_id string, ingested_at timestamp_ntz, row_hash string, source_table string, payload string",
+    ).withColumn("payload", F.parse_json("payload"))
+    for cleaned in (clean_source(raw), flat_source(raw)):
+        assert rows(cleaned, "event_id", "event_time") == [("1", dt.datetime(2023, 12, 31, 21, 30)), ("2", dt.datetime(2024, 1, 1, 0, 30))]

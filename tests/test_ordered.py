@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from carelake.operators.ordered import Blocks, Placed, split_hot
-from carelake.plans.inventory import daily_inventory, moving_cost
+from carelake.plans.inventory import daily_inventory, moving_cost, stock_windows
 from carelake.plans.mart import next_in_group, readmission_rates
 from carelake.plans.patients import patient_acuity, patient_journey, patient_journey_plain
 from carelake.registry.aggregates import labelled
@@ -106,3 +106,16 @@ def test_no_window_over_everything(spark, inputs):
     for df in (acuity, patient_journey(clean)):
         assert "SinglePartition" not in _plan(df)
     assert "SinglePartition" in _plan(patient_journey_plain(clean))
+
+
+def test_stock_windows_of_hot_keys(spark, inputs):
+    movements = inputs("fx_stock_movements")
+    # A product without an id gathers the names of its facility; some days have no quantity.
+    gone = F.col("product_id").cast("int") % 3 == 0
+    movements = movements.withColumn("product_id", F.when(~gone, F.col("product_id"))).withColumn(
+        "quantity", F.when(F.col("product_id").cast("int") % 7 != 1, F.col("quantity"))
+    ).withColumn("movement_date", F.when(F.dayofmonth("movement_date") != 9, F.col("movement_date")))
+    daily = daily_inventory(movements)
+    plain = stock_windows(daily)
+    assert rows(stock_windows(daily, hot_rows=20, block_rows=31)) == rows(plain)
+    assert plain.filter("product_id is null").count() > 500

@@ -49,8 +49,9 @@ def test_landing_round_trip(spark, tmp_path):
     assert set(got) == {"f1", "meta"} and raw.count() == 2
     assert got["f1"].execution_date == dt.date(2024, 1, 2) and got["f1"]._file_name.endswith(".gz")
     assert got["meta"].row_hash == "h" and got["meta"].ingested_at == dt.datetime(2024, 1, 2, 3, 4, 5)
-    assert landing.read_raw_landing(spark, root, "quarantine").head().value == "[1"
-    with pytest.raises(Exception, match="MALFORMED"):
+    bad = landing.read_raw_landing(spark, root, "quarantine").collect()
+    assert [(r.value, r.reason) for r in bad] == [("[1", "not_json")]
+    with pytest.raises(Exception, match="not_json"):
         landing.read_raw_landing(spark, root, "abort").collect()
     landed(spark, root, "run:2")
     assert landing.read_raw_landing(spark, root).count() == 4
@@ -87,6 +88,7 @@ def test_csv_union(spark, tmp_path):
     out = files.union_csv_folder(spark, str(tmp_path))
     assert sorted(out.columns) == ["x", "y", "z"]
     assert rows(out, "x", "y", "z") == sorted([("1", "a", None), ("2", "b", None), (None, "b, c", 3), ("q", "c", None)], key=repr)
+    assert dict(out.dtypes) == {"x": "string", "y": "string", "z": "bigint"}
     with pytest.raises(FileNotFoundError):
         files.union_csv_folder(spark, str(tmp_path / "none") if (tmp_path / "none").mkdir() is None else "")
 
@@ -151,7 +153,7 @@ def test_geojson(spark, tmp_path):
     feature = {"type": "Feature", "geometry": {"type": "Point", "coordinates": [36.8, -1.29]}, "properties": {"name": "Gym", "n": 1}}
     line = {"type": "Feature", "geometry": None, "properties": {}}
     (tmp_path / "p.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [feature, line]}, indent=1))
-    points = files.read_geojson_points(spark, str(tmp_path / "p.geojson"), ["name"])
+    points = files.read_geojson_points(spark, str(tmp_path / "p.geojson"), ["name"], others="skip")
     assert rows(points) == [(36.8, -1.29, "Gym")]
     assert project(points).filter("x between 200000 and 300000 and y between 9800000 and 9900000").count() == 1
 
@@ -243,7 +245,7 @@ def test_table_versions(spark, tmp_path):
     assert table.versions() == [4, 5] and table.read().columns == ["k", "v"]
     assert rows(table.read()) == [("a", 3), ("b0", 0), ("b1", 1), ("b2", 2), ("b3", 3)]
     # A write without its commit marker does not count.
-    (tmp_path / "t" / "v=00000009").mkdir()
+    (tmp_path / "t" / "__version=00000009").mkdir()
     assert table.versions() == [4, 5] and table.read().count() == 5
 
 
@@ -256,10 +258,117 @@ def test_lake_tables_keep_layout_and_variants(spark, tmp_path):
     assert back.schema == struct(RAW_EVENTS) and back.count() == 2
     assert {r[0] for r in back.select(F.try_variant_get("payload", "$.id", "string")).collect()} == {"1", "2"}
     assert back.select("event_id").distinct().count() == 2
-    assert list((tmp_path / "lake" / "raw_events" / "v=00000001").glob("facility_id=f1/execution_date=2024-01-02/*.parquet"))
+    assert list((tmp_path / "lake" / "raw_events" / "__version=00000001").glob("facility_id=f1/execution_date=2024-01-02/*.parquet"))
     clean = merge_clean(empty_clean(spark), clean_source(back.withColumn("ingested_at", F.col("ingested_at").cast("timestamp_ntz"))), F.lit("2024-01-06").cast("timestamp_ntz"))
     assert open_table(spark, str(tmp_path / "lake"), "clean_events").replace(clean).read().count() == 2
 
 
 def test_headers(spark):
     assert normalize_headers(spark.range(1).toDF(" Total Bill ")).columns == ["total_bill"]
+
+
+def test_landed_names_stay_text(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    df = spark.createDataFrame([("007", "m", "1e3", "n", "2024-01-02", '[{"id":"1"},{"id":"2"}]'), ("7", "m", "0", "n", "2024-01-02", ' [] ')],
+                               "facility_id string, module string, table string, namespace string, dt string, line string")
+    landing.write_raw_landing(df, root, "08")
+    raw = landing.read_raw_landing(spark, root)
+    assert rows(raw, "facility_id", "source_table", F.try_variant_get("payload", "$.id", "string")) == [("007", "1e3", "1"), ("007", "1e3", "2")]
+    assert raw.schema["facility_id"].dataType == T.StringType()
+
+
+def test_large_landed_lines_are_kept_or_named(spark, tmp_path):
+    root = tmp_path / "raw" / "facility_id=f" / "module=m" / "table=t" / "namespace=n" / "dt=2024-01-02" / "run_id=1"
+    root.mkdir(parents=True)
+    record = '{"id":"%d","x":"' + "y" * 1_000_000 + '"}'
+    (root / "array.txt").write_text("[" + ",".join(record % i for i in range(140)) + ']\n{"id":"small"}\n')
+    raw = landing.read_raw_landing(spark, str(tmp_path / "raw"))
+    assert raw.select(F.try_variant_get("payload", "$.id", "string").alias("id")).distinct().count() == 141
+    (root / "one.txt").write_text('{"x":"' + "y" * 140_000_000 + '"}\n')
+    bad = landing.read_raw_landing(spark, str(tmp_path / "raw"), "quarantine").select("reason", F.length("value")).collect()
+    assert [tuple(r) for r in bad] == [("too_large", 140_000_008)]
+    with pytest.raises(Exception, match="too_large"):
+        landing.read_raw_landing(spark, str(tmp_path / "raw")).count()
+
+
+def test_csv_types_breaks_and_missing_words(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('n,t,b\n1,"line 1\nline ""2""",true\n2,N/A,False\n')
+    (tmp_path / "b.csv").write_text("b,n,big\nTRUE,1.0,99999999999999999999\n,2.5,NA\n,NULL,None\n")
+    out = files.union_csv_folder(spark, str(tmp_path))
+    assert dict(out.dtypes) == {"n": "double", "t": "string", "b": "boolean", "big": "double"}
+    assert rows(out, "n", "t", "b", "big") == sorted(
+        [(1.0, 'line 1\nline "2"', True, None), (2.0, None, False, None), (1.0, None, True, 1e20), (2.5, None, None, None), (None, None, None, None)], key=repr
+    )
+    schema = T.StructType.fromDDL("n int, t string, b boolean")
+    assert rows(files.read_csv_typed(spark, str(tmp_path / "a.csv"), schema, files.MISSING_WORDS)) == sorted([(1, 'line 1\nline "2"', True), (2, None, False)], key=repr)
+
+
+def test_extractions_keep_line_breaks(spark, tmp_path):
+    record = json.dumps({"a": [1, 2], "b": 'x, "y"'}, indent=2)
+    results = spark.createDataFrame([(True, "a\nb.pdf", record)], "ok boolean, filename string, extracted_json string")
+    files.write_extractions(results, str(tmp_path / "out"))
+    assert rows(files.read_extractions(spark, str(tmp_path / "out"))) == [("a\nb.pdf", record)]
+
+
+def test_partition_merge_writes_touched_partitions_only(spark, tmp_path):
+    schema = T.StructType.fromDDL("id int, v string, day date, place string")
+    table = Table(spark, str(tmp_path / "t"), schema, ["place", "day"], ["id"])
+    day = lambda d: dt.date(2024, 1, d)
+    table.replace(spark.createDataFrame([(1, "a", day(1), "x"), (2, "b", day(1), "x"), (3, "c", day(2), "y/z"), (4, "d", None, None)], schema))
+    files_of = lambda: {p.relative_to(tmp_path): p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    before = files_of()
+    # One row stays in its partition, one moves to another day, one is new; the rest is not touched.
+    source = spark.createDataFrame([(1, "A", day(1), "x"), (2, "B", day(5), "x"), (9, "N", day(6), "w")], schema)
+    table.merge(source, ["id"], ["v", "day"])
+    want = [(1, "A", day(1), "x"), (2, "B", day(5), "x"), (3, "c", day(2), "y/z"), (4, "d", None, None), (9, "N", day(6), "w")]
+    assert rows(table.read()) == sorted(want, key=repr)
+    after = files_of()
+    assert all(after[p] == t for p, t in before.items())
+    assert {p.parts[2] + "/" + p.parts[3] for p in set(after) - set(before)} == {"place=x/day=2024-01-01", "place=x/day=2024-01-05", "place=w/day=2024-01-06"}
+    # Untouched partitions outlive the version that wrote them; its other files go.
+    for n in range(3):
+        table.merge(spark.createDataFrame([(1, f"A{n}", day(1), "x")], schema), ["id"], ["v"])
+    left = files_of()
+    assert {p for p in left if "day=2024-01-02" in str(p)} == {p for p in before if "day=2024-01-02" in str(p)}
+    assert not [p for p in left if p in before and "place=x" in str(p)]
+    assert rows(table.read()) == sorted([(1, "A2", day(1), "x"), *want[1:]], key=repr)
+    # A merge that moves the last row of a partition leaves the partition out.
+    table.merge(spark.createDataFrame([(9, "N", day(5), "x")], schema), ["id"], ["day", "place"])
+    assert table.read().filter("place = 'w'").count() == 0 and table.read().count() == 5
+    assert table.replace(table.read().limit(0)).read().count() == 0
+
+
+def test_scratch_goes_with_its_block_and_the_session(tmp_path):
+    code = f"""
+import sys; sys.path.insert(0, {str(__import__('conftest').ROOT)!r})
+from pathlib import Path
+from carelake.session import get_session, scratch, written
+spark = get_session("s", "local[2]", **({{"spark__checkpoint__dir": "file:{tmp_path}/shared"}}))
+shared = Path("{tmp_path}/shared")
+with scratch(spark):
+    kept = written(written(spark.range(3), "inner"), "outer", outer=True)
+    assert len(list(shared.glob("carelake-*"))) == 2
+assert len(list(shared.glob("carelake-*"))) == 1 and kept.count() == 3
+written(spark.range(5), "loose")
+assert len(list(shared.glob("carelake-*"))) == 2
+"""
+    import subprocess
+    import sys
+
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=False)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert not list((tmp_path / "shared").glob("carelake-*"))
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from carelake import session
+
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:  # noqa: N801
+            master, applicationId = "yarn", "app"
+
+    with pytest.raises(ValueError, match="shared|share"):
+        session.scratch_dir(Cluster)
