@@ -5,22 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import scratch, written
 
-SPACE = r"[\x20\x09-\x0D]+"
+OTHER_SPACES = "\t\n\x0b\f\r"
 #: Word hashes are added modulo this prime below 2^61, so sums cannot overflow.
 PRIME = 2305843009213693951
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """ld_doc, ld_text_hash, ld_no and ld_line of each line; rows equal in both parts of the key share lines."""
+    """ld_doc, ld_text_hash, ld_no and ld_words of each line; rows equal in both parts of the key share lines."""
     key = docs.select(docs["doc_id"].cast("long").alias("ld_doc"), docs["text"].alias("ld_text"))
-    return key.select("ld_doc", F.xxhash64("ld_text").alias("ld_text_hash"), F.posexplode(F.split("ld_text", "\n", -1)).alias("ld_no", "ld_line"))
+    words = F.transform(F.split("ld_text", "\n", -1), _words)
+    return key.select("ld_doc", F.xxhash64("ld_text").alias("ld_text_hash"), F.posexplode(words).alias("ld_no", "ld_words"))
 
 
 def _words(line: Column) -> Column:
     """Lower-case words of a line; none for a line of white space."""
-    return F.filter(F.split(F.lower(line), SPACE), lambda w: w != "")
+    return F.filter(F.split(F.translate(F.lower(line), OTHER_SPACES, " " * len(OTHER_SPACES)), " "), lambda w: w != "")
 
 
 def _hash(kind: int, n: Column, words: Column) -> Column:
@@ -30,7 +31,7 @@ def _hash(kind: int, n: Column, words: Column) -> Column:
 
 def _measured(docs: DataFrame, min_words: int) -> DataFrame:
     """Lines of at least ``min_words`` words with their 128-bit identity, place and number of words."""
-    lines = _lines(docs).withColumn("ld_words", _words(F.col("ld_line"))).withColumn("ld_n", F.size("ld_words")).where(F.col("ld_n") >= min_words)
+    lines = _lines(docs).withColumn("ld_n", F.size("ld_words")).where(F.col("ld_n") >= min_words)
     joined = F.array_join("ld_words", " ")
     place = F.struct(F.col("ld_doc").isNull().alias("none"), F.col("ld_doc").alias("doc"), F.col("ld_text_hash").alias("text"), F.col("ld_no").alias("no"))
     return lines.select("ld_words", "ld_n", F.xxhash64(F.lit(1), joined).alias("ld_a"), F.xxhash64(F.lit(2), joined).alias("ld_b"), place.alias("ld_place"))
@@ -72,20 +73,17 @@ def _one_edit(a: Column, b: Column) -> Column:
     return F.when(na == nb, F.size(differ) <= 1).when(F.abs(na - nb) == 1, inserted).otherwise(False)
 
 
-def near_firsts(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
+def near_firsts(docs: DataFrame, keyed: DataFrame, near_words: int) -> DataFrame:
     """The lines (ld_a, ld_b) of which an occurrence must go, and the place that all later ones lose to.
 
-    One row for each different line that occurs twice or has an earlier neighbour.
+    One row for each different line that occurs twice or has an earlier neighbour. ``keyed``
+    are the measured lines of ``docs`` with their half keys.
     """
-    measured = _measured(docs, min_words)
-    keyed = measured.select("ld_a", "ld_b", "ld_n", "ld_place", _half_keys(F.col("ld_n"), F.col("ld_words"), near_words).alias("ld_halves"))
     firsts = written(
-        keyed.groupBy("ld_a", "ld_b").agg(
-            F.min("ld_place").alias("ld_first"), F.count(F.lit(1)).alias("ld_times"), F.first("ld_n").alias("ld_n"), F.first("ld_halves").alias("ld_halves")
-        ), "line-firsts",
+        keyed.groupBy("ld_a", "ld_b").agg(F.min("ld_place").alias("ld_first"), F.count(F.lit(1)).alias("ld_times"), F.first("ld_n").alias("ld_n")), "line-firsts"
     )
     # Only lines that share a half with another one can have a neighbour; the others emit no variants.
-    halves = firsts.select("ld_a", F.explode("ld_halves").alias("ld_half"))
+    halves = keyed.select("ld_a", F.explode("ld_halves").alias("ld_half"))
     candidates = halves.join(_shared(halves, "ld_half"), "ld_half", "left_semi").select("ld_a").distinct()
     at = firsts.join(candidates, "ld_a", "left_semi").select("ld_a", "ld_b", "ld_first", "ld_n")
     in_docs = at.groupBy(F.col("ld_first.doc").alias("at_doc"), F.col("ld_first.text").alias("at_text")).agg(
@@ -99,7 +97,7 @@ def near_firsts(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
                 _words(F.element_at("ld_lines", F.col("at.no") + 1)).alias("ld_words"))
         .dropDuplicates(["ld_a", "ld_b"]), "line-candidates",
     )
-    links = written(_links(lines), "line-links")
+    links = written(_links(lines, near_words), "line-links")
     near = links.groupBy("ld_a", "ld_b").agg(F.min("ld_partner").alias("ld_near"))
     firsts = firsts.select("ld_a", "ld_b", "ld_first", "ld_times")
     return firsts.join(near, ["ld_a", "ld_b"], "left").where("ld_times > 1 or ld_near is not null").select(
@@ -107,7 +105,7 @@ def near_firsts(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
     )
 
 
-def _links(lines: DataFrame) -> DataFrame:
+def _links(lines: DataFrame, near_words: int) -> DataFrame:
     """(ld_a, ld_b, ld_partner): a line and the first place of an earlier line within one word edit.
 
     Variants are a line itself and the line less each word. They are joined in two steps:
@@ -115,14 +113,16 @@ def _links(lines: DataFrame) -> DataFrame:
     a line of any length, then, for those that meet, by the hash of the variant itself. Two
     lines that lack the word at the same place, or of which one is the other's variant, are
     one edit apart, so the earliest of a group is linked with all others of it and no pairs
-    within a group are made. The edit distance of each link is verified on the words.
+    within a group are made. The edit distance of each link is verified on the words. A line
+    under ``near_words`` words is never the longer one of a link: it is its only variant.
     """
     hashes = F.transform("ld_words", lambda w: F.pmod(F.xxhash64(w), F.lit(PRIME)))
     summed = lines.withColumn("ld_hashes", hashes).withColumn(
         "ld_sum", F.aggregate("ld_hashes", F.lit(0).cast("long"), lambda s, h: (s + h) % PRIME)
     )
     loose = lambda n, total: F.xxhash64(n, total)
-    deletions = F.transform("ld_hashes", lambda h: loose(F.col("ld_n") - 1, F.pmod(F.col("ld_sum") - h, F.lit(PRIME))))
+    shorter = F.transform("ld_hashes", lambda h: loose(F.col("ld_n") - 1, F.pmod(F.col("ld_sum") - h, F.lit(PRIME))))
+    deletions = F.when(F.col("ld_n") >= near_words, shorter).otherwise(F.array().cast("array<bigint>"))
     keyed = summed.withColumn("ld_loose", deletions).withColumn("ld_full", loose(F.col("ld_n"), F.col("ld_sum")))
     variants = keyed.select("ld_a", "ld_b", F.explode(F.array_distinct(F.concat("ld_loose", F.array("ld_full")))).alias("ld_key"))
     meeting = variants.join(_shared(variants, "ld_key"), "ld_key", "left_semi").groupBy("ld_a", "ld_b").agg(F.collect_set("ld_key").alias("ld_keys"))
@@ -159,10 +159,14 @@ def _links(lines: DataFrame) -> DataFrame:
 
 
 def _dropped(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """For each key of a document: the lines that go, and how many lines were judged."""
-    lose = near_firsts(docs, min_words, near_words)
-    gone = _measured(docs, min_words).select("ld_a", "ld_b", "ld_place").join(lose, ["ld_a", "ld_b"]).where("ld_place > ld_keep")
-    return gone.groupBy(F.col("ld_place.doc").alias("gone_doc"), F.col("ld_place.text").alias("gone_text")).agg(F.collect_set("ld_place.no").alias("ld_gone"))
+    """For each key of a document that loses lines: their numbers."""
+    with scratch(docs.sparkSession):
+        halves = _half_keys(F.col("ld_n"), F.col("ld_words"), near_words).alias("ld_halves")
+        keyed = written(_measured(docs, min_words).select("ld_a", "ld_b", "ld_n", "ld_place", halves), "lines")
+        lose = near_firsts(docs, keyed, near_words)
+        gone = keyed.select("ld_a", "ld_b", "ld_place").join(lose, ["ld_a", "ld_b"]).where("ld_place > ld_keep")
+        by_doc = gone.groupBy(F.col("ld_place.doc").alias("gone_doc"), F.col("ld_place.text").alias("gone_text")).agg(F.collect_set("ld_place.no").alias("ld_gone"))
+        return written(by_doc, "lines-gone", outer=True)
 
 
 def _cleaned(docs: DataFrame, keep: Column, min_words: int, near_words: int) -> DataFrame:
