@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import scratch, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -26,13 +26,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct(), "edges")
     before = _mark(edges)
     while before[0]:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        large = written(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = written(small.select("e.u", "e.v").where("u != v").distinct(), "small-star")
+        with scratch(edges.sparkSession):
+            both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+            large = written(large, "large-star")
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+            edges = written(small.select("e.u", "e.v").where("u != v").distinct(), "small-star", outer=True)
         now = _mark(edges)
         if now == before:
             break

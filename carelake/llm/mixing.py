@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import written
+from ..session import scratch, written
 
 #: The hash key has 60 bits; each refinement looks at the next 12.
 KEY_BITS, STEP_BITS = 60, 12
@@ -88,6 +88,12 @@ def _keyed(docs: DataFrame) -> list[Column]:
     return [docs["source"].alias("mix_source"), n_words(docs["text"]).alias("mix_size"), key.alias("mix_key")]
 
 
+def _plan(sizes: DataFrame, outer: bool = False) -> DataFrame:
+    """The written budgets and thresholds of the sources."""
+    plan = _thresholds(sizes, written(source_targets(sizes), "mix-targets"))
+    return written(plan, "mix-plan", outer)
+
+
 def _times(rows: DataFrame, plan: DataFrame) -> DataFrame:
     joined = rows.join(plan, F.col("mix_source").eqNullSafe(F.col("to_source")), "left")
     return joined.withColumn("mix_times", F.col("mix_whole") + F.when(F.col("mix_key") < F.col("mix_threshold"), 1).otherwise(0))
@@ -104,7 +110,7 @@ def mix(docs: DataFrame) -> DataFrame:
     while this is called: sizes are written once, then one small table for each 12 key bits.
     """
     sizes = written(docs.select(docs["doc_id"].alias("mix_doc"), *_keyed(docs)), "mix-sizes")
-    plan = written(_thresholds(sizes, source_targets(sizes)), "mix-plan")
+    plan = _plan(sizes)
     return _times(sizes, plan).select(
         F.col("mix_doc").alias("doc_id"), F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"), (F.col("mix_size") * F.col("mix_times")).cast("long").alias("taken"),
@@ -118,8 +124,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """
     columns = docs.columns
     keyed = docs.select(F.struct(*[docs[c] for c in columns]).alias("mix_row"), *_keyed(docs))
-    sizes = written(docs.select(*_keyed(docs)), "mix-sizes")
-    plan = written(_thresholds(sizes, source_targets(sizes)), "mix-plan")
+    with scratch(docs.sparkSession):
+        plan = _plan(written(docs.select(*_keyed(docs)), "mix-sizes"), outer=True)
     times = F.when(F.col("mix_size") == 0, 1).otherwise(F.col("mix_times"))
     taken = _times(keyed, plan).withColumn("mix_copies", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
     return taken.select(*[F.col("mix_row").getField(c).alias(c) for c in columns])

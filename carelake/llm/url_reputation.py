@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import written
+from ..session import scratch, written
 from .batches import map_rows
 from .html_main import lines_of, main_lines
 
@@ -140,7 +140,8 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
     """
     host, path = host_and_path(pages["url"])
     parsed = pages.select(pages["page_id"].alias("page_id"), host.alias("host"), path.alias("path"))
-    reputation = written(host_reputation(parsed.select("host").distinct(), outcomes), "reputation")
+    with scratch(pages.sparkSession):
+        reputation = written(host_reputation(parsed.select("host").distinct(), outcomes), "reputation", outer=True)
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     return parsed.join(reputation, "host", "left").select(
         "page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, "host_verdict").alias("verdict"), "mean", "bound"
