@@ -55,7 +55,7 @@ class Line(NamedTuple):
 
 def _marks(tag: str, attributes: str, inside: int) -> tuple[bool, bool, int]:
     """Whether an element is boilerplate, whether it is a header, and the scope it opens."""
-    boiler, header = tag in DROPPED, tag == "header"
+    boiler, header, named = tag in DROPPED, tag == "header", False
     scope = 3 if tag == "article" else 2 if tag == "main" else 0
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
@@ -68,7 +68,8 @@ def _marks(tag: str, attributes: str, inside: int) -> tuple[bool, bool, int]:
                     elif name == "role" and label.lower() in ("main", "article"):
                         scope = max(scope, 2 if label.lower() == "main" else 3)
                     elif not parts & {"has", "no", "with", "without"}:
-                        boiler |= bool(parts & BOILERPLATE)
+                        boiler |= label.lower() in BOILERPLATE
+                        named |= bool(parts & BOILERPLATE)
                         header |= bool(parts & HEADER)
             elif name == "itemprop" and value.lower() == "articlebody":
                 scope = 3
@@ -76,6 +77,8 @@ def _marks(tag: str, attributes: str, inside: int) -> tuple[bool, bool, int]:
                 boiler = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 boiler = True
+    # "share-enabled" on the element of the content says nothing; "comment" does.
+    boiler |= named and not scope
     if tag in ("html", "body") or tag in ("main", "article") and inside < 2:
         boiler = header = False
     return boiler, header, scope

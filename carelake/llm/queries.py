@@ -90,10 +90,10 @@ def oracle_sql() -> dict[str, str]:
 NGRAM_JACCARD = """
 WITH RECURSIVE words AS (
     SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+           '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
     FROM documents
 ), sets AS (
-    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
     FROM words
 ), tokens AS (
     SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets

@@ -50,3 +50,9 @@ def test_odd_input(spark):
     got = extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
     assert sorted(map(tuple, got), key=repr) == sorted([(1, None, "", 0), (1, None, "", 0), (None, "u", "m", 1), (2, "v", "", 0)], key=repr)
     assert extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_names_that_only_resemble_boilerplate():
+    assert main_text('<div class="entry-content share-enabled"><p>text</p></div>') == "text"
+    assert main_text('<div id=content><p>text</p><div class="comment content"><p>mine</p></div></div>') == "text"
+    assert main_text('<article><p>text</p><div class="post-share"><p>tell all</p></div><span class="ad">buy</span></article>') == "text"

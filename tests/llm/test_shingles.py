@@ -114,3 +114,13 @@ def test_components(spark):
     want = sorted((x, find(x)) for x in root if find(x) != x)
     assert sorted(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect())) == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def test_query_matches_duckdb(spark):
+    from compare import connect, differences
+    from conftest import SF_DIR
+
+    from carelake.llm import queries
+
+    for name, sql in queries.oracle_sql().items():
+        assert differences(queries.queries()[name](spark, SF_DIR), connect(SF_DIR), sql) is None
