@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import written
+from ..session import scratch, written
 from .batches import map_rows
 from .components import components
 
-#: Bits of the parity sketch of a set, in longs.
+#: Parity sketches, in longs: the short one of every set, and the most of one that grows with the set.
 SKETCH_LONGS = 16
+MOST_LONGS = 4096
+#: Cells of the bounded filter for texts whose sets are needed.
+SIEVE = 1 << 23
 #: Shingles told to be common, at most; they only go last in the order of tokens.
 MOST_COMMON = 65_536
 _PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
@@ -46,12 +49,17 @@ def _signature(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
-def _sketch(tokens: np.ndarray) -> list[int]:
-    """Parity of the tokens in each of 64 * SKETCH_LONGS cells; sets that differ by d tokens differ in d cells at most."""
-    cells = np.bincount((tokens & (64 * SKETCH_LONGS - 1)).astype(np.int64), minlength=64 * SKETCH_LONGS) & 1
+def _sketch(tokens: np.ndarray, longs: int) -> list[int]:
+    """Parity of the tokens in each of 64 * ``longs`` cells; sets that differ by d tokens differ in d cells at most."""
+    cells = np.bincount((tokens & (64 * longs - 1)).astype(np.int64), minlength=64 * longs) & 1
     return np.packbits(cells.astype(np.uint8)).view(np.int64).tolist()
 
 
+def _wide_longs(n: int) -> int:
+    """Longs of a sketch with two cells or more for each of ``n`` tokens, a power of two."""
+    return min(MOST_LONGS, max(SKETCH_LONGS, 1 << (n // 32).bit_length()))
+
+
 def measure_sets(docs: DataFrame, width: int, batch_count: int = 4) -> DataFrame:
     """Per document doc_id, text_hash, n and sig (of its set); and rows without sig: a shingle that some
     batch of documents has ``batch_count`` times or more, as doc_id, and how often, as n."""
@@ -74,14 +82,14 @@ def measure_sets(docs: DataFrame, width: int, batch_count: int = 4) -> DataFrame
 
 
 def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray, k: int) -> DataFrame:
-    """Per document with a set: keys, n, sig, sketch and the first tokens in the order (common or not, hash).
+    """Per document with a set: keys, n, sig, sketches and the first tokens in the order (common or not, hash).
 
     Two sets of which 100 * intersection >= percent * union share ``k`` tokens of these
     prefixes, or all of the smaller one's if it has fewer than k.
     """
     schema = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sig", T.BinaryType()),
-        T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("prefix", T.ArrayType(T.LongType())),
+        T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("wide", T.ArrayType(T.LongType())), T.StructField("prefix", T.ArrayType(T.LongType())),
     ])
 
     def rows(part: list[tuple]) -> list[tuple]:
@@ -92,7 +100,7 @@ def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray, k:
             take = min(n, n - -(-percent * n // 100) + k)
             late = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens if len(common) else np.zeros(n, dtype=bool)
             ordered = np.concatenate([tokens[~late], tokens[late]])
-            out.append((doc_id, text_hash, n, _signature(tokens), _sketch(tokens), ordered[:take].tolist()))
+            out.append((doc_id, text_hash, n, _signature(tokens), _sketch(tokens, SKETCH_LONGS), _sketch(tokens, _wide_longs(n)), ordered[:take].tolist()))
         return out
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"), docs["text"].alias("text"))
@@ -100,18 +108,25 @@ def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray, k:
 
 
 def _keys(nodes: DataFrame, common_from: int) -> DataFrame:
-    """(key, rid): rare tokens one by one, pairs of the common ones; only keys that two sets have."""
+    """(key, rid): rare tokens one by one, pairs of the common ones; only keys that two sets have.
+
+    Of keys with the same members (by count, least, most and two hash sums) one is enough.
+    """
     entries = nodes.select("rid", F.explode("prefix").alias("token"))
     lists = written(entries.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "postings")
     shared = written(entries.join(lists, "token"), "shared-tokens")
     rare = shared.where(F.col("times") <= common_from).select(F.col("token").alias("key"), "rid")
-    # Sets of one token have no pair; their token is their key.
     often = shared.where(F.col("times") > common_from).groupBy("rid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    # With the shorter sets, of which fewer than two tokens are in a prefix, a pair is all of them.
     pairs = often.select("rid", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("i"), "tokens").select(
         "rid", F.explode(F.transform(F.slice("tokens", F.col("i") + 2, F.size("tokens")), lambda t: F.xxhash64(F.get("tokens", F.col("i")), t))).alias("key")
     )
-    return rare.union(pairs.select("key", "rid"))
+    keys = rare.union(pairs.select("key", "rid"))
+    members = keys.groupBy("key").agg(
+        F.count(F.lit(1)).alias("times"), F.min("rid").alias("least"), F.max("rid").alias("most"),
+        F.bit_xor(F.xxhash64("rid")).alias("mixed"), F.sum(F.pmod(F.xxhash64(F.lit(1), "rid"), F.lit(1 << 40))).alias("total"),
+    ).where("times > 1")
+    one = members.groupBy("times", "least", "most", "mixed", "total").agg(F.min("key").alias("key")).select("key")
+    return keys.join(one, "key", "left_semi")
 
 
 def _may_link(percent: int, a: str, b: str) -> Column:
@@ -123,6 +138,53 @@ def _may_link(percent: int, a: str, b: str) -> Column:
     return sizes & ((100 + percent) * cells <= (100 - percent) * (na + nb))
 
 
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) that the wide sketches allow; a wider one is folded to the width of the other."""
+    one = pairs.join(nodes.select(F.col("rid").alias("u"), F.col("n").alias("nu"), F.col("wide").alias("wu")), "u")
+    two = one.join(nodes.select(F.col("rid").alias("v"), F.col("n").alias("nv"), F.col("wide").alias("wv")), "v")
+    # Sizes that allow the similarity are within a factor of two, so one fold is enough.
+    width = F.least(F.size("wu"), F.size("wv"))
+    xor = lambda x, y: x.bitwiseXOR(y)
+    folded = lambda c: F.when(F.size(c) > width, F.zip_with(F.slice(c, F.lit(1), width), F.slice(c, width + 1, width), xor)).otherwise(F.col(c))
+    cells = F.aggregate(F.zip_with(folded("wu"), folded("wv"), xor), F.lit(0), lambda total, x: total + F.bit_count(x))
+    return two.where((100 + percent) * cells <= (100 - percent) * (F.col("nu") + F.col("nv"))).select("u", "v")
+
+
+def _sieve(hashes: DataFrame) -> np.ndarray:
+    """SIEVE cells, set where some value of the column ``h`` falls: of a fixed size, whatever the rows."""
+    cell = F.pmod("h", F.lit(SIEVE))
+    packed = hashes.select(F.floor(cell / 48).alias("at"), (cell % 48).cast("int").alias("bit")).groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    out = np.zeros(SIEVE + 48, dtype=bool)
+    for r in packed.collect():
+        out[48 * r["at"] : 48 * r["at"] + 48] = [(r.bits >> k) & 1 for k in range(48)]
+    return np.packbits(out)
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(rid, tokens) for ``wanted`` (rid, at_doc, at_text), from a pass over the texts.
+
+    A bounded filter of text hashes leaves out most other documents before anything is
+    shuffled; where many are wanted it lets all pass, and the join decides.
+    """
+    cells = _sieve(wanted.select(F.col("at_text").alias("h")))
+    schema = T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType())),
+    ])
+
+    def rows(part: list[tuple]) -> list[tuple]:
+        out = []
+        for doc_id, text_hash, text in part:
+            cell = text_hash % SIEVE
+            if cells[cell >> 3] >> (7 - (cell & 7)) & 1:
+                out.append((doc_id, text_hash, shingles(text, width).tolist()))
+        return out
+
+    source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"), docs["text"].alias("text"))
+    sets = map_rows(source, ["doc_id", "text_hash", "text"], rows, schema)
+    picked = sets.join(wanted, F.col("doc_id").eqNullSafe(F.col("at_doc")) & (F.col("text_hash") == F.col("at_text")))
+    return picked.select("rid", "tokens").dropDuplicates(["rid"])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) that have the similarity, by their sets."""
     one = pairs.join(sets.select(F.col("rid").alias("u"), F.col("tokens").alias("tokens_u")), "u")
@@ -131,82 +193,91 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.where(100 * both >= percent * (F.size("tokens_u") + F.size("tokens_v") - both)).select("u", "v")
 
 
-def _grouped(docs: DataFrame, width: int, percent: int, common_from: int, hub_rounds: int) -> DataFrame:
+def _grouped(docs: DataFrame, width: int, percent: int, common_from: int, hubs: int) -> DataFrame:
     """doc_id, text_hash, n, and ``first`` (none, doc, text) of the component: its least doc_id, nulls last, and text hash."""
-    measured = written(measure_sets(docs, width), "sets")
-    hints = measured.where("sig is null").groupBy("doc_id").agg(F.sum("n").alias("times")).where(F.col("times") > common_from)
-    # A bounded hint: it shapes the order of tokens, which any order makes right.
-    common = np.sort(np.array([r.doc_id for r in hints.orderBy(F.desc("times"), "doc_id").limit(MOST_COMMON).collect()], dtype=np.int64))
-    members = measured.where("sig is not null")
-
-    prefixes = _prefixes(docs, width, percent, common, k=2).dropDuplicates(["sig"])
-    nodes = written(prefixes.withColumn("rid", F.monotonically_increasing_id()), "prefixes")
-    keys = written(_keys(nodes, common_from), "keys")
-    sketched = nodes.select("rid", "n", "sketch")
-    keyed = written(keys.join(sketched, "rid"), "keyed-sketches")
-
-    wanted = keys.select("rid").distinct().join(nodes, "rid").select("rid", F.col("doc_id").alias("at_doc"), F.col("text_hash").alias("at_text"))
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"), F.xxhash64(docs["text"]).alias("text_hash"))
-    picked = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("at_doc")) & (F.col("text_hash") == F.col("at_text"))).dropDuplicates(["rid"])
-    schema = T.StructType([T.StructField("rid", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
-    sets = written(map_rows(picked, ["rid", "text"], lambda part: [(r, shingles(t, width).tolist()) for r, t in part], schema), "candidate-sets")
-
-    found = None
-    for seed in range(hub_rounds + 1):
-        here = keyed
-        if found is not None:
-            here = keyed.join(found.select(F.col("u").alias("rid"), F.col("v").alias("group")), "rid", "left").withColumn("group", F.coalesce("group", "rid"))
-            mixed = here.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least != most").select("key")
-            here = written(here.join(mixed, "key", "left_semi"), "open-keys")
-        else:
-            here = here.withColumn("group", F.col("rid"))
-        if seed < hub_rounds:
+    with scratch(docs.sparkSession):
+        if percent <= 50:
+            raise ValueError("percent must be over 50")
+        measured = written(measure_sets(docs, width), "sets")
+        hints = measured.where("sig is null").groupBy("doc_id").agg(F.sum("n").alias("times")).where(F.col("times") > common_from)
+        # A bounded hint: it shapes the order of tokens, which any order makes right.
+        common = np.sort(np.array([r.doc_id for r in hints.orderBy(F.desc("times"), "doc_id").limit(MOST_COMMON).collect()], dtype=np.int64))
+        members = measured.where("sig is not null")
+
+        prefixes = _prefixes(docs, width, percent, common, k=2).dropDuplicates(["sig"])
+        nodes = written(prefixes.withColumn("rid", F.monotonically_increasing_id()), "prefixes")
+        keys = written(_keys(nodes, common_from), "keys")
+        sketched = nodes.select("rid", "n", "sketch")
+        places = nodes.select("rid", F.col("doc_id").alias("at_doc"), F.col("text_hash").alias("at_text"))
+
+        # Links to hubs of the keys: most members of a large group meet through a few of them.
+        tries = None
+        for seed in range(hubs):
             order = F.xxhash64(F.lit(seed), "rid")
-            other = here.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rid", "group", "n", "sketch")).alias("hub")).select("key", "hub.rid", "hub.group", "hub.n", "hub.sketch")
-            apart = F.col("a.rid") != F.col("b.rid")
-        else:
-            other, apart = here, F.col("a.rid") < F.col("b.rid")
+            hub = keys.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rid")).alias("hub")).select("key", F.col("hub.rid").alias("hub"))
+            to_hub = keys.join(hub, "key").where("rid != hub").select("rid", "hub", F.lit(seed).alias("seed"))
+            tries = to_hub if tries is None else tries.union(to_hub)
+        near = tries.distinct().join(sketched.select("rid", F.struct("n", "sketch").alias("a")), "rid").join(
+            sketched.select(F.col("rid").alias("hub"), F.struct("n", "sketch").alias("b")), "hub"
+        )
+        # One hub a set and order, the first that sizes and sketches allow: a long set has many keys.
+        first = near.where(_may_link(percent, "a", "b")).groupBy("rid", "seed").agg(F.min(F.struct(F.xxhash64("seed", "hub").alias("o"), "hub")).alias("first"))
+        hubs_of = first.select(F.greatest("rid", "first.hub").alias("u"), F.least("rid", "first.hub").alias("v")).distinct()
+        pairs = written(_likely(hubs_of, nodes, percent), "hub-pairs")
+        used = pairs.select(F.col("u").alias("rid")).union(pairs.select(F.col("v").alias("rid"))).distinct()
+        sets = written(_sets(docs, places.join(used, "rid"), width), "hub-sets")
+        found = components(_verified(pairs, sets, percent))
+
+        # Every other candidate whose sets are not yet in one component.
+        here = keys.join(found.select(F.col("u").alias("rid"), F.col("v").alias("group")), "rid", "left").withColumn("group", F.coalesce("group", "rid"))
+        mixed = here.groupBy("key").agg(F.min("group").alias("least"), F.max("group").alias("most")).where("least != most").select("key")
+        here = written(here.join(mixed, "key", "left_semi").join(sketched, "rid"), "open-keys")
         matched = here.alias("a").join(
-            other.alias("b"), (F.col("a.key") == F.col("b.key")) & apart & (F.col("a.group") != F.col("b.group")) & _may_link(percent, "a", "b")
+            here.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.rid") > F.col("b.rid")) & (F.col("a.group") != F.col("b.group")) & _may_link(percent, "a", "b")
         )
-        pairs = matched.select(F.greatest("a.rid", "b.rid").alias("u"), F.least("a.rid", "b.rid").alias("v")).distinct()
-        links = _verified(pairs, sets, percent)
-        found = components(links if found is None else found.union(links))
-
-    grouped = nodes.select("rid", "sig").join(found.select(F.col("u").alias("rid"), "v"), "rid", "left").select("sig", F.coalesce("v", "rid").alias("group"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), F.col("text_hash").alias("text"))
-    least = members.where("n > 0").groupBy("sig").agg(F.min(place).alias("least")).join(grouped, "sig")
-    first = least.groupBy("group").agg(F.min("least").alias("first"))
-    by_class = least.join(first, "group").select("sig", "first")
-    joined = members.join(by_class, "sig", "left")
-    return joined.select("doc_id", "text_hash", "n", F.when(F.col("n") == 0, place).otherwise(F.col("first")).alias("first"))
-
-
-def join_groups(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 128, hub_rounds: int = 2) -> DataFrame:
+        candidates = written(matched.select(F.col("a.rid").alias("u"), F.col("b.rid").alias("v")).distinct(), "open-candidates")
+        pairs = written(_likely(candidates, nodes, percent), "open-pairs")
+        used = pairs.select(F.col("u").alias("rid")).union(pairs.select(F.col("v").alias("rid"))).distinct()
+        more = used.join(sets.select("rid"), "rid", "left_anti")
+        sets = sets.union(written(_sets(docs, places.join(more, "rid"), width), "open-sets"))
+        found = components(found.union(_verified(pairs, sets, percent)))
+
+        grouped = nodes.select("rid", "sig").join(found.select(F.col("u").alias("rid"), "v"), "rid", "left").select("sig", F.coalesce("v", "rid").alias("group"))
+        place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), F.col("text_hash").alias("text"))
+        least = members.where("n > 0").groupBy("sig").agg(F.min(place).alias("least")).join(grouped, "sig")
+        first = least.groupBy("group").agg(F.min("least").alias("first"))
+        by_class = least.join(first, "group").select("sig", "first")
+        joined = members.join(by_class, "sig", "left")
+        result = joined.select("doc_id", "text_hash", "n", F.when(F.col("n") == 0, place).otherwise(F.col("first")).alias("first"))
+        return written(result, "groups", outer=True)
+
+
+def join_groups(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 128, hubs: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) of every document.
 
     Two documents link when 100 * |intersection| >= percent * |union| of their shingle sets.
     Equal sets are one class from the start. Candidates share a rare token of their extended
     prefixes or two common ones (in more than ``common_from`` prefixes); sizes and parity
     sketches rule most of them out without loss, and the sets decide. In a large group of
-    near copies most pairs are not needed: rounds of links to one hub a key come first, and
-    only candidates that are not yet in one component are compared after them, all of them.
+    near copies most pairs are not needed: links to ``hubs`` hubs a set come first, and only
+    candidates that are not yet in one component are compared after them, all of them.
+    ``percent`` is over 50, so that linked sets which differ share two tokens or more.
 
     A null or empty text, or one without words, has 0 shingles and is linked with nothing; its
     component is itself. Equal rows get equal rows. Rows without doc_id take part; a
     component without any doc_id has none. Other columns of ``docs`` are not read. Jobs run
     while this is called; what they share is written to the shared folder.
     """
-    return _grouped(docs, width, percent, common_from, hub_rounds).select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc").alias("component_id"))
+    return _grouped(docs, width, percent, common_from, hubs).select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 128, hub_rounds: int = 2) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 128, hubs: int = 2) -> DataFrame:
     """The first document (by doc_id, nulls last, then text hash) of each component, with all its columns.
 
     Documents without shingles are linked with nothing and stay. Rows equal in doc_id and
     text are one document, of which one row stays.
     """
-    first = _grouped(docs, width, percent, common_from, hub_rounds).select("first").distinct()
+    first = _grouped(docs, width, percent, common_from, hubs).select("first").distinct()
     kept = first.select(F.col("first.doc").alias("first_doc"), F.col("first.text").alias("first_text"))
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole_row"), docs["doc_id"].cast("long").alias("row_doc"), F.xxhash64(docs["text"]).alias("row_text"))
     joined = rows.join(kept, F.col("row_doc").eqNullSafe(F.col("first_doc")) & (F.col("row_text") == F.col("first_text")), "left_semi")
