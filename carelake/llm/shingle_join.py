@@ -24,6 +24,8 @@ MOST_LONGS = 4096
 SIEVE = 1 << 23
 #: Shingles told to be common, at most; they only go last in the order of tokens.
 MOST_COMMON = 65_536
+#: Times a shingle is seen before it is told to be common.
+HINT_FROM = 128
 _PRIMES = np.array([0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
 
 
@@ -120,7 +122,7 @@ def _keys(nodes: DataFrame, common_from: int) -> DataFrame:
     pairs = often.select("rid", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("i"), "tokens").select(
         "rid", F.explode(F.transform(F.slice("tokens", F.col("i") + 2, F.size("tokens")), lambda t: F.xxhash64(F.get("tokens", F.col("i")), t))).alias("key")
     )
-    keys = rare.union(pairs.select("key", "rid"))
+    keys = written(rare.union(pairs.select("key", "rid")), "all-keys")
     members = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("times"), F.min("rid").alias("least"), F.max("rid").alias("most"),
         F.bit_xor(F.xxhash64("rid")).alias("mixed"), F.sum(F.pmod(F.xxhash64(F.lit(1), "rid"), F.lit(1 << 40))).alias("total"),
@@ -199,7 +201,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, common_from: int, hubs:
         if percent <= 50:
             raise ValueError("percent must be over 50")
         measured = written(measure_sets(docs, width), "sets")
-        hints = measured.where("sig is null").groupBy("doc_id").agg(F.sum("n").alias("times")).where(F.col("times") > common_from)
+        hints = measured.where("sig is null").groupBy("doc_id").agg(F.sum("n").alias("times")).where(F.col("times") > HINT_FROM)
         # A bounded hint: it shapes the order of tokens, which any order makes right.
         common = np.sort(np.array([r.doc_id for r in hints.orderBy(F.desc("times"), "doc_id").limit(MOST_COMMON).collect()], dtype=np.int64))
         members = measured.where("sig is not null")
@@ -252,7 +254,7 @@ def _grouped(docs: DataFrame, width: int, percent: int, common_from: int, hubs:
         return written(result, "groups", outer=True)
 
 
-def join_groups(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 128, hubs: int = 2) -> DataFrame:
+def join_groups(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 1024, hubs: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) of every document.
 
     Two documents link when 100 * |intersection| >= percent * |union| of their shingle sets.
@@ -271,7 +273,7 @@ def join_groups(docs: DataFrame, width: int = 4, percent: int = 85, common_from:
     return _grouped(docs, width, percent, common_from, hubs).select("doc_id", F.col("n").alias("n_shingles"), F.col("first.doc").alias("component_id"))
 
 
-def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 128, hubs: int = 2) -> DataFrame:
+def one_of_each(docs: DataFrame, width: int = 4, percent: int = 85, common_from: int = 1024, hubs: int = 2) -> DataFrame:
     """The first document (by doc_id, nulls last, then text hash) of each component, with all its columns.
 
     Documents without shingles are linked with nothing and stay. Rows equal in doc_id and
