@@ -170,7 +170,7 @@ def _dropped(docs: DataFrame, min_words: int, near_words: int) -> DataFrame:
 
 
 def _cleaned(docs: DataFrame, keep: Column, min_words: int, near_words: int) -> DataFrame:
-    """Each row's ``keep`` with the lines that go, the text that stays, and whether no judged line is left."""
+    """Each row's ``keep`` with the lines that go, the text that stays, and whether no word is left of it."""
     gone = _dropped(docs, min_words, near_words)
     rows = docs.select(keep.alias("ld_row"), docs["doc_id"].cast("long").alias("ld_doc"), docs["text"].alias("ld_text"), F.xxhash64(docs["text"]).alias("ld_text_hash"))
     joined = rows.join(gone, F.col("ld_doc").eqNullSafe(F.col("gone_doc")) & (F.col("ld_text_hash") == F.col("gone_text")), "left")
@@ -179,7 +179,7 @@ def _cleaned(docs: DataFrame, keep: Column, min_words: int, near_words: int) ->
     return joined.select(
         "ld_row", "ld_doc", "ld_gone", F.size(lines).alias("ld_lines"),
         F.when(F.col("ld_gone").isNull(), F.col("ld_text")).otherwise(F.array_join(stay, "\n")).alias("ld_left"),
-        (F.col("ld_gone").isNotNull() & ~F.exists(stay, lambda line: F.size(_words(line)) >= min_words)).alias("ld_empty"),
+        (F.col("ld_gone").isNotNull() & ~F.exists(stay, lambda line: F.size(_words(line)) > 0)).alias("ld_empty"),
     )
 
 
@@ -202,8 +202,8 @@ def dedup_lines(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> Da
 def deduped_documents(docs: DataFrame, min_words: int = 5, near_words: int = 10) -> DataFrame:
     """The documents with the lines that ``dedup_lines`` leaves, in all their columns.
 
-    A document that lost lines and has none of ``min_words`` words left goes; ``n_chars``, if
-    there, is counted anew where the text changed.
+    A document that lost lines and has no line with a word left goes; ``n_chars``, if there,
+    is counted anew where the text changed.
     """
     kept = _cleaned(docs, F.struct(*[docs[c] for c in docs.columns]), min_words, near_words).where(~F.col("ld_empty"))
     changed = {"text": F.col("ld_left")}

@@ -98,3 +98,18 @@ def test_stage(spark):
     two = left.where("doc_id = 2").first()
     assert (two.text, two.n_chars) == ("other words follow here in this text", 36)
     assert line_dedup.deduped_documents(empty(spark)).count() == 0
+
+
+def test_short_lines_keep_their_document(spark):
+    footer = "all rights of this page are reserved"
+    verse = "roses are red\nviolets\n\nand so on"
+    rows = [(1, footer), (2, f"{verse}\n{footer}"), (3, f"{footer}\n \t\n"), (4, f"{footer}\n-"), (5, footer)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = brute([r for r in docs.selectExpr("doc_id", "text", "xxhash64(text) as h").collect()])
+    want = []
+    for doc_id, text in rows:
+        left = [x for i, x in enumerate(text.split("\n")) if i not in gone[(doc_id, text)]]
+        if not gone[(doc_id, text)] or any(lower_words(x) for x in left):
+            want.append((doc_id, "\n".join(left)))
+    assert want == [(1, footer), (2, verse), (4, "-")]
+    assert plain(line_dedup.deduped_documents(docs)) == sorted(want, key=repr)
