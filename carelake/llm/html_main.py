@@ -18,14 +18,18 @@ ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: Elements whose content is not text of the page, up to the end tag as raw text.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp", "noembed", "math"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "xmp", "noembed", "annotation", "annotation-xml"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements inside a line; they start no line of their own.
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
     "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "td", "th",
+    "math", "semantics", "mrow", "mi", "mn", "mo", "ms", "mtext", "mspace", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder",
+    "munderover", "mmultiscripts", "mprescripts", "mstyle", "mpadded", "mphantom", "menclose", "merror", "mtable", "mtr", "mtd", "maction",
 }
-DROPPED = {"nav", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "object", "canvas", "audio", "video", "input", "fieldset", "head"}
+DROPPED = {"nav", "footer", "aside", "form", "button", "select", "option", "dialog", "menu", "object", "canvas", "audio", "video", "input", "fieldset"}
+#: Of these, the ones that may stand around a whole page.
+WRAPPERS = {"form", "fieldset"}
 #: Names in class, id or role that mark what is not the article.
 BOILERPLATE = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary",
@@ -35,6 +39,10 @@ BOILERPLATE = {
     "subscribe", "subscription", "toolbar", "widget", "widgets",
 }
 HEADER = {"header", "masthead", "topbar"}
+#: Names that mark what readers wrote, often longer than the article.
+READERS = {"comment", "comments", "disqus", "replies", "reply", "respond", "responses"}
+#: Characters outside links from which dropped text can be the page's own.
+LEAST = 80
 #: Class or id names that mark the article where there is no element for it.
 CONTENT = {
     "content", "main", "main-content", "article", "article-body", "article-content", "post", "post-content", "post-body", "entry",
@@ -43,6 +51,7 @@ CONTENT = {
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 #: Start tags that end an open element of the same family.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "option": {"option"}}
+SENTENCE_ENDS = ".!?:;\u2026\u3002\uff01\uff1f\"')\u201d\u00bb"
 HOLDERS = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot"}
 
 
@@ -53,9 +62,35 @@ class Line(NamedTuple):
     heading: bool
 
 
-def _marks(tag: str, attributes: str, inside: int) -> tuple[bool, bool, int]:
-    """Whether an element is boilerplate, whether it is a header, and the scope it opens."""
-    boiler, header, named = tag in DROPPED, tag == "header", False
+class Drop(NamedTuple):
+    """An element that is left out unless it turns out to hold the page's text."""
+
+    outer: int  # the drop around it, or 0
+    key: str  # what the rule saw; equal for elements that are left out for the same reason
+    soft: bool  # a form, or a name that only has a boilerplate part
+    named: bool
+    header: bool  # headings of an article stay
+
+
+class Held(NamedTuple):
+    """A main, article or content element that no name of its own calls boilerplate."""
+
+    outer: int  # the one around it, or 0
+    drop: int  # the innermost drop around it, or 0
+    scope: int
+
+
+class Piece(NamedTuple):
+    text: str
+    linked: bool
+    drop: int
+    held: int
+    heading: bool  # in a heading of an article
+
+
+def _marks(tag: str, attributes: str, inside: int) -> tuple[tuple | None, int, bool]:
+    """Why an element is left out (as the last four of Drop), the scope it opens, and whether a name calls it boilerplate."""
+    boiler, header, named, hidden, whole, found = tag in DROPPED, tag == "header", False, False, False, set()
     scope = 3 if tag == "article" else 2 if tag == "main" else 0
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
@@ -68,56 +103,51 @@ def _marks(tag: str, attributes: str, inside: int) -> tuple[bool, bool, int]:
                     elif name == "role" and label.lower() in ("main", "article"):
                         scope = max(scope, 2 if label.lower() == "main" else 3)
                     elif not parts & {"has", "no", "with", "without"}:
-                        boiler |= label.lower() in BOILERPLATE
+                        whole |= label.lower() in BOILERPLATE
+                        found |= parts & (BOILERPLATE | HEADER)
                         named |= bool(parts & BOILERPLATE)
                         header |= bool(parts & HEADER)
             elif name == "itemprop" and value.lower() == "articlebody":
                 scope = 3
             elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-                boiler = True
+                hidden = True
             elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                boiler = True
+                hidden = True
     # "share-enabled" on the element of the content says nothing; "comment" does.
-    boiler |= named and not scope
-    if tag in ("html", "body") or tag in ("main", "article") and inside < 2:
-        boiler = header = False
-    return boiler, header, scope
+    by_name = whole or named and not scope
+    if tag in ("html", "body") or tag in ("main", "article") and inside < 2 or not (boiler or hidden or by_name or header):
+        return None, scope, whole or named
+    soft = not (hidden or whole or found & READERS or tag == "header" or boiler and tag not in WRAPPERS)
+    key = " ".join([tag] * boiler + sorted(found))
+    return (key, soft, not (boiler or hidden or tag == "header"), not (boiler or hidden or by_name)), scope, whole or named
 
 
 def lines_of(page: str) -> list[Line]:
-    """The page without markup, a line for each block; what is marked as boilerplate leaves a blank line."""
-    lines: list[Line] = []
-    stack: list[tuple[str, bool, bool, int, bool, bool]] = []  # tag, dropped, in a header, scope, in a link, in a heading
-    state = ("", False, False, 0, False, False)
-    parts: list[str] = []
-    linked: list[str] = []
-    at, blank = 0, False
+    """The page without markup, a line for each block; what is marked as boilerplate leaves a blank line.
+
+    A mark says nothing where it would take the page's own text: an element with a main,
+    article or content element that has more text than all such elements outside, and
+    elements of one kind that together have more text than what is left. Where nothing would
+    be left, names count for nothing, then forms and what holds an article are read too.
+    """
+    found: list[tuple[list[Piece], int, bool]] = []  # pieces of a line, its scope, whether it is a heading
+    drops, held = [Drop(0, "", False, False, False)], [Held(0, 0, 0)]
+    bottom = ("", 0, 0, 0, False, False)
+    stack: list[tuple[str, int, int, int, bool, bool]] = []  # tag, drop, held, scope, in a link, in a heading
+    state = bottom
+    pieces: list[Piece] = []
+    at = 0
 
     def text(piece: str) -> None:
-        nonlocal blank
-        _, dropped, header, scope, link, heading = state
-        if not piece:
-            return
-        if dropped or header and not (scope and heading):
-            blank |= not piece.isspace()
-            return
-        parts.append(piece)
-        if link:
-            linked.append(piece)
+        if piece:
+            _, drop, inside, scope, link, heading = state
+            pieces.append(Piece(piece, link, drop, inside, bool(scope and heading)))
 
     def flush() -> None:
-        nonlocal blank
-        if parts:
-            joined = " ".join(html.unescape("".join(parts)).split())
-            if joined:
-                links = len(" ".join(html.unescape("".join(linked)).split()))
-                lines.append(Line(joined, links, state[3], state[5]))
-                blank = False
-            parts.clear()
-            linked.clear()
-        if blank:
-            lines.append(Line("", 0, 0, False))
-            blank = False
+        nonlocal pieces
+        if pieces:
+            found.append((pieces, state[3], state[5]))
+            pieces = []
 
     def leave(tags: set[str], stop: set[str] = frozenset()) -> None:
         """Close the innermost open element of ``tags`` and all in it; none of ``stop`` is left for it."""
@@ -127,7 +157,7 @@ def lines_of(page: str) -> list[Line]:
                 if not INLINE.issuperset(x[0] for x in stack[i:]):
                     flush()
                 del stack[i:]
-                state = stack[-1] if stack else ("", False, False, 0, False, False)
+                state = stack[-1] if stack else bottom
                 return
             if stack[i][0] in stop:
                 return
@@ -143,12 +173,15 @@ def lines_of(page: str) -> list[Line]:
                 end = re.compile(rf"</{tag}(?![a-z0-9:-])[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
-        if tag == "br" or tag in ("td", "th"):
+        if tag == "br" or tag in ("td", "th", "mtd"):
             text(" ")
         if tag in VOID:
             if tag not in INLINE:
                 flush()
             continue
+        if tag == "head":  # holds only raw and void elements: any other, and text, ends it
+            flush()
+            continue
         if m[1]:
             if tag not in INLINE:
                 flush()
@@ -167,27 +200,128 @@ def lines_of(page: str) -> list[Line]:
             continue  # inline markup without attributes says nothing about its text
         if m[3].endswith("/") and tag not in INLINE and not m[3].rstrip("/").strip():
             continue
-        _, dropped, header, scope, link, heading = state
-        is_boiler, is_header, opened = _marks(tag, m[3], scope)
-        if is_boiler and tag in INLINE:
-            parts.append(" ")
-        state = (tag, dropped or is_boiler, header or is_header, max(scope, opened), link or tag == "a", heading or tag in HEADINGS)
+        _, drop, inside, scope, link, heading = state
+        why, opened, doubtful = _marks(tag, m[3], scope)
+        if why and not why[3] and tag in INLINE:
+            pieces.append(Piece(" ", False, drop, inside, False))
+        if why:
+            drops.append(Drop(drop, *why))
+            drop = len(drops) - 1
+        elif opened and not doubtful:
+            held.append(Held(inside, drop, opened))
+            inside = len(held) - 1
+        state = (tag, drop, inside, max(scope, opened), link or tag == "a", heading or tag in HEADINGS)
         stack.append(state)
     text(page[at:])
     flush()
+    return _undropped(found, drops, held)
+
+
+def _undropped(found: list[tuple[list[Piece], int, bool]], drops: list[Drop], held: list[Held]) -> list[Line]:
+    """The lines after it is settled which of ``drops`` are left out."""
+    lifted = {0}
+
+    def chains(inner: set[int]) -> set[int]:
+        """These drops and all around them."""
+        out: set[int] = set()
+        for drop in inner:
+            while drop and drop not in out:
+                out.add(drop)
+                drop = drops[drop].outer
+        return out
+
+    def resolved() -> list[Line]:
+        out, but_header = [False], [False]
+        for i, d in enumerate(drops[1:], 1):
+            out.append(out[d.outer] or i not in lifted)
+            but_header.append(but_header[d.outer] or i not in lifted and not d.header)
+        lines: list[Line] = []
+        for pieces, scope, heading in found:
+            kept = [p for p in pieces if not (but_header if p.heading else out)[p.drop]]
+            joined = " ".join(html.unescape("".join(p.text for p in kept)).split())
+            if joined:
+                lines.append(Line(joined, len(" ".join(html.unescape("".join(p.text for p in kept if p.linked)).split())), scope, heading))
+            elif any(not p.text.isspace() for p in pieces if (but_header if p.heading else out)[p.drop]):
+                lines.append(Line("", 0, 0, False))
+        return lines
+
+    def own(lines: list[Line], scope: int) -> int:
+        return sum(len(x.text) - x.linked for x in lines if x.scope >= scope)
+
+    lines = resolved()
+    if len(drops) == 1:
+        return lines
+
+    # An element with the largest article, if that has more text than all like it outside.
+    sizes = [0] * len(held)
+    for pieces, _, _ in found:
+        for p in pieces:
+            if p.drop == held[p.held].drop:
+                sizes[p.held] += len(" ".join(p.text.split()))
+    for i in range(len(held) - 1, 0, -1):
+        if held[i].drop == held[held[i].outer].drop:
+            sizes[held[i].outer] += sizes[i]
+    around = [i for i in range(1, len(held)) if held[i].drop and sizes[i]]
+    if around:
+        best = max(around, key=lambda i: sizes[i])
+        over = chains({held[best].drop})
+        if sizes[best] > own(lines, held[best].scope if all(drops[d].soft for d in over) else 0):
+            keys, alike = {drops[d].key for d in over if drops[d].soft}, [True]
+            for d in drops[1:]:
+                alike.append(alike[d.outer] and d.key in keys)
+            lifted |= over | chains({held[i].drop for i in around if alike[held[i].drop]})
+            lines = resolved()
+
+    # Elements of one kind with more text than is left.
+    while True:
+        scope, groups, over = _scope(lines), {}, [frozenset()]
+        for i, d in enumerate(drops[1:], 1):  # the kinds that leave each out; None if one of them stays in any case
+            around_it = over[d.outer]
+            over.append(around_it if around_it is None or i in lifted else None if not d.soft else around_it if d.key in around_it else around_it | {d.key})
+        for pieces, at, _ in found:
+            for p in pieces:
+                if at >= scope and not p.linked and (keys := over[p.drop]):
+                    groups[keys] = groups.get(keys, 0) + len(" ".join(p.text.split()))
+        total = {k: sum(n for x, n in groups.items() if x <= k) for k in groups}
+        most = max(total, key=lambda k: total[k], default=None)
+        if most is None or total[most] < LEAST or total[most] <= own(lines, scope):
+            break
+        lifted.update(i for i, d in enumerate(drops) if d.soft and d.key in most)
+        lines = resolved()
+
+    if main_lines(lines):
+        return lines
+    for more in (
+        {i for i, d in enumerate(drops) if d.named},
+        {i for i, d in enumerate(drops) if d.soft or d.header} | chains({held[i].drop for i in around}),
+    ):
+        lifted |= more
+        if main_lines(again := resolved()):
+            return again
     return lines
 
 
+def _scope(lines: list[Line]) -> int:
+    """The least scope of the article's lines, 0 where the page marks none."""
+    by_scope = {s: sum(len(x.text) for x in lines if x.scope >= s) for s in (1, 2, 3)}
+    return next((s for s in (3, 2, 1) if by_scope[s] and by_scope[s] >= 0.3 * by_scope[1]), 0)
+
+
+def _chrome(line: Line, surge: int) -> bool:
+    """Whether a line looks like a label: short, no heading, and without a mark that ends a sentence."""
+    return not line.heading and len(line.text) < surge and line.text[-1] not in SENTENCE_ENDS
+
+
 def main_lines(lines: list[Line], window: int = 3, surge: int = 80) -> list[Line]:
     """The lines between the surge and dive points of the line-block distribution.
 
     A line weighs its characters outside links. Where the page marks its article, lines
     outside weigh nothing and any weight is a surge, so short paragraphs at its ends stay;
     else the sum of ``window`` lines must reach ``surge`` (or half of the page's largest sum,
-    if that is less). A span ends where a line begins ``window`` lines without weight.
+    if that is less). A span ends where a line begins ``window`` lines without weight. Short
+    lines that are no sentences go where a heading follows them at a span's start.
     """
-    by_scope = {s: sum(len(x.text) for x in lines if x.scope >= s) for s in (1, 2, 3)}
-    scope = next((s for s in (3, 2, 1) if by_scope[s] and by_scope[s] >= 0.3 * by_scope[1]), 0)
+    scope = _scope(lines)
     if scope:
         weights = [len(x.text) if x.scope >= scope else 0 for x in lines]
     else:
@@ -207,6 +341,9 @@ def main_lines(lines: list[Line], window: int = 3, surge: int = 80) -> list[Line
             end += 1
         span = range(i, end)
         inside = [k for k in span if weights[k]]
+        if not scope:
+            opening = next((n for n, k in enumerate(inside) if not _chrome(lines[k], surge)), 0)
+            inside = inside[opening:] if inside and lines[inside[opening]].heading else inside
         if inside:
             kept += [lines[k] for k in range(inside[0], inside[-1] + 1) if lines[k].text and (weights[k] or not scope)]
         i = end

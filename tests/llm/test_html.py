@@ -56,3 +56,34 @@ def test_names_that_only_resemble_boilerplate():
     assert main_text('<div class="entry-content share-enabled"><p>text</p></div>') == "text"
     assert main_text('<div id=content><p>text</p><div class="comment content"><p>mine</p></div></div>') == "text"
     assert main_text('<article><p>text</p><div class="post-share"><p>tell all</p></div><span class="ad">buy</span></article>') == "text"
+
+
+PAGES = {
+    "head without end tag": f"<html><head><title>T</title><meta charset=utf-8><body><article>{ARTICLE}</article></body></html>",
+    "head without end tag and no body": f"<html><head><title>T</title><article>{ARTICLE}</article>",
+    "form around the page": f"<body><form action=x><nav>Menu</nav><div><article>{ARTICLE}</article></div><footer>(c)</footer></form></body>",
+    "form without an article": f"<body><form action=x><nav>Menu</nav><div>{ARTICLE}</div><footer>(c)</footer></form></body>",
+    "sidebar-right": f"<body><div class='wrapper sidebar-right'><article>{ARTICLE}</article></div><p>{'Other words of this page. ' * 20}</p></body>",
+    "widgets": f"<main><h2 class=sidebar-title>x</h2><div class='elementor-widget elementor-widget-post'><article>{ARTICLE}</article></div></main>",
+    "widgets in an article": f"<article><div class='elementor-widget a'>{ARTICLE}</div><div class='elementor-widget nav-menu'>Menu</div></article>",
+    "header-fixed": f"<body><div class='page header-fixed'><header><p>Site</p></header><article>{ARTICLE}</article></div></body>",
+    "only a sidebar": f"<body><div class=sidebar>{ARTICLE}</div></body>",
+    "cards": f"<article>{ARTICLE}</article><aside><article><p>A card.</p></article><article><p>One more card.</p></article></aside>",
+    "comments": f"<article>{ARTICLE}</article><section id=comments><article class=comment>{'<p>I liked this very much indeed.</p>' * 99}</article></section>",
+}
+
+
+def test_marks_around_the_article():
+    got = {name: main_text(page) for name, page in PAGES.items()}
+    assert got == {name: BODY for name in PAGES}
+
+
+def test_formulas_stay():
+    page = "<article><p>so <math><semantics><msup><mi>x</mi><mn>2</mn></msup><annotation encoding=tex>x^2</annotation></semantics></math> grows</p></article>"
+    assert main_text(page) == "so x2 grows"
+
+
+def test_login_above_an_unmarked_article_goes():
+    page = f"""<body><div><a href=1>Home</a></div><div><a href=2>News</a></div><div><a href=3>About us</a></div><div>Login</div><hr><hr>
+    <div><h1>A heading</h1>{ARTICLE}{ARTICLE}<p>Tiny.</p>{ARTICLE}</div></body>"""
+    assert main_text(page) == "\n\n".join(["A heading", BODY, BODY, "Tiny.", BODY])
