@@ -10,6 +10,8 @@ from ..session import scratch, written
 OTHER_SPACES = "\t\n\x0b\f\r"
 #: Word hashes are added modulo this prime below 2^61, so sums cannot overflow.
 PRIME = 2305843009213693951
+#: What op3_line_dedup and the pipeline take: exact repeats go at any length, also inside a document.
+MIN_WORDS, NEAR_WORDS = 1, 5
 
 
 def _lines(docs: DataFrame) -> DataFrame:

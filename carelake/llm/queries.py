@@ -31,7 +31,7 @@ def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), line_dedup.MIN_WORDS, line_dedup.NEAR_WORDS)
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

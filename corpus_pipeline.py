@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier line repeats to within one word."""
     ship_package(spark)
-    return line_dedup.deduped_documents(docs)
+    return line_dedup.deduped_documents(docs, line_dedup.MIN_WORDS, line_dedup.NEAR_WORDS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -113,3 +113,19 @@ def test_short_lines_keep_their_document(spark):
             want.append((doc_id, "\n".join(left)))
     assert want == [(1, footer), (2, verse), (4, "-")]
     assert plain(line_dedup.deduped_documents(docs)) == sorted(want, key=repr)
+
+
+def test_short_repeats_go_in_query_and_stage(spark, tmp_path):
+    import corpus_pipeline
+
+    from carelake.llm import queries
+
+    texts = ["Menu\nread more\nread  More\nMenu", "menu\nown words", "one two three four five\nhome", "one two three four\none two three six", "one two three nine five\n \n-"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    left = ["Menu\nread more", "own words", "one two three four five\nhome", "one two three six", " \n-"]
+    got = queries.op3_line_dedup(spark, str(tmp_path))
+    assert plain(got, "doc_id", "text") == list(enumerate(left))
+    rows = docs.selectExpr("doc_id", "text", "xxhash64(text) as h").collect()
+    assert {r.doc_id: r.dropped for r in got.collect()} == {k[0]: v for k, v in brute(rows, 1, 5).items()}
+    assert plain(corpus_pipeline.line_dedup_stage(spark, docs, "")) == list(enumerate(left))
