@@ -61,9 +61,20 @@ def _quoted(name: str) -> str:
 
 
 def _in_found_types(texts: DataFrame) -> DataFrame:
-    """Text columns in the narrowest type that all their cells have; columns without cells stay text."""
-    kinds = {"bigint": r"^\s*[+-]?\d{1,18}\s*$", "double": r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$", "boolean": r"^(True|TRUE|true|False|FALSE|false)$"}
-    checks = [F.bool_and(F.col(_quoted(c)).rlike(pattern)).alias(f"{i} {kind}") for i, c in enumerate(texts.columns) for kind, pattern in kinds.items()]
+    """Text columns in the narrowest type that all their cells have; columns without cells stay text.
+
+    Whole numbers keep all digits: bigint, else decimal(38,0), else text.
+    """
+    whole = r"^\s*[+-]?\d+\s*$"
+    kinds = {"bigint": whole, "decimal(38,0)": whole, "double": r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$", "boolean": r"^(True|TRUE|true|False|FALSE|false)$"}
+
+    def fits(kind: str, col: Column) -> Column:
+        if kind == "double":  # some cell has a point, an exponent or is infinite
+            return F.bool_and(col.rlike(kinds[kind])) & ~F.bool_and(col.rlike(whole))
+        held = F.trim(col).try_cast(kind).isNotNull() | col.isNull() if kinds[kind] == whole else F.lit(True)
+        return F.bool_and(col.rlike(kinds[kind]) & held)
+
+    checks = [fits(kind, F.col(_quoted(c))).alias(f"{i} {kind}") for i, c in enumerate(texts.columns) for kind in kinds]
     found = texts.agg(*checks).first()
 
     def typed(i: int, name: str) -> Column:

@@ -303,6 +303,15 @@ def test_csv_types_breaks_and_missing_words(spark, tmp_path):
     assert rows(files.read_csv_typed(spark, str(tmp_path / "a.csv"), schema, files.MISSING_WORDS)) == sorted([(1, 'line 1\nline "2"', True), (2, None, False)], key=repr)
 
 
+def test_csv_long_whole_numbers_keep_their_digits(spark, tmp_path):
+    ids = [1234567890123456781, 1234567890123456782]
+    rows_of = [f"{i},{i}0,{i}{'0' * 25},x" for i in ids]
+    (tmp_path / "a.csv").write_text("\n".join(["id,longer,longest,same", *rows_of, rows_of[0]]) + "\n")
+    out = files.union_csv_folder(spark, str(tmp_path))
+    assert dict(out.dtypes) == {"id": "bigint", "longer": "decimal(38,0)", "longest": "string", "same": "string"}
+    assert [(r.id, int(r.longer), r.longest) for r in out.orderBy("id").collect()] == [(i, i * 10, f"{i}{'0' * 25}") for i in ids]
+
+
 def test_extractions_keep_line_breaks(spark, tmp_path):
     record = json.dumps({"a": [1, 2], "b": 'x, "y"'}, indent=2)
     results = spark.createDataFrame([(True, "a\nb.pdf", record)], "ok boolean, filename string, extracted_json string")
