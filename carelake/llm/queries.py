@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from . import bpe_count, graph_search, html_main, line_dedup, mixing, packing, quality, secret_scan, shingle_join, url_reputation
+from . import (
+    bpe_count, conversation_repair, graph_search, html_main, line_dedup, merkle, mixing, packing, quality, secret_scan, shingle_join, spot_signatures, twins, url_reputation,
+)
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -66,9 +68,23 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spot_signatures.edited_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.lowered, merkle.every_fifth(docs["doc_id"]))
+
+
 _QUERIES = (
     op1_quality_rules, op2_html_extraction, op3_line_dedup, op4_url_filters, op5_nearest_neighbours,
     op6_ngram_jaccard, op7_source_mixing, op8_best_fit_packing, op9_token_counts, op10_secret_scan,
+    op11_conversation_repair, op12_document_fingerprints, op13_merkle_manifest,
 )
 
 
@@ -84,7 +100,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_ngram_jaccard": NGRAM_JACCARD}
+    return {
+        "op6_ngram_jaccard": NGRAM_JACCARD, "op11_conversation_repair": twins.CONVERSATION_REPAIR,
+        "op12_document_fingerprints": twins.SPOT_SIGNATURES, "op13_merkle_manifest": twins.MERKLE_MANIFEST,
+    }
 
 
 NGRAM_JACCARD = """
