@@ -27,7 +27,7 @@ class Graph:
         m, n = len(queries), len(self.units)
         width = min(width, n)
         nodes = np.full((m, width), -1, dtype=np.int64)
-        far = np.full((m, width), np.inf, dtype=np.float32)
+        far = np.full((m, width), np.inf)
         done = np.zeros((m, width), dtype=bool)
         seen = np.zeros((m, n), dtype=bool)
         nodes[:, 0], far[:, 0] = self.start, 2 - 2 * (queries @ self.units[self.start])
@@ -119,8 +119,15 @@ def build_graph(units: np.ndarray, degree: int = 32, width: int = 64, alpha: flo
     return graph
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, so that its largest component is near 1: squares neither overflow nor vanish, and nothing is rounded but what is 300 digits smaller."""
+    _, exponents = np.frexp(np.abs(vectors).max(axis=1))
+    return np.ldexp(vectors, -exponents[:, None])
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
-    return (vectors / np.linalg.norm(vectors, axis=1, keepdims=True)).astype(np.float32)
+    """Scaled vectors of length one, in double precision: distances of near copies are far below single precision."""
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
 def valid_vectors(table: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -166,7 +173,7 @@ def build_index(vectors: DataFrame, nearest: int = 5, shard_rows: int = 8192, de
         part["bytes"] = [np.asarray(v, dtype=np.float64).tobytes() for v in part["vector"]]
         ids = part.groupby("bytes", sort=False)["vec_id"].agg(list)
         matrix = np.stack([np.frombuffer(b, dtype=np.float64) for b in ids.index])
-        graph = build_graph(_unit(matrix), degree, width, alpha)
+        graph = build_graph(_unit(scaled(matrix)), degree, width, alpha)
         return pd.DataFrame({
             "shard": int(key[0]), "node": range(len(ids)), "vec_ids": ids.to_list(), "vector": list(matrix), "edges": [e[e >= 0] for e in graph.edges],
         })
@@ -190,7 +197,7 @@ def search(index: DataFrame, shards: int, queries: DataFrame, nearest: int = 5,
         out: list[tuple] = []
         if len(nodes) and len(asks):
             nodes = nodes.sort_values("node")
-            matrix = np.stack(nodes["vector"].to_list()).astype(np.float64)
+            matrix = scaled(np.stack(nodes["vector"].to_list()).astype(np.float64))
             norms = np.sqrt((matrix * matrix).sum(axis=1))
             edges = np.full((len(nodes), max(1, max(map(len, nodes["edges"])))), -1, dtype=np.int64)
             for row, own in zip(edges, nodes["edges"], strict=True):
@@ -198,9 +205,9 @@ def search(index: DataFrame, shards: int, queries: DataFrame, nearest: int = 5,
             graph, ids = Graph(_unit(matrix), edges), nodes["vec_ids"].to_list()
             for at in range(0, len(asks), 256):
                 some = asks.iloc[at : at + 256]
-                wanted = np.stack(some["vector"].to_list()).astype(np.float64)
+                wanted = scaled(np.stack(some["vector"].to_list()).astype(np.float64))
                 met, _ = graph.beam(_unit(wanted), width)
-                for query, vector, found in zip(some["vec_id"], wanted, met[:, : 2 * nearest + 2], strict=True):
+                for query, vector, found in zip(some["vec_id"], wanted, met, strict=True):
                     found = found[found >= 0]
                     scores = (matrix[found] * vector).sum(axis=1) / (norms[found] * np.sqrt((vector * vector).sum()))
                     rows = [(-s, i) for s, f in zip(scores.tolist(), found, strict=True) for i in ids[f] if i != query]

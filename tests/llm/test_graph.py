@@ -79,3 +79,40 @@ def test_one_vector_a_third_of_all(spark):
 def test_tables_agree(spark):
     vectors = G.valid_vectors(table(spark, "embeddings"))
     assert vectors.count() == table(spark, "embeddings").count()
+
+
+def test_near_and_scaled_copies(spark):
+    random = np.random.default_rng(4)
+    base = random.normal(size=(260, 32))
+    near = base.copy()
+    near[:60] = base[0] + random.normal(size=(60, 32)) * 1e-4
+    twos = base.copy()
+    twos[:60] = base[0] * np.exp2(np.arange(60) - 30)[:, None]
+    for vectors in (near, twos):
+        rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+        _, got = run(spark.createDataFrame(rows, "vec_id long, vector array<double>"), every=10)
+        want = brute(rows, [r for r in rows if r[0] % 10 == 0])
+        for q in range(0, 60, 10):
+            assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+        assert recall(got, want) >= 0.95
+
+
+def test_scaled_copies_by_any_factor(spark):
+    """Copies have a cosine of one but for rounding, so any of them may come first: none is lost to another vector."""
+    random = np.random.default_rng(5)
+    base = random.normal(size=(260, 32))
+    base[:60] = base[0] * (np.arange(60) + 1.0)[:, None] / 7
+    rows = [(i, v.tolist()) for i, v in enumerate(base)]
+    _, got = run(spark.createDataFrame(rows, "vec_id long, vector array<double>"), every=10)
+    want = brute(rows, [r for r in rows if r[0] % 10 == 0])
+    for q in range(0, 60, 10):
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]] and all(i < 60 and s > 1 - 1e-15 for i, s in got[q])
+
+
+def test_large_and_small_components(spark):
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 2.0]), (2, [1.0, 1.0]), (50, [1e-200, 1e-200]), (3, [5e-324, 0.0]), (4, [-1e308, 1e308])]
+    _, got = run(spark.createDataFrame(rows, "vec_id long, vector array<double>"))
+    half = round(0.5**0.5, 12)
+    to_12 = lambda found: {(i, round(s, 12)) for i, s in found}
+    assert to_12(got[0]) == {(1, 1.0), (3, 1.0), (2, half), (50, half), (4, -half)}
+    assert to_12(got[50]) == {(2, 1.0), (0, half), (1, half), (3, half), (4, 0.0)}
