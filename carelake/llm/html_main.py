@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
+from collections.abc import Generator
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -11,9 +13,10 @@ from pyspark.sql import types as T
 
 from .batches import map_rows
 
-TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>|<[!?/][^>]*+>""", re.S
-)
+#: A tag whose quoted values may hold ``>``, or markup that is no element; comments are found apart.
+TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>|<[!?/][^>]*+>""")
+#: A tag that ends at the next ``>``.
+SHORT_TAG = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>|<[!?/][^>]*+>""")
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
@@ -55,6 +58,32 @@ SENTENCE_ENDS = ".!?:;\u2026\u3002\uff01\uff1f\"')\u201d\u00bb"
 HOLDERS = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot"}
 
 
+def tags_of(page: str) -> Generator[tuple[int, int, re.Match | None], int | None, None]:
+    """Start, end and match of each piece of markup, None for a comment; ``send`` a place to go on from there.
+
+    Each character is looked at a bounded number of times: nothing behind the last ``>`` is a
+    tag, and once a quoted value has no end before it, tags end at the next ``>``.
+    """
+    last, at, tag = page.rfind(">") + 1, 0, TAG
+    while (start := page.find("<", at)) >= 0:
+        if page.startswith("<!--", start):
+            end, m = page.find("-->", start + 4) + 3, None
+            end = len(page) if end < 3 else end
+        elif start >= last:
+            at = start + 1
+            continue
+        else:
+            m = tag.match(page, start, last)
+            if m is None and page[start + 1 : start + 2].isascii() and page[start + 1 : start + 2].isalpha():
+                tag = SHORT_TAG
+                m = tag.match(page, start, last)
+            if m is None:
+                at = start + 1
+                continue
+            end = m.end()
+        at = max(end, (yield start, end, m) or 0)
+
+
 class Line(NamedTuple):
     text: str
     linked: int  # characters of links
@@ -149,29 +178,39 @@ def lines_of(page: str) -> list[Line]:
             found.append((pieces, state[3], state[5]))
             pieces = []
 
+    places: defaultdict[str, list[int]] = defaultdict(list)  # of the open elements of a tag
+
     def leave(tags: set[str], stop: set[str] = frozenset()) -> None:
         """Close the innermost open element of ``tags`` and all in it; none of ``stop`` is left for it."""
         nonlocal state
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in tags:
-                if not INLINE.issuperset(x[0] for x in stack[i:]):
-                    flush()
-                del stack[i:]
-                state = stack[-1] if stack else bottom
-                return
-            if stack[i][0] in stop:
-                return
-
-    while m := TAG.search(page, at):
-        text(page[at : m.start()])
-        at = m.end()
+        i = max((places[t][-1] for t in tags if places.get(t)), default=-1)
+        if i < 0 or any(places[t][-1] > i for t in stop if places.get(t)):
+            return
+        if not INLINE.issuperset(x[0] for x in stack[i:]):
+            flush()
+        for x in stack[i:]:
+            places[x[0]].pop()
+        del stack[i:]
+        state = stack[-1] if stack else bottom
+
+    last, markup, skip = page.rfind(">") + 1, tags_of(page), None
+    while True:
+        try:
+            start, end, m = markup.send(skip)
+        except StopIteration:
+            break
+        skip = None
+        text(page[at:start])
+        at = end
+        if m is None:
+            continue
         if not m[2]:
             continue
         tag = m[2].lower()
         if tag in RAW and not m[1]:
             if not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}(?![a-z0-9:-])[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                close = re.compile(rf"</{tag}(?![a-z0-9:-])[^>]*+>", re.I).search(page, at, max(last, at))
+                at = skip = close.end() if close else len(page)
             continue
         if tag == "br" or tag in ("td", "th", "mtd"):
             text(" ")
@@ -211,6 +250,7 @@ def lines_of(page: str) -> list[Line]:
             held.append(Held(inside, drop, opened))
             inside = len(held) - 1
         state = (tag, drop, inside, max(scope, opened), link or tag == "a", heading or tag in HEADINGS)
+        places[tag].append(len(stack))
         stack.append(state)
     text(page[at:])
     flush()
