@@ -17,7 +17,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 CHECKED = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
-CARD = re.compile(r"[A-Za-z]+\W{0,3}(?:n[ro]\.?|number)?\W{0,3}(\d(?:[ -]?\d){12,18})(?!\d)", re.A)
+LETTERS = re.compile(r"[A-Za-z]+")
+#: What follows the letters that a card's keyword stands in.
+CARD = re.compile(r"\W{0,3}(?:n[ro]\.?|number)?\W{0,3}(\d(?:[ -]?\d){12,18})(?!\d)", re.A)
 IBAN = re.compile(r"iban\W{0,3}([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])", re.I | re.A)
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
@@ -99,7 +101,9 @@ def scan(text: str | None) -> list[tuple[int, str, int]]:
                 end[kind] = m.end()
                 spans.append((at, kind, m.end()))
         elif kind == "card":
-            if (m := CARD.match(text, at)) and luhn(re.sub(r"\D", "", m[1])):
+            word = LETTERS.match(text, at)
+            end[kind] = word.end() if word else at + 1  # all hits in a run of letters see the same
+            if word and (m := CARD.match(text, word.end())) and luhn(re.sub(r"\D", "", m[1])):
                 end[kind] = m.end()
                 spans.append((m.start(1), kind, m.end(1)))
         elif (m := IBAN.match(text, at)) and iban_valid(m[1].replace(" ", "").upper()):

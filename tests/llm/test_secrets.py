@@ -1,5 +1,7 @@
 import hashlib
 import re
+import time
+from random import Random
 
 import pytest
 from llm.odd import documents, empty, plain, table
@@ -55,3 +57,41 @@ def test_checksums_decide():
 @pytest.mark.parametrize("text", ODD)
 def test_lower_case_keeps_places(text):
     assert len(S.lowered(text)) == len(text)
+
+
+@pytest.mark.parametrize("piece", ["card", "visa ", "card 4", "token", "token ", "AKIA", "ghp_", "iban ", "password=", "card number "])
+def test_long_texts_take_linear_time(piece):
+    began = time.process_time()
+    S.scan(piece * (2_000_000 // len(piece)))
+    assert time.process_time() - began < 5
+
+
+def added(text):
+    """Spans of the added kinds, each pattern tried at every place of the text."""
+    out = set()
+    for at in range(len(text)):
+        if m := re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{36})(?![A-Za-z0-9])").match(text, at):
+            if S.forge_checksum(m[1][:30]) == m[1][30:]:
+                out.add((at, "forge", m.end()))
+        if re.compile("card|visa", re.I).match(text, at) and (m := re.compile(r"[A-Za-z]+\W{0,3}(?:n[ro]\.?|number)?\W{0,3}(\d(?:[ -]?\d){12,18})(?!\d)", re.A).match(text, at)):
+            digits = [int(c) for c in m[1] if c.isdigit()][::-1]
+            if sum(d if i % 2 == 0 else 2 * d - 9 * (2 * d > 9) for i, d in enumerate(digits)) % 10 == 0:
+                out.add((m.start(1), "card", m.end(1)))
+        if m := re.compile(r"iban\W{0,3}([A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])", re.I | re.A).match(text, at):
+            code = m[1].replace(" ", "").upper()
+            if int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1:
+                out.add((m.start(1), "iban", m.end(1)))
+    return sorted(out)
+
+
+def test_added_kinds_against_every_place():
+    random = Random(3)
+    parts = [github(), github("a" * 30), "ghp_" + "x" * 36, "npm_" + github()[4:], "card", "Visa", "no. ", "number ", " ", ": ", "4111 1111 1111 1111", "4111-1111-1111-1112", "5500000000000004",
+             "IBAN ", "iban:", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "DE89370400440532013001", "x", "é", ".", "\n", "1", "cardcard"]
+    found = 0
+    for _ in range(3_000):
+        text = "".join(random.choice(parts) for _ in range(random.randint(1, 9)))
+        want = added(text)
+        found += len(want)
+        assert sorted(s for s in S.scan(text) if s[1] in S.KINDS[3:]) == want, text
+    assert found > 500
