@@ -10,7 +10,7 @@ from llm.test_line_dedup import lower_words
 from llm.test_packing import pieces
 from llm.test_shingles import brute as group_brute
 
-from carelake.llm import mixing, quality
+from carelake.llm import line_dedup, mixing, quality
 
 
 def key(r):
@@ -36,11 +36,11 @@ def test_stages_one_by_one(spark, tmp_path):
     assert all(i in want for i in good if not judged[i].base_failed)  # clean documents stay
 
     rows = kept.selectExpr("doc_id", "text", "xxhash64(text) as h").collect()
-    gone = line_brute(rows)
+    gone = line_brute(rows, line_dedup.MIN_WORDS, line_dedup.NEAR_WORDS)
     expected = Counter()
     for r in rows:
         left = [x for i, x in enumerate(r.text.split("\n")) if i not in gone[key(r)]]
-        if not gone[key(r)] or any(len(lower_words(x)) >= 5 for x in left):
+        if not gone[key(r)] or any(lower_words(x) for x in left):
             expected[(r.doc_id, "\n".join(left))] += 1
     assert Counter(map(key, lines.collect())) == expected
     assert all(r.n_chars == len(r.text) for r in lines.collect() if gone.get((r.doc_id, r.text)) is None)
