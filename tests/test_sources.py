@@ -3,6 +3,7 @@
 import datetime as dt
 import gzip
 import json
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -295,9 +296,9 @@ def test_csv_types_breaks_and_missing_words(spark, tmp_path):
     (tmp_path / "a.csv").write_text('n,t,b\n1,"line 1\nline ""2""",true\n2,N/A,False\n')
     (tmp_path / "b.csv").write_text("b,n,big\nTRUE,1.0,99999999999999999999\n,2.5,NA\n,NULL,None\n")
     out = files.union_csv_folder(spark, str(tmp_path))
-    assert dict(out.dtypes) == {"n": "double", "t": "string", "b": "boolean", "big": "double"}
+    assert dict(out.dtypes) == {"n": "double", "t": "string", "b": "boolean", "big": "decimal(38,0)"}
     assert rows(out, "n", "t", "b", "big") == sorted(
-        [(1.0, 'line 1\nline "2"', True, None), (2.0, None, False, None), (1.0, None, True, 1e20), (2.5, None, None, None), (None, None, None, None)], key=repr
+        [(1.0, 'line 1\nline "2"', True, None), (2.0, None, False, None), (1.0, None, True, Decimal(99999999999999999999)), (2.5, None, None, None), (None, None, None, None)], key=repr
     )
     schema = T.StructType.fromDDL("n int, t string, b boolean")
     assert rows(files.read_csv_typed(spark, str(tmp_path / "a.csv"), schema, files.MISSING_WORDS)) == sorted([(1, 'line 1\nline "2"', True), (2, None, False)], key=repr)
