@@ -116,17 +116,17 @@ def edited_documents(docs: DataFrame) -> DataFrame:
     id and text; of repeated rows each comes before the next of its kind, so only the last meets
     another text. Equal texts have equal fingerprints, also the empty one. Only doc_id and text
     are read; an empty table gives no rows. Two small tables are written while this is called.
-    Each text and its signatures are shuffled once, each start and set once more.
+    Each text is shuffled once, each start and signature set once more.
     """
     text = F.coalesce(docs["text"], F.lit(""))
     key = F.md5(F.concat(F.coalesce(docs["doc_id"].cast("string"), F.lit("-")), F.lit(":"), text))
     keyed = docs.select(docs["doc_id"].alias("sp_id"), key.alias("sp_key"), text.alias("sp_text"))
     order = written(_succession(keyed), "spot-order")
-    # Repeated rows meet before the shuffle; both uses below read the same exchange.
-    texts = keyed.withColumn("sp_set", signatures(F.col("sp_text"))).groupBy("sp_key").agg(
-        F.first("sp_id").alias("doc_id"), F.first("sp_text").alias("text"), F.first("sp_set").alias("set")
+    # Repeated rows meet before the shuffle. Both uses below need the same columns, a struct, and so read the same exchange.
+    texts = keyed.groupBy("sp_key").agg(F.first(F.struct("sp_id", "sp_text")).alias("row"))
+    placed = texts.join(order, F.col("sp_key") == F.col("at_key")).withColumns(
+        {"doc_id": F.col("row.sp_id"), "text": F.col("row.sp_text"), "set": signatures(F.col("row.sp_text"))}
     )
-    placed = texts.join(order, F.col("sp_key") == F.col("at_key"))
     third = lambda chars: F.floor(chars / 3).cast("int")
     following = placed.select("to_key", F.substring("text", F.lit(1), third(F.col("to_chars"))).alias("start"), F.col("set").alias("next_set"))
     met = placed.drop("to_key", "to_chars").join(following, F.col("sp_key") == F.col("to_key"))
