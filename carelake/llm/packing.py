@@ -26,6 +26,8 @@ GROUP_PIECES = 16_384
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: In words of these characters lower case and NFC go character by character.
 PLAIN = regex.compile(r"[\x21-\x7e\xa1-įĲ-ɏ]+")
+#: How the vocabulary writes bytes that are no visible sign: one after the other from U+0100.
+BYTE_SIGNS = {b: 0x100 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
 
 PIECE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
@@ -42,22 +44,35 @@ class Encoder(dict):
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
 
+        self.model = self.tokenizer.model
+
     def _ids(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one lower-case piece straight from the merges, without the steps before them."""
+        packed = self.by_piece.get(piece)
+        if packed is None:
+            signs = piece if piece.isascii() else piece.encode().decode("latin-1").translate(BYTE_SIGNS)
+            ids = [token.id for token in self.model.tokenize(signs)]
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+            if len(piece) <= 64:
+                self.by_piece[piece] = packed
+        return packed
+
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "surrogatepass")
-        if "<|" in text or not PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
-            out = self._ids(text)
+        letters = word.rstrip(b".,;:!?")
+        if letters.isalpha():  # ASCII letters, then signs
+            out = self._piece(letters.lower().decode())
+            if len(letters) < len(word):
+                out += self._piece(word[len(letters) :].decode())
         else:
-            known, out = self.by_piece, b""
-            for piece in PIECES.findall(text.lower()):
-                if (packed := known.get(piece)) is None:
-                    packed = self._ids(piece)
-                    if len(piece) <= 64:
-                        known[piece] = packed
-                out += packed
+            text = word.decode("utf-8", "surrogatepass")
+            if "<|" in text or not PLAIN.fullmatch(text) or not unicodedata.is_normalized("NFC", text):
+                out = self._ids(text)
+            else:
+                out = b"".join(map(self._piece, PIECES.findall(text.lower())))
         if len(word) <= 64:
             self[word] = out
         return out
