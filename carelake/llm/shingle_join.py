@@ -109,25 +109,35 @@ def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray, k:
     return map_rows(source, ["doc_id", "text_hash", "text"], rows, schema)
 
 
+def _members() -> list[Column]:
+    """What tells sets of ``rid`` apart: count, least, most and two hash sums."""
+    return [
+        F.count(F.lit(1)).alias("times"), F.min("rid").alias("least"), F.max("rid").alias("most"),
+        F.bit_xor(F.xxhash64("rid")).alias("mixed"), F.sum(F.pmod(F.xxhash64(F.lit(1), "rid"), F.lit(1 << 40))).alias("total"),
+    ]
+
+
 def _keys(nodes: DataFrame, common_from: int) -> DataFrame:
-    """(key, rid): rare tokens one by one, pairs of the common ones; only keys that two sets have.
+    """(key, rid): tokens by classes, pairs of the common ones; only keys that two sets have.
 
-    Of keys with the same members (by count, least, most and two hash sums) one is enough.
+    Tokens with the same members, as those of one passage, are a class and one key. A class of
+    a rare token is a key, and so is one of two tokens or more, since who shares it shares two;
+    pairs are needed only of common tokens that are alone in their class. Of keys with the
+    same members one is enough.
     """
+    same = ["times", "least", "most", "mixed", "total"]
     entries = nodes.select("rid", F.explode("prefix").alias("token"))
-    lists = written(entries.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1"), "postings")
-    shared = written(entries.join(lists, "token"), "shared-tokens")
-    rare = shared.where(F.col("times") <= common_from).select(F.col("token").alias("key"), "rid")
-    often = shared.where(F.col("times") > common_from).groupBy("rid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    lists = entries.groupBy("token").agg(*_members()).where("times > 1")
+    classes = written(lists.groupBy(*same).agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("width")).select("token", "times", "width"), "token-classes")
+    shared = written(entries.join(classes, "token"), "shared-tokens")
+    alone = (F.col("times") > common_from) & (F.col("width") == 1)
+    single = shared.where(~alone).select(F.col("token").alias("key"), "rid")
+    often = shared.where(alone).groupBy("rid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     pairs = often.select("rid", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("i"), "tokens").select(
         "rid", F.explode(F.transform(F.slice("tokens", F.col("i") + 2, F.size("tokens")), lambda t: F.xxhash64(F.get("tokens", F.col("i")), t))).alias("key")
     )
-    keys = written(rare.union(pairs.select("key", "rid")), "all-keys")
-    members = keys.groupBy("key").agg(
-        F.count(F.lit(1)).alias("times"), F.min("rid").alias("least"), F.max("rid").alias("most"),
-        F.bit_xor(F.xxhash64("rid")).alias("mixed"), F.sum(F.pmod(F.xxhash64(F.lit(1), "rid"), F.lit(1 << 40))).alias("total"),
-    ).where("times > 1")
-    one = members.groupBy("times", "least", "most", "mixed", "total").agg(F.min("key").alias("key")).select("key")
+    keys = written(single.union(pairs.select("key", "rid")), "all-keys")
+    one = keys.groupBy("key").agg(*_members()).where("times > 1").groupBy(*same).agg(F.min("key").alias("key")).select("key")
     return keys.join(one, "key", "left_semi")
 
 
