@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import hadoop_path
+from ..session import written
+from . import csv_blocks
 
 # Cell texts that mean "no value".
 NULL_TOKENS = ["", "NULL", "null", "NaN", "nan"]
@@ -24,36 +25,43 @@ COLON_STAND_IN = "\uf03a"
 
 # ---- CSV
 
-def union_csv_folder(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def union_csv_folder(spark: SparkSession, path: str, open_files: bool = True) -> DataFrame:
     """All ``*.csv`` of a folder united by column name, full-row duplicates removed.
 
-    Files are grouped by header line (a multi-file read would take the first file's header
-    for all); empty files are skipped. All cells are read as text, missing words as NULL;
-    one pass over the united rows then finds each column's type: whole numbers, numbers,
-    true/false, else text, so a whole-number column of one file widens to that of another.
-    Quoted cells may hold line breaks; ``multi_line=False`` gives that up and lets one large
-    file be read by several tasks.
+    Each file has its own header; empty files are skipped. All cells are read as text, missing
+    words as NULL; one pass over the united rows then finds each column's type: whole numbers,
+    numbers, true/false, else text, so a whole-number column of one file widens to that of
+    another. Quoted cells may hold line breaks, and a large file is read by several tasks
+    all the same (see ``csv_blocks``). Headers are read by opening the files, or with
+    ``open_files=False`` (a store that only Spark reaches) taken from the records; only the
+    different headers come to the driver. The cells are written once, as text.
     """
-    options = {"pathGlobFilter": "*.csv", "ignoreCorruptFiles": "true"}
-    first_lines = (
-        spark.read.options(**options).text(path)
-        .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
-                F.monotonically_increasing_id().alias("id"))
-        .filter("at = 0").groupBy("file").agg(F.min_by("value", "id").alias("header"))
-    )
-    groups = (
-        first_lines.filter(F.trim("header") != "").groupBy("header")
-        .agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
-    )
-    if not groups:
+    records = csv_blocks.csv_records(csv_blocks.csv_lines(spark, path, "*.csv"))
+    if open_files:
+        headers = csv_blocks.csv_headers(list_files(spark, path, ".csv"))
+    else:
+        headers = records.where("first").select("file", F.col("record").alias("header"))
+    headers = written(headers, "csv-headers")
+    different = [r.header for r in headers.select("header").distinct().orderBy("header").collect()]
+    if not different:
         raise FileNotFoundError(f"no CSV file with a header under {path}")
-    frames = [
-        spark.read.options(header="true", quote='"', escape='"', multiLine=str(multi_line).lower(), ignoreCorruptFiles="true").csv(g["files"])
-        for g in groups
-    ]
-    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    texts = united.select(*[F.when(~F.trim(F.col(_quoted(c))).isin(MISSING_WORDS), F.col(_quoted(c))).alias(c) for c in united.columns])
-    return _in_found_types(texts).distinct()
+    widest = 1 + max(h.count(",") for h in different)
+    named = spark.createDataFrame([(h,) for h in different], "header string").select("header", csv_blocks.cells(F.col("header"), widest).alias("names"))
+    names = {r.header: [c for c in r.names] for r in named.collect()}
+    for header, found in names.items():
+        while found and found[-1] is None:
+            found.pop()
+        found[:] = [c if c is not None else f"_c{i}" for i, c in enumerate(found)]
+        if len(set(found)) < len(found):
+            raise ValueError(f"a header names a column twice: {header[:200]}")
+    columns = list(dict.fromkeys(c for h in different for c in names[h]))
+    by_header = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for h in different for x in (h, names[h])])
+    rows = records.where(~F.col("first")).join(headers.withColumnRenamed("file", "of_file"), F.col("file") == F.col("of_file"))
+    texts = rows.select(csv_blocks.cells(F.col("record"), max(map(len, names.values()))).alias("cells"), F.element_at(by_header, F.col("header")).alias("names")).select(
+        *[F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int")).alias(c) for c in columns]
+    )
+    known = texts.select(*[F.when(~F.trim(F.col(_quoted(c))).isin(MISSING_WORDS), F.col(_quoted(c))).alias(c) for c in columns])
+    return _in_found_types(written(known, "csv-cells")).distinct()
 
 
 def _quoted(name: str) -> str:
@@ -85,19 +93,22 @@ def _in_found_types(texts: DataFrame) -> DataFrame:
     return texts.select(*[typed(i, c) for i, c in enumerate(texts.columns)])
 
 
-def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, null_values: list[str] | None = None, on_error: str = "skip", multi_line: bool = True) -> DataFrame:
+def read_csv_typed(spark: SparkSession, path: str, schema: T.StructType, null_values: list[str] | None = None, on_error: str = "skip") -> DataFrame:
     """CSV with a header row in the given types.
 
     Null tokens become NULL. A row with an unreadable value or a wrong number of
     cells is skipped, or fails the query with ``on_error='abort'``. Quoted cells may hold
-    line breaks; ``multi_line=False`` gives that up and lets several tasks share a file.
+    line breaks; several tasks share a large file (see ``csv_blocks``).
     """
     tokens = NULL_TOKENS if null_values is None else null_values
     text = T.StructType(
         [T.StructField(f.name, T.StringType()) for f in schema.fields]
         + [T.StructField("_corrupt_record", T.StringType())]
     )
-    rows = spark.read.schema(text).options(header="true", mode="PERMISSIVE", quote='"', escape='"', multiLine=str(multi_line).lower()).csv(path)
+    records = csv_blocks.csv_records(csv_blocks.csv_lines(spark, path)).where(~F.col("first"))
+    options = {"mode": "PERMISSIVE", "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+    parsed = F.from_csv("record", ", ".join(f"{_quoted(f.name)} string" for f in text.fields), options)
+    rows = records.select(F.inline(F.array(parsed)))  # all cells, also where few are asked for: their number is checked
     cells = {f.name: F.when(~F.col(f.name).isin(tokens), F.col(f.name)) for f in schema.fields}
     typed = rows.select(
         "_corrupt_record",
