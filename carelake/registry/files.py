@@ -5,8 +5,9 @@ from pyspark.sql import types as T
 
 from ..operators.dictionary import group_tables, schema_from_dictionary
 from ..operators.documents import extract_documents
-from ..session import hadoop_path, scratch_path, spread
+from ..session import scratch_path, spread
 from ..sources import files, landing
+from ..sources.geojson_blocks import feature_files
 from ..sources.sync import load_all_tables
 from ..sources.tables import Table
 from . import query
@@ -161,19 +162,20 @@ def src_extract_csv(t):
 
 
 @query("""
-SELECT CAST(ROW_NUMBER() OVER (ORDER BY doc_id DESC) - 1 AS INT) AS list_order, CAST(doc_id AS INT) AS map_index, doc_id % 4 <> 0 AS found,
-       CASE WHEN doc_id % 4 <> 0 THEN text || chr(10) ELSE '[MISSING LOG FILE]' END AS content FROM documents
+SELECT CAST(1000000 - map_index AS INT) AS list_order, CAST(map_index AS INT) AS map_index, map_index % 4 <> 0 AS found,
+       CASE WHEN map_index % 4 <> 0 THEN lines || chr(10) ELSE '[MISSING LOG FILE]' END AS content
+FROM (SELECT doc_id // 20 AS map_index, string_agg(text, chr(10) ORDER BY doc_id) AS lines FROM documents GROUP BY 1)
 """)
 def src_failed_logs(t):
     root = scratch_path(t.spark, "logs")
-    task = f"{root}/dag_id=d/run_id=manual_1/task_id=t"
-    documents = t("documents").select(F.col("doc_id").alias("map_index"), "text")
-    # Every fourth log is missing; what Spark wrote gets the name of a log.
-    spread(documents.filter("map_index % 4 <> 0")).write.partitionBy("map_index").text(task)
-    for row in files.list_files(t.spark, task, ".txt").select("path").collect():
-        fs, path = hadoop_path(t.spark, row.path)
-        fs.rename(path, hadoop_path(t.spark, f"{row.path.rsplit('/', 1)[0]}/attempt=1.log")[1])
-    indices = [r.map_index for r in documents.select("map_index").orderBy(F.desc("map_index")).collect()]
+    # A log holds twenty documents; every fourth log is missing, and there is another attempt of each.
+    index = F.expr("CAST(doc_id DIV 20 AS INT)").alias("map_index")
+    documents = t("documents").groupBy(index).agg(F.sort_array(F.collect_list(F.struct("doc_id", "text"))).alias("all"))
+    lines = documents.select("map_index", F.array_join(F.transform("all", lambda d: d["text"]), "\n").alias("text"))
+    attempts = F.explode(F.array(F.lit("0.log"), F.lit("1.log"))).alias("attempt")
+    written_logs = lines.filter("map_index % 4 <> 0").select("map_index", attempts, "text")
+    written_logs.write.partitionBy("map_index", "attempt").text(f"{root}/dag_id=d/run_id=manual_1/task_id=t")
+    indices = lines.select((1_000_000 - F.col("map_index")).alias("list_order"), "map_index")
     return files.collect_failed_logs(t.spark, root, "d", "manual_1", "t", indices).select("list_order", "map_index", "found", "content")
 
 
@@ -185,10 +187,8 @@ def src_geojson(t):
         F.lit("Feature").alias("type"), F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates")).alias("geometry"),
         F.struct(F.col("c_name").alias("name")).alias("properties"),
     )
-    # A file for each nation, as one indented-free document.
-    documents = t("customer").groupBy("c_nationkey").agg(F.collect_list(feature).alias("features"))
-    texts = documents.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features")).alias("value"))
-    texts.write.option("maxRecordsPerFile", 1).text(root)
+    # Files of one nation each and a bounded number of features, however many customers it has.
+    feature_files(t("customer"), ["c_nationkey"], feature).write.option("maxRecordsPerFile", 1).text(root)
     return files.read_geojson_points(t.spark, root, ["name"])
 
 

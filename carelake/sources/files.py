@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import written
-from . import csv_blocks
+from ..session import hadoop_path, written
+from . import csv_blocks, geojson_blocks
 
 # Cell texts that mean "no value".
 NULL_TOKENS = ["", "NULL", "null", "NaN", "nan"]
@@ -202,32 +202,29 @@ def read_text_docs(spark: SparkSession, root: str, suffix: str = ".txt") -> Data
     )
 
 
-def collect_failed_logs(spark: SparkSession, root: str, dag_id: str, run_id: str, task_id: str, indices: list[int], attempt: int = 1) -> DataFrame:
-    """The logs of the listed task indices in list order; missing ones are marked."""
+def collect_failed_logs(spark: SparkSession, root: str, dag_id: str, run_id: str, task_id: str, indices: DataFrame, attempt: int = 1) -> DataFrame:
+    """The logs of the listed task indices with their place in the list; missing ones are marked.
+
+    ``indices`` has list_order and map_index, and may be as long as it likes: it is joined to one
+    scan of the task's logs of that attempt.
+    """
     run = run_id.replace(COLON_STAND_IN, ":")
-    base = root.replace(COLON_STAND_IN, ":").rstrip("/")
-    folder = f"{base}/dag_id={dag_id}/run_id={run}/task_id={task_id}"
-    file = lambda i: f"{folder}/map_index={i}/attempt={attempt}.log"
-    there = []
-    for i in dict.fromkeys(indices):
-        fs, p = hadoop_path(spark, file(i))
-        there += [file(i)] if fs.exists(p) else []
-    # Only the listed logs are read; the list is an argument, so its length is the caller's.
+    folder = f"{root.replace(COLON_STAND_IN, ':').rstrip('/')}/dag_id={dag_id}/run_id={run}/task_id={task_id}"
+    fs, p = hadoop_path(spark, folder)
+    path = F.col("_metadata.file_path")
     logs = (
-        spark.read.text(there, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
-        if there else spark.createDataFrame([], "path string, content string")
-    ).select(F.regexp_extract("path", r"map_index=(-?\d+)/", 1).cast("int").alias("map_index"), "content")
-    wanted = spark.createDataFrame(list(enumerate(indices)), "list_order int, map_index int")
-    return (
-        wanted.join(logs, "map_index", "left")
-        .select(
-            "list_order",
-            "map_index",
-            F.concat(F.lit(f"{folder}/map_index="), F.col("map_index"), F.lit(f"/attempt={attempt}.log")).alias("path"),
-            F.col("content").isNotNull().alias("found"),
-            F.coalesce("content", F.lit(MISSING_LOG)).alias("content"),
-        )
-        .orderBy("list_order")
+        # The filter is on the file's name, so other attempts are not opened.
+        spark.read.option("recursiveFileLookup", "true").text(folder, wholetext=True).where(path.rlike(rf"/map_index=-?[0-9]+/attempt={attempt}\.log(/[^/]*)?$"))
+        .select(F.regexp_extract(path, r"/map_index=(-?\d+)/", 1).cast("int").alias("map_index"), F.col("value").alias("content"))
+        if fs.exists(p) else spark.createDataFrame([], "map_index int, content string")
+    )
+    wanted = indices.select("list_order", F.col("map_index").cast("int").alias("map_index"))
+    return wanted.join(logs, "map_index", "left").select(
+        "list_order",
+        "map_index",
+        F.concat(F.lit(f"{folder}/map_index="), F.col("map_index"), F.lit(f"/attempt={attempt}.log")).alias("path"),
+        F.col("content").isNotNull().alias("found"),
+        F.coalesce("content", F.lit(MISSING_LOG)).alias("content"),
     )
 
 
@@ -236,17 +233,17 @@ def collect_failed_logs(spark: SparkSession, root: str, dag_id: str, run_id: str
 def read_geojson_points(spark: SparkSession, path: str, properties: list[str] | None = None, others: str = "raise") -> DataFrame:
     """One row per point feature: lon, lat and the properties as a map.
 
-    With ``properties`` those are columns instead. A feature of another geometry fails the
+    A file of any size is read by several tasks (see ``geojson_blocks``). With ``properties``
+    those are columns instead. A feature of another geometry fails the
     query, or with ``others='skip'`` is left out.
     """
     if others not in ("raise", "skip"):
         raise ValueError(f"unknown others {others!r}")
     # Coordinates of other geometries are arrays of arrays, so they are kept as text here.
-    feature = "struct<geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
-    features = (
-        spark.read.schema(f"features array<{feature}>").option("multiLine", "true").json(path)
-        .select(F.explode("features").alias("f"))
-    )
+    feature = "struct<type:string,geometry:struct<type:string,coordinates:string>,properties:map<string,string>>"
+    found = geojson_blocks.features(geojson_blocks.pieces(spark, path))
+    # Other objects of the document (a reference system) are no features.
+    features = found.select(F.from_json("feature", feature, {"mode": "FAILFAST"}).alias("f")).where("f.type = 'Feature'")
     kind = F.coalesce("f.geometry.type", F.lit("no geometry"))
     if others == "raise":
         problem = F.raise_error(F.concat(F.lit("feature that is no point: "), kind)).cast("boolean")

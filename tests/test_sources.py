@@ -16,7 +16,7 @@ from carelake.plans.clean import clean_source, empty_clean, merge_clean
 from carelake.plans.market import project
 from carelake.schemas import RAW_EVENTS, struct
 from carelake.session import scratch_dir
-from carelake.sources import files, jdbc, landing
+from carelake.sources import files, geojson_blocks, jdbc, landing
 from carelake.sources.sync import TablesFailed, load_all_tables
 from carelake.sources.tables import Table, open_table
 from conftest import rows
@@ -144,10 +144,13 @@ def test_failed_logs(spark, tmp_path):
         folder = task / f"map_index={index}"
         folder.mkdir(parents=True, exist_ok=True)
         (folder / f"attempt={attempt}.log").write_text(f"log {index}/{attempt}\nmore")
-    got = files.collect_failed_logs(spark, str(tmp_path), "d", "manual\uf03a1", "t", [10, 7, 3]).collect()
+    wanted = spark.createDataFrame([(0, 10), (1, 7), (2, 3)], "list_order int, map_index int")
+    got = files.collect_failed_logs(spark, str(tmp_path), "d", "manual\uf03a1", "t", wanted).orderBy("list_order").collect()
     assert [(r.map_index, r.found, r.content) for r in got] == [
         (10, True, "log 10/1\nmore"), (7, False, "[MISSING LOG FILE]"), (3, True, "log 3/1\nmore")]
     assert got[0].path.endswith("run_id=manual:1/task_id=t/map_index=10/attempt=1.log")
+    none = files.collect_failed_logs(spark, str(tmp_path), "d", "other", "t", wanted).collect()
+    assert len(none) == 3 and not any(r.found for r in none)
 
 
 def test_geojson(spark, tmp_path):
@@ -159,6 +162,39 @@ def test_geojson(spark, tmp_path):
     assert project(points).filter("x between 200000 and 300000 and y between 9800000 and 9900000").count() == 1
 
 
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("split", ["128m", "1500"])
+def test_large_geojson_is_read_by_several_tasks(spark, tmp_path, indent, split):
+    names = ["plain", 'a "quoted" {', "}", "\\\\", '\\"}{"', "{[]}", "\n}", "é", ""]
+    features = [
+        {"type": "Feature", "properties": {"name": names[i % len(names)] + str(i), "inner": {"a": {"b": i}}}, "geometry": {"type": "Point", "coordinates": [i / 8, -i / 4]}}
+        for i in range(600)
+    ]
+    head = {"type": "FeatureCollection", "name": "x{\"}", "crs": {"type": "name", "properties": {"name": "urn}"}}}
+    texts = {"a": json.dumps(head | {"features": features}, indent=indent), "b": json.dumps({"features": features[:3], **head}, indent=indent), "none": json.dumps({"features": []})}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.geojson").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        pieces = geojson_blocks.pieces(spark, str(tmp_path))
+        if split == "1500":
+            assert pieces.rdd.getNumPartitions() > 20
+        points = files.read_geojson_points(spark, str(tmp_path), ["name", "inner"])
+        want = [(f["geometry"]["coordinates"][0], f["geometry"]["coordinates"][1], f["properties"]["name"], json.dumps(f["properties"]["inner"])) for f in features + features[:3]]
+        assert sorted((r.lon, r.lat, r.name, json.dumps(json.loads(r.inner))) for r in points.collect()) == sorted(want)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_feature_files_are_bounded(spark):
+    places = spark.range(5000).selectExpr("if(id % 3 = 0, 0, id % 7) as nation", "id")
+    files_of = geojson_blocks.feature_files(places, ["nation"], F.struct(F.lit("Feature").alias("type"), "id"), per_file=100)
+    sizes = files_of.select(F.size(F.from_json("value", "features array<struct<id:bigint>>").getField("features")).alias("n")).collect()
+    assert sum(r.n for r in sizes) == 5000 and max(r.n for r in sizes) < 200 and len(sizes) > 40
+
+
 def test_jdbc_options():
     # No database may run here, not even inside this process: the options are what is checked.
     plain = jdbc.jdbc_options("jdbc:x", "t")
