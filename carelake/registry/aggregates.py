@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..fixtures import TABLES
 from ..functions.dates import epoch_local
 from ..functions.nulls import count_when, mean, sum_when
+from ..operators.bitmaps import DistinctStore, distinct_counts
 from ..operators.dedup import duplicate_keys, first_per_key
 from ..operators.documents import first_failures, run_summary
 from ..plans.clean import label_events
@@ -51,6 +52,27 @@ def agg_distinct(t):
     )
 
 
+@query("""
+SELECT level, start, facility_id, patients FROM (
+    SELECT 'day' AS level, CAST(event_time AS DATE) AS start, facility_id, COUNT(DISTINCT patient_id) AS patients FROM fx_clean_events GROUP BY ALL
+    UNION ALL SELECT 'week', CAST(date_trunc('week', event_time) AS DATE), facility_id, COUNT(DISTINCT patient_id) FROM fx_clean_events GROUP BY ALL
+    UNION ALL SELECT 'month', CAST(date_trunc('month', event_time) AS DATE), facility_id, COUNT(DISTINCT patient_id) FROM fx_clean_events GROUP BY ALL
+) WHERE patients > 0
+""")
+def agg_distinct_merged(t):
+    # Two loads that share some rows; the counts read the stored bitmaps alone.
+    rows = t("fx_clean_events").select(F.col("event_time").cast("date").alias("day"), "facility_id", "patient_id", "ingested_at")
+    first, late = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
+    store = DistinctStore(["day", "facility_id"], "patient_id")
+    store.load(rows.filter(F.col("ingested_at") < first))
+    stored = store.load(rows.filter(~(F.col("ingested_at") < late)))
+    parts = [
+        distinct_counts(stored, [start.cast("date").alias("start"), "facility_id"], "patients").select(F.lit(level).alias("level"), "start", "facility_id", "patients")
+        for level, start in (("day", F.col("day")), ("week", F.trunc("day", "week")), ("month", F.trunc("day", "month")))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("""
 SELECT facility_id, COUNT(DISTINCT CASE WHEN event_category = 'FINANCIAL' THEN event_id END) AS financial,
        COUNT(DISTINCT CASE WHEN event_category = 'CLINICAL' THEN event_id END) AS clinical FROM ox_labelled GROUP BY 1

@@ -120,3 +120,27 @@ def dml_scd2(t):
     delivery = rows.filter((k % 3 == 0) | (k % 5 == 4)).withColumn("department", moved).drop("s_suppkey")
     history = provider_history(stored, delivery, "2024-01-31")
     return history.select("provider_sk", "provider_id", "provider_name", "department", "effective_date", "end_date", "is_current")
+
+
+@query("""
+SELECT provider_id, department, effective_date, end_date, end_date IS NULL AS is_current, md5(provider_id || '|' || effective_date) AS provider_sk FROM (
+    SELECT CAST(s_suppkey AS VARCHAR) AS provider_id, 'D' || s_nationkey AS department, DATE '2020-01-01' AS effective_date,
+           CASE WHEN s_suppkey % 2 = 0 THEN DATE '2022-06-01' END AS end_date FROM supplier WHERE s_suppkey % 5 <> 4
+    UNION ALL SELECT CAST(s_suppkey AS VARCHAR), 'back', DATE '2022-06-01', CASE WHEN s_suppkey % 6 = 0 OR s_suppkey % 5 = 4 THEN DATE '2024-01-31' END
+    FROM supplier WHERE s_suppkey % 2 = 0
+    UNION ALL SELECT CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 6 = 0 THEN 'moved' ELSE 'D' || s_nationkey END, DATE '2024-01-31', NULL
+    FROM supplier WHERE s_suppkey % 6 = 0 OR s_suppkey % 5 = 4
+)
+""")
+def dml_scd2_backdated(t):
+    k = F.col("s_suppkey")
+    rows = t("supplier").select(
+        "s_suppkey", k.cast("string").alias("provider_id"), F.col("s_name").alias("provider_name"),
+        F.concat(F.lit("D"), F.col("s_nationkey").cast("string")).alias("department"),
+    )
+    # The last delivery is older than what the one before it wrote.
+    history = provider_history(None, rows.filter(k % 5 != 4).drop("s_suppkey"), "2020-01-01")
+    moved = rows.filter((k % 6 == 0) | (k % 5 == 4)).withColumn("department", F.when(k % 6 == 0, "moved").otherwise(F.col("department")))
+    history = provider_history(history, moved.drop("s_suppkey"), "2024-01-31")
+    history = provider_history(history, rows.filter(k % 2 == 0).withColumn("department", F.lit("back")).drop("s_suppkey"), "2022-06-01")
+    return history.select("provider_id", "department", "effective_date", "end_date", "is_current", "provider_sk")

@@ -1,10 +1,12 @@
 """Upserts, replacement and history."""
 
 import datetime as dt
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
+from carelake.operators.bitmaps import DistinctStore, bitmaps, distinct_counts
 from carelake.operators.dedup import first_per_key, has_id, latest_per_key
 from carelake.operators.merge import DuplicateKeys, merge_upsert
 from carelake.operators.scd2 import scd2_apply
@@ -163,3 +165,45 @@ def test_offsets_fix_the_instant(spark):
     ).withColumn("payload", F.parse_json("payload"))
     for cleaned in (clean_source(raw), flat_source(raw)):
         assert rows(cleaned, "event_id", "event_time") == [("1", dt.datetime(2023, 12, 31, 21, 30)), ("2", dt.datetime(2024, 1, 1, 0, 30))]
+
+
+def test_history_with_deliveries_in_any_order(spark):
+    """Against a list of intervals per key, spliced one by one."""
+    some, day = Random(5), lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    empty = spark.createDataFrame([], "k string, v string, effective_date date, end_date date, is_current boolean")
+    history, want = empty, {k: [] for k in "abcdef"}
+    for _ in range(7):
+        at = day(some.randrange(12))
+        delivery = {k: some.choice("xyz") for k in want if some.random() < 0.6}
+        for k, v in delivery.items():
+            held = next((i for i in want[k] if i[0] <= at and (i[1] is None or at < i[1])), None)
+            if held is None:
+                want[k].append([at, min((i[0] for i in want[k] if i[0] > at), default=None), v])
+            elif held[2] != v:
+                want[k].append([at, held[1], v])
+                held[1] = at
+                if held[0] == at:
+                    want[k].remove(held)
+        changes = spark.createDataFrame(list(delivery.items()), "k string, v string")
+        history = spark.createDataFrame(scd2_apply(history, changes, "k", ["v"], at).collect(), empty.schema)
+    got = sorted((r.k, r.effective_date, r.end_date, r.v, r.is_current) for r in history.collect())
+    assert got == sorted((k, a, b, v, b is None) for k, found in want.items() for a, b, v in found)
+    for k in want:
+        times = [(a, b or dt.date.max) for key, a, b, *_ in got if key == k]
+        assert all(a < b for a, b in times) and all(x[1] <= y[0] for x, y in zip(times, times[1:]))
+
+
+def test_bitmaps_add_up(spark):
+    rows = spark.range(60_000).selectExpr("id % 30 as day", "if(id % 3 = 0, 'hot', 'f' || id % 5) as f", "case when id % 11 = 0 then null else 'v' || (id * 7919) % 40000 end as v")
+    store = DistinctStore(["day", "f"], "v")
+    halves = [rows.where("day < 18"), rows.where("day > 11"), rows.where("day < 18")]
+    for part in halves:
+        stored = store.load(part)
+    assert store.numbers.count() == store.numbers.select("number").distinct().count() == rows.select("v").distinct().count() - 1
+    for keys, sql in ((["day", "f"], "day, f"), ([F.floor(F.col("day") / 7).alias("week"), "f"], "floor(day / 7), f"), (["f"], "f")):
+        got = sorted(tuple(r) for r in distinct_counts(stored, keys).collect())
+        want = rows.groupBy(*keys).agg(F.countDistinct("v").alias("n")).where("n > 0")
+        assert got == sorted(tuple(r) for r in want.collect()), sql
+    assert "Expand" not in distinct_counts(stored, ["f"])._jdf.queryExecution().toString()
+    with pytest.raises(Exception, match="has no number"):
+        bitmaps(rows, ["f"], "v", store.numbers.where("number > 5")).collect()
