@@ -7,7 +7,7 @@ from ..schemas import DAILY_METRICS, struct
 from ..session import scratch_path
 from ..sources.landing import keys_as_text
 from ..sources.tables import Table
-from ..streaming import ingest, refresh
+from ..streaming import alerts, ingest, refresh
 from . import query
 from .aggregates import labelled
 from .files import _RAW_COLUMNS, _RAW_SQL, landed
@@ -39,6 +39,40 @@ def str_auto_ingest(t):
     return rows.select(F.try_variant_get("payload", "$.id", "string").alias("id"), *_RAW_COLUMNS)
 
 
+_EARLY = """(SELECT facility_id, CASE WHEN hour(_loaded_at) % 6 = CAST(substr(facility_id, 2) AS INT) THEN _loaded_at - INTERVAL 1 HOUR ELSE _loaded_at END AS came FROM fx_loads)"""
+
+
+@query(f"""
+SELECT f.facility_id, h.hour_bucket, CAST(0 AS BIGINT) AS record_count
+FROM (SELECT DISTINCT facility_id FROM fx_loads UNION ALL SELECT 'never') f
+JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-30 00:00:00', TIMESTAMP '2024-01-31 12:00:00', INTERVAL 1 HOUR)) AS hour_bucket) h
+  ON h.hour_bucket + INTERVAL 2 HOUR <= (SELECT MAX(came) FROM {_EARLY} e)
+LEFT JOIN {_EARLY} l ON l.facility_id = f.facility_id AND date_trunc('hour', l.came) = h.hour_bucket
+WHERE l.facility_id IS NULL
+""")
+def str_latency_alert_stream(t):
+    # As in the batch query, loads of every sixth hour come an hour early; one facility never loads.
+    folder, out, checkpoint = _folders(t, "alerts", "loads", "out", "checkpoint")
+    own = F.hour("_loaded_at") % 6 == F.expr("CAST(substr(facility_id, 2) AS INT)")
+    early = F.col("_loaded_at") - F.expr("INTERVAL 1 HOUR")
+    loads = t("fx_loads").select("facility_id", F.when(own, early).otherwise(F.col("_loaded_at")).alias("_loaded_at"))
+    facilities = loads.select("facility_id").union(t.spark.range(1).select(F.lit("never").alias("facility_id")))
+    noon = F.col("_loaded_at") < F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
+    before = {k: t.spark.conf.get(k) for k in alerts.STORE}
+    for k, v in alerts.STORE.items():
+        t.spark.conf.set(k, v)
+    try:
+        for part in (loads.filter(noon), loads.filter(~noon)):  # the second start goes on from the checkpoint
+            part.write.mode("append").parquet(folder)
+            arriving = t.spark.readStream.schema(loads.schema).parquet(folder)
+            quiet = alerts.latency_alert_stream(arriving, facilities, "2024-01-30 00:00:00")
+            ingest.drain(quiet, out, checkpoint).awaitTermination()
+    finally:
+        for k, v in before.items():
+            t.spark.conf.set(k, v)
+    return t.spark.read.schema(alerts.ALERT).parquet(out)
+
+
 _COLUMNS = "event_id, facility_id, patient_id, event_time, amount"
 
 

@@ -9,7 +9,7 @@ from carelake.plans.quality import hourly_load_monitor
 from carelake.schemas import DAILY_METRICS, struct
 from carelake.sources.landing import read_raw_landing, write_raw_landing
 from carelake.sources.tables import Table
-from carelake.streaming import ingest, refresh
+from carelake.streaming import alerts, ingest, refresh
 from conftest import rows
 
 
@@ -111,3 +111,31 @@ def test_hourly_stream_equals_batch(spark, tmp_path, inputs):
     columns = ["hour_bucket", "facility_id", "module_source", "source_table", "record_count"]
     batch = hourly_load_monitor(inputs("fx_loads"), "2024-01-31 00:00:00", lookback_days=60)
     assert rows(spark.table("hourly"), *columns) == rows(batch, *columns)
+
+
+def test_quiet_hours_fire_without_rows(spark, tmp_path):
+    folder, out, ckpt = (str(tmp_path / d) for d in ("loads", "out", "ckpt"))
+    for name, value in alerts.STORE.items():
+        spark.conf.set(name, value)
+    facilities = spark.createDataFrame([("a",), ("b",), ("c",)], "facility_id string")
+    found = {}
+
+    def run(*loads):
+        frame = spark.createDataFrame([(f, dt.datetime(2024, 1, 30, h, m)) for f, h, m in loads], "facility_id string, _loaded_at timestamp")
+        frame.coalesce(1).write.mode("append").parquet(folder)
+        stream = alerts.latency_alert_stream(spark.readStream.schema(frame.schema).parquet(folder), facilities, "2024-01-30 00:00:00")
+        ingest.drain(stream, out, ckpt).awaitTermination()
+        found.clear()
+        for r in spark.read.parquet(out).collect():
+            found.setdefault(r.facility_id, []).append(r.hour_bucket.hour)
+        return {k: sorted(v) for k, v in found.items()}
+
+    try:
+        # At 3:10 the hours up to one are judged; c never loads, b has one row.
+        assert run(("a", 0, 10), ("b", 0, 10), ("a", 3, 10)) == {"a": [1], "b": [1], "c": [0, 1]}
+        # After a restart: only rows of others arrive, and the timers of b and c fire; d was not listed.
+        assert run(("a", 5, 10), ("d", 5, 10)) == {"a": [1, 2], "b": [1, 2, 3], "c": [0, 1, 2, 3]}
+        assert run(("b", 9, 0)) == {"a": [1, 2, 4, 6, 7], "b": [1, 2, 3, 4, 5, 6, 7], "c": [0, 1, 2, 3, 4, 5, 6, 7], "d": [6, 7]}
+    finally:
+        for name in alerts.STORE:
+            spark.conf.unset(name)
