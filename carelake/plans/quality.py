@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_column, hour_start, minute_diff
@@ -18,19 +18,19 @@ def _check(name: str, value, passed):
     )
 
 
-def quality_checks(clean: DataFrame, as_of) -> DataFrame:
-    """One row per check: rows of the day, duplicate ids, missing ids, freshness (24 h).
-
-    Three checks share one pass; the duplicates need a count per id.
-    """
-    now = as_of_column(as_of)
-    fresh_from = now - F.make_dt_interval(hours=F.lit(24))
-    day, missing, newest = F.col("_day"), F.col("_missing"), F.col("_newest")
-    single = clean.agg(
-        F.count_if(F.col("event_date") == now.cast("date")).alias("_day"),
+def _measures(as_of) -> list:
+    return [
+        F.count_if(F.col("event_date") == as_of_column(as_of).cast("date")).alias("_day"),
         F.count_if(F.col("event_id").isNull()).alias("_missing"),
         F.max("event_time").alias("_newest"),
-    ).select(
+    ]
+
+
+def _judged(measured: DataFrame, as_of) -> DataFrame:
+    """The three checks that one pass over the rows measures."""
+    fresh_from = as_of_column(as_of) - F.make_dt_interval(hours=F.lit(24))
+    day, missing, newest = F.col("_day"), F.col("_missing"), F.col("_newest")
+    return measured.select(
         F.inline(
             F.array(
                 _check("row_count", day, day > 0),
@@ -39,10 +39,38 @@ def quality_checks(clean: DataFrame, as_of) -> DataFrame:
             )
         )
     )
-    repeated = duplicate_keys(clean.select("event_id"), ["event_id"]).agg(F.count("*").alias("_n")).select(
+
+
+def _duplicates(clean: DataFrame) -> DataFrame:
+    return duplicate_keys(clean.select("event_id"), ["event_id"]).agg(F.count("*").alias("_n")).select(
         F.inline(F.array(_check("duplicate_check", F.col("_n"), F.col("_n") == 0)))
     )
-    return single.unionByName(repeated)
+
+
+def quality_checks(clean: DataFrame, as_of) -> DataFrame:
+    """One row per check: rows of the day, duplicate ids, missing ids, freshness (24 h).
+
+    Three checks share one pass; the duplicates need a count per id.
+    """
+    return _judged(clean.agg(*_measures(as_of)), as_of).unionByName(_duplicates(clean))
+
+
+def write_checked(clean: DataFrame, path: str, as_of) -> DataFrame:
+    """Write CLEAN and give the checks on what was written.
+
+    Three of them are observed by the job that writes; only the duplicate ids are counted
+    afterwards, from that one column of the written table.
+    """
+    spark = clean.sparkSession
+    seen = Observation()
+    clean.observe(seen, *_measures(as_of)).write.parquet(path)
+    found = seen.get
+    newest = None if found["_newest"] is None else str(found["_newest"])
+    measured = spark.range(1).select(
+        F.lit(found["_day"]).cast("bigint").alias("_day"), F.lit(found["_missing"]).cast("bigint").alias("_missing"),
+        F.lit(newest).cast(clean.schema["event_time"].dataType).alias("_newest"),
+    )
+    return _judged(measured, as_of).unionByName(_duplicates(spark.read.schema(clean.schema).parquet(path)))
 
 
 def load_span(df: DataFrame, keys: list, time_col: str = "_loaded_at") -> DataFrame:

@@ -12,10 +12,10 @@ from ..plans.market import market_dna
 from ..plans.mart import daily_facility_metrics, dim_patient, fact_encounters, monthly_report, readmission_rates
 from ..plans.patients import patient_360, patient_acuity, patient_journey
 from ..plans.products import product_snapshot
-from ..plans.quality import hourly_load_monitor, latency_alert, quality_checks
+from ..plans.quality import hourly_load_monitor, latency_alert, quality_checks, write_checked
 from ..plans.revenue import daily_kpis, revenue_analytics
 from ..plans.sheet import clean_sheet
-from ..session import spread, written
+from ..session import scratch_path, spread, written
 from . import query
 from .aggregates import labelled
 from .documents import shop_page
@@ -206,7 +206,7 @@ def ds_daily_facility(t):
     )
 
 
-@query("""
+_QUALITY = """
 SELECT 'row_count' AS check_name, CAST(COUNT(*) AS VARCHAR) AS check_value, CASE WHEN COUNT(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS check_status
 FROM ox_labelled WHERE event_date = DATE '2024-01-30'
 UNION ALL SELECT 'duplicate_check', CAST(COUNT(*) AS VARCHAR), CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END
@@ -214,11 +214,19 @@ FROM (SELECT event_id FROM ox_labelled GROUP BY 1 HAVING COUNT(*) > 1)
 UNION ALL SELECT 'null_check', CAST(COUNT(*) AS VARCHAR), CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END FROM ox_labelled WHERE event_id IS NULL
 UNION ALL SELECT 'freshness_check', strftime(MAX(event_time), '%Y-%m-%d %H:%M:%S'),
   CASE WHEN MAX(event_time) >= TIMESTAMP '2024-01-30 00:00:00' - INTERVAL 24 HOUR THEN 'PASS' ELSE 'FAIL' END FROM ox_labelled
-""")
+"""
+
+
+@query(_QUALITY)
 def ds_quality(t):
     return quality_checks(labelled(t), "2024-01-30 00:00:00")
 
 
+@query(_QUALITY)
+def ds_quality_on_write(t):
+    return write_checked(labelled(t), scratch_path(t.spark, "clean"), "2024-01-30 00:00:00")
+
+
 _POINTS = "(p.x - b.x) * (p.x - b.x) + (p.y - b.y) * (p.y - b.y)"
 
 

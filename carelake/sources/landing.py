@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import re
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from ..functions.dates import as_of_column
 from ..functions.text import safe_token
 from ..operators.variant import row_hash
 from ..schemas import RAW_EVENTS, conform
+from ..session import hadoop_path
 
 KEYS = ["facility_id", "module", "table", "namespace", "dt", "run_id"]
 _INFERENCE = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -140,8 +143,22 @@ def raw_events(rows: DataFrame, loaded_by: str, loaded_at) -> DataFrame:
     )
 
 
-def register_external(spark: SparkSession, path: str, name: str, archive: bool = False) -> DataFrame:
-    """A temp view over the landing folder, or over its ``archive/`` folder."""
-    df = read_raw_landing(spark, f"{path.rstrip('/')}/archive" if archive else path)
+def archived(landing: str, archive: str) -> str:
+    """Where the archive of a stream keeps the files of a landing folder: under their whole path."""
+    return archive.rstrip("/") + "/" + re.sub(r"^[a-z0-9+.-]+:/*", "", landing).strip("/")
+
+
+def register_external(spark: SparkSession, path: str, name: str, archive: bool | str = False) -> DataFrame:
+    """A temp view over the landing folder, over its ``archive/`` folder, or, with the path of a stream's archive, over both."""
+    if isinstance(archive, str):
+        parts = [p for p in (path, archived(path, archive)) if _holds_files(spark, p)]
+        df = reduce(DataFrame.unionByName, [read_raw_landing(spark, p) for p in parts or [path]])
+    else:
+        df = read_raw_landing(spark, f"{path.rstrip('/')}/archive" if archive else path)
     df.createOrReplaceTempView(name)
     return df
+
+
+def _holds_files(spark: SparkSession, path: str) -> bool:
+    fs, p = hadoop_path(spark, path)
+    return fs.exists(p) and fs.listFiles(p, True).hasNext()

@@ -16,23 +16,27 @@ LANDING_SCHEMA = (
 )
 
 
-def landing_stream(spark: SparkSession, path: str, on_error: str = "continue", max_files: int = 10_000) -> DataFrame:
-    """New landing files as RAW rows; files per trigger are bounded."""
-    lines = (
-        spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", max_files)
-        .format("text").load(path)
-    )
-    return raw_columns(lines, on_error)
+def landing_stream(spark: SparkSession, path: str, on_error: str = "continue", max_files: int = 10_000, archive: str | None = None) -> DataFrame:
+    """New landing files as RAW rows; files per trigger are bounded.
+
+    With ``archive`` the files of a batch are moved there once a later batch is planned, under
+    their whole path, so the landing folder holds what is new and listing it stays cheap.
+    """
+    lines = spark.readStream.schema(LANDING_SCHEMA).option("maxFilesPerTrigger", max_files)
+    if archive:
+        lines = lines.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return raw_columns(lines.format("text").load(path), on_error)
 
 
-def auto_ingest(spark: SparkSession, landing: str, raw: str, checkpoint: str, continuous: str | None = None) -> StreamingQuery:
+def auto_ingest(spark: SparkSession, landing: str, raw: str, checkpoint: str, continuous: str | None = None, archive: str | None = None) -> StreamingQuery:
     """Append new landing files to the RAW folder, each file once.
 
     Without ``continuous`` (a processing interval) all files present are loaded and
-    the query stops. Two queries over one landing folder need a checkpoint each.
+    the query stops. Two queries over one landing folder need a checkpoint each, and only one
+    of them may name an ``archive``.
     """
     writer = (
-        landing_stream(spark, landing).writeStream.format("parquet").outputMode("append")
+        landing_stream(spark, landing, archive=archive).writeStream.format("parquet").outputMode("append")
         .option("path", raw).option("checkpointLocation", checkpoint)
         .partitionBy("facility_id", "source_table")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carelake.plans.mart import daily_facility_metrics
 from carelake.plans.quality import hourly_load_monitor
 from carelake.schemas import DAILY_METRICS, struct
-from carelake.sources.landing import read_raw_landing, write_raw_landing
+from carelake.sources.landing import read_raw_landing, register_external, write_raw_landing
 from carelake.sources.tables import Table
 from carelake.streaming import alerts, ingest, refresh
 from conftest import rows
@@ -32,6 +32,21 @@ def test_auto_ingest_takes_each_file_once(spark, tmp_path):
     assert rows(spark.read.parquet(raw), *columns) == rows(batch, *columns)
 
 
+def test_landed_files_move_to_the_archive(spark, tmp_path):
+    landing, raw, ckpt, archive = (str(tmp_path / d) for d in ("landing", "raw", "ckpt", "archive"))
+    left = lambda: sum(1 for p in (tmp_path / "landing").rglob("part-*"))
+    found = []
+    for run in range(4):
+        land(spark, landing, f"r{run}", 2 * run, 2 * run + 1)
+        ingest.auto_ingest(spark, landing, raw, ckpt, archive=archive).awaitTermination()
+        found.append((left(), spark.read.parquet(raw).count()))
+        both = register_external(spark, landing, "both", archive)
+        ids = both.select(F.try_variant_get("payload", "$.id", "string").alias("id"))
+        assert rows(ids) == [(str(i),) for i in range(2 * run + 2)]  # none twice, none lost
+    assert [n for _, n in found] == [2, 4, 6, 8]
+    assert found[-1][0] <= found[0][0] * 2 and any((tmp_path / "archive").rglob("part-*"))
+
+
 def test_changes_with_initial_rows_and_append_only(spark, tmp_path):
     table, out, ckpt = (str(tmp_path / d) for d in ("table", "out", "ckpt"))
     schema = "id bigint"
