@@ -1,5 +1,7 @@
 """Streams run to the end of what is there, and what they leave behind."""
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from ..plans.revenue import daily_kpis
@@ -7,7 +9,7 @@ from ..schemas import DAILY_METRICS, struct
 from ..session import scratch_path
 from ..sources.landing import keys_as_text
 from ..sources.tables import Table
-from ..streaming import alerts, ingest, refresh
+from ..streaming import alerts, ingest, monitor, refresh
 from . import query
 from .aggregates import labelled
 from .files import _RAW_COLUMNS, _RAW_SQL, landed
@@ -39,6 +41,47 @@ def str_auto_ingest(t):
     return rows.select(F.try_variant_get("payload", "$.id", "string").alias("id"), *_RAW_COLUMNS)
 
 
+@contextlib.contextmanager
+def _keyed_state(spark):
+    """The state store that keyed state with timers needs, for the streams started in the block."""
+    before = {k: spark.conf.get(k) for k in alerts.STORE}
+    try:
+        for k, v in alerts.STORE.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+_LATE = "(md5(row_hash) < '2' AND _loaded_at < TIMESTAMP '2024-01-30 06:00:00')"
+
+
+@query(f"""
+SELECT date_trunc('hour', _loaded_at) AS hour_bucket, facility_id, module_source, source_table, COUNT(*) FILTER (NOT {_LATE}) AS record_count,
+       COUNT(DISTINCT row_hash) FILTER (NOT {_LATE}) AS unique_records, COUNT(*) FILTER (NOT {_LATE} AND validation_status <> 'VALID') AS error_count,
+       MIN(_loaded_at) FILTER (NOT {_LATE}) AS first_load, MAX(_loaded_at) FILTER (NOT {_LATE}) AS last_load,
+       date_diff('minute', MIN(_loaded_at) FILTER (NOT {_LATE}), MAX(_loaded_at) FILTER (NOT {_LATE})) AS load_duration_minutes, COUNT(*) FILTER ({_LATE}) AS late_records
+FROM fx_loads WHERE _loaded_at >= TIMESTAMP '2024-01-30 00:00:00' GROUP BY 1, 2, 3, 4
+HAVING hour_bucket + INTERVAL 3 HOUR <= (SELECT MAX(_loaded_at) FROM fx_loads)
+""")
+def str_hourly_monitor_stream(t):
+    # Some rows of the first hours arrive with the second start, when their hours are closed.
+    folder, out, checkpoint = _folders(t, "monitor", "loads", "out", "checkpoint")
+    loads = t("fx_loads").filter(F.col("_loaded_at") >= F.lit("2024-01-30 00:00:00").cast("timestamp_ntz"))
+    late = (F.md5("row_hash") < "2") & (F.col("_loaded_at") < F.lit("2024-01-30 06:00:00").cast("timestamp_ntz"))
+    noon = F.col("_loaded_at") < F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
+    with _keyed_state(t.spark):
+        for part in (loads.filter(noon & ~late), loads.filter(~noon | late)):
+            part.write.mode("append").parquet(folder)
+            arriving = t.spark.readStream.schema(loads.schema).parquet(folder)
+            ingest.drain(monitor.hourly_loads(arriving, parts=2), out, checkpoint).awaitTermination()
+    parts = t.spark.read.schema(monitor.PART).parquet(out)
+    both = monitor.monitor_report(parts).join(monitor.late_report(parts), monitor.KEYS, "full")
+    counts = {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("record_count", "unique_records", "error_count", "late_records")}
+    return both.withColumns(counts)
+
+
 _EARLY = """(SELECT facility_id, CASE WHEN hour(_loaded_at) % 6 = CAST(substr(facility_id, 2) AS INT) THEN _loaded_at - INTERVAL 1 HOUR ELSE _loaded_at END AS came FROM fx_loads)"""
 
 
@@ -58,18 +101,12 @@ def str_latency_alert_stream(t):
     loads = t("fx_loads").select("facility_id", F.when(own, early).otherwise(F.col("_loaded_at")).alias("_loaded_at"))
     facilities = loads.select("facility_id").union(t.spark.range(1).select(F.lit("never").alias("facility_id")))
     noon = F.col("_loaded_at") < F.lit("2024-01-30 12:00:00").cast("timestamp_ntz")
-    before = {k: t.spark.conf.get(k) for k in alerts.STORE}
-    for k, v in alerts.STORE.items():
-        t.spark.conf.set(k, v)
-    try:
+    with _keyed_state(t.spark):
         for part in (loads.filter(noon), loads.filter(~noon)):  # the second start goes on from the checkpoint
             part.write.mode("append").parquet(folder)
             arriving = t.spark.readStream.schema(loads.schema).parquet(folder)
             quiet = alerts.latency_alert_stream(arriving, facilities, "2024-01-30 00:00:00")
             ingest.drain(quiet, out, checkpoint).awaitTermination()
-    finally:
-        for k, v in before.items():
-            t.spark.conf.set(k, v)
     return t.spark.read.schema(alerts.ALERT).parquet(out)
 
 
