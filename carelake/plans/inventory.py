@@ -9,6 +9,7 @@ from ..functions.clinical import days_of_supply, stock_status
 from ..functions.dates import as_of_column, day_diff
 from ..functions.nulls import mean, safe_div, sum_when
 from ..operators.ordered import HOT_ROWS, Blocks, by_key, nulls_last
+from ..session import written
 
 # What adds to the stock and what takes from it.
 INCOMING = ["receipt", "return"]
@@ -45,7 +46,7 @@ def daily_inventory(movements: DataFrame) -> DataFrame:
 ROW_ORDER = ["movement_date", "facility_id", "product_name", "product_category"]
 
 
-def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, counted: DataFrame | None = None) -> DataFrame:
+def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, totals: DataFrame | None = None) -> DataFrame:
     """The mean cost of a product over three rows, across its facilities."""
     base = daily.columns
 
@@ -61,7 +62,7 @@ def moving_cost(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | No
         blocks = Blocks(rows, nulls_last("product_id", *ROW_ORDER), block_rows)
         return blocks.near(blocks.rows, ["product_id"], {"moving_avg_cost": over}, before=2)
 
-    return by_key(daily, ["product_id"], ordinary, blocked, hot_rows, counted)
+    return by_key(daily, ["product_id"], ordinary, blocked, hot_rows, totals=totals)
 
 
 STOCK_KEYS = ["facility_id", "product_id"]
@@ -105,12 +106,12 @@ def _stock_blocks(rows: DataFrame, block_rows: int | None) -> DataFrame:
     )
 
 
-def stock_windows(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, counted: DataFrame | None = None) -> DataFrame:
+def stock_windows(daily: DataFrame, hot_rows: int = HOT_ROWS, block_rows: int | None = None, totals: DataFrame | None = None) -> DataFrame:
     """Running stock, 30-row usage and last date of a facility's product, hot ones in blocks.
 
     A NULL product gathers all names of a facility, so its rows are not bounded by days.
     """
-    return by_key(daily, STOCK_KEYS, _stock_columns, lambda hot: _stock_blocks(hot, block_rows), hot_rows, counted)
+    return by_key(daily, STOCK_KEYS, _stock_columns, lambda hot: _stock_blocks(hot, block_rows), hot_rows, totals=totals)
 
 
 def inventory_position(movements: DataFrame, hot_rows: int = HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
@@ -120,9 +121,10 @@ def inventory_position(movements: DataFrame, hot_rows: int = HOT_ROWS, counted:
     daily rows. ``counted`` may be a narrower table of them (facility_id, product_id), such as
     the movements before anything is joined to them.
     """
-    counted = movements if counted is None else counted
-    daily = daily_inventory(movements)
-    return stock_windows(moving_cost(daily, hot_rows, counted=counted), hot_rows, counted=counted)
+    # One pass counts by both keys; a product's count is the sum of its facilities'.
+    of_stock = written((movements if counted is None else counted).groupBy(*STOCK_KEYS).agg(F.count("*").alias("_n")), "stock-counts")
+    of_product = of_stock.groupBy("product_id").agg(F.sum("_n").alias("_n"))
+    return stock_windows(moving_cost(daily_inventory(movements), hot_rows, totals=of_product), hot_rows, totals=of_stock)
 
 
 def inventory_analytics(movements: DataFrame, as_of, counted: DataFrame | None = None) -> DataFrame:

@@ -27,7 +27,8 @@ def dml_merge(t):
     delivery = t("fx_delivery")
     older = delivery.filter("id IS NOT NULL").withColumns({"type": F.lit("older"), "ingested_at": F.expr("ingested_at - INTERVAL 2 DAYS")})
     latest = latest_per_key(delivery.filter("id IS NOT NULL").unionByName(older), ["id"], "ingested_at", ["type"])
-    return merge_upsert(t("fx_target"), latest.unionByName(delivery.filter("id IS NULL")), ["id"], update_cols=_COLUMNS)
+    # One row an id by now; null ids match nothing.
+    return merge_upsert(t("fx_target"), latest.unionByName(delivery.filter("id IS NULL")), ["id"], update_cols=_COLUMNS, check_unique=False)
 
 
 @query(_merge_sql("t.id = s.id AND t.facility_id = s.facility_id", "t.ingested_at < s.ingested_at"))
