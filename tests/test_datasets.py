@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from carelake.fixtures import AS_OF
 from carelake.operators.spatial import join_radius
-from carelake.plans.clinical import clinical_metrics, median_by
+from carelake.plans.clinical import clinical_metrics, encounter_metrics, median_by
 from carelake.plans.market import market_dna
 from carelake.plans.mart import daily_facility_metrics, dim_patient, fact_encounters, monthly_report, readmission_rates
 from carelake.plans.patients import patient_360
@@ -16,6 +16,7 @@ from carelake.plans.revenue import daily_kpis
 from carelake.plans.sheet import clean_sheet
 from carelake.registry import queries
 from carelake.registry.aggregates import labelled
+from carelake.sources.bucketed import largest_share, write_bucketed
 from conftest import SF_DIR, rows
 
 ENCOUNTERS = """encounter_id string, patient_id string, provider_id string, department_id string, facility_id string, encounter_type string,
@@ -141,3 +142,19 @@ def test_monthly_report(spark, inputs):
 def test_kpis_read_only_what_they_need(spark, inputs):
     plan = daily_kpis(labelled(inputs))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+
+
+def test_bucketed_encounters_move_no_rows(spark, inputs, tmp_path):
+    names = ("fx_encounters", "fx_diagnoses", "fx_procedures")
+    assert all(largest_share(inputs(n), "encounter_id") < 0.1 for n in names)
+    tables = [write_bucketed(inputs(n), f"test_{n}", "encounter_id", 4, str(tmp_path / n)) for n in names]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain, bucketed = encounter_metrics(*map(inputs, names)), encounter_metrics(*tables)
+        exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(encounter_id")
+        assert exchanges(plain) == 3 and exchanges(bucketed) == 0
+        assert rows(bucketed) == rows(plain)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for n in names:
+            spark.sql(f"DROP TABLE test_{n}")
