@@ -5,13 +5,14 @@ import gzip
 import json
 from decimal import Decimal
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake.operators.dictionary import dictionary_models, group_tables, primary_key, schema_from_dictionary, spark_type
 from carelake.operators.sheet import normalize_headers
-from carelake.operators.variant import flatten_api_pages, source_slice
+from carelake.operators.variant import flatten_api_pages, source_slice, variant_project
 from carelake.plans.clean import clean_source, empty_clean, merge_clean
 from carelake.plans.market import project
 from carelake.schemas import RAW_EVENTS, struct
@@ -418,3 +419,18 @@ def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="shared|share"):
         session.scratch_dir(Cluster)
+
+
+def test_stored_payloads_are_shredded_and_paths_read_alone(spark, tmp_path):
+    line = F.to_json(F.struct(F.col("id").cast("string").alias("id"), F.lit("pay").alias("type"), F.sha2(F.col("id").cast("string"), 512).alias("blob")))
+    spark.range(20_000).select("id", F.parse_json(line).alias("payload")).coalesce(1).write.parquet(str(tmp_path / "raw"))
+    raw = spark.read.parquet(str(tmp_path / "raw"))
+    typed = variant_project(raw, {"key": ("id", "string"), "kind": ("type", "string")})
+    # The scan gives two fields of the payload, never the whole value.
+    assert "ReadSchema: struct<payload:struct<0:string,1:string>>" in typed._jdf.queryExecution().executedPlan().toString()
+    assert rows(typed.limit(1)) == [("0", "pay")]
+    (part,) = (tmp_path / "raw").glob("part-*.parquet")
+    group = pq.ParquetFile(part).metadata.row_group(0)
+    size = {group.column(i).path_in_schema: group.column(i).total_compressed_size for i in range(group.num_columns)}
+    read = sum(n for name, n in size.items() if name.startswith(("payload.typed_value.id.", "payload.typed_value.type.")))
+    assert 0 < 10 * read < sum(n for name, n in size.items() if name.startswith("payload"))
