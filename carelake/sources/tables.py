@@ -1,12 +1,10 @@
-"""Versioned tables on plain files: every write is a new directory, committed at once.
+"""Tables on plain files: small ones in versions, partitioned ones by Spark's dynamic partition overwrite.
 
-A version is the directory ``__version=<number>``; it counts from the moment the job commit
-puts its ``_SUCCESS`` file there, so a reader never sees half a write and a failed
-write leaves the table as it was. One writer at a time.
-
-A partitioned table's version also names the folder of each partition (``partitions.list``,
-written last, and what then counts): a merge writes the partitions it touches and carries
-the others over from the versions that hold them.
+A table without partitions is rewritten whole: every write is a new folder ``__version=<number>``
+that counts from the moment the job commit puts its ``_SUCCESS`` file there, so a reader never
+sees half a write and a failed one leaves the table as it was. A partitioned table is one folder;
+a merge stages its rows and then overwrites the partitions it touches, which readers should
+not do at the same time. One writer at a time.
 """
 
 from __future__ import annotations
@@ -29,140 +27,86 @@ class Table:
         self.partition_by, self.sort_by = partition_by or [], sort_by or []
 
     def versions(self) -> list[int]:
+        """The committed versions of a table without partitions."""
         fs, root = hadoop_path(self.spark, self.root)
-        if not fs.exists(root):
-            return []
-        marker = "partitions.list" if self.partition_by else "_SUCCESS"
-        found = []
-        for status in fs.listStatus(root):
-            name = status.getPath().getName()
-            _, done = hadoop_path(self.spark, f"{self.root}/{name}/{marker}")
-            if name.startswith("__version=") and fs.exists(done):
-                found.append(int(name.removeprefix("__version=")))
-        return sorted(found)
+        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+        there = lambda name: fs.exists(hadoop_path(self.spark, f"{self.root}/{name}/_SUCCESS")[1])
+        return sorted(int(n.removeprefix("__version=")) for n in names if n.startswith("__version=") and there(n))
 
     def _dir(self, version: int) -> str:
         return f"{self.root}/__version={version:08d}"
 
-    def _held(self, version: int) -> dict[str, int]:
-        """The partition folders of a version and the version that wrote each."""
-        rows = self.spark.read.text(f"{self._dir(version)}/partitions.list").collect()
-        return {folder: int(at) for at, folder in (r.value.split("\t", 1) for r in rows if r.value)}
-
-    def _folders(self, version: int) -> list[str]:
-        """The partition folders that a version wrote itself."""
-        fs, top = hadoop_path(self.spark, self._dir(version))
-        found = [("", top)]
-        for _ in self.partition_by:
-            found = [
-                (f"{at}/{s.getPath().getName()}".lstrip("/"), s.getPath())
-                for at, path in found for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()
-            ]
-        return [at for at, _ in found]
+    def _exists(self) -> bool:
+        fs, marker = hadoop_path(self.spark, f"{self.root}/_SUCCESS")
+        return fs.exists(marker) if self.partition_by else bool(self.versions())
 
     def ensure(self) -> "Table":
         """Create the table empty if it is absent."""
-        if not self.versions():
+        if not self._exists():
             self.replace(self.spark.createDataFrame([], self.schema))
         return self
 
     def read(self) -> DataFrame:
-        versions = self.versions()
-        empty = self.spark.createDataFrame([], self.schema)
-        if not versions:
-            return empty
-        columns = [f.name for f in self.schema.fields]
-        if not self.partition_by:
-            return self.spark.read.schema(self.schema).parquet(self._dir(versions[-1])).select(*columns)
-        held = self._held(versions[-1])
-        paths = [f"{self._dir(at)}/{folder}" for folder, at in sorted(held.items())]
-        if not paths:
-            return empty
-        schema = T.StructType([*self.schema.fields, T.StructField("__version", T.IntegerType())])
-        return self.spark.read.schema(schema).option("basePath", self.root).parquet(*paths).select(*columns)
-
-    def _write(self, df: DataFrame, version: int) -> None:
+        if not self._exists():
+            return self.spark.createDataFrame([], self.schema)
+        path = self.root if self.partition_by else self._dir(self.versions()[-1])
+        return self.spark.read.schema(self.schema).parquet(path).select(*[f.name for f in self.schema.fields])
+
+    def _write(self, df: DataFrame, path: str, **options: str) -> None:
         out = df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in self.schema.fields])
         if self.partition_by:
             # REBALANCE lets AQE split a hot partition over several files and tasks.
             out = out.hint("rebalance", *self.partition_by)
         if self.sort_by:
             out = out.sortWithinPartitions(*self.partition_by, *self.sort_by)
-        out.write.mode("overwrite").partitionBy(*self.partition_by).parquet(self._dir(version))
-
-    def _commit(self, version: int, carried: dict[str, int]) -> None:
-        held = carried | dict.fromkeys(self._folders(version), version)
-        fs, draft = hadoop_path(self.spark, f"{self._dir(version)}/partitions.tmp")
-        stream = fs.create(draft, True)
-        stream.write(bytearray("\n".join(f"{at}\t{folder}" for folder, at in sorted(held.items())), "utf-8"))
-        stream.close()
-        fs.rename(draft, hadoop_path(self.spark, f"{self._dir(version)}/partitions.list")[1])
-
-    def _drop_old(self, keep: int) -> None:
-        versions = self.versions()
-        needed = {(folder, at) for v in versions[-keep:] for folder, at in self._held(v).items()} if self.partition_by else set()
-        for old in versions[:-keep]:
-            still = [folder for folder in self._folders(old) if (folder, old) in needed] if self.partition_by else []
-            for part in [f for f in self._folders(old) if f not in still] if still else [""]:
-                fs, path = hadoop_path(self.spark, f"{self._dir(old)}/{part}".rstrip("/"))
-                fs.delete(path, True)
-            if still:
-                # No version any more, but it holds partitions of later ones.
-                fs, marker = hadoop_path(self.spark, f"{self._dir(old)}/partitions.list")
-                fs.delete(marker, False)
-
-    def _next(self) -> int:
-        """Above every folder there is: one that is no version may hold partitions of later versions."""
-        fs, root = hadoop_path(self.spark, self.root)
-        names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
-        return max([int(n.removeprefix("__version=")) for n in names if n.startswith("__version=")], default=0) + 1
+        out.write.mode("overwrite").options(**options).partitionBy(*self.partition_by).parquet(path)
 
     def replace(self, df: DataFrame, keep: int = 2) -> "Table":
-        """Commit ``df`` as the new content and drop versions older than the last ``keep``."""
-        version = self._next()
-        self._write(df, version)
+        """``df`` as the new content; of a table without partitions the last ``keep`` versions stay."""
         if self.partition_by:
-            self._commit(version, {})
-        self._drop_old(keep)
+            with scratch(self.spark):
+                # The new content may be made of the old: it is staged before that goes.
+                self._write(written(df, "table-replace"), self.root, partitionOverwriteMode="static")
+            return self
+        versions = self.versions()
+        self._write(df, self._dir(max(versions, default=0) + 1))
+        for old in versions[: len(versions) + 1 - keep]:
+            fs, path = hadoop_path(self.spark, self._dir(old))
+            fs.delete(path, True)
         return self
 
     def merge(self, source: DataFrame, keys: list, update_cols: list[str], keep: int = 2, **options) -> "Table":
         """``merge_upsert`` of ``source``; of a partitioned table only the partitions it touches are written.
 
-        Those are the ones that hold a key of the source, found by a pass over the key columns,
-        and the ones that its rows go to. They are collected: there are never more than folders.
+        Those hold a key of the source or get one of its rows; they are found by a join. The
+        folders of those that lose their last row are removed after the write.
         """
         with scratch(self.spark):
-            if not self.partition_by or not self.versions():
+            if not self.partition_by or not self._exists():
                 return self.replace(merge_upsert(self.read(), source, keys, update_cols, **options), keep)
-            stored, staged = self.read(), written(source, "table-merge")
+            parts, staged = self.partition_by, written(source, "table-merge")
+            folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("_folder")
+            stored = self.spark.read.schema(self.schema).parquet(self.root).select(*self.schema.names, folder)
             names = [f"_k{i}" for i in range(len(keys))]
             of = lambda df: [(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(keys, names, strict=True)]
+            hit = stored.select(*parts, *of(stored)).join(staged.select(*of(staged)), names, "left_semi").select(*parts)
             stamped = {*(options.get("on_update") or {}), *(options.get("on_insert") or {})}
-            parts = [c for c in self.partition_by if c in staged.columns and c not in stamped]
-            hit = stored.select(*self.partition_by, *of(stored)).join(staged.select(*of(staged)), names, "left_semi").select(*self.partition_by).distinct().collect()
-            if len(parts) < len(self.partition_by):
-                touched = stored  # where new rows go is not known before they are made
-                folders = None
-            else:
-                new = staged.select(*[staged[c].cast(self.schema[c].dataType).alias(c) for c in self.partition_by]).distinct().collect()
-                folders = {tuple(r) for r in [*hit, *new]}
-                same = [reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v).cast(self.schema[c].dataType)) for c, v in zip(self.partition_by, f, strict=True)]) for f in sorted(folders, key=repr)]
-                touched = stored.filter(reduce(lambda a, b: a | b, same, F.lit(False)))
-            merged = merge_upsert(touched, staged, keys, update_cols, **options)
-            version, held = self._next(), self._held(self.versions()[-1])
-            gone = set(held) if folders is None else self._names(folders)
-            self._write(merged, version)
-            self._commit(version, {folder: at for folder, at in held.items() if folder not in gone})
-            self._drop_old(keep)
+            if all(c in staged.columns and c not in stamped for c in parts):
+                hit = hit.union(staged.select(*[staged[c].cast(self.schema[c].dataType) for c in parts]))
+                touched = written(hit.distinct().withColumnsRenamed({c: f"_t_{c}" for c in parts}), "table-touched")
+                same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in parts])
+                stored = stored.join(touched, same, "left_semi")
+            # Else where new rows go is not known before they are made, and all partitions are written.
+            merged = written(merge_upsert(stored.drop("_folder"), staged, keys, update_cols, **options), "table-merged")
+            left = merged.select(*[F.col(c).alias(f"_t_{c}") for c in parts]).distinct()
+            gone = stored.join(left, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in parts]), "left_anti").select("_folder").distinct()
+            emptied = [r["_folder"] for r in gone.collect()]  # no more than folders
+            self._write(merged, self.root, partitionOverwriteMode="dynamic")
+            for path in emptied:
+                fs, p = hadoop_path(self.spark, self.spark._jvm.java.net.URI(path).getPath() if path.startswith("file:") else path)
+                fs.delete(p, True)
             return self
 
-    def _names(self, values: set[tuple]) -> set[str]:
-        """The folders of partition values, as Spark writes them."""
-        escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-        name = lambda v: "__HIVE_DEFAULT_PARTITION__" if v is None or v == "" else escape(str(v).lower() if isinstance(v, bool) else str(v))
-        return {"/".join(f"{c}={name(v)}" for c, v in zip(self.partition_by, row, strict=True)) for row in values}
-
 
 def open_table(spark: SparkSession, lake: str, name: str) -> Table:
     """A table of the lake by name, in its columns and layout."""
