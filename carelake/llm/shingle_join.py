@@ -222,18 +222,22 @@ def _grouped(docs: DataFrame, width: int, percent: int, common_from: int, hubs:
         sketched = nodes.select("rid", "n", "sketch")
         places = nodes.select("rid", F.col("doc_id").alias("at_doc"), F.col("text_hash").alias("at_text"))
 
-        # Links to hubs of the keys: most members of a large group meet through a few of them.
+        # Links to hubs of the keys: most members of a large group meet through a few of them. The
+        # first hub of a key is its member with the most keys: the text that near copies are made
+        # from has more in common with them than they have with each other. The others are by hash.
+        ranked = keys.join(keys.groupBy("rid").agg((-F.count(F.lit(1))).alias("few")), "rid")
         tries = None
         for seed in range(hubs):
             order = F.xxhash64(F.lit(seed), "rid")
-            hub = keys.groupBy("key").agg(F.min(F.struct(order.alias("o"), "rid")).alias("hub")).select("key", F.col("hub.rid").alias("hub"))
-            to_hub = keys.join(hub, "key").where("rid != hub").select("rid", "hub", F.lit(seed).alias("seed"))
+            rank = F.col("few") if seed == 0 else order
+            hub = ranked.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), order.alias("o"), "rid")).alias("hub")).select("key", F.col("hub.rid").alias("hub"), F.col("hub.rank").alias("rank"))
+            to_hub = keys.join(hub, "key").where("rid != hub").select("rid", "hub", "rank", F.lit(seed).alias("seed"))
             tries = to_hub if tries is None else tries.union(to_hub)
         near = tries.distinct().join(sketched.select("rid", F.struct("n", "sketch").alias("a")), "rid").join(
             sketched.select(F.col("rid").alias("hub"), F.struct("n", "sketch").alias("b")), "hub"
         )
         # One hub a set and order, the first that sizes and sketches allow: a long set has many keys.
-        first = near.where(_may_link(percent, "a", "b")).groupBy("rid", "seed").agg(F.min(F.struct(F.xxhash64("seed", "hub").alias("o"), "hub")).alias("first"))
+        first = near.where(_may_link(percent, "a", "b")).groupBy("rid", "seed").agg(F.min(F.struct("rank", F.xxhash64("seed", "hub").alias("o"), "hub")).alias("first"))
         hubs_of = first.select(F.greatest("rid", "first.hub").alias("u"), F.least("rid", "first.hub").alias("v")).distinct()
         pairs = written(_likely(hubs_of, nodes, percent), "hub-pairs")
         used = pairs.select(F.col("u").alias("rid")).union(pairs.select(F.col("v").alias("rid"))).distinct()
