@@ -38,7 +38,8 @@ def union_csv_folder(spark: SparkSession, path: str, open_files: bool = True) ->
     """
     records = csv_blocks.csv_records(csv_blocks.csv_lines(spark, path, "*.csv"))
     if open_files:
-        headers = csv_blocks.csv_headers(list_files(spark, path, ".csv"))
+        found = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)  # content is not selected, so no file is opened
+        headers = csv_blocks.csv_headers(found.select(F.col("_metadata.file_path").alias("path")))
     else:
         headers = records.where("first").select("file", F.col("record").alias("header"))
     headers = written(headers, "csv-headers")
@@ -56,8 +57,9 @@ def union_csv_folder(spark: SparkSession, path: str, open_files: bool = True) ->
             raise ValueError(f"a header names a column twice: {header[:200]}")
     columns = list(dict.fromkeys(c for h in different for c in names[h]))
     by_header = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for h in different for x in (h, names[h])])
-    rows = records.where(~F.col("first")).join(headers.withColumnRenamed("file", "of_file"), F.col("file") == F.col("of_file"))
-    texts = rows.select(csv_blocks.cells(F.col("record"), max(map(len, names.values()))).alias("cells"), F.element_at(by_header, F.col("header")).alias("names")).select(
+    rows = records.where(~F.col("first")).join(headers.withColumnRenamed("file", "of_file"), F.col("file") == F.col("of_file"), "left")
+    unknown = F.raise_error(F.concat(F.lit("no header was read for "), F.col("file"))).cast("array<string>")
+    texts = rows.select(csv_blocks.cells(F.col("record"), max(map(len, names.values()))).alias("cells"), F.coalesce(F.element_at(by_header, F.col("header")), unknown).alias("names")).select(
         *[F.get("cells", (F.array_position("names", F.lit(c)) - 1).cast("int")).alias(c) for c in columns]
     )
     known = texts.select(*[F.when(~F.trim(F.col(_quoted(c))).isin(MISSING_WORDS), F.col(_quoted(c))).alias(c) for c in columns])

@@ -2,6 +2,7 @@
 
 import csv
 import random
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ def cell(value):
 @pytest.fixture
 def folder(tmp_path):
     some = random.Random(1)
-    for i, (mark, end) in enumerate((("", "\n"), ("﻿", "\r\n"))):
-        with open(tmp_path / f"f{i}.csv", "w", newline="", encoding="utf-8") as f:
+    for i, (mark, end) in enumerate((("", "\n"), ("\ufeff", "\r\n"))):
+        with open(tmp_path / f"f {i}%20é.csv", "w", newline="", encoding="utf-8") as f:
             f.write(f'{mark}id,"na\nme",t{end}')
             for k in range(3000):
                 f.write(f"{i * 10_000 + k},{cell(some.choice(WORDS))},{cell(some.choice(WORDS) + some.choice(WORDS))}{end}")
@@ -46,16 +47,16 @@ def test_blocks_give_the_rows_of_the_whole_file(spark, folder, split):
         blocks = lines.groupBy("file").agg(F.countDistinct("block").alias("n")).agg(F.max("n")).first()[0]
         assert blocks > 20 and lines.rdd.getNumPartitions() > 20
     want = []
-    for name in ("f0.csv", "f1.csv"):
+    for name in ("f 0%20é.csv", "f 1%20é.csv"):
         with open(folder / name, newline="", encoding="utf-8-sig") as f:
             want += [tuple(c or None for c in row) for row in csv.reader(f) if row][1:]
     records = csv_blocks.csv_records(lines)
     got = records.where(~F.col("first")).select(csv_blocks.cells(F.col("record"), 3).alias("c")).collect()
     assert sorted((tuple(r.c) for r in got), key=repr) == sorted(want, key=repr)
-    heads = {r.file.rsplit("/", 1)[1]: r.record for r in records.where("first").collect()}
-    assert heads == {"f0.csv": 'id,"na\nme",t', "f1.csv": 'id,"na\nme",t', "only.csv": "t,z"}
-    opened = csv_blocks.csv_headers(files.list_files(spark, str(folder), ".csv")).collect()
-    assert {r.file.rsplit("/", 1)[1]: r.header for r in opened} == heads
+    heads = {r.file: r.record for r in records.where("first").collect()}
+    assert {unquote(f.rsplit("/", 1)[1]): h for f, h in heads.items()} == {"f 0%20é.csv": 'id,"na\nme",t', "f 1%20é.csv": 'id,"na\nme",t', "only.csv": "t,z"}
+    paths = spark.read.format("binaryFile").load(str(folder)).select(F.col("_metadata.file_path").alias("path"))
+    assert {r.file: r.header for r in csv_blocks.csv_headers(paths).collect()} == heads
 
 
 @pytest.mark.parametrize("open_files", [True, False])
