@@ -128,11 +128,18 @@ def src_json_batches(t):
     return files.read_json_batches(t.spark, path, events.schema)
 
 
+def document_files(documents, root: str) -> None:
+    """One file per document: its text and a line break. Folders are gathered in 256, which are listed side by side."""
+    near = F.pmod(F.xxhash64("doc_id"), F.lit(256)).cast("string")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
+    folder = F.concat(F.lit("near="), near, F.lit("/doc_id="), name)
+    files.write_text_files(spread(documents.select("doc_id", "text")).select(folder.alias("folder"), "text"), root)
+
+
 @query("SELECT 'doc_id=' || doc_id AS folder, strlen(text) + 1 AS length, TRUE AS dated FROM documents")
 def src_file_list(t):
     root = scratch_path(t.spark, "tree")
-    # One file per document: its text and a line break.
-    spread(t("documents").select("doc_id", "text")).write.partitionBy("doc_id").text(root)
+    document_files(t("documents"), root)
     listed = files.list_files(t.spark, root, ".txt")
     recent = F.col("modificationTime") > F.current_timestamp() - F.expr("INTERVAL 1 DAY")
     return listed.select(F.element_at(F.split("path", "/"), -2).alias("folder"), "length", recent.alias("dated"))
@@ -174,7 +181,8 @@ def src_failed_logs(t):
     lines = documents.select("map_index", F.array_join(F.transform("all", lambda d: d["text"]), "\n").alias("text"))
     attempts = F.explode(F.array(F.lit("0.log"), F.lit("1.log"))).alias("attempt")
     written_logs = lines.filter("map_index % 4 <> 0").select("map_index", attempts, "text")
-    written_logs.write.partitionBy("map_index", "attempt").text(f"{root}/dag_id=d/run_id=manual_1/task_id=t")
+    folder = F.format_string("map_index=%d/attempt=%s", "map_index", "attempt").alias("folder")
+    files.write_text_files(written_logs.select(folder, "text"), f"{root}/dag_id=d/run_id=manual_1/task_id=t")
     indices = lines.select((1_000_000 - F.col("map_index")).alias("list_order"), "map_index")
     return files.collect_failed_logs(t.spark, root, "d", "manual_1", "t", indices).select("list_order", "map_index", "found", "content")
 

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import fs as stores
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -183,6 +188,50 @@ def read_json_batches(spark: SparkSession, path: str, schema: T.StructType | str
 
 # ---- files, documents, logs
 
+def _store(uri: str) -> tuple[stores.FileSystem, str]:
+    """The Arrow file system of a qualified Hadoop path, and the path in it."""
+    if uri.startswith("file:"):
+        return stores.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
+    return stores.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+
+
+def _write_small(lines: DataFrame, root: str, suffix: str, size: int | None = None) -> None:
+    """The lines (folder, text) of a task in files by folder, of ``size`` lines at most; neighbours in a folder share a file.
+
+    For very many small files. Each task writes its own straight to their place, so there is no
+    commit in which the driver moves them one by one. Their names are made of partition and
+    number: another attempt of a task writes the same files again.
+    """
+    fs, p = hadoop_path(lines.sparkSession, root)
+    fs.mkdirs(p)
+    uri = fs.makeQualified(p).toString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = _store(uri)
+        part, files, held, at, out = TaskContext.get().partitionId(), 0, 0, None, None
+        for batch in batches:
+            for folder, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if out is None or folder != at or held == size:
+                    if out is not None:
+                        out.close()
+                    if folder != at and folder:
+                        store.create_dir(f"{base}/{folder}")
+                    out = store.open_output_stream("/".join(x for x in (base, folder, f"part-{part:05d}-{files:06d}{suffix}") if x))
+                    files, held, at = files + 1, 0, folder
+                out.write(((text or "") + "\n").encode("utf-8", "surrogatepass"))
+                held += 1
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([files], pa.int64())], names=["files"])
+
+    lines.select("folder", "text").mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
+def write_text_files(lines: DataFrame, root: str, suffix: str = ".txt") -> None:
+    """The rows (folder, text) as text files: one for each folder and task, each text ended by a line break."""
+    _write_small(lines.select("folder", "text").sortWithinPartitions("folder"), root, suffix)
+
+
 def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     """path, length and modification time of files by suffix, without '~$' temp files.
 

@@ -432,3 +432,30 @@ def test_stored_payloads_are_shredded_and_paths_read_alone(spark, tmp_path):
     size = {group.column(i).path_in_schema: group.column(i).total_compressed_size for i in range(group.num_columns)}
     read = sum(n for name, n in size.items() if name.startswith(("payload.typed_value.id.", "payload.typed_value.type.")))
     assert 0 < 10 * read < sum(n for name, n in size.items() if name.startswith("payload"))
+
+
+def test_document_files_are_gathered_in_a_bounded_number_of_folders(spark, tmp_path):
+    from carelake.registry.files import document_files
+    from carelake.sources.files import list_files, read_text_docs
+
+    docs = spark.createDataFrame([(i, f"ü{i}\nb") for i in range(300)] + [(7, None)], "doc_id long, text string").coalesce(1)
+    document_files(docs, str(tmp_path / "tree"))
+    tops = [p for p in (tmp_path / "tree").iterdir()]
+    assert 1 < len(tops) <= 256 and all(p.is_dir() for p in tops)
+    assert all(p.suffix == ".txt" for p in (tmp_path / "tree").rglob("*") if p.is_file())
+    texts = {}
+    for r in read_text_docs(spark, str(tmp_path / "tree")).collect():
+        texts.setdefault(r.path.split("/")[-2], []).append(r.text)
+    assert {k: "".join(sorted(v)) for k, v in texts.items() if k != "doc_id=7"} == {f"doc_id={i}": f"ü{i}\nb\n" for i in range(300) if i != 7}
+    assert sorted("".join(texts["doc_id=7"])) == sorted("ü7\nb\n\n")
+    assert sum(r.length for r in list_files(spark, str(tmp_path / "tree"), ".txt").collect()) == sum(len(f"ü{i}\nb\n".encode()) for i in range(300)) + 1
+
+
+def test_text_files_of_no_rows_and_of_special_folders(spark, tmp_path):
+    from carelake.sources.files import read_text_docs, write_text_files
+
+    write_text_files(spark.createDataFrame([], "folder string, text string"), str(tmp_path / "none"))
+    assert read_text_docs(spark, str(tmp_path / "none")).count() == 0
+    root = tmp_path / "a b%20c"
+    write_text_files(spark.createDataFrame([("x/y", "1"), ("x/y", "2")], "folder string, text string").coalesce(1), str(root))
+    assert [p.read_text() for p in root.rglob("*.txt")] == ["1\n2\n"]
