@@ -459,3 +459,11 @@ def test_text_files_of_no_rows_and_of_special_folders(spark, tmp_path):
     root = tmp_path / "a b%20c"
     write_text_files(spark.createDataFrame([("x/y", "1"), ("x/y", "2")], "folder string, text string").coalesce(1), str(root))
     assert [p.read_text() for p in root.rglob("*.txt")] == ["1\n2\n"]
+
+
+def test_index_semi_reads_the_logs_once(spark):
+    from carelake import registry
+    from conftest import SF_DIR
+
+    plan = registry.queries()["join_index_semi"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") and plan.count("Join ") == 1 and plan.count("Relation") == 2
