@@ -177,8 +177,10 @@ def incremental_filter(df: DataFrame, column: str, as_of, lookback: str = "1 day
 # ---- JSON batches
 
 def write_json_batches(df: DataFrame, path: str, size: int = 100) -> None:
-    """JSON lines, ``size`` records per file."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", size).json(path)
+    """JSON lines, ``size`` records per file (a task's last file may have fewer); what is in the folder is replaced."""
+    fs, p = hadoop_path(df.sparkSession, path)
+    fs.delete(p, True)
+    _write_small(df.select(F.lit("").alias("folder"), F.to_json(F.struct("*")).alias("text")), path, ".json", size)
 
 
 def read_json_batches(spark: SparkSession, path: str, schema: T.StructType | str, array_files: bool = False) -> DataFrame:

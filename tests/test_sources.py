@@ -461,6 +461,21 @@ def test_text_files_of_no_rows_and_of_special_folders(spark, tmp_path):
     assert [p.read_text() for p in root.rglob("*.txt")] == ["1\n2\n"]
 
 
+def test_json_batches_are_written_in_place(spark, tmp_path):
+    from carelake.sources.files import read_json_batches, write_json_batches
+
+    rows = spark.createDataFrame([(i, None if i % 3 else "é\n", float(i)) for i in range(25)], "id long, `a.b` string, x double").coalesce(1)
+    path = tmp_path / "batches"
+    for _ in range(2):  # the second write replaces the first
+        write_json_batches(rows, str(path), 10)
+    found = sorted(path.iterdir())
+    assert [p.suffix for p in found] == [".json"] * 3  # nothing left by a commit
+    assert [len(p.read_text().splitlines()) for p in found] == [10, 10, 5]
+    assert sorted(map(tuple, read_json_batches(spark, str(path), rows.schema).collect())) == sorted(map(tuple, rows.collect()))
+    write_json_batches(rows.limit(0), str(path))
+    assert read_json_batches(spark, str(path), rows.schema).count() == 0
+
+
 def test_index_semi_reads_the_logs_once(spark):
     from carelake import registry
     from conftest import SF_DIR
