@@ -158,3 +158,11 @@ def test_bucketed_encounters_move_no_rows(spark, inputs, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         for n in names:
             spark.sql(f"DROP TABLE test_{n}")
+
+
+def test_flat_events_are_cleaned_once(spark):
+    from carelake import registry
+    from conftest import SF_DIR
+
+    plan = registry.queries()["ds_clean_events_flat"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Generate" not in plan  # the result reads stored rows
