@@ -253,3 +253,18 @@ def test_token_length_is_a_choice(spark):
     df = spark.createDataFrame([("NAME: Ann",)], "t string")
     short, long = (df.select(anonymize("t", "s", n)).head()[0] for n in (10, 64))
     assert long.startswith(short) and len(long) == len("NAME: NM-") + 64
+
+
+def test_cards_are_found_by_one_walk(spark):
+    from carelake.operators import cards
+
+    inner = "<span class='a'><bdi>1</bdi></span><div class='b a'><p><bdi>2</bdi></p><script>1</script></div>"
+    root = cards._Tree(f"<ul>{inner}<br><li>3</ul><bdi>4").root
+    assert [n.tag for n in root.walk()] == ["ul", "span", "bdi", "div", "p", "bdi", "script", "br", "li", "bdi"]
+    assert [n.tag for n in root.walk()[0].walk()] == ["span", "bdi", "div", "p", "bdi", "script", "br", "li"]
+    assert root.walk() == root.walk() and isinstance(root.walk(), list)
+    assert list(root.strings()) == ["1", "2", "3", "4"]
+    for selector in ("bdi", ".a bdi", "div.b p bdi", "li bdi", ".b.a"):
+        assert cards._one(root, selector) is next(cards._matches(root, cards._steps(selector)), None)
+    pages = spark.createDataFrame([(1, None, "x"), (2, "", "y")], "page_id int, html string, note string")
+    assert cards.extract_cards(pages, cards.SITES["shop_list"], keep=["note", "page_id"]).count() == 0
