@@ -70,16 +70,26 @@ STOCK_ORDER = ["movement_date", "product_name", "product_category"]
 
 
 def _stock_columns(rows: DataFrame) -> DataFrame:
-    """The windows with plain window functions: one task for each facility and product."""
+    """The windows with plain window functions: one task for each facility and product.
+
+    The longer order comes first and serves the shorter one, and the frame over the whole
+    partition shares it, so rows are sorted once and two windows are enough.
+    """
     stock = Window.partitionBy(*STOCK_KEYS)
+    in_order = stock.orderBy(*nulls_last(*STOCK_ORDER))
+    month = in_order.rowsBetween(-29, 0)
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_date = stock.orderBy(*nulls_last("movement_date"))
-    month = stock.orderBy(*nulls_last(*STOCK_ORDER)).rowsBetween(-29, 0)
-    return rows.select(
+    ordered = rows.select(
         "*",
-        F.sum("net_change").over(by_date.rangeBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("current_stock"),
         F.sum("issue_cost").over(month).cast(MONEY).alias("monthly_usage_cost"),
         F.sum("issues").over(month).cast(MONEY).alias("monthly_usage_quantity"),
-        F.max("movement_date").over(stock).alias("last_movement_date"),
+        F.max("movement_date").over(whole).alias("last_movement_date"),
+    )
+    return ordered.select(
+        *rows.columns,
+        F.sum("net_change").over(by_date.rangeBetween(Window.unboundedPreceding, 0)).cast(MONEY).alias("current_stock"),
+        "monthly_usage_cost", "monthly_usage_quantity", "last_movement_date",
     )
 
 
