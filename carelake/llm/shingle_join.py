@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,15 +84,22 @@ def measure_sets(docs: DataFrame, width: int, batch_count: int = 4) -> DataFrame
     return docs.select(docs["doc_id"].cast("long"), F.xxhash64(docs["text"]), docs["text"]).mapInArrow(run, schema)
 
 
-def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray, k: int) -> DataFrame:
-    """Per document with a set: keys, n, sig, sketches and the first tokens in the order (common or not, hash).
+def _overlap(n: int, percent: int) -> int:
+    """Tokens that prefixes of sets of ``n`` share at least; it grows with n and is no more than the tokens common to linked sets."""
+    return max(1, -(-(100 - percent) * n // 200))
 
-    Two sets of which 100 * intersection >= percent * union share ``k`` tokens of these
-    prefixes, or all of the smaller one's if it has fewer than k.
+
+def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+    """Per document with a set: keys, n, sig, sketches, the first tokens in the order (common or not, hash), and spare.
+
+    A set of n leaves at most n - ceil(percent * n / 100) tokens out of another of which 100 *
+    intersection >= percent * union, so the prefixes of both share k tokens, k the lesser ``_overlap`` of
+    the two. The other set has ceil(percent * n / 100) tokens or more: ``spare`` is less than k.
     """
     schema = T.StructType([
         T.StructField("doc_id", T.LongType()), T.StructField("text_hash", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sig", T.BinaryType()),
         T.StructField("sketch", T.ArrayType(T.LongType())), T.StructField("wide", T.ArrayType(T.LongType())), T.StructField("prefix", T.ArrayType(T.LongType())),
+        T.StructField("spare", T.IntegerType()),
     ])
 
     def rows(part: list[tuple]) -> list[tuple]:
@@ -99,10 +107,10 @@ def _prefixes(docs: DataFrame, width: int, percent: int, common: np.ndarray, k:
         for doc_id, text_hash, text in part:
             if not (n := len(tokens := shingles(text, width))):
                 continue
-            take = min(n, n - -(-percent * n // 100) + k)
+            least = -(-percent * n // 100)
             late = common[np.minimum(np.searchsorted(common, tokens), len(common) - 1)] == tokens if len(common) else np.zeros(n, dtype=bool)
-            ordered = np.concatenate([tokens[~late], tokens[late]])
-            out.append((doc_id, text_hash, n, _signature(tokens), _sketch(tokens, SKETCH_LONGS), _sketch(tokens, _wide_longs(n)), ordered[:take].tolist()))
+            prefix = np.concatenate([tokens[~late], tokens[late]])[: n - least + _overlap(n, percent)]
+            out.append((doc_id, text_hash, n, _signature(tokens), _sketch(tokens, SKETCH_LONGS), _sketch(tokens, _wide_longs(n)), prefix.tolist(), _overlap(least, percent) - 1))
         return out
 
     source = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(docs["text"]).alias("text_hash"), docs["text"].alias("text"))
@@ -117,28 +125,26 @@ def _members() -> list[Column]:
     ]
 
 
-def _keys(nodes: DataFrame, common_from: int) -> DataFrame:
-    """(key, rid): tokens by classes, pairs of the common ones; only keys that two sets have.
+def _keys(nodes: DataFrame, percent: int, common_from: int) -> DataFrame:
+    """(key, rid): of each set the rarest tokens of its prefix, one of them common to any two linked sets.
 
-    Tokens with the same members, as those of one passage, are a class and one key. A class of
-    a rare token is a key, and so is one of two tokens or more, since who shares it shares two;
-    pairs are needed only of common tokens that are alone in their class. Of keys with the
-    same members one is enough.
+    Linked sets share more than ``spare`` tokens of their prefixes. The rarest of these is not among
+    the ``spare`` commonest of either set, so those are left out. A set that shares no more than
+    them with all others together, by chance or by a passage, has no key. Of tokens with the
+    same members one is enough. A key of more than ``common_from`` sets is divided by
+    their sizes, each set in two neighbouring parts: those of linked sets are at most one apart.
     """
-    same = ["times", "least", "most", "mixed", "total"]
     entries = nodes.select("rid", F.explode("prefix").alias("token"))
-    lists = entries.groupBy("token").agg(*_members()).where("times > 1")
-    classes = written(lists.groupBy(*same).agg(F.min("token").alias("token"), F.count(F.lit(1)).alias("width")).select("token", "times", "width"), "token-classes")
-    shared = written(entries.join(classes, "token"), "shared-tokens")
-    alone = (F.col("times") > common_from) & (F.col("width") == 1)
-    single = shared.where(~alone).select(F.col("token").alias("key"), "rid")
-    often = shared.where(alone).groupBy("rid").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
-    pairs = often.select("rid", F.explode(F.sequence(F.lit(0), F.size("tokens") - 1)).alias("i"), "tokens").select(
-        "rid", F.explode(F.transform(F.slice("tokens", F.col("i") + 2, F.size("tokens")), lambda t: F.xxhash64(F.get("tokens", F.col("i")), t))).alias("key")
-    )
-    keys = written(single.union(pairs.select("key", "rid")), "all-keys")
-    one = keys.groupBy("key").agg(*_members()).where("times > 1").groupBy(*same).agg(F.min("key").alias("key")).select("key")
-    return keys.join(one, "key", "left_semi")
+    times = entries.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    shared = entries.join(times, "token").groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("times", "token"))).alias("tokens"))
+    rest = F.size("tokens") - F.col("spare")
+    rare = shared.join(nodes.select("rid", "n", "spare"), "rid").where(rest > 0).select("rid", "n", F.explode(F.slice("tokens", F.lit(1), rest)).alias("rare"))
+    rare = written(rare.select("rid", "n", F.col("rare.token").alias("key")), "rare-tokens")
+    one = rare.groupBy("key").agg(*_members()).where("times > 1").groupBy("times", "least", "most", "mixed", "total").agg(F.min("key").alias("key"))
+    # A little wider than the greatest ratio of linked sizes, against rounding.
+    part = F.floor(F.log("n") / (math.log(100 / percent) + 1e-3))
+    parts = F.when(F.col("times") > common_from, F.array(F.xxhash64("key", part), F.xxhash64("key", part + 1))).otherwise(F.array("key"))
+    return rare.join(one.select("key", "times"), "key").select(F.explode(parts).alias("key"), "rid")
 
 
 def _may_link(percent: int, a: str, b: str) -> Column:
@@ -216,9 +222,9 @@ def _grouped(docs: DataFrame, width: int, percent: int, common_from: int, hubs:
         common = np.sort(np.array([r.doc_id for r in hints.orderBy(F.desc("times"), "doc_id").limit(MOST_COMMON).collect()], dtype=np.int64))
         members = measured.where("sig is not null")
 
-        prefixes = _prefixes(docs, width, percent, common, k=2).dropDuplicates(["sig"])
+        prefixes = _prefixes(docs, width, percent, common).dropDuplicates(["sig"])
         nodes = written(prefixes.withColumn("rid", F.monotonically_increasing_id()), "prefixes")
-        keys = written(_keys(nodes, common_from), "keys")
+        keys = written(_keys(nodes, percent, common_from), "keys")
         sketched = nodes.select("rid", "n", "sketch")
         places = nodes.select("rid", F.col("doc_id").alias("at_doc"), F.col("text_hash").alias("at_text"))
 
@@ -272,12 +278,12 @@ def join_groups(docs: DataFrame, width: int = 4, percent: int = 85, common_from:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) of every document.
 
     Two documents link when 100 * |intersection| >= percent * |union| of their shingle sets.
-    Equal sets are one class from the start. Candidates share a rare token of their extended
-    prefixes or two common ones (in more than ``common_from`` prefixes); sizes and parity
-    sketches rule most of them out without loss, and the sets decide. In a large group of
+    Equal sets are one class from the start. Candidates share one of the rarest tokens of their
+    extended prefixes (and are of like size, if it is in more than ``common_from``); sizes and
+    parity sketches rule most of them out without loss, and the sets decide. In a large group of
     near copies most pairs are not needed: links to ``hubs`` hubs a set come first, and only
     candidates that are not yet in one component are compared after them, all of them.
-    ``percent`` is over 50, so that linked sets which differ share two tokens or more.
+    ``percent`` is over 50.
 
     A null or empty text, or one without words, has 0 shingles and is linked with nothing; its
     component is itself. Equal rows get equal rows. Rows without doc_id take part; a

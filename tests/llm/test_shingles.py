@@ -65,6 +65,49 @@ def test_groups_against_all_pairs(spark, common_from, hubs):
     assert plain(S.join_groups(docs, common_from=common_from, hubs=hubs)) == sorted(brute(docs.collect()), key=repr)
 
 
+def phrases(docs, seed=3):
+    """Texts of own words and of ten out of sixty passages, each in many texts, and near copies of some."""
+    r = random.Random(seed)
+    common = [" ".join(f"c{k}x{i}" for i in range(5)) for k in range(60)]
+    out = []
+    for d in range(docs):
+        parts = [f"o{d}x{i}" for i in range(80)] + r.sample(common, 10)
+        r.shuffle(parts)
+        out.append(" ".join(parts))
+    return out + [f"{text} added at the end" for text in out[::40]]
+
+
+def test_passages_of_many_documents_make_no_keys(spark, monkeypatch):
+    rows = list(enumerate(phrases(400)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = {}
+
+    def counting(df, label, outer=False, written=S.written):
+        out = written(df, label, outer)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(S, "written", counting)
+    assert plain(S.join_groups(docs, common_from=8)) == sorted(brute(docs.collect()), key=repr)
+    # Only the ten near copies and their originals have keys: no pair of passages is one.
+    assert made["keys"] <= 100, made
+
+
+@pytest.mark.parametrize("percent", [51, 60, 75, 85, 95, 100])
+def test_linked_sets_share_a_rare_token(percent):
+    r = random.Random(percent)
+    for _ in range(400):
+        both = r.randint(1, 200)
+        rest = (100 * both // percent) - both
+        a = r.randint(0, rest)
+        sizes = both + a, both + rest - a
+        least = [-(-percent * n // 100) for n in sizes]
+        tokens = r.sample(range(1000), both + rest)
+        sets = sorted(tokens[: both + a]), sorted(tokens[:both] + tokens[both + a :])
+        cut = [x[: n - m + S._overlap(n, percent)] for x, n, m in zip(sets, sizes, least, strict=True)]
+        assert len({*cut[0]} & {*cut[1]}) >= max(S._overlap(m, percent) for m in least)
+
+
 def test_small_sets(spark):
     r = random.Random(4)
     rows = [(i, " ".join(r.choice("abcd") for _ in range(r.randint(0, 12)))) for i in range(150)]
