@@ -11,6 +11,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows turned into Python values at once.
 SLICE_ROWS = 512
+#: How to empty what a module keeps in this Python worker between its tasks, by the module's name.
+kept: dict[str, Callable[[], None]] = {}
+
+
+def release_others(module: str) -> None:
+    """Empties what modules other than this one keep: a worker that Spark gives to another operator holds the caches of one only."""
+    for name, empty in kept.items():
+        if name != module:
+            empty()
 
 
 def words(text: str | None) -> list[bytes]:
@@ -22,6 +31,7 @@ def map_rows(df: DataFrame, columns: list[str], rows: Callable[[list[tuple]], li
     """``rows`` over slices of the named columns, in order; it may return any number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(rows.__module__)
         arrow = to_arrow_schema(schema)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
@@ -40,6 +50,7 @@ def filter_rows(df: DataFrame, columns: list[str], keep: Callable[[list[tuple]],
     at = [df.columns.index(c) for c in columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_others(keep.__module__)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)

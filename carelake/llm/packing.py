@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ..session import written
-from .batches import map_rows, words
+from .batches import kept, map_rows, words
 
 #: Words remembered per Python worker.
 CACHE_SIZE = 700_000
@@ -89,6 +89,9 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+kept[__name__] = encoder.cache_clear
+
+
 def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:
     """The token pieces of each document: its ids, then ``end_id``, cut every ``capacity`` ids."""
 

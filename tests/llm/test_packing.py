@@ -66,3 +66,14 @@ def test_large_items_pair_and_small_ones_fill():
             assert [o for o, _ in own] == np.cumsum([0, *[n for _, n in own]])[:-1].tolist()
         least = max(-(-int(lengths.sum()) // 4096), int((lengths > 2048).sum()))
         assert len(used) <= least * 1.02 + 1 or large.all()
+
+
+def test_words_of_a_worker_go_when_another_operator_has_it():
+    from carelake.llm import batches
+
+    # In one process, as in a worker that is used again: packing keeps its words, another operator lets them go.
+    assert packing.encoder(WORD_VOCABULARY).encode("some words") and packing.encoder.cache_info().currsize
+    batches.release_others(packing.__name__)
+    assert packing.encoder.cache_info().currsize
+    batches.release_others("carelake.llm.quality")
+    assert not packing.encoder.cache_info().currsize
