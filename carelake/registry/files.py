@@ -128,12 +128,12 @@ def src_json_batches(t):
     return files.read_json_batches(t.spark, path, events.schema)
 
 
-def document_files(documents, root: str) -> None:
-    """One file per document: its text and a line break. Folders are gathered in 256, which are listed side by side."""
+def document_files(documents, root: str, own_folder: bool = True) -> None:
+    """One file per document: its text and a line break, in a folder of its own or named by the document. Either are gathered in 256 folders."""
     near = F.pmod(F.xxhash64("doc_id"), F.lit(256)).cast("string")
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
     folder = F.concat(F.lit("near="), near, F.lit("/doc_id="), name)
-    files.write_text_files(spread(documents.select("doc_id", "text")).select(folder.alias("folder"), "text"), root)
+    files.write_text_files(spread(documents.select("doc_id", "text")).select(folder.alias("folder"), "text"), root, own_folder=own_folder)
 
 
 @query("SELECT 'doc_id=' || doc_id AS folder, strlen(text) + 1 AS length, TRUE AS dated FROM documents")
@@ -148,8 +148,8 @@ def src_file_list(t):
 @query("SELECT doc_id, text || chr(10) AS text FROM documents")
 def src_text_docs(t):
     root = scratch_path(t.spark, "texts")
-    document_files(t("documents"), root)
-    number = F.regexp_extract("path", r"doc_id=(\d+)/", 1).cast("bigint")
+    document_files(t("documents"), root, own_folder=False)
+    number = F.regexp_extract("filename", r"^doc_id=(\d+)-", 1).cast("bigint")
     return files.read_text_docs(t.spark, root, ".txt").select(number.alias("doc_id"), "text")
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import errno
 import json
+import os
 import re
-from collections.abc import Iterator
-from functools import reduce
+from collections import deque
+from collections.abc import Callable, Iterator
+from functools import cache, reduce
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as stores
@@ -26,6 +30,10 @@ MISSING_WORDS = [
 ]
 MISSING_LOG = "[MISSING LOG FILE]"
 COLON_STAND_IN = "\uf03a"
+#: A task that lists folders passes on those it finds after so many entries, or while so many folders wait. The first one lists alone, so it does so soon.
+LISTED_AT_ONCE, LISTED_ALONE = (200_000, 20_000), (10_000, 64)
+#: Files that a task reads on average, and bytes that it returns at once.
+FILES_A_TASK, BYTES_AT_ONCE = 10_000, 4 << 20
 
 
 # ---- CSV
@@ -193,32 +201,42 @@ def read_json_batches(spark: SparkSession, path: str, schema: T.StructType | str
 def _store(uri: str) -> tuple[stores.FileSystem, str]:
     """The Arrow file system of a qualified Hadoop path, and the path in it."""
     if uri.startswith("file:"):
-        return stores.LocalFileSystem(), "/" + uri[len("file:"):].lstrip("/")
-    return stores.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
+        return _opened("file:")[0], "/" + uri[len("file:"):].lstrip("/")
+    top, path = re.fullmatch("([^:]+://[^/]*)(.*)", uri, re.DOTALL).groups()
+    store, base = _opened(re.sub("^s3[an]:", "s3:", top) + "/")
+    return store, base.rstrip("/") + path
 
 
-def _write_small(lines: DataFrame, root: str, suffix: str, size: int | None = None) -> None:
+@cache
+def _opened(uri: str) -> tuple[stores.FileSystem, str]:
+    return (stores.LocalFileSystem(), "") if uri == "file:" else stores.FileSystem.from_uri(uri)
+
+
+def _write_small(lines: DataFrame, root: str, suffix: str, size: int | None = None, own_folder: bool = True) -> None:
     """The lines (folder, text) of a task in files by folder, of ``size`` lines at most; neighbours in a folder share a file.
 
-    For very many small files. Each task writes its own straight to their place, so there is no
+    Without ``own_folder`` the last part of ``folder`` begins the names of its files instead. For very many small files. Each task writes its own straight to their place, so there is no
     commit in which the driver moves them one by one. Their names are made of partition and
     number: another attempt of a task writes the same files again.
     """
+    begin = "/part" if own_folder else ""
     fs, p = hadoop_path(lines.sparkSession, root)
     fs.mkdirs(p)
     uri = fs.makeQualified(p).toString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(uri)
-        part, files, held, at, out = TaskContext.get().partitionId(), 0, 0, None, None
+        part, files, held, at, out, made = TaskContext.get().partitionId(), 0, 0, None, None, ""
         for batch in batches:
             for folder, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if out is None or folder != at or held == size:
                     if out is not None:
                         out.close()
-                    if folder != at and folder:
-                        store.create_dir(f"{base}/{folder}")
-                    out = store.open_output_stream("/".join(x for x in (base, folder, f"part-{part:05d}-{files:06d}{suffix}") if x))
+                    name = f"{folder or ''}{begin}-{part:05d}-{files:06d}{suffix}".lstrip("/")
+                    if (parent := name.rpartition("/")[0]) != made:
+                        store.create_dir(f"{base}/{parent}")
+                        made = parent
+                    out = store.open_output_stream(f"{base}/{name}")
                     files, held, at = files + 1, 0, folder
                 out.write(((text or "") + "\n").encode("utf-8", "surrogatepass"))
                 held += 1
@@ -229,9 +247,118 @@ def _write_small(lines: DataFrame, root: str, suffix: str, size: int | None = No
     lines.select("folder", "text").mapInArrow(run, "files long").agg(F.sum("files")).collect()
 
 
-def write_text_files(lines: DataFrame, root: str, suffix: str = ".txt") -> None:
-    """The rows (folder, text) as text files: one for each folder and task, each text ended by a line break."""
-    _write_small(lines.select("folder", "text").sortWithinPartitions("folder"), root, suffix)
+def write_text_files(lines: DataFrame, root: str, suffix: str = ".txt", own_folder: bool = True) -> None:
+    """The rows (folder, text) as text files: one for each folder and task, each text ended by a line break.
+
+    Without ``own_folder`` the last part of ``folder`` begins the file's name instead.
+    """
+    _write_small(lines.select("folder", "text").sortWithinPartitions("folder"), root, suffix, own_folder=own_folder)
+
+
+def _entries(store: stores.FileSystem, place: str) -> Iterator[tuple[str, bool, int, int]]:
+    """Name, whether a folder, length and time (ms) of what a folder holds; links are followed, those to nothing left out.
+
+    A local folder is not held as a whole: it may have millions of files.
+    """
+    if not isinstance(store, stores.LocalFileSystem):
+        for x in store.get_file_info(stores.FileSelector(place, allow_not_found=True)):
+            yield x.base_name, x.type == stores.FileType.Directory, x.size or 0, (x.mtime_ns or 0) // 1_000_000
+        return
+    try:
+        with os.scandir(place) as found:
+            for x in found:
+                try:
+                    x.name.encode()  # Spark's readers do not see other names either
+                    at = x.stat()
+                    yield x.name, x.is_dir(), at.st_size, at.st_mtime_ns // 1_000_000
+                except UnicodeEncodeError:
+                    pass
+                except OSError as e:
+                    if e.errno not in (errno.ENOENT, errno.ELOOP):
+                        raise
+    except FileNotFoundError:
+        pass
+
+
+def _hidden(name: str) -> bool:
+    """Names of files that Spark's readers pass over, and of folders but for these of parquet's."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+_FOUND = "folder boolean, path string, length long, modified long"
+
+
+def _walker(wanted: Callable[[str, int], bool], entries: int, waiting: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lists the given folders and those below, as far as ``entries`` and ``waiting`` go; the other folders are returned."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left, rows = entries, []
+
+        def batch() -> pa.RecordBatch:
+            made = _batch(rows, folder=pa.bool_(), path=pa.string(), length=pa.int64(), modified=pa.int64())
+            rows.clear()
+            return made
+
+        for given in batches:
+            for top in given.column(0).to_pylist():
+                queue = deque([top])
+                while queue:
+                    at = queue.popleft()
+                    for name, folder, length, modified in _entries(*_store(at)):
+                        left -= 1
+                        path = f"{at.rstrip('/')}/{name}"
+                        if not folder:
+                            if wanted(name, length):
+                                rows.append((False, path, length, modified))
+                        elif not _hidden(name) or name.startswith(("_metadata", "_common_metadata")):
+                            if left > 0 and len(queue) <= waiting:
+                                queue.append(path)
+                            else:
+                                rows.append((True, path, 0, 0))
+                        if len(rows) >= 10_000:
+                            yield batch()
+                    if left <= 0 or len(queue) > waiting:
+                        rows += [(True, x, 0, 0) for x in queue]
+                        break
+        if rows:
+            yield batch()
+
+    return run
+
+
+def _batch(rows: list[tuple], **kinds: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=list(kinds))
+
+
+def _listed(spark: SparkSession, root: str, suffix: str) -> DataFrame | None:
+    """path, length and time (ms) of what Spark's readers find below a path or glob, listed by tasks; None if only they reach it.
+
+    Spark's own listing ends in the driver, which then holds every file. Here tasks list folders
+    and write what they find, round by round: folders that a task passes on are dealt out to the next.
+    """
+    fs, p = hadoop_path(spark, root)
+    tops = [(s.isDirectory(), s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.globStatus(p) or []]
+    try:
+        store, place = _store(tops[0][1])
+        if store.get_file_info(place).type == stores.FileType.NotFound:
+            return None
+    except (IndexError, OSError, ValueError, NotImplementedError):  # nothing there, or no store that Arrow opens
+        return None
+    pattern = re.compile(spark._jvm.org.apache.hadoop.fs.GlobPattern(f"*{suffix}").compiled().pattern(), re.DOTALL)
+
+    def wanted(name: str, length: int) -> bool:
+        return length > 0 and not _hidden(name) and pattern.fullmatch(name) is not None
+
+    listed = [spark.createDataFrame([t for t in tops if not t[0] and wanted(t[1].rsplit("/", 1)[1], t[2])], _FOUND)]
+    folders = spark.createDataFrame([(t[1],) for t in tops if t[0]], "path string")
+    number, limits, tasks = sum(t[0] for t in tops), LISTED_ALONE, 4 * spark.sparkContext.defaultParallelism
+    while number:
+        dealt = folders.repartition(min(number, max(tasks, number // LISTED_AT_ONCE[1])))
+        found = written(dealt.mapInArrow(_walker(wanted, *limits), _FOUND), "files")
+        listed.append(found.where(~F.col("folder")))
+        folders, limits = found.where("folder").select("path"), LISTED_AT_ONCE
+        number = folders.count()
+    return reduce(DataFrame.unionAll, listed).drop("folder")
 
 
 def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
@@ -247,12 +374,47 @@ def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     return found.filter(~F.startswith(F.element_at(F.split("path", "/"), -1), F.lit("~$")))
 
 
+# What a path's URI has in another form, as Java writes it: all but letters, digits and some marks, of other alphabets only spaces.
+_NOT_IN_URI = re.compile(r"""[\x00-\x20"#%<>?\[\\\]^`{|}\x7f-\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]""")
+
+
+def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Path and name (as in a URI) and the bytes of the files of the given paths."""
+    kinds = {"path": pa.string(), "filename": pa.string(), "content": pa.binary()}
+    rows, held = [], 0
+    for given in batches:
+        for path in given.column(0).to_pylist():
+            store, place = _store(path)
+            with store.open_input_stream(place, compression=None) as f:
+                content = f.read()
+            uri = _NOT_IN_URI.sub(lambda c: quote(c[0], safe=""), path)
+            rows.append((uri, uri.rsplit("/", 1)[1], content))
+            held += len(content)
+            if held >= BYTES_AT_ONCE or len(rows) >= 10_000:
+                yield _batch(rows, **kinds)
+                rows, held = [], 0
+    if rows:
+        yield _batch(rows, **kinds)
+
+
 def read_text_docs(spark: SparkSession, root: str, suffix: str = ".txt") -> DataFrame:
-    """One row per whole text file below a folder: path, file name and text."""
-    return (
-        spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(root, wholetext=True)
-        .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("filename"), F.col("value").alias("text"))
-    )
+    """One row per whole text file below a folder: path, file name and text.
+
+    Tasks list the folders when this is called (see ``_listed``) and read the files later. Files
+    that may be compressed by their suffix are left to Spark's reader.
+    """
+    codecs = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark._jsc.hadoopConfiguration())
+    plain = "." in suffix and not re.search(r"[\\{}\[\]*?]", suffix) and codecs.getCodec(spark._jvm.org.apache.hadoop.fs.Path(f"/x{suffix}")) is None
+    found = _listed(spark, root, suffix) if plain else None
+    if found is None:
+        return (
+            spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(root, wholetext=True)
+            .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("filename"), F.col("value").alias("text"))
+        )
+    size = found.agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
+    tasks = max(size.files // FILES_A_TASK, size.bytes // (128 << 20), min(size.files, 4 * spark.sparkContext.defaultParallelism), 1)
+    read = found.select("path").repartition(tasks).mapInArrow(_read_files, "path string, filename string, content binary")
+    return read.select("path", "filename", F.col("content").cast("string").alias("text"))
 
 
 def collect_failed_logs(spark: SparkSession, root: str, dag_id: str, run_id: str, task_id: str, indices: DataFrame, attempt: int = 1) -> DataFrame:

@@ -482,3 +482,64 @@ def test_index_semi_reads_the_logs_once(spark):
 
     plan = registry.queries()["join_index_semi"](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("l_orderkey") and plan.count("Join ") == 1 and plan.count("Relation") == 2
+
+
+def odd_tree(root):
+    """A tree of files with names that a listing may get wrong; returns how many of its .txt files are read."""
+    seen = [f"t{i}/u{j}/v{k}.txt" for i in range(9) for j in range(3) for k in range(4)]
+    seen += ["a b%20#é.txt", 'q"[x]{y}|^`\\.txt', "nl\n  .txt", "_x=1/_y=2.txt", "_metadata/z.txt"]
+    for name in [*seen, ".dot.txt", "_hidden.txt", "_d/f.txt", ".h/f.txt", "x._COPYING_/f.txt", "g.txt._COPYING_", "other.html", "CASE.TXT"]:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(b"\xef\xbb\xbf\xffa\r\n" + name.encode())
+    (root / "empty.txt").write_text("")
+    (root / "none").mkdir()
+    (root / "to_file.txt").symlink_to(root / "other.html")
+    (root / "to_folder").symlink_to(root / "t0")
+    (root / "to_nothing.txt").symlink_to(root / "missing")
+    (root / "packed.txt.gz").write_bytes(gzip.compress(b"unpacked"))
+    return len(seen) + 1 + 12
+
+
+@pytest.fixture(params=[None, 2])
+def most_listed(request, monkeypatch):
+    """The ordinary sizes, and some at which each task passes on nearly every folder."""
+    if request.param:
+        monkeypatch.setattr(files, "LISTED_AT_ONCE", (request.param, 1))
+        monkeypatch.setattr(files, "LISTED_ALONE", (1, 0))
+
+
+def test_texts_are_listed_and_read_by_tasks(spark, tmp_path, most_listed):
+    root = tmp_path / "r t%41"
+    number = odd_tree(root)
+    texts = files.read_text_docs(spark, str(root), ".txt")
+    # Neither a list of the documents in the driver nor a task for every few of them.
+    assert not any(f.endswith(".txt") for f in texts.inputFiles()) and texts.rdd.getNumPartitions() <= 16
+
+    def by_spark(path, suffix):
+        found = spark.read.option("pathGlobFilter", f"*{suffix}").option("recursiveFileLookup", "true").text(path, wholetext=True)
+        return rows(found, F.col("_metadata.file_path"), F.col("_metadata.file_name"), F.hex("value"))
+
+    assert rows(texts, "path", "filename", F.hex("text")) == by_spark(str(root), ".txt") and texts.count() == number
+    for path, suffix in [("t[1-3]", ".txt"), ("*.txt", ".txt"), ("_d", ".txt"), ("none", ".txt"), ("other.html", ".txt"), (".", ".txt.gz"), ("t1", "{0,1}.txt")]:
+        assert rows(files.read_text_docs(spark, f"{tmp_path}/r*/{path}", suffix), "path", "filename", F.hex("text")) == by_spark(f"{tmp_path}/r*/{path}", suffix)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_text_docs(spark, str(tmp_path / "missing"))
+
+
+def test_texts_of_a_store_that_only_spark_reads(spark, tmp_path):
+    number = odd_tree(tmp_path / "in")
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.texts.link./in", f"file://{tmp_path}/in")
+    assert files.read_text_docs(spark, "viewfs://texts/in").count() == number
+
+
+def test_documents_named_by_their_files(spark, tmp_path):
+    from carelake.registry.files import document_files
+
+    docs = spark.createDataFrame([(7, "a"), (7, None), (8, "ü\nb"), (None, "c")], "doc_id long, text string").repartition(3)
+    document_files(docs, str(tmp_path / "tree"), own_folder=False)
+    found = [p for p in (tmp_path / "tree").rglob("*") if p.is_file()]
+    assert all(p.name.startswith("doc_id=") and p.parent.name.startswith("near=") and p.parent.parent.name == "tree" for p in found)
+    texts = {}
+    for r in files.read_text_docs(spark, str(tmp_path / "tree")).collect():
+        texts.setdefault(r.filename.split("-")[0], []).append(r.text)
+    assert {k: sorted("".join(v)) for k, v in texts.items()} == {"doc_id=7": sorted("a\n\n"), "doc_id=8": sorted("ü\nb\n"), "doc_id=__HIVE_DEFAULT_PARTITION__": sorted("c\n")}
