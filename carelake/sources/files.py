@@ -364,13 +364,17 @@ def _listed(spark: SparkSession, root: str, suffix: str) -> DataFrame | None:
 def list_files(spark: SparkSession, root: str, suffix: str) -> DataFrame:
     """path, length and modification time of files by suffix, without '~$' temp files.
 
-    Content is not selected, so no file is opened.
+    No file is opened. Tasks list the folders (see ``_listed``) when this is called.
     """
-    found = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", f"*{suffix}").load(root)
-        .select("path", "length", "modificationTime")
-    )
+    found = _listed(spark, root, suffix)
+    if found is not None:
+        found = found.select("path", "length", F.timestamp_millis("modified").alias("modificationTime"))
+    else:
+        found = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", f"*{suffix}").load(root)
+            .select("path", "length", "modificationTime")
+        )
     return found.filter(~F.startswith(F.element_at(F.split("path", "/"), -1), F.lit("~$")))
 
 

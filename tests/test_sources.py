@@ -526,10 +526,30 @@ def test_texts_are_listed_and_read_by_tasks(spark, tmp_path, most_listed):
         files.read_text_docs(spark, str(tmp_path / "missing"))
 
 
+def test_files_are_listed_by_tasks(spark, tmp_path, most_listed):
+    root = tmp_path / "r t%41"
+    number = odd_tree(root)
+    (root / "t1" / "~$a.txt").write_text("x")
+    listed = files.list_files(spark, str(root), ".txt")
+    # The driver holds no list of the files.
+    assert not any(f.endswith(".txt") for f in listed.inputFiles())
+
+    def by_spark(path, suffix):
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path).where("path not like '%~$%'")
+        return rows(found, "path", "length", "modificationTime")
+
+    assert rows(listed, "path", "length", "modificationTime") == by_spark(str(root), ".txt") and listed.count() == number
+    assert dict(listed.dtypes) == {"path": "string", "length": "bigint", "modificationTime": "timestamp"}
+    for path, suffix in [("t[1-3]", ".txt"), ("*.txt", ".txt"), ("_d", ".txt"), ("none", ".txt"), ("other.html", ".txt"), (".", ".{html,gz}"), (".", "")]:
+        assert rows(files.list_files(spark, f"{tmp_path}/r*/{path}", suffix), "path", "length", "modificationTime") == by_spark(f"{tmp_path}/r*/{path}", suffix)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.list_files(spark, str(tmp_path / "missing"), ".txt")
+
+
 def test_texts_of_a_store_that_only_spark_reads(spark, tmp_path):
     number = odd_tree(tmp_path / "in")
     spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.texts.link./in", f"file://{tmp_path}/in")
-    assert files.read_text_docs(spark, "viewfs://texts/in").count() == number
+    assert files.read_text_docs(spark, "viewfs://texts/in").count() == files.list_files(spark, "viewfs://texts/in", ".txt").count() == number
 
 
 def test_documents_named_by_their_files(spark, tmp_path):
